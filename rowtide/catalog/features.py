@@ -355,8 +355,17 @@ def trim_columns(spark, sf_dir):
     return rounded(trim_statistics(full, _KEEP))
 
 
+_SHARED = {
+    "mean": ("l_quantity", "l_discount", "l_tax"),
+    "min": ("l_quantity", "l_extendedprice"),
+    "max": ("l_extendedprice", "l_tax"),
+    "std": ("l_quantity", "l_discount"),
+}
+
+
 def _keyed_stats_sql(source: str, key: str) -> str:
-    stats = ", ".join(f"round({_stat_sql(n)}, 4) AS {n}" for n in _KEPT)
+    names = [f"{c}_{s}" for s, cs in _SHARED.items() for c in cs]
+    stats = ", ".join(f"round({_stat_sql(n)}, 9) AS {n}" for n in names)
     return f"SELECT '{source}' AS source, {key} AS entity, {stats} FROM lineitem GROUP BY {key}"
 
 
@@ -365,8 +374,10 @@ def _keyed_stats_sql(source: str, key: str) -> str:
     _keyed_stats_sql("supplier", "l_suppkey") + " UNION ALL " + _keyed_stats_sql("part", "l_partkey"),
 )
 def schema_parity(spark, sf_dir):
+    kept = ALL.with_(keep={s: frozenset(c) for s, c in _SHARED.items()})
+    stats = blocks.statistics(LINES.numeric, kept)
+
     def table_for(key):
-        stats = blocks.statistics(LINES.numeric, ALL.with_(keep={s: frozenset(c) for s, c in _KEEP.items()}))
         df = lines(spark, sf_dir).withColumn("entity", F.col(key))
         return df.groupBy("entity").agg(*[e.alias(n) for n, e in stats.items()])
 
@@ -375,7 +386,7 @@ def schema_parity(spark, sf_dir):
     both = left.select(F.lit("supplier").alias("source"), "*").unionByName(
         right.select(F.lit("part").alias("source"), "*")
     )
-    return rounded(both, 4)
+    return rounded(both, 9)
 
 
 @query(

@@ -1,7 +1,8 @@
-"""Scalar building blocks. Everything stays a JVM expression."""
+"""Scalar building blocks. Columns stay JVM expressions."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,36 +81,58 @@ def kurtosis_unbiased(c: Column) -> Column:
     return F.when(F.count(c) >= 4, factor * ((n + 1) * g2 + 6))
 
 
-def _rising(coefficients, x: Column) -> Column:
-    out = F.lit(coefficients[-1])
+def _rising(coefficients, x):
+    """Polynomial by rising power; ``x`` is a Column or an array."""
+    out = coefficients[-1]
     for k in reversed(coefficients[:-1]):
-        out = out * x + F.lit(k)
+        out = out * x + k
     return out
 
 
-def _falling(coefficients, x: Column) -> Column:
-    return _rising(tuple(reversed(coefficients)), x)
+def _falling(coefficients, x):
+    return _rising(coefficients[::-1], x)
+
+
+def _fraction(parts, x, polynomial=_rising):
+    return polynomial(parts[0], x) / polynomial(parts[1], x)
 
 
 def erfinv(x: Column) -> Column:
-    """Inverse error function on (-1, 1), through the normal quantile at (1 + x) / 2."""
+    """Inverse error function on (-1, 1), through the normal quantile at (1 + x) / 2.
+
+    ``x`` occurs many times in the result, so it should be a plain column.
+    """
     q = x / 2
-    near = F.lit(0.180625) - q * q
     r = F.sqrt(-F.log(F.lit(0.5) - F.abs(q)))
-    centre = q * _rising(_CENTRE[0], near) / _rising(_CENTRE[1], near)
-    shoulder = _rising(_SHOULDER[0], r - 1.6) / _rising(_SHOULDER[1], r - 1.6)
-    tail = _rising(_TAIL[0], r - 5) / _rising(_TAIL[1], r - 5)
-    outer = F.signum(q) * F.when(r <= 5, shoulder).otherwise(tail)
-    z = F.when(F.abs(q) <= 0.425, centre).otherwise(outer)
+    centre = q * _fraction(_CENTRE, F.lit(0.180625) - q * q)
+    outer = F.when(r <= 5, _fraction(_SHOULDER, r - 1.6)).otherwise(_fraction(_TAIL, r - 5))
+    z = F.when(F.abs(q) <= 0.425, centre).otherwise(F.signum(q) * outer)
     return F.when(F.abs(x) < 1, z / F.sqrt(F.lit(2.0)))
 
 
 def erf(x: Column) -> Column:
     """Error function, absolute error below 1e-14; beyond |x| = 6 it is +-1 in double precision."""
     a = F.abs(x)
-    sq = x * x
-    near = x * _falling(_ERF_NEAR[0], sq) / _falling(_ERF_NEAR[1], sq)
-    mid = F.signum(x) * (
-        1 - F.exp(-sq) * _falling(_ERFC_MID[0], a) / _falling(_ERFC_MID[1], a)
-    )
+    near = x * _fraction(_ERF_NEAR, x * x, _falling)
+    mid = F.signum(x) * (1 - F.exp(-(x * x)) * _fraction(_ERFC_MID, a, _falling))
     return F.when(a <= 0.46875, near).when(a <= 6, mid).otherwise(F.signum(x))
+
+
+def erfinv_array(x: np.ndarray) -> np.ndarray:
+    """``erfinv`` for Arrow batches."""
+    with np.errstate(all="ignore"):
+        q = x / 2
+        r = np.sqrt(-np.log(0.5 - np.abs(q)))
+        centre = q * _fraction(_CENTRE, 0.180625 - q * q)
+        outer = np.where(r <= 5, _fraction(_SHOULDER, r - 1.6), _fraction(_TAIL, r - 5))
+        z = np.where(np.abs(q) <= 0.425, centre, np.sign(q) * outer)
+        return np.where(np.abs(x) < 1, z / np.sqrt(2.0), np.nan)
+
+
+def erf_array(x: np.ndarray) -> np.ndarray:
+    """``erf`` for Arrow batches."""
+    with np.errstate(all="ignore"):
+        a = np.abs(x)
+        near = x * _fraction(_ERF_NEAR, x * x, _falling)
+        mid = np.sign(x) * (1 - np.exp(-(x * x)) * _fraction(_ERFC_MID, a, _falling))
+        return np.where(a <= 0.46875, near, np.where(a <= 6, mid, np.sign(x)))

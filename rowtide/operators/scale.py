@@ -12,14 +12,14 @@ between knots. Two exact ways exist:
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.functions.numeric import erf, erfinv, ratio
+from rowtide.functions.numeric import clean, erf, erf_array, erfinv, erfinv_array, ratio
 from rowtide.operators.lookup import lookup
 from rowtide.operators.ordered import OrderedGroups
 from rowtide.session import limits, materialise
@@ -52,71 +52,84 @@ def gauss_rank(
     df: DataFrame, knots: DataFrame, columns: Sequence[str], row_id: Sequence[str]
 ) -> DataFrame:
     """Replace ``columns`` by their Gaussian score; ``knots`` should be a stored table."""
-    bounded = {
-        c: erfinv(F.greatest(F.least(F.col(c), F.lit(BOUND)), F.lit(-BOUND))) for c in columns
-    }
-    return _interpolate(df, knots, columns, row_id, "value", "s").withColumns(bounded)
+    used = knots.select("feature", F.col("value").alias("x"), F.col("s").alias("y"))
+    few = _few_knots(used, columns)
+    if few is not None:
+        clipped = lambda s: erfinv_array(np.clip(s, -BOUND, BOUND))
+        return _interpolate_broadcast(df, few, columns, finish=clipped)
+    return _interpolate_joined(
+        df,
+        used,
+        columns,
+        row_id,
+        lambda answers: answers.withColumn(
+            "y", F.greatest(F.least("y", F.lit(BOUND)), F.lit(-BOUND))
+        ).withColumn("y", erfinv(F.col("y"))),
+    )
 
 
 def gauss_rank_inverse(
     df: DataFrame, knots: DataFrame, columns: Sequence[str], row_id: Sequence[str]
 ) -> DataFrame:
     """Map Gaussian scores back to the original scale, extrapolating beyond the outer knots."""
-    scored = df.withColumns({c: erf(F.col(c)) for c in columns})
     # Clipped knots share a scaled rank; the smallest value stands for them.
     unique = knots.filter("s IS NOT NULL").groupBy("feature", "s").agg(F.min("value").alias("value"))
-    return _interpolate(scored, unique, columns, row_id, "s", "value")
-
-
-def _interpolate(
-    df: DataFrame, knots: DataFrame, columns: Sequence[str], row_id: Sequence[str], x: str, y: str
+    used = unique.select("feature", F.col("s").alias("x"), F.col("value").alias("y"))
+    few = _few_knots(used, columns)
+    if few is not None:
+        return _interpolate_broadcast(df, few, columns, prepare=erf_array)
+    shares = df.withColumns({c: erf(F.col(c)) for c in columns})
+    return _interpolate_joined(shares, used, columns, row_id, lambda answers: answers)
+
+
+def _few_knots(knots: DataFrame, columns: Sequence[str]) -> pd.DataFrame | None:
+    """The knots themselves if there are few enough to ship to every task."""
+    cap = limits(knots.sparkSession).broadcast_rows
+    rows = knots.filter(F.col("feature").isin(list(columns))).limit(cap + 1).toPandas()
+    return rows if len(rows) <= cap else None
+
+
+def _interpolate_broadcast(
+    df: DataFrame,
+    knots: pd.DataFrame,
+    columns: Sequence[str],
+    prepare: Callable[[np.ndarray], np.ndarray] | None = None,
+    finish: Callable[[np.ndarray], np.ndarray] | None = None,
 ) -> DataFrame:
-    used = knots.filter(F.col("feature").isin(list(columns))).select(
-        "feature", F.col(x).alias("x"), F.col(y).alias("y")
-    )
-    cap = limits(df.sparkSession).broadcast_rows
-    rows = used.limit(cap + 1).toPandas()
-    if len(rows) <= cap:
-        return _interpolate_broadcast(df, rows, columns)
-    return _interpolate_joined(df, used, columns, row_id)
-
-
-def _line(q, x0, y0, x1, y1):
-    return y0 + (q - x0) * ((y1 - y0) / (x1 - x0))
-
-
-def _interpolate_broadcast(df: DataFrame, knots: pd.DataFrame, columns: Sequence[str]) -> DataFrame:
-    tables = {}
-    for name, part in knots.dropna().sort_values("x").groupby("feature"):
-        tables[name] = (part["x"].to_numpy(), part["y"].to_numpy())
+    tables = {
+        name: (part["x"].to_numpy(), part["y"].to_numpy())
+        for name, part in knots.dropna().sort_values("x").groupby("feature")
+    }
     shipped = df.sparkSession.sparkContext.broadcast(tables)
 
     def one(values: np.ndarray, table) -> np.ndarray:
         if table is None or len(table[0]) < 2:
             return np.full(len(values), np.nan)
         xs, ys = table
+        values = prepare(values) if prepare else values
         hi = np.clip(np.searchsorted(xs, values, side="left"), 1, len(xs) - 1)
-        return _line(values, xs[hi - 1], ys[hi - 1], xs[hi], ys[hi])
+        slope = (ys[hi] - ys[hi - 1]) / (xs[hi] - xs[hi - 1])
+        out = ys[hi - 1] + (values - xs[hi - 1]) * slope
+        return finish(out) if finish else out
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = {c: one(frame[c].to_numpy(float), shipped.value.get(c)) for c in columns}
-            yield pd.DataFrame(out)
+    kinds = ", ".join(f"`{c}`: double" for c in columns)
 
-    schema = ", ".join(f"`{c}` double" for c in columns)
-
-    @F.pandas_udf(f"struct<{schema.replace('` double', '`: double')}>")
+    @F.pandas_udf(f"struct<{kinds}>")
     def scaled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from batches(frames)
+        for frame in frames:
+            yield pd.DataFrame({c: one(frame[c].to_numpy(float), shipped.value.get(c)) for c in columns})
 
     packed = F.struct(*[F.col(c).cast("double").alias(c) for c in columns])
     out = df.withColumn("__scaled", scaled(packed))
-    null_safe = {c: F.nanvl(F.col("__scaled").getField(c), F.lit(None).cast("double")) for c in columns}
-    return out.withColumns(null_safe).drop("__scaled")
+    return out.withColumns({c: clean(F.col("__scaled").getField(c)) for c in columns}).drop("__scaled")
 
 
 def _interpolate_joined(
-    df: DataFrame, knots: DataFrame, columns: Sequence[str], row_id: Sequence[str]
+    df: DataFrame,
+    knots: DataFrame,
+    columns: Sequence[str],
+    row_id: Sequence[str],
+    finish: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     queries = _long(df, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("__uses"))
     knot = F.struct("x", "y")
@@ -148,12 +161,12 @@ def _interpolate_joined(
     y = low.getField("y") + (F.col("value") - low.getField("x")) * ratio(
         high.getField("y") - low.getField("y"), high.getField("x") - low.getField("x")
     )
-    answers = near.select("feature", "value", "__uses", y.alias("__y"))
+    answers = materialise(finish(near.select("feature", "value", "__uses", y.alias("y"))), "scaled")
 
     out = df
     for c in columns:
         table = answers.filter(F.col("feature") == c).select(
-            F.col("value").alias(c), F.col("__y").alias(f"__y_{c}"), "__uses"
+            F.col("value").alias(c), F.col("y").alias(f"__y_{c}"), "__uses"
         )
         out = lookup(
             out.withColumn(c, F.col(c).cast("double")), table, [c], uses="__uses", row_id=row_id
