@@ -44,10 +44,8 @@ _FLAGS = [("o_orderstatus", v) for v in ("O", "P")] + [
 def one_hot(spark, sf_dir):
     cols = ["o_orderstatus", "o_orderpriority"]
     df = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", *cols)
-    last = (
-        with_ordinals(df, ORDERS)
-        .groupBy("o_custkey")
-        .agg(*[e.alias(n) for n, e in blocks.last_row(["o_orderkey", *cols]).items()])
+    last = blocks.aggregate(
+        with_ordinals(df, ORDERS), "o_custkey", blocks.last_row(["o_orderkey", *cols])
     )
     path = new_path(spark, "categories")
     save_categories(fit_one_hot(last, cols), path)
@@ -145,10 +143,8 @@ _LAST_LINES = f"SELECT * FROM ({numbered_sql(LINES)}) WHERE rn = n"
     + f" FROM ({_LAST_LINES})",
 )
 def standard_scale_rows(spark, sf_dir):
-    last = (
-        with_ordinals(lines(spark, sf_dir), LINES)
-        .groupBy("l_suppkey")
-        .agg(*[e.alias(n) for n, e in blocks.last_row(LINES.numeric).items()])
+    last = blocks.aggregate(
+        with_ordinals(lines(spark, sf_dir), LINES), "l_suppkey", blocks.last_row(LINES.numeric)
     )
     params = materialise(fit_standard(last, LINES.numeric), "centres")
     return rounded(standard_scale(last, params, LINES.numeric))

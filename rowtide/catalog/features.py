@@ -32,7 +32,7 @@ ALL = FeatureOptions()
 
 
 def _per_entity(df, spec, *parts):
-    return df.groupBy(spec.entity).agg(*[e.alias(n) for n, e in blocks.merge(*parts).items()])
+    return blocks.aggregate(df, spec.entity, *parts)
 
 
 @query(
@@ -147,8 +147,11 @@ _CATS = ("flag", "state")
     ),
 )
 def cat_stats(spark, sf_dir):
-    df = with_ordinals(lines(spark, sf_dir), LINES)
-    return rounded(_per_entity(df, LINES, blocks.categories(_CATS, True, ALL), blocks.means(_CATS)))
+    rows = lines(spark, sf_dir)
+    codes = blocks.category_codes(rows, _CATS)
+    stats = blocks.categories(_CATS, ALL, codes, dict(rows.dtypes))
+    df = with_ordinals(rows, LINES)
+    return rounded(_per_entity(df, LINES, stats, blocks.means(_CATS)))
 
 
 @query(
@@ -183,7 +186,8 @@ def _mad_sql(c: str) -> str:
     + " FROM lineitem) GROUP BY l_suppkey",
 )
 def mean_abs_dev(spark, sf_dir):
-    df = with_ordinals(lines(spark, sf_dir), LINES, **blocks.entity_means(LINES.numeric))
+    centres = {n: F.expr(e) for n, e in blocks.entity_means(LINES.numeric).items()}
+    df = with_ordinals(lines(spark, sf_dir), LINES, **centres)
     return rounded(_per_entity(df, LINES, blocks.mean_abs_deviations(LINES.numeric)))
 
 
@@ -218,7 +222,7 @@ def row_family(spark, sf_dir):
     df = with_ordinals(lines(spark, sf_dir), LINES)
     last_ = _per_entity(df, LINES, blocks.last_row(LINES.numeric))
     derived = derive.family_nets(LINES, _FAMILY) | derive.after_pay(_FAMILY)
-    return rounded(last_.select("l_suppkey", *[e.alias(n) for n, e in derived.items()]))
+    return rounded(last_.selectExpr("l_suppkey", *[f"{e} AS `{n}`" for n, e in derived.items()]))
 
 
 RATIOS = FeatureOptions(
@@ -379,7 +383,7 @@ def schema_parity(spark, sf_dir):
 
     def table_for(key):
         df = lines(spark, sf_dir).withColumn("entity", F.col(key))
-        return df.groupBy("entity").agg(*[e.alias(n) for n, e in stats.items()])
+        return blocks.aggregate(df, "entity", stats)
 
     left, right = table_for("l_suppkey"), table_for("l_partkey")
     require_parity(left, right)

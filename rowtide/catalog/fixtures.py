@@ -104,18 +104,20 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rounded(df: DataFrame, digits: int = 6, skip: Iterable[str] = ()) -> DataFrame:
     """Sums are order-dependent in their last bits; results are compared rounded."""
     skip = set(skip)
-    cols = {
-        f.name: F.round(F.col(f"`{f.name}`").cast("double"), digits)
-        for f in df.schema.fields
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in skip
-    }
-    return df.withColumns(cols) if cols else df
+    return df.selectExpr(
+        *[
+            f"round(CAST(`{f.name}` AS DOUBLE), {digits}) AS `{f.name}`"
+            if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in skip
+            else f"`{f.name}`"
+            for f in df.schema.fields
+        ]
+    )
 
 
 def as_doubles(df: DataFrame, key: str, digits: int = 6) -> DataFrame:
     """Every feature as rounded double."""
-    return df.select(
-        key, *[F.round(F.col(f"`{c}`").cast("double"), digits).alias(c) for c in df.columns if c != key]
+    return df.selectExpr(
+        key, *[f"round(CAST(`{c}` AS DOUBLE), {digits}) AS `{c}`" for c in df.columns if c != key]
     )
 
 

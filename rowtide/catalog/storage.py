@@ -38,12 +38,9 @@ def csv_roundtrip(spark, sf_dir):
     )
     write_predictions(side, side_file)
 
-    last = (
-        with_ordinals(orders(spark, sf_dir), ORDERS)
-        .groupBy("o_custkey")
-        .agg(*[e.alias(n) for n, e in blocks.last_row(["o_totalprice"]).items()])
-        .withColumnRenamed("o_totalprice", "prediction")
-    )
+    numbered = with_ordinals(orders(spark, sf_dir), ORDERS)
+    last = blocks.aggregate(numbered, "o_custkey", blocks.last_row(["o_totalprice"]))
+    last = last.withColumnRenamed("o_totalprice", "prediction")
     side_back = read_side_features(spark, side_file, "o_custkey bigint, balance double, nation int, target int")
     joined = attach(last, side_back, "o_custkey", drop=("target",))
     joined = attach(joined, read_labels(spark, label_file, "o_custkey", entity_type="bigint"), "o_custkey")

@@ -73,14 +73,6 @@ def filled(c: Column, fill: float = -1.0) -> Column:
     return F.when(bad, F.lit(fill)).otherwise(value)
 
 
-def kurtosis_unbiased(c: Column) -> Column:
-    """Unbiased excess kurtosis from Spark's population form; NULL below four values."""
-    n = F.count(c).cast("double")
-    g2 = F.kurtosis(c)
-    factor = F.try_divide(n - 1, (n - 2) * (n - 3))
-    return F.when(F.count(c) >= 4, factor * ((n + 1) * g2 + 6))
-
-
 def _rising(coefficients, x):
     """Polynomial by rising power; ``x`` is a Column or an array."""
     out = coefficients[-1]

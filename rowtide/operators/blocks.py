@@ -1,26 +1,28 @@
 """Feature blocks: named aggregate expressions over the rows of one entity.
 
-A block is a dict of output name to aggregate column. Blocks are merged into a
-single ``groupBy``, so adding one never adds a shuffle. Positional blocks read
-``__rn`` (position from 1) and ``__n`` (rows of the entity). Every aggregate
-can be combined from partial results, so split entities need nothing special.
+A block is a dict of output name to aggregate expression (SQL text, which is
+far cheaper to hand to Spark than thousands of Column calls when rows are
+wide). Blocks are merged into a single ``groupBy``, so adding one never adds a
+shuffle. Positional blocks read ``__rn`` (position from 1) and ``__n`` (rows of
+the entity). Every aggregate can be combined from partial results, so split
+entities need nothing special.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rowtide.functions import calendar
-from rowtide.functions.numeric import kurtosis_unbiased, ratio
+from rowtide.functions.text import name, ratio
 from rowtide.operators.positions import N, RN
 from rowtide.spec import FeatureOptions
 
-Block = dict[str, Column]
+Block = dict[str, str]
 
-_STATS = {"mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp}
+_STATS = {"mean": "avg", "min": "min", "max": "max", "std": "stddev_samp"}
 
 
 def merge(*blocks: Block) -> Block:
@@ -34,23 +36,35 @@ def merge(*blocks: Block) -> Block:
     return out
 
 
-def _at(c: str, place: Column) -> Column:
-    return F.max(F.when(place, F.col(c)))
+def aggregate(df: DataFrame, key: str, *blocks: Block) -> DataFrame:
+    """One row per key with every expression of the blocks."""
+    return df.groupBy(key).agg(*[F.expr(f"{e} AS {name(n)}") for n, e in merge(*blocks).items()])
 
 
-def _back(steps: int) -> Column:
-    return F.col(RN) == F.col(N) - steps
+def _at(c: str, place: str) -> str:
+    return f"max(CASE WHEN {place} THEN {name(c)} END)"
+
+
+def _back(steps: int) -> str:
+    return f"{RN} = {N} - {steps}"
+
+
+def _valued(fn: str, c: str) -> str:
+    return f"{fn}({name(c)}, {RN}) FILTER (WHERE {name(c)} IS NOT NULL)"
 
 
 def statistics(columns: Iterable[str], options: FeatureOptions) -> Block:
     return {
-        f"{c}_{s}": _STATS[s](c) for c in columns for s in options.stats if options.wants(s, c)
+        f"{c}_{s}": f"{_STATS[s]}({name(c)})"
+        for c in columns
+        for s in options.stats
+        if options.wants(s, c)
     }
 
 
 def sums(columns: Iterable[str]) -> Block:
     """Missing values are skipped; an all-missing column sums to 0."""
-    return {f"{c}_sum": F.coalesce(F.sum(c), F.lit(0.0)) for c in columns}
+    return {f"{c}_sum": f"coalesce(sum({name(c)}), 0D)" for c in columns}
 
 
 def last_row(columns: Iterable[str]) -> Block:
@@ -60,89 +74,156 @@ def last_row(columns: Iterable[str]) -> Block:
 
 def first_values(columns: Iterable[str]) -> Block:
     """First non-missing value."""
-    return {f"{c}_first": F.min_by(c, F.when(F.col(c).isNotNull(), F.col(RN))) for c in columns}
+    return {f"{c}_first": _valued("min_by", c) for c in columns}
 
 
 def last_values(columns: Iterable[str]) -> Block:
     """Last non-missing value."""
-    return {f"{c}_last": F.max_by(c, F.when(F.col(c).isNotNull(), F.col(RN))) for c in columns}
+    return {f"{c}_last": _valued("max_by", c) for c in columns}
 
 
 def last_versus_first(columns: Iterable[str]) -> Block:
     out: Block = {}
     for c in columns:
-        last, first = last_values([c])[f"{c}_last"], first_values([c])[f"{c}_first"]
-        out[f"{c}_last_lag_sub"] = last - first
+        last, first = _valued("max_by", c), _valued("min_by", c)
+        out[f"{c}_last_lag_sub"] = f"{last} - {first}"
         out[f"{c}_last_lag_div"] = ratio(last, first)
     return out
 
 
 def differences(columns: Iterable[str], period: int) -> Block:
     """Last row minus the row ``period`` earlier; NULL for shorter histories."""
-    return {f"{c}_diff{period}": _at(c, _back(0)) - _at(c, _back(period)) for c in columns}
+    return {f"{c}_diff{period}": f"{_at(c, _back(0))} - {_at(c, _back(period))}" for c in columns}
 
 
 def percent_changes(columns: Iterable[str], period: int) -> Block:
     return {
-        f"{c}_pct_chg{period}": ratio(_at(c, _back(0)), _at(c, _back(period))) - 1 for c in columns
+        f"{c}_pct_chg{period}": f"{ratio(_at(c, _back(0)), _at(c, _back(period)))} - 1D"
+        for c in columns
     }
 
 
-def _middle() -> Column:
-    return F.floor((F.col(N) + 1) / 2) + 1
+_MIDDLE = f"({N} + 1) div 2 + 1"
 
 
 def middle(columns: Iterable[str]) -> Block:
     """Middle row, the only row for one-row entities."""
-    place = F.col(RN) == F.when(F.col(N) == 1, F.lit(1)).otherwise(_middle())
-    return {f"{c}_mid": _at(c, place) for c in columns}
+    return {f"{c}_mid": _at(c, f"{RN} = least({_MIDDLE}, {N})") for c in columns}
 
 
 def middle_gt2(columns: Iterable[str]) -> Block:
     """Middle row of entities with more than two rows."""
-    place = (F.col(N) > 2) & (F.col(RN) == _middle())
-    return {f"{c}_mid_gt2": _at(c, place) for c in columns}
+    return {f"{c}_mid_gt2": _at(c, f"{N} > 2 AND {RN} = {_MIDDLE}") for c in columns}
+
+
+MAX_CODES = 1024
+_WORD = 64
+Codes = Mapping[str, range | list[str]]
+
 
+def category_codes(df: DataFrame, columns: Iterable[str]) -> Codes:
+    """Which codes each category column holds: a range for integers, else the listed values.
 
-def categories(columns: Iterable[str], small_sets: bool, options: FeatureOptions) -> Block:
+    Columns with more than ``MAX_CODES`` are absent. Integers only need their
+    extremes; other types are listed, combined in every task before the
+    shuffle, and cut off right above ``MAX_CODES`` per column.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    whole = [c for c in columns if isinstance(kinds[c], T.IntegralType)]
+    listed = [c for c in columns if c not in whole]
+    out: dict[str, range | list[str]] = {}
+    if whole:
+        ends = df.agg(*[F.min(c) for c in whole], *[F.max(c) for c in whole]).first()
+        for c, low, high in zip(whole, ends[: len(whole)], ends[len(whole) :], strict=True):
+            if low is None or high - low < MAX_CODES:
+                out[c] = range(low or 0, (high or 0) + 1)
+    if listed:
+        values = F.array(*[F.col(c).cast("string") for c in listed])
+        pairs = df.select(F.posexplode(values).alias("at", "code")).filter("code IS NOT NULL")
+        by = Window.partitionBy("at").orderBy("code")
+        some = pairs.distinct().withColumn("nth", F.row_number().over(by)).filter(F.col("nth") <= MAX_CODES + 1)
+        found: dict[str, list[str]] = {c: [] for c in listed}
+        for row in some.collect():
+            found[listed[row["at"]]].append(row["code"])
+        out |= {c: sorted(v) for c, v in found.items() if len(v) <= MAX_CODES}
+    return out
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _distinct(c: str, codes: range | list[str] | None, kind: str) -> str:
+    """Exact distinct count. Known codes become bits of a few words, so nothing is gathered."""
+    if codes is None:
+        return f"count(DISTINCT {name(c)})"
+    if not codes:
+        return "0L * count(*)"
+    if isinstance(codes, range):
+        place = f"(CAST({name(c)} AS BIGINT) - ({codes.start}))"
+    else:
+        listed = ", ".join(f"CAST({_quoted(v)} AS {kind})" for v in codes)
+        place = f"(array_position(array({listed}), {name(c)}) - 1)"
+    words = []
+    for word in range(0, len(codes), _WORD):
+        bit = f"shiftleft(1L, CAST({place} - {word} AS INT))"
+        if len(codes) > _WORD:
+            bit = f"CASE WHEN {place} >= {word} AND {place} < {word + _WORD} THEN {bit} END"
+        words.append(f"coalesce(bit_count(bit_or({bit})), 0)")
+    return f"CAST({' + '.join(words)} AS BIGINT)"
+
+
+def categories(
+    columns: Iterable[str],
+    options: FeatureOptions,
+    codes: Codes | None = None,
+    kinds: Mapping[str, str] | None = None,
+) -> Block:
     """Count, distinct count, spread and first value of numeric category codes.
 
-    ``small_sets``: the codes are known to be few, so distinct values may be
-    gathered as sets, which keeps the whole aggregate in one shuffle.
+    ``codes`` (from ``category_codes``) and ``kinds`` (column types) keep the
+    distinct counts in the same generated-code aggregate as everything else;
+    without them they take an extra expansion of the rows.
     """
     out: Block = {}
+    codes, kinds = codes or {}, kinds or {}
     for c in columns:
-        out[f"{c}_count"] = F.count(c)
-        out[f"{c}_nunique"] = (
-            F.size(F.collect_set(c)).cast("long") if small_sets else F.count_distinct(c)
-        )
+        out[f"{c}_count"] = f"count({name(c)})"
+        out[f"{c}_nunique"] = _distinct(c, codes.get(c), kinds.get(c, "string"))
         if options.wants("std", c):
-            out[f"{c}_std"] = F.stddev_samp(c)
+            out[f"{c}_std"] = f"stddev_samp({name(c)})"
     return merge(out, first_values(columns))
 
 
 def means(columns: Iterable[str]) -> Block:
-    return {f"{c}_mean": F.avg(c) for c in columns}
+    return {f"{c}_mean": f"avg({name(c)})" for c in columns}
 
 
 def calendar_counts(time: str) -> Block:
     """Dated rows, Sundays (NULL when there is none) and spread of the ISO week."""
-    t = F.col(time)
+    t = name(time)
     return {
-        f"{time}_Count": F.count(t),
-        f"{time}_Sun_Count": F.nullif(F.count_if(calendar.is_sunday(t)), F.lit(0).cast("long")),
-        f"{time}_wk_std": F.stddev_samp(calendar.iso_week(t)),
+        f"{time}_Count": f"count({t})",
+        f"{time}_Sun_Count": f"nullif(count_if(weekday({t}) = 6), 0L)",
+        f"{time}_wk_std": f"stddev_samp(weekofyear({t}))",
     }
 
 
 def kurtoses(columns: Iterable[str]) -> Block:
-    return {f"{c}_kurt": kurtosis_unbiased(F.col(c)) for c in columns}
+    """Unbiased excess kurtosis from Spark's population form; NULL below four values."""
+    out: Block = {}
+    for c in columns:
+        n = f"CAST(count({name(c)}) AS DOUBLE)"
+        factor = f"try_divide({n} - 1, ({n} - 2) * ({n} - 3))"
+        unbiased = f"{factor} * (({n} + 1) * kurtosis({name(c)}) + 6)"
+        out[f"{c}_kurt"] = f"CASE WHEN {n} >= 4 THEN {unbiased} END"
+    return out
 
 
 def mean_abs_deviations(columns: Iterable[str]) -> Block:
     """Mean absolute distance from the entity mean, which rows carry as ``__mean_{c}``."""
-    return {f"{c}_mad": F.avg(F.abs(F.col(c) - F.col(f"__mean_{c}"))) for c in columns}
+    return {f"{c}_mad": f"avg(abs({name(c)} - {name(f'__mean_{c}')}))" for c in columns}
 
 
 def entity_means(columns: Iterable[str]) -> Block:
-    return {f"__mean_{c}": F.avg(c) for c in columns}
+    return {f"__mean_{c}": f"avg({name(c)})" for c in columns}

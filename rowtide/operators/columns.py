@@ -6,38 +6,41 @@ import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.functions.numeric import filled
+from rowtide.functions.text import filled, name
 
 
 def fill_missing(df: DataFrame, fill: float = -1.0, skip: Iterable[str] = ()) -> DataFrame:
     """Missing and infinite numbers become ``fill``; other types are left alone."""
     skip = set(skip)
-    cols = {}
-    for f in df.schema.fields:
+
+    def shown(f: T.StructField) -> str:
+        c, kind = name(f.name), f.dataType.simpleString()
         if f.name in skip:
-            continue
+            return c
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols[f.name] = filled(F.col(f"`{f.name}`"), fill).cast(f.dataType)
-        elif isinstance(f.dataType, T.IntegralType):
-            cols[f.name] = F.coalesce(F.col(f"`{f.name}`"), F.lit(int(fill)).cast(f.dataType))
-    return df.withColumns(cols) if cols else df
+            return f"CAST({filled(c, fill)} AS {kind}) AS {c}"
+        if isinstance(f.dataType, T.IntegralType):
+            return f"coalesce({c}, CAST({int(fill)} AS {kind})) AS {c}"
+        return c
+
+    return df.selectExpr(*[shown(f) for f in df.schema.fields])
 
 
 def narrow(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
     """Long to int and double to float; a long that does not fit becomes NULL."""
     skip = set(skip)
-    cols = {}
-    for f in df.schema.fields:
+
+    def shown(f: T.StructField) -> str:
+        c = name(f.name)
         if f.name in skip:
-            continue
+            return c
         if isinstance(f.dataType, T.LongType):
-            cols[f.name] = F.col(f"`{f.name}`").try_cast("int")
-        elif isinstance(f.dataType, T.DoubleType):
-            cols[f.name] = F.col(f"`{f.name}`").cast("float")
-    return df.withColumns(cols) if cols else df
+            return f"TRY_CAST({c} AS INT) AS {c}"
+        return f"CAST({c} AS FLOAT) AS {c}" if isinstance(f.dataType, T.DoubleType) else c
+
+    return df.selectExpr(*[shown(f) for f in df.schema.fields])
 
 
 def drop_matching(df: DataFrame, patterns: Iterable[str], skip: Iterable[str] = ()) -> DataFrame:

@@ -1,78 +1,76 @@
-"""Features computed from one entity's aggregated row."""
+"""Features computed from one entity's aggregated row, as SQL text like the blocks."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from rowtide.functions.numeric import filled, ratio
+from rowtide.functions.text import filled, name, ratio
+from rowtide.operators.blocks import Block
 from rowtide.spec import FeatureOptions, PanelSpec
 
-Derived = dict[str, Column]
-
 
-def family_sum(columns: Iterable[str]) -> Column:
+def family_sum(columns: Iterable[str]) -> str:
     """Horizontal sum, missing values count as 0."""
-    total = F.lit(0.0)
-    for c in columns:
-        total = total + F.coalesce(F.col(c), F.lit(0.0))
-    return total
+    return "(" + " + ".join(["0D", *(f"coalesce({name(c)}, 0D)" for c in columns)]) + ")"
 
 
-def family_nets(spec: PanelSpec, options: FeatureOptions) -> Derived:
+def family_nets(spec: PanelSpec, options: FeatureOptions) -> Block:
     return {
-        name: family_sum(spec.families[a]) - family_sum(spec.families[b])
-        for name, a, b in options.family_nets
+        out: f"{family_sum(spec.families[a])} - {family_sum(spec.families[b])}"
+        for out, a, b in options.family_nets
     }
 
 
-def after_pay(options: FeatureOptions) -> Derived:
-    return {f"{base}-{pay}": F.col(base) - F.col(pay) for base, pay in options.after_pay}
+def after_pay(options: FeatureOptions) -> Block:
+    return {f"{base}-{pay}": f"{name(base)} - {name(pay)}" for base, pay in options.after_pay}
 
 
-def _last(c: str, options: FeatureOptions) -> Column:
-    return filled(F.col(c), options.fill) if options.impute == "early" else F.col(c)
+def _last(c: str, options: FeatureOptions) -> str:
+    value = f"CAST({name(c)} AS DOUBLE)"
+    return f"({filled(value, options.fill)})" if options.impute == "early" else name(c)
 
 
-def range_versus_last(spec: PanelSpec, options: FeatureOptions) -> Derived:
-    out: Derived = {}
+def range_versus_last(spec: PanelSpec, options: FeatureOptions) -> Block:
+    out: Block = {}
     for c in (c for f in options.range_lag_families for c in spec.families[f]):
         for stat in ("min", "max"):
             if options.wants(stat, c):
-                out[f"{c}_{stat}_lag_sub"] = F.col(f"{c}_{stat}") - _last(c, options)
-                out[f"{c}_{stat}_lag_div"] = ratio(F.col(f"{c}_{stat}"), _last(c, options))
+                extreme = name(f"{c}_{stat}")
+                out[f"{c}_{stat}_lag_sub"] = f"{extreme} - {_last(c, options)}"
+                out[f"{c}_{stat}_lag_div"] = ratio(extreme, _last(c, options))
     return out
 
 
-def fixed_ratios(options: FeatureOptions) -> Derived:
-    return {name: ratio(_last(a, options), _last(b, options)) for name, a, b in options.fixed_ratios}
+def fixed_ratios(options: FeatureOptions) -> Block:
+    return {out: ratio(_last(a, options), _last(b, options)) for out, a, b in options.fixed_ratios}
 
 
-def versus_mean(spec: PanelSpec, options: FeatureOptions) -> Derived:
+def versus_mean(spec: PanelSpec, options: FeatureOptions) -> Block:
     sub, div = ("-mean", "-div-mean") if options.mean_style == "dash" else ("_lag_mean", "_div_mean")
-    out: Derived = {}
+    out: Block = {}
     for c in spec.numeric:
+        last = _last(c, options)
+        mean, low, high, std = (name(f"{c}_{s}") for s in ("mean", "min", "max", "std"))
         if options.versus_mean and options.wants("mean", c):
-            out[f"{c}{sub}"] = _last(c, options) - F.col(f"{c}_mean")
-            out[f"{c}{div}"] = ratio(_last(c, options), F.col(f"{c}_mean"))
+            out[f"{c}{sub}"] = f"{last} - {mean}"
+            out[f"{c}{div}"] = ratio(last, mean)
         if options.min_vs_max and options.wants("min", c) and options.wants("max", c):
-            out[f"{c}_min_div_max"] = ratio(F.col(f"{c}_min"), F.col(f"{c}_max"))
-            out[f"{c}_min-max"] = F.col(f"{c}_min") - F.col(f"{c}_max")
+            out[f"{c}_min_div_max"] = ratio(low, high)
+            out[f"{c}_min-max"] = f"{low} - {high}"
         if options.zscore and options.wants("mean", c) and options.wants("std", c):
-            out[f"{c}-zscore"] = ratio(_last(c, options) - F.col(f"{c}_mean"), F.col(f"{c}_std"))
+            out[f"{c}-zscore"] = ratio(f"{last} - {mean}", std)
     return out
 
 
-def pay_ratios(options: FeatureOptions) -> Derived:
+def pay_ratios(options: FeatureOptions) -> Block:
     """Spend minus payment over balance: of the last row, and of the entity's sums."""
-    out: Derived = {}
+    out: Block = {}
     for s, p, b in options.pay_ratios:
-        net = F.col(s) - F.col(p)
+        net = f"({name(s)} - {name(p)})"
         if options.impute == "early":
             net = filled(net, options.fill)
         out[f"{s}-{p}div{b}"] = ratio(net, _last(b, options))
     for s, p, b in options.pay_sum_ratios:
-        out[f"{s}s-{p}s_d_{b}"] = ratio(F.col(f"{s}_sum") - F.col(f"{p}_sum"), _last(b, options))
+        net = f"{name(f'{s}_sum')} - {name(f'{p}_sum')}"
+        out[f"{s}s-{p}s_d_{b}"] = ratio(net, _last(b, options))
     return out

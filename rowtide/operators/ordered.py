@@ -53,7 +53,7 @@ class OrderedGroups:
 
     ``keys`` may be empty (one global group). ``order`` holds ascending
     expressions and must be unique within a group. ``derived`` says that ``df``
-    is expensive, so it is written once before the passes that splitting needs.
+    is more than a scan, so it is written once before the passes over it.
     """
 
     def __init__(
@@ -66,16 +66,16 @@ class OrderedGroups:
     ) -> None:
         self.keys = list(keys)
         self.order = [F.col(o) if isinstance(o, str) else o for o in order]
-        self.df = df
+        self.df = materialise(df, "ordered-input") if derived else df
         self.is_split = False
-        self._cut(derived)
+        self._cut()
 
     @property
     def part(self) -> list[str]:
         """Columns whose windows are safe to run in one task."""
         return [*self.keys, CHUNK] if self.is_split else self.keys
 
-    def _cut(self, derived: bool) -> None:
+    def _cut(self) -> None:
         lim = limits(self.df.sparkSession)
         size = F.count(F.lit(1)).alias("__size")
         sizes = self.df.groupBy(*self.keys).agg(size)
@@ -83,9 +83,6 @@ class OrderedGroups:
         if (largest or 0) <= lim.rows_per_chunk:
             return
         per_chunk = max(lim.rows_per_chunk, math.ceil(rows / lim.max_chunks))
-        if derived:
-            self.df = materialise(self.df, "ordered-input")
-            sizes = self.df.groupBy(*self.keys).agg(size)
         bounds = self._bounds(sizes.filter(F.col("__size") > per_chunk), per_chunk)
 
         if self.keys:

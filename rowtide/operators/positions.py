@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowtide.functions.text import name
 from rowtide.operators.lookup import lookup
 from rowtide.operators.ordered import OrderedGroups
 from rowtide.session import materialise
@@ -62,15 +63,14 @@ def with_time_ranks(df: DataFrame, spec: PanelSpec) -> DataFrame:
 def pivot_positions(df: DataFrame, spec: PanelSpec, columns: list[str], positions: int) -> DataFrame:
     """One row per entity, one column ``{c}__TE{j}`` per column and reverse position j < positions."""
     ranked = with_time_ranks(df, spec)
-    return ranked.groupBy(spec.entity).agg(
-        *[e.alias(name) for name, e in position_columns(columns, positions).items()]
-    )
+    pivoted = position_columns(columns, positions)
+    return ranked.groupBy(spec.entity).agg(*[F.expr(f"{e} AS {name(n)}") for n, e in pivoted.items()])
 
 
-def position_columns(columns: list[str], positions: int) -> dict[str, Column]:
+def position_columns(columns: list[str], positions: int) -> dict[str, str]:
     """Aggregates for a pivot by reverse position; the later row wins a shared position."""
     return {
-        f"{c}__TE{j}": F.max_by(F.col(c), F.when(F.col("statement") == j, F.col(RN)))
+        f"{c}__TE{j}": f"max_by({name(c)}, CASE WHEN statement = {j} THEN {RN} END)"
         for c in columns
         for j in range(positions)
     }

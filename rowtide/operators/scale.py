@@ -31,21 +31,24 @@ KNOT_SCHEMA = "feature string, value double, s double"
 
 
 def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
-    return df.select(F.explode(pairs).alias("p")).select("p.*").filter("value IS NOT NULL")
+    """(feature number, value) for every non-missing cell."""
+    cells = F.array(*[F.col(c).cast("double") for c in columns])
+    return df.select(F.posexplode(cells).alias("at", "value")).filter("value IS NOT NULL")
+
+
+def _name(columns: Sequence[str]) -> Column:
+    return F.get(F.array(*[F.lit(c) for c in columns]), F.col("at"))
 
 
 def fit_gauss_rank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Knots of every column; a constant column has a knot without a scaled rank."""
     distinct = _long(df, columns).distinct()
-    groups = OrderedGroups(distinct, ["feature"], ["value"], derived=True)
+    groups = OrderedGroups(distinct, ["at"], ["value"], derived=True)
     ranked = groups.scan(totals={"__m": F.count(F.lit(1))}, row_number="__r")
     factor = (F.col("__m") - 1) / 2.0 * BOUND
     s = ratio(F.col("__r") - 1, factor) - BOUND
     clipped = F.when(s.isNotNull(), F.greatest(F.least(s, F.lit(BOUND)), F.lit(-BOUND)))
-    return ranked.select("feature", "value", clipped.alias("s"))
+    return ranked.select(_name(columns).alias("feature"), "value", clipped.alias("s"))
 
 
 def gauss_rank(
@@ -131,7 +134,8 @@ def _interpolate_joined(
     row_id: Sequence[str],
     finish: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    queries = _long(df, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("__uses"))
+    used_by = _long(df, columns).groupBy("at", "value").agg(F.count(F.lit(1)).alias("__uses"))
+    queries = used_by.select(_name(columns).alias("feature"), "value", "__uses")
     knot = F.struct("x", "y")
     points = (
         knots.filter("y IS NOT NULL AND x IS NOT NULL")

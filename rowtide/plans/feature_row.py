@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.functions.numeric import quantise
+from rowtide.functions.text import name
 from rowtide.operators import blocks, derive
 from rowtide.operators.columns import fill_missing, narrow
 from rowtide.operators.positions import (
@@ -16,21 +16,15 @@ from rowtide.operators.positions import (
 from rowtide.session import tune_for_wide_rows
 from rowtide.spec import FeatureOptions, PanelSpec
 
-MAX_SET_SIZE = 10_000
-
-
-def _few_codes(df: DataFrame, columns: tuple[str, ...]) -> bool:
-    """Whether every category column has few enough codes to gather them as sets."""
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    return all(n <= MAX_SET_SIZE for n in counts)
-
-
 def quantised(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    return df.withColumns({c: quantise(F.col(c)) for c in spec.numeric})
+    num = set(spec.numeric)
+    return df.selectExpr(
+        *[f"rint({name(c)} * 100D) / 100D AS {name(c)}" if c in num else name(c) for c in df.columns]
+    )
 
 
 def aggregate_blocks(df: DataFrame, spec: PanelSpec, options: FeatureOptions) -> blocks.Block:
-    """Every aggregate the options ask for; ``df`` is only used to size category sets."""
+    """Every aggregate the options ask for; ``df`` is only used to list category codes."""
     num, cat = spec.numeric, spec.categorical
     parts = [
         blocks.last_row([*num, *cat]),
@@ -50,7 +44,8 @@ def aggregate_blocks(df: DataFrame, spec: PanelSpec, options: FeatureOptions) ->
     if options.calendar:
         parts.append(blocks.calendar_counts(spec.time))
     if options.category_stats and cat:
-        parts.append(blocks.categories(cat, _few_codes(df, cat), options))
+        codes = blocks.category_codes(df, cat)
+        parts.append(blocks.categories(cat, options, codes, dict(df.dtypes)))
     parts.append(blocks.means(options.category_means))
     parts += [blocks.kurtoses(options.kurtosis), blocks.mean_abs_deviations(options.mean_abs_dev)]
     parts.append(position_columns(list(cat), options.positions))
@@ -70,9 +65,9 @@ def feature_row(df: DataFrame, spec: PanelSpec, options: FeatureOptions) -> Data
         rows = with_ordinals(
             rows.select(*spec.columns, *(["statement"] if options.positions else [])),
             spec,
-            **blocks.entity_means(options.mean_abs_dev),
+            **{n: F.expr(e) for n, e in blocks.entity_means(options.mean_abs_dev).items()},
         )
-    wide = rows.groupBy(spec.entity).agg(*[e.alias(name) for name, e in aggregates.items()])
+    wide = blocks.aggregate(rows, spec.entity, aggregates)
 
     derived = blocks.merge(
         derive.family_nets(spec, options),
@@ -87,10 +82,10 @@ def feature_row(df: DataFrame, spec: PanelSpec, options: FeatureOptions) -> Data
         raise ValueError(f"duplicate output columns: {sorted(clash)}")
     sums = {f"{c}_sum" for c in spec.family_columns}
     kept = [c for c in aggregates if options.keep_sums or c not in sums]
-    out = wide.select(
-        spec.entity,
-        *[F.col(f"`{c}`") for c in kept],
-        *[e.alias(name) for name, e in derived.items()],
+    out = wide.selectExpr(
+        name(spec.entity),
+        *[name(c) for c in kept],
+        *[f"{e} AS {name(n)}" for n, e in derived.items()],
     )
     if options.narrow:
         out = narrow(out, skip=[spec.entity])
