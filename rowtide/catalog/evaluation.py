@@ -52,7 +52,7 @@ def metric(spark, sf_dir):
 @query("metric_by_fold", _components_sql(_FOLDED, "fold"))
 def metric_by_fold(spark, sf_dir):
     folded = stratified_folds(scored(spark, sf_dir), "event_id", "target")
-    return _rounded_components(metric_components(folded, "target", "score", "event_id", by=["fold"]))
+    return _rounded_components(metric_components(folded, "target", "score", "event_id", ["fold"], derived=True))
 
 
 @query(
@@ -61,7 +61,7 @@ def metric_by_fold(spark, sf_dir):
 )
 def mean_fold_score(spark, sf_dir):
     folded = stratified_folds(scored(spark, sf_dir), "event_id", "target")
-    by_fold = metric_components(folded, "target", "score", "event_id", by=["fold"])
+    by_fold = metric_components(folded, "target", "score", "event_id", ["fold"], derived=True)
     return rounded(mean_score(by_fold), 8)
 
 

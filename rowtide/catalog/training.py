@@ -10,7 +10,7 @@ from rowtide.catalog.fixtures import ORDERS, labels, orders
 from rowtide.operators.folds import stratified_folds
 from rowtide.plans.feature_row import attach, feature_row
 from rowtide.plans.search import grid, search
-from rowtide.plans.training import TrainSpec, blend, fold_scores, out_of_fold
+from rowtide.plans.training import TrainSpec, blend, fold_scores, out_of_fold, store_folds
 from rowtide.session import materialise, new_path
 
 _FEATURES = (
@@ -31,8 +31,8 @@ def _training_table(spark, sf_dir):
     features = feature_row(orders(spark, sf_dir), ORDERS, TREES)
     rows = attach(features, labels(spark, sf_dir), "o_custkey")
     rows = rows.select("o_custkey", "target", *[f"`{c}`" for c in _FEATURES])
-    stored = materialise(rows, "training")
-    return materialise(stratified_folds(stored, "o_custkey", "target"), "folded")
+    folded = stratified_folds(rows, "o_custkey", "target", derived=True)
+    return store_folds(folded, new_path(spark, "folded"))
 
 
 def _spec(spark, model):

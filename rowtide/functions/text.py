@@ -7,6 +7,10 @@ def name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+def quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ratio(a: str, b: str) -> str:
     """Division that yields NULL for a zero denominator."""
     return f"try_divide(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.functions.text import name, ratio
+from rowtide.functions.text import name, quoted, ratio
 from rowtide.operators.positions import N, RN
 from rowtide.spec import FeatureOptions
 
@@ -149,10 +149,6 @@ def category_codes(df: DataFrame, columns: Iterable[str]) -> Codes:
     return out
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _distinct(c: str, codes: range | list[str] | None, kind: str) -> str:
     """Exact distinct count. Known codes become bits of a few words, so nothing is gathered."""
     if codes is None:
@@ -162,7 +158,7 @@ def _distinct(c: str, codes: range | list[str] | None, kind: str) -> str:
     if isinstance(codes, range):
         place = f"(CAST({name(c)} AS BIGINT) - ({codes.start}))"
     else:
-        listed = ", ".join(f"CAST({_quoted(v)} AS {kind})" for v in codes)
+        listed = ", ".join(f"CAST({quoted(v)} AS {kind})" for v in codes)
         place = f"(array_position(array({listed}), {name(c)}) - 1)"
     words = []
     for word in range(0, len(codes), _WORD):

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.functions.text import name, quoted
 from rowtide.operators.ordered import OrderedGroups
 
 MAX_COLUMNS = 10_000
@@ -44,12 +45,11 @@ def apply_one_hot(df: DataFrame, categories: DataFrame, columns: Sequence[str])
     order = {c: i for i, c in enumerate(columns)}
     rows = sorted((r for r in rows if r["column"] in order), key=lambda r: (order[r["column"]], r["position"]))
     flags = [
-        F.when(F.col(r["column"]).cast("string") == r["value"], 1)
-        .otherwise(0)
-        .alias(f"{r['column']}_{r['value']}")
+        f"CASE WHEN CAST({name(r['column'])} AS STRING) = {quoted(r['value'])} THEN 1 ELSE 0 END "
+        f"AS {name(r['column'] + '_' + r['value'])}"
         for r in rows
     ]
-    return df.select(*[c for c in df.columns if c not in order], *flags)
+    return df.selectExpr(*[name(c) for c in df.columns if c not in order], *flags)
 
 
 def save_categories(categories: DataFrame, path: str) -> None:

@@ -1,19 +1,20 @@
 """Running sums, row numbers and group totals that never sort a big group in one task.
 
 A window over ``partitionBy(keys)`` puts a whole group into one task. That is
-the best plan while every group is small. When some group is larger than
-``rowsPerChunk``, its order range is cut into chunks of similar size:
+the best plan while every group is small. When some group is larger than a
+chunk, its order range is cut into chunks of similar size:
 
-1. group sizes: one narrow scan, combined before the shuffle;
-2. a hash sample of the big groups' order keys gives chunk boundaries;
-3. each row finds its chunk by binary search over its group's boundaries;
-4. windows run per (group, chunk); per-chunk totals are summed up in a small
-   table and added as offsets.
+1. a hash sample of the order keys, about ``_OVERSAMPLE`` rows per chunk, shows
+   which groups are big and where to cut them (one scan, a tiny shuffle);
+2. each row finds its chunk by binary search over its group's boundaries;
+3. windows run per (group, chunk); per-chunk totals, combined before the
+   shuffle, are summed up in a small table and added as offsets.
 
 Small groups stay whole (chunk 0), so both kinds share one plan and one shuffle.
-Boundary and offset tables hold at most ``maxChunks`` rows whatever the input
-size, because the chunk length grows with the total row count; that bound is
-what allows them to be broadcast.
+The sample only steers the cuts; results are exact whatever it holds. Boundary
+and offset tables have at most about ``maxChunks`` rows whatever the input size,
+because the chunk length grows with the total row count; that bound is what
+allows them to be broadcast.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from rowtide.session import limits, materialise
 
 CHUNK = "__chunk"
 SPLIT = "__split"
-_OVERSAMPLE = 20
+_OVERSAMPLE = 32
 
 
 def left_join_small(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,14 +78,13 @@ class OrderedGroups:
 
     def _cut(self) -> None:
         lim = limits(self.df.sparkSession)
-        size = F.count(F.lit(1)).alias("__size")
-        sizes = self.df.groupBy(*self.keys).agg(size)
-        rows, largest = sizes.agg(F.sum("__size"), F.max("__size")).first()
-        if (largest or 0) <= lim.rows_per_chunk:
+        chunk_rows = min(lim.rows_per_chunk, max(1, lim.cells_per_chunk // len(self.df.columns)))
+        rows = self.df.count()
+        if rows <= chunk_rows:
+            return
+        bounds = self._bounds(max(chunk_rows, math.ceil(rows / lim.max_chunks)))
+        if bounds.isEmpty():
             return
-        per_chunk = max(lim.rows_per_chunk, math.ceil(rows / lim.max_chunks))
-        bounds = self._bounds(sizes.filter(F.col("__size") > per_chunk), per_chunk)
-
         if self.keys:
             df = left_join_small(self.df, bounds, self.keys)
         else:
@@ -100,26 +100,21 @@ class OrderedGroups:
         ).drop("__bounds")
         self.is_split = True
 
-    def _bounds(self, big: DataFrame, per_chunk: int) -> DataFrame:
+    def _bounds(self, chunk_rows: int) -> DataFrame:
+        """Sorted inner boundaries of every group that needs more than one chunk."""
         keyed = self.df.select(*self.keys, F.struct(*self.order).alias("__key"))
-        picked = F.pmod(F.xxhash64("__key"), F.lit(per_chunk)) < _OVERSAMPLE
-        sample = keyed.filter(picked)
-        if self.keys:
-            sample = left_join_small(sample, big, self.keys).filter("__size IS NOT NULL")
-        else:
-            sample = sample.withColumn("__size", big.select("__size").scalar())
-        per_group = sample.groupBy(*self.keys).agg(
-            F.max("__size").alias("__size"),
-            F.array_sort(F.collect_list("__key")).alias("__sample"),
+        picked = F.pmod(F.xxhash64("__key"), F.lit(chunk_rows)) < _OVERSAMPLE
+        sampled = keyed.filter(picked).groupBy(*self.keys).agg(
+            F.array_sort(F.collect_list("__key")).alias("__sample")
         )
-        chunks = F.ceil(F.col("__size") / F.lit(per_chunk)).cast("int")
-        taken = F.size("__sample")
+        chunks = F.ceil(F.size("__sample") / F.lit(_OVERSAMPLE)).cast("int")
         cuts = F.transform(
-            F.sequence(F.lit(1), F.greatest(chunks - 1, F.lit(1))),
-            lambda i: F.get("__sample", F.floor(i * taken / chunks).cast("int")),
+            F.sequence(F.lit(1), chunks - 1),
+            lambda i: F.get("__sample", (i * F.size("__sample") / chunks).cast("int")),
         )
         return materialise(
-            per_group.select(*self.keys, F.array_distinct(cuts).alias("__bounds")), "bounds"
+            sampled.filter(chunks > 1).select(*self.keys, F.array_distinct(cuts).alias("__bounds")),
+            "bounds",
         )
 
     def scan(
@@ -189,13 +184,16 @@ class OrderedGroups:
 
     def neighbours(self, value: Column, previous: str, following: str) -> DataFrame:
         """Nearest non-NULL ``value`` at or before, and at or after, each row."""
-        w = Window.partitionBy(*self.part).orderBy(*self.order)
-        back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ahead = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        # Looking ahead is looking back in descending order; a frame that runs to
+        # the end of the partition would be evaluated anew for every row.
+        until = Window.unboundedPreceding, Window.currentRow
+        back = Window.partitionBy(*self.part).orderBy(*self.order).rowsBetween(*until)
+        reverse = [o.desc_nulls_last() for o in self.order]
+        ahead = Window.partitionBy(*self.part).orderBy(*reverse).rowsBetween(*until)
         out = self.df.withColumns(
             {
                 previous: F.last(value, ignorenulls=True).over(back),
-                following: F.first(value, ignorenulls=True).over(ahead),
+                following: F.last(value, ignorenulls=True).over(ahead),
             }
         )
         if not self.is_split:
@@ -206,16 +204,14 @@ class OrderedGroups:
             .groupBy(*self.keys, CHUNK)
             .agg(F.max_by(value, key).alias("__last"), F.min_by(value, key).alias("__first"))
         )
-        chunks = Window.partitionBy(*self.keys).orderBy(CHUNK)
+        before = Window.unboundedPreceding, -1
+        up = Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(*before)
+        down = Window.partitionBy(*self.keys).orderBy(F.desc(CHUNK)).rowsBetween(*before)
         carried = ends.select(
             *self.keys,
             CHUNK,
-            F.last("__last", ignorenulls=True)
-            .over(chunks.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("__before"),
-            F.first("__first", ignorenulls=True)
-            .over(chunks.rowsBetween(1, Window.unboundedFollowing))
-            .alias("__after"),
+            F.last("__last", ignorenulls=True).over(up).alias("__before"),
+            F.last("__first", ignorenulls=True).over(down).alias("__after"),
         )
         out = left_join_small(out, materialise(carried, "carried"), [*self.keys, CHUNK])
         return out.withColumns(

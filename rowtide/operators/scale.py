@@ -47,8 +47,7 @@ def fit_gauss_rank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ranked = groups.scan(totals={"__m": F.count(F.lit(1))}, row_number="__r")
     factor = (F.col("__m") - 1) / 2.0 * BOUND
     s = ratio(F.col("__r") - 1, factor) - BOUND
-    clipped = F.when(s.isNotNull(), F.greatest(F.least(s, F.lit(BOUND)), F.lit(-BOUND)))
-    return ranked.select(_name(columns).alias("feature"), "value", clipped.alias("s"))
+    return ranked.select(_name(columns).alias("feature"), "value", _clipped(s).alias("s"))
 
 
 def gauss_rank(
@@ -58,17 +57,16 @@ def gauss_rank(
     used = knots.select("feature", F.col("value").alias("x"), F.col("s").alias("y"))
     few = _few_knots(used, columns)
     if few is not None:
-        clipped = lambda s: erfinv_array(np.clip(s, -BOUND, BOUND))
-        return _interpolate_broadcast(df, few, columns, finish=clipped)
-    return _interpolate_joined(
-        df,
-        used,
-        columns,
-        row_id,
-        lambda answers: answers.withColumn(
-            "y", F.greatest(F.least("y", F.lit(BOUND)), F.lit(-BOUND))
-        ).withColumn("y", erfinv(F.col("y"))),
-    )
+        return _interpolate_broadcast(df, few, columns, finish=_scored_array)
+    return _interpolate_joined(df, used, columns, row_id, _scored)
+
+
+def _clipped(s: Column) -> Column:
+    return F.when(s.isNotNull(), F.greatest(F.least(s, F.lit(BOUND)), F.lit(-BOUND)))
+
+
+def _scored(answers: DataFrame) -> DataFrame:
+    return answers.withColumn("y", _clipped(F.col("y"))).withColumn("y", erfinv(F.col("y")))
 
 
 def gauss_rank_inverse(
@@ -85,6 +83,10 @@ def gauss_rank_inverse(
     return _interpolate_joined(shares, used, columns, row_id, lambda answers: answers)
 
 
+def _scored_array(s: np.ndarray) -> np.ndarray:
+    return erfinv_array(np.clip(s, -BOUND, BOUND))
+
+
 def _few_knots(knots: DataFrame, columns: Sequence[str]) -> pd.DataFrame | None:
     """The knots themselves if there are few enough to ship to every task."""
     cap = limits(knots.sparkSession).broadcast_rows

@@ -83,6 +83,12 @@ def load_model(spec: TrainSpec, fold: int) -> Model:
     return kind.load(spec.model_path(fold))
 
 
+def store_folds(folded: DataFrame, path: str) -> DataFrame:
+    """Write the training table laid out by fold, so that a fold's rows are read alone."""
+    folded.write.mode("overwrite").partitionBy("fold").parquet(path)
+    return folded.sparkSession.read.schema(folded.schema).parquet(path)
+
+
 def _assembled(df: DataFrame, spec: TrainSpec) -> DataFrame:
     packer = VectorAssembler(inputCols=list(spec.features), outputCol="inputs", handleInvalid="error")
     return packer.transform(df)

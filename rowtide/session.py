@@ -3,6 +3,7 @@
 All sizes are plain session settings, so a job can change them without code:
 
 ``spark.rowtide.rowsPerChunk``   rows of one group that a single task may sort
+``spark.rowtide.cellsPerChunk``  the same bound as rows x columns, for wide rows
 ``spark.rowtide.maxChunks``      upper bound on the chunks of all split groups together
 ``spark.rowtide.broadcastRows``  largest table (in rows) that is broadcast
 """
@@ -21,6 +22,7 @@ _PRIVATE_DIR = "spark.rowtide.workDir"
 @dataclass(frozen=True)
 class Limits:
     rows_per_chunk: int
+    cells_per_chunk: int
     max_chunks: int
     broadcast_rows: int
 
@@ -29,6 +31,7 @@ def limits(spark: SparkSession) -> Limits:
     get = spark.conf.get
     return Limits(
         int(get("spark.rowtide.rowsPerChunk", "1000000")),
+        int(get("spark.rowtide.cellsPerChunk", "64000000")),
         int(get("spark.rowtide.maxChunks", "50000")),
         int(get("spark.rowtide.broadcastRows", "200000")),
     )
