@@ -67,10 +67,9 @@ def quantise(c: Column, digits: int = 2) -> Column:
 
 
 def filled(c: Column, fill: float = -1.0) -> Column:
-    """Missing and infinite values become ``fill`` (floating columns)."""
+    """Missing and infinite values become ``fill`` (floating columns); NaN sorts above infinity."""
     value = c.cast("double")
-    bad = value.isNull() | F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
-    return F.when(bad, F.lit(fill)).otherwise(value)
+    return F.when(F.abs(value) < F.lit(float("inf")), value).otherwise(F.lit(fill))
 
 
 def _rising(coefficients, x):

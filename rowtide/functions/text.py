@@ -17,6 +17,5 @@ def ratio(a: str, b: str) -> str:
 
 
 def filled(value: str, fill: float = -1.0) -> str:
-    """A floating value with missing and infinite replaced."""
-    bad = f"{value} IS NULL OR isnan({value}) OR abs({value}) = double('Infinity')"
-    return f"CASE WHEN {bad} THEN double({fill}) ELSE {value} END"
+    """A floating value with missing and infinite replaced; NaN sorts above infinity."""
+    return f"CASE WHEN abs({value}) < double('Infinity') THEN {value} ELSE double({fill}) END"

@@ -13,6 +13,7 @@ from rowtide.spec import PanelSpec
 
 RN = "__rn"
 N = "__n"
+MAX_COLUMNS = 10_000
 
 
 def with_ordinals(df: DataFrame, spec: PanelSpec, **totals: Column) -> DataFrame:
@@ -60,8 +61,22 @@ def with_time_ranks(df: DataFrame, spec: PanelSpec) -> DataFrame:
     ).drop("__tie_start", "__ties", "__untimed")
 
 
-def pivot_positions(df: DataFrame, spec: PanelSpec, columns: list[str], positions: int) -> DataFrame:
-    """One row per entity, one column ``{c}__TE{j}`` per column and reverse position j < positions."""
+def longest_history(df: DataFrame, spec: PanelSpec) -> int:
+    """Rows of the longest entity."""
+    return df.groupBy(spec.entity).count().agg(F.max("count")).first()[0] or 0
+
+
+def pivot_positions(
+    df: DataFrame, spec: PanelSpec, columns: list[str], positions: int | None = None
+) -> DataFrame:
+    """One row per entity, one column ``{c}__TE{j}`` per column and reverse position j.
+
+    Every position of the longest history gets a column, unless ``positions``
+    fixes their number.
+    """
+    positions = longest_history(df, spec) if positions is None else positions
+    if positions * len(columns) > MAX_COLUMNS:
+        raise ValueError(f"the pivot would have more than {MAX_COLUMNS} columns")
     ranked = with_time_ranks(df, spec)
     pivoted = position_columns(columns, positions)
     return ranked.groupBy(spec.entity).agg(*[F.expr(f"{e} AS {name(n)}") for n, e in pivoted.items()])

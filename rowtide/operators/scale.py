@@ -44,9 +44,11 @@ def fit_gauss_rank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Knots of every column; a constant column has a knot without a scaled rank."""
     distinct = _long(df, columns).distinct()
     groups = OrderedGroups(distinct, ["at"], ["value"], derived=True)
-    ranked = groups.scan(totals={"__m": F.count(F.lit(1))}, row_number="__r")
-    factor = (F.col("__m") - 1) / 2.0 * BOUND
-    s = ratio(F.col("__r") - 1, factor) - BOUND
+    # One count per column, so it can travel as literals instead of a second window.
+    sizes = {r["at"]: r["count"] for r in groups.df.groupBy("at").count().collect()}
+    size = F.get(F.array(*[F.lit(sizes.get(i, 0)).cast("long") for i in range(len(columns))]), F.col("at"))
+    ranked = groups.scan(row_number="__r")
+    s = ratio(F.col("__r") - 1, (size - 1) / 2.0 * BOUND) - BOUND
     return ranked.select(_name(columns).alias("feature"), "value", _clipped(s).alias("s"))
 
 

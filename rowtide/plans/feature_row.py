@@ -13,7 +13,6 @@ from rowtide.operators.positions import (
     with_ordinals,
     with_time_ranks,
 )
-from rowtide.session import tune_for_wide_rows
 from rowtide.spec import FeatureOptions, PanelSpec
 
 def quantised(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -54,7 +53,6 @@ def aggregate_blocks(df: DataFrame, spec: PanelSpec, options: FeatureOptions) ->
 
 def feature_row(df: DataFrame, spec: PanelSpec, options: FeatureOptions) -> DataFrame:
     """One row per entity: last values, aggregates, ratios; missing values filled."""
-    tune_for_wide_rows(df.sparkSession)
     rows = df.select(*spec.columns)
     if options.quantise:
         rows = quantised(rows, spec)

@@ -1,4 +1,4 @@
-"""Session settings: shared work folder, sizes that bound broadcasts, wide-row code generation.
+"""Session settings: shared work folder, sizes that bound chunks and broadcasts.
 
 All sizes are plain session settings, so a job can change them without code:
 
@@ -65,11 +65,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def tune_for_wide_rows(spark: SparkSession) -> None:
-    """Keep aggregates and projections of several hundred columns inside generated code."""
-    spark.conf.set("spark.sql.codegen.maxFields", "2000")
-
-
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Iterative trainers cut their lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

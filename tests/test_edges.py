@@ -11,7 +11,7 @@ from rowtide.operators import blocks
 from rowtide.operators.columns import drop_matching, fill_missing, narrow, require_parity
 from rowtide.operators.encode import apply_one_hot, fit_one_hot
 from rowtide.operators.metric import metric_components
-from rowtide.operators.positions import with_ordinals, with_time_ranks
+from rowtide.operators.positions import pivot_positions, with_ordinals, with_time_ranks
 from rowtide.operators.scale import fit_gauss_rank, fit_standard, gauss_rank, gauss_rank_inverse, standard_scale
 from rowtide.plans.feature_row import attach, feature_row
 from rowtide.sources.panel import read_panel, unify_missing, with_time
@@ -126,6 +126,15 @@ def test_time_ranks_with_ties(spark):
     assert got["gap", 1] == (1.0, 3, 0)
 
 
+def test_pivot_covers_the_longest_history(spark):
+    got = by_key(pivot_positions(panel(spark), SPEC, ["P_1"]))
+    assert [c for c in got["gap"] if "__TE" in c] == [f"P_1__TE{j}" for j in range(4)]
+    assert [got["gap"][f"P_1__TE{j}"] for j in range(4)] == [None, 3.0, 2.0, 1.0]
+    assert got["one"]["P_1__TE1"] is None
+    wide = feature_row(panel(spark), SPEC, FeatureOptions(positions=2))
+    assert by_key(wide)["gap"]["code__TE1"] == 3 and by_key(wide)["one"]["code__TE1"] == -1
+
+
 def test_text_categories_are_counted_exactly(spark):
     df = spark.createDataFrame(
         [("a", 1, "x'y"), ("a", 2, "z"), ("a", 3, "z"), ("b", 1, None), ("c", 1, "\\q")],

@@ -4,10 +4,11 @@ import re
 
 from conftest import SMALL
 
-from rowtide.catalog.features import RATIOS, WIDE
-from rowtide.catalog.fixtures import LINES, events, lines
+from rowtide.catalog.features import RATIOS, TREES, WIDE
+from rowtide.catalog.fixtures import LINES, ORDERS, events, labels, lines, orders
 from rowtide.operators.ordered import OrderedGroups
-from rowtide.plans.feature_row import feature_row
+from rowtide.operators.positions import pivot_positions
+from rowtide.plans.feature_row import attach, feature_row
 
 
 def plan(df) -> str:
@@ -46,3 +47,15 @@ def test_split_feature_row_has_no_python_and_no_cross_join(spark, conf):
     text = plan(feature_row(lines(spark, SMALL), LINES, WIDE))
     assert "Python" not in text and "NestedLoop" not in text and "Cartesian" not in text
     assert exchanges(text) == ["hashpartitioning", "hashpartitioning"]
+
+
+def test_pivot_shuffles_once(spark):
+    text = plan(pivot_positions(orders(spark, SMALL), ORDERS, ["o_totalprice"], 4))
+    assert exchanges(text) == ["hashpartitioning"] and text.count("Sort [") == 1
+
+
+def test_labels_join_without_moving_the_features_again(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    features = feature_row(orders(spark, SMALL), ORDERS, TREES)
+    text = plan(attach(features, labels(spark, SMALL), "o_custkey"))
+    assert exchanges(text) == ["hashpartitioning", "hashpartitioning"]  # panel, labels
