@@ -36,10 +36,10 @@ def running_weights(
     groups = OrderedGroups(rows, by, [-F.col(score), F.col(key)], derived=derived)
     return groups.scan(
         running={"cum_weight": F.col("weight"), "cum_pos": positives},
-        totals={
-            "total_weight": F.sum("weight"),
-            "n_pos": F.sum(positives),
-            "n_neg": F.count_if(F.col(target) == 0),
+        sums={
+            "total_weight": F.col("weight"),
+            "n_pos": positives,
+            "n_neg": (F.col(target) == 0).cast("long"),
         },
     )
 

@@ -39,14 +39,18 @@ def left_join_small(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> Dat
     return df.join(F.broadcast(renamed), on, "left").drop(*[f"__r_{k}" for k in keys])
 
 
-def _search(bounds: Column, key: Column) -> Column:
-    """Number of boundaries <= key, by binary search."""
-    steps = F.array(*[F.lit(2**i) for i in range(16, -1, -1)])
+def _with_chunk(df: DataFrame, order: Sequence[Column], longest: int) -> DataFrame:
+    """Number of boundaries <= the row's key, by binary search over at most ``longest`` of them.
 
-    def halve(low: Column, step: Column) -> Column:
-        return F.when(F.get(bounds, low + step - 1) <= key, low + step).otherwise(low)
-
-    return F.aggregate(steps, F.lit(0), halve)
+    One projection per halving keeps the search in generated code. Rows without
+    boundaries get chunk 0.
+    """
+    df = df.withColumns({"__key": F.struct(*order), CHUNK: F.lit(0)})
+    for i in reversed(range(longest.bit_length())):
+        ahead = F.col(CHUNK) + 2**i
+        reached = F.get("__bounds", ahead - 1) <= F.col("__key")
+        df = df.withColumn(CHUNK, F.when(reached, ahead).otherwise(F.col(CHUNK)))
+    return df.withColumn(SPLIT, F.col("__bounds").isNotNull()).drop("__bounds", "__key")
 
 
 class OrderedGroups:
@@ -83,21 +87,14 @@ class OrderedGroups:
         if rows <= chunk_rows:
             return
         bounds = self._bounds(max(chunk_rows, math.ceil(rows / lim.max_chunks)))
-        if bounds.isEmpty():
+        longest = bounds.agg(F.max(F.size("__bounds"))).first()[0]
+        if not longest:
             return
         if self.keys:
             df = left_join_small(self.df, bounds, self.keys)
         else:
             df = self.df.withColumn("__bounds", bounds.select("__bounds").scalar())
-        key = F.struct(*self.order)
-        self.df = df.withColumns(
-            {
-                CHUNK: F.when(F.col("__bounds").isNull(), F.lit(0)).otherwise(
-                    _search(F.col("__bounds"), key)
-                ),
-                SPLIT: F.col("__bounds").isNotNull(),
-            }
-        ).drop("__bounds")
+        self.df = _with_chunk(df, self.order, longest)
         self.is_split = True
 
     def _bounds(self, chunk_rows: int) -> DataFrame:
@@ -120,15 +117,17 @@ class OrderedGroups:
     def scan(
         self,
         running: Mapping[str, Column] | None = None,
+        sums: Mapping[str, Column] | None = None,
         totals: Mapping[str, Column] | None = None,
         row_number: str | None = None,
     ) -> DataFrame:
-        """Rows plus inclusive running sums, group aggregates and a 1-based position.
+        """Rows plus inclusive running sums, group sums and aggregates, and a 1-based position.
 
-        ``running`` maps names to expressions that are summed; ``totals`` maps
-        names to aggregate expressions over the whole group.
+        ``running`` and ``sums`` map names to expressions that are summed;
+        ``totals`` maps names to any aggregate over the whole group, which costs
+        split groups one more pass, so sums belong into ``sums``.
         """
-        running, totals = dict(running or {}), dict(totals or {})
+        running, sums, totals = dict(running or {}), dict(sums or {}), dict(totals or {})
         ordered = Window.partitionBy(*self.part).orderBy(*self.order)
         so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         whole = Window.partitionBy(*self.part)
@@ -136,51 +135,64 @@ class OrderedGroups:
         if row_number:
             cols[row_number] = F.row_number().over(ordered).cast("long")
             running[row_number] = F.lit(1).cast("long")
-        cols |= {name: agg.over(whole) for name, agg in totals.items()}
-        out = self.df.withColumns(cols)
         if not self.is_split:
-            return out
+            cols |= {name: F.sum(e).over(whole) for name, e in sums.items()}
+            return self.df.withColumns(cols | {name: agg.over(whole) for name, agg in totals.items()})
 
+        if self.keys:  # groups that were not cut; without keys there is only the one that was
+            cols |= {name: F.sum(e).over(whole) for name, e in sums.items()}
+            cols |= {name: agg.over(whole) for name, agg in totals.items()}
+        out = self.df.withColumns(cols)
         hot = self.df.filter(SPLIT)
-        if running:
-            names = list(running)
-            per_chunk = hot.groupBy(*self.keys, CHUNK).agg(
-                *[F.sum(e).alias(f"__off_{n}") for n, e in running.items()]
-            )
-            before = (
-                Window.partitionBy(*self.keys)
-                .orderBy(CHUNK)
-                .rowsBetween(Window.unboundedPreceding, -1)
-            )
-            offsets = materialise(
-                per_chunk.withColumns({f"__off_{n}": F.sum(f"__off_{n}").over(before) for n in names}),
-                "offsets",
-            )
-            out = left_join_small(out, offsets, [*self.keys, CHUNK])
-            out = out.withColumns(
-                {
-                    n: F.when(F.col(f"__off_{n}").isNull(), F.col(n)).otherwise(
-                        F.coalesce(F.col(n), F.lit(0)) + F.col(f"__off_{n}")
-                    )
-                    for n in names
-                }
-            ).drop(*[f"__off_{n}" for n in names])
+        if running or sums:
+            out = self._with_chunk_sums(out, hot, running, sums)
         if totals:
-            out = self._with_hot_totals(out, hot, totals)
+            table = hot.groupBy(*self.keys).agg(*[a.alias(f"__tot_{n}") for n, a in totals.items()])
+            table = materialise(table, "totals")
+            if self.keys:
+                out = left_join_small(out, table, self.keys)
+            else:
+                out = out.withColumns({c: table.select(c).scalar() for c in table.columns})
+            out = self._settled(out, totals)
         return out
 
-    def _with_hot_totals(
-        self, out: DataFrame, hot: DataFrame, totals: Mapping[str, Column]
+    def _with_chunk_sums(
+        self,
+        out: DataFrame,
+        hot: DataFrame,
+        running: Mapping[str, Column],
+        sums: Mapping[str, Column],
     ) -> DataFrame:
-        table = hot.groupBy(*self.keys).agg(*[a.alias(f"__tot_{n}") for n, a in totals.items()])
-        table = materialise(table, "totals")
+        """Add what earlier chunks hold to running sums, and replace group sums of cut groups."""
+        per_chunk = hot.groupBy(*self.keys, CHUNK).agg(
+            *[F.sum(e).alias(f"__off_{n}") for n, e in running.items()],
+            *[F.sum(e).alias(f"__tot_{n}") for n, e in sums.items()],
+        )
+        group = Window.partitionBy(*self.keys)
+        before = group.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        table = per_chunk.withColumns(
+            {f"__off_{n}": F.sum(f"__off_{n}").over(before) for n in running}
+            | {f"__tot_{n}": F.sum(f"__tot_{n}").over(group) for n in sums}
+        )
+        out = left_join_small(out, materialise(table, "offsets"), [*self.keys, CHUNK])
+        carried = {
+            n: F.when(F.col(f"__off_{n}").isNull(), F.col(n)).otherwise(
+                F.coalesce(F.col(n), F.lit(0)) + F.col(f"__off_{n}")
+            )
+            for n in running
+        }
+        out = out.withColumns(carried) if carried else out
+        return self._settled(out.drop(*[f"__off_{n}" for n in running]), sums)
+
+    def _settled(self, out: DataFrame, names: Mapping[str, Column]) -> DataFrame:
+        """Group values of cut groups come from their table, the others from the window."""
+        if not names:
+            return out
         if self.keys:
-            out = left_join_small(out, table, self.keys)
-            whole = {n: F.col(f"__tot_{n}") for n in totals}
+            chosen = {n: F.when(F.col(SPLIT), F.col(f"__tot_{n}")).otherwise(F.col(n)) for n in names}
         else:
-            whole = {n: table.select(f"__tot_{n}").scalar() for n in totals}
-        out = out.withColumns({n: F.when(F.col(SPLIT), w).otherwise(F.col(n)) for n, w in whole.items()})
-        return out.drop(*[f"__tot_{n}" for n in totals])
+            chosen = {n: F.col(f"__tot_{n}") for n in names}
+        return out.withColumns(chosen).drop(*[f"__tot_{n}" for n in names])
 
     def neighbours(self, value: Column, previous: str, following: str) -> DataFrame:
         """Nearest non-NULL ``value`` at or before, and at or after, each row."""

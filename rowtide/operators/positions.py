@@ -19,7 +19,7 @@ MAX_COLUMNS = 10_000
 def with_ordinals(df: DataFrame, spec: PanelSpec, **totals: Column) -> DataFrame:
     """Add the 1-based position, the entity's row count, and any further entity aggregates."""
     groups = OrderedGroups(df, [spec.entity], spec.order)
-    return groups.scan(totals={N: F.count(F.lit(1)), **totals}, row_number=RN)
+    return groups.scan(sums={N: F.lit(1).cast("long")}, totals=totals, row_number=RN)
 
 
 def with_time_ranks(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -30,11 +30,8 @@ def with_time_ranks(df: DataFrame, spec: PanelSpec) -> DataFrame:
     entity, time = spec.entity, spec.time
     groups = OrderedGroups(df, [entity], spec.order)
     ranked = groups.scan(
-        totals={
-            N: F.count(F.lit(1)),
-            "max_time": F.max(time),
-            "__untimed": F.count_if(F.col(time).isNull()),
-        },
+        sums={N: F.lit(1).cast("long"), "__untimed": F.col(time).isNull().cast("long")},
+        totals={"max_time": F.max(time)},
         row_number=RN,
     )
     if groups.is_split:

@@ -23,7 +23,7 @@ def _value_ranks(df: DataFrame, keys: Sequence[str], value: str, share: str, of:
     counted = F.when(F.col(value).isNotNull(), F.col("__ties")).otherwise(0)
     ranked = groups.scan(
         running={"__upto": counted},
-        totals={"__valued": F.sum(counted), "__rows": F.sum("__ties")},
+        sums={"__valued": counted, "__rows": F.col("__ties")},
     )
     rank = F.col("__upto") - (F.col("__ties") - 1) / 2.0
     return ranked.filter(F.col(value).isNotNull()).select(

@@ -24,12 +24,16 @@ def test_scan_and_neighbours_equal_plain_windows(spark, conf, keys):
     groups = OrderedGroups(df, keys, ["t", "id"])
     assert groups.is_split
     got = groups.scan(
-        running={"s": F.coalesce("v", F.lit(0))}, totals={"n": F.count("v")}, row_number="rn"
-    ).select("id", "s", "n", "rn")
+        running={"s": F.coalesce("v", F.lit(0))},
+        sums={"all": F.col("id")},
+        totals={"n": F.count("v")},
+        row_number="rn",
+    ).select("id", "s", "all", "n", "rn")
     w = Window.partitionBy(*keys).orderBy("t", "id")
     want = df.select(
         "id",
         F.sum(F.coalesce("v", F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"),
+        F.sum("id").over(Window.partitionBy(*keys)).alias("all"),
         F.count("v").over(Window.partitionBy(*keys)).alias("n"),
         F.row_number().over(w).cast("long").alias("rn"),
     )
