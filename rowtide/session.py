@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,20 @@ def work_dir(spark: SparkSession) -> str:
     return named
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once; needed before any Python function runs there."""
+    context = spark.sparkContext
+    if getattr(context, "_rowtide_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="rowtide-")) / "rowtide-package.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._rowtide_shipped = True
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
