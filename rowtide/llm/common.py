@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.session import ship
+
 # ASCII white space as the word contracts state it.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -47,7 +49,12 @@ def by_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None
                 if out is not None and out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
+
+
+def in_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
