@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowtide.llm import mixing
+from rowtide.llm import flatscan, hamming, htmltext, mixing, packing, quality, secrets, tokenfile
 from rowtide.llm.common import table
 
 QUERIES = {}
@@ -20,3 +22,59 @@ def query(fn):
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_boiler_words"
+    )
+
+
+@query
+def op7_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest codes of every row whose id is divisible by 50."""
+    return hamming.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=10)
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as flat files, scanned for their ends; doc_id comes back by order."""
+    folder, order = flatscan.write_flat(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), spaced=True, separator=50256
+    )
+    files = flatscan.listed(spark, folder)
+    counted = flatscan.count_tokens(files, separator=50256)
+    name = "substring_index(file, '/', -1) AS name"  # addresses of one file may be spelt differently
+    return (
+        order.selectExpr("doc_id", "ordinal", name)
+        .join(counted.selectExpr("*", name), ["name", "ordinal"])
+        .select("doc_id", "start", "n_tokens", "terminated")
+    )
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokenfile.write(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), spaced=False, end_id=2
+    )
+    return tokenfile.read(manifest)
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", secrets.spans().alias("spans"), "n_live", "n_examples"
+    )
