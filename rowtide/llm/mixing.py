@@ -33,6 +33,7 @@ from rowtide.session import materialise
 STEPS = 60  # Newton steps at most; the bracket halves at least every other step
 CLOSE = 1e-7  # of a source's target
 REPAIRS = 8
+FILES = 8  # of tables with a row per source
 
 
 def sized(docs: DataFrame, *carry: str) -> DataFrame:
@@ -87,9 +88,8 @@ def balance(classes: DataFrame, goal: DataFrame, most: int = 3) -> DataFrame:
     exact = "decimal(38,9)"
     mean = F.col("total") / F.col("n")
     for _ in range(STEPS):
-        state = materialise(state, "mix-state")
         seen = classes.join(state.withColumnRenamed("n", "docs"), "key").withColumn(
-            "x", F.when(F.col("total") > 0, F.col("size") * F.col("docs") / F.col("total")).otherwise(0.0)
+            "x", F.coalesce(F.try_divide(F.col("size") * F.col("docs"), "total"), F.lit(0.0))
         )
         w = _rate(most)
         sums = seen.groupBy("key").agg(
@@ -98,7 +98,7 @@ def balance(classes: DataFrame, goal: DataFrame, most: int = 3) -> DataFrame:
         )
         gap = F.col("have") - F.col("want")
         done = (F.abs(gap) <= CLOSE * F.col("want")) | (F.col("target") >= most * F.col("total"))
-        judged = state.join(sums, "key").withColumn("want", F.coalesce(F.col("target") / mean, F.lit(0.0)))
+        judged = state.join(sums, "key").withColumn("want", F.coalesce(F.try_divide("target", mean), F.lit(0.0)))
         judged = judged.withColumn("done", done | (F.col("total") == 0))
         judged = judged.withColumn("hi", F.when(gap > 0, F.col("l")).otherwise(F.col("hi"))).withColumn(
             "lo", F.when(gap <= 0, F.col("l")).otherwise(F.col("lo"))
@@ -112,7 +112,8 @@ def balance(classes: DataFrame, goal: DataFrame, most: int = 3) -> DataFrame:
             .otherwise(F.when(gap > 0, F.col("l") - far).otherwise(F.col("l") + far))
         )
         state = judged.withColumn("l", F.when(F.col("done"), F.col("l")).otherwise(safe))
-        state = materialise(state.select(*goal.columns, "l", "lo", "hi", "done"), "mix-step")
+        # A row per source: few files keep the step as small as its work.
+        state = materialise(state.select(*goal.columns, "l", "lo", "hi", "done").coalesce(FILES), "mix-step")
         if state.filter(~F.col("done")).isEmpty():
             break
         state = state.drop("done")
@@ -122,7 +123,7 @@ def balance(classes: DataFrame, goal: DataFrame, most: int = 3) -> DataFrame:
 def class_copies(classes: DataFrame, balanced: DataFrame, most: int = 3) -> DataFrame:
     """Whole copies of each (source, size) class; a source's classes are its different sizes."""
     seen = classes.join(balanced.withColumnRenamed("n", "docs"), "key").withColumn(
-        "x", F.when(F.col("total") > 0, F.col("size") * F.col("docs") / F.col("total")).otherwise(0.0)
+        "x", F.coalesce(F.try_divide(F.col("size") * F.col("docs"), "total"), F.lit(0.0))
     )
     down = Window.partitionBy("key").orderBy(F.desc("size"))
     run = F.round(F.sum(F.col("n") * _rate(most)).over(down.rowsBetween(Window.unboundedPreceding, 0)))
@@ -156,7 +157,7 @@ def mix(docs: DataFrame, *carry: str, most: int = 3, weights: tuple[int, ...] =
         F.sum("size").cast("double").alias("total"),
         F.count("*").alias("n"),
     )
-    goal = materialise(targets(totals, most, weights), "mix-targets")
+    goal = materialise(targets(totals, most, weights).coalesce(FILES), "mix-targets")
     dealt = class_copies(classes, balance(classes, goal, most), most)
     parts = buckets(small.count(), 100_000, 1024)
     part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).alias("part")
