@@ -73,12 +73,23 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write once to the shared folder; the table as read back, and its folder for ``discard``."""
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
+    return stored(df, label)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a stored table that nothing will read again."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
