@@ -61,8 +61,9 @@ def bitmaps(sets: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(bitmap words per set, spare tokens per set); ``bits`` is a power of two of 64 or more."""
     words = np.zeros((len(sets), bits // 64), np.uint64)
     for i, s in enumerate(sets):
-        at = (s & np.uint64(bits - 1)).astype(np.int64)
-        np.bitwise_or.at(words[i], at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        has = np.zeros(bits, bool)
+        has[(s & np.uint64(bits - 1)).astype(np.int64)] = True
+        words[i] = np.packbits(has).view(np.uint64)
     used = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
     return words, np.array([len(s) for s in sets], np.int64) - used
 
@@ -148,17 +149,20 @@ def join(sets: list[np.ndarray], num: int, den: int, union: Union | None = None)
     links = []
     if n < 2:
         return links
+    tested = set()
     order = np.array(sorted(range(n), key=lambda i: (len(sets[i]), sets[i][0] if len(sets[i]) else 0)))
 
     def verify(i: int, j: int) -> None:
-        if union.find(i) != union.find(j) and linked(sets[i], sets[j], num, den):
-            union.join(i, j)
-            links.append((i, j))
+        if (i, j) not in tested and union.find(i) != union.find(j):
+            tested.update(((i, j), (j, i)))
+            if linked(sets[i], sets[j], num, den):
+                union.join(i, j)
+                links.append((i, j))
 
     for i, j in zip(order, order[1:], strict=False):  # neighbours first: near copies connect before the traversal
         verify(int(i), int(j))
     groups = union.roots()
-    if (groups == groups[0]).all():
+    if n == 2 or (groups == groups[0]).all():
         return links
     ordered = [sets[i] for i in order]
     tree = Tree(ordered, width(max(map(len, sets))))

@@ -61,9 +61,8 @@ def shingle_sets(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     out, counts = [], np.zeros(len(raw), np.int64)
     n = len(words)
     rolled = words.copy()
-    with np.errstate(over="ignore"):
-        for step in range(1, size):
-            rolled[: n - step] = mixed(rolled[: n - step] * _STEP + words[step:])
+    for step in range(1, size if n >= size else 1):
+        rolled[: n - step] = mixed(rolled[: n - step] * _STEP + words[step:])
     for i in range(len(raw)):
         a, b = first[i], first[i + 1]
         if b - a >= size:
