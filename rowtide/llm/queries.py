@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import flatscan, hamming, htmltext, mixing, packing, quality, secrets, tokenfile
+from rowtide.llm import flatscan, hamming, htmltext, jaccard, mixing, packing, quality, repeats, secrets, tokenfile
 from rowtide.llm.common import table
 
 QUERIES = {}
@@ -18,6 +18,17 @@ def query(fn):
     return fn
 
 
+@query
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stripped = repeats.strip_repeats(table(spark, sf_dir, "documents"), length=100)
+    return stripped.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
