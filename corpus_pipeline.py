@@ -2,14 +2,62 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rowtide.llm import jaccard, mixing, packing, quality, secrets
+from rowtide.session import materialise
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go; boilerplate lines go from the others."""
+    return quality.keep(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: five-word shingles, similarity of 0.8 or more."""
+    return jaccard.keep_one(docs, words=5, percent=80)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by their kind."""
+    return secrets.redact(docs)
+
+
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document is there as often as the mix takes it."""
+    mixed = mixing.mix(docs, *docs.columns)
+    copies = mixed.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return copies.select("row.*")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 ids."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("secret_scans", secret_scans),
+    ("mixing", mixing_sources),
+    ("packing", pack),
+]
 
-STAGES = []
+# Tokenization and Newton steps are beyond SQL; tests/llm/test_pipeline.py has the brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each stage's result is stored in the shared folder for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = materialise(docs, f"stage-{name}")
     return docs
