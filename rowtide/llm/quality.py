@@ -35,9 +35,8 @@ from rowtide.llm.common import WORD, by_batch, key_of, pick, texts
 from rowtide.session import materialise
 
 _WORDS = re.compile(WORD)
-_SYMBOLS = re.compile(r"[#*$%&|<>]")
-_DIGITS = re.compile(r"[0-9]+")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+_SYMBOLS = "#*$%&|<>"
+_DIGITS = re.compile(rb"[0-9]+")
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SCAN = (
     "doc_id bigint, host string, content binary, n_words bigint, word_chars bigint, n_symbols bigint, "
@@ -68,42 +67,36 @@ def repeat_words(words: list[str], size: int = 3) -> int:
     return int(covered.sum())
 
 
-def normal_line(line: str) -> str:
-    return _DIGITS.sub("0", " ".join(_WORDS.findall(line.translate(_LOWER))))
+def normal_line(words: list[str]) -> bytes:
+    return _DIGITS.sub(b"0", " ".join(words).encode("utf-8", "surrogatepass").lower())  # bytes lower A-Z only
 
 
-def line_hash(normal: str) -> str:
-    return hashlib.md5(normal.encode("utf-8", "surrogatepass"), usedforsecurity=False).hexdigest()[:16]
+def line_hash(words: list[str]) -> str:
+    return hashlib.md5(normal_line(words), usedforsecurity=False).hexdigest()[:16]
 
 
-def measures(text: str) -> tuple[int, int, int, int, int]:
-    words = _WORDS.findall(text)
-    lines = [line for line in text.split("\n") if _WORDS.search(line)]
-    return (
-        len(words),
-        sum(map(len, words)),
-        len(_SYMBOLS.findall(text)),
-        len(lines) - len(set(lines)),
-        repeat_words(words),
+def measures(text: str) -> tuple[tuple[int, int, int, int, int], list[tuple[str, int]]]:
+    """The base measures, and (hash, words) of each line that has a word."""
+    lines = [(line, words) for line in text.split("\n") if (words := _WORDS.findall(line))]
+    all_words = [w for _, words in lines for w in words]
+    base = (
+        len(all_words),
+        sum(map(len, all_words)),
+        sum(map(text.count, _SYMBOLS)),
+        len(lines) - len({line for line, _ in lines}),
+        repeat_words(all_words),
     )
-
-
-def hashed_lines(text: str) -> list[tuple[str, int]]:
-    """(hash, words) of each line that has a word."""
-    out = []
-    for line in text.split("\n"):
-        if normal := normal_line(line):
-            out.append((line_hash(normal), normal.count(" ") + 1))
-    return out
+    return base, [(line_hash(words), len(words)) for _, words in lines]
 
 
 def _scan(batch: pa.RecordBatch) -> pa.RecordBatch:
     cols = {name: [] for name in ("content", *_BASE, "lines")}
     for text in texts(batch):
         cols["content"].append(hashlib.md5(text.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest())
-        for name, value in zip(_BASE, measures(text), strict=True):
+        base, lines = measures(text)
+        for name, value in zip(_BASE, base, strict=True):
             cols[name].append(value)
-        cols["lines"].append([{"line": h, "words": w} for h, w in hashed_lines(text)])
+        cols["lines"].append([{"line": h, "words": w} for h, w in lines])
     kinds = {"content": pa.binary(), "lines": _LINES}
     data = [pa.array(v, kinds.get(k, pa.int64())) for k, v in cols.items()]
     return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), *data], names=["doc_id", "host", *cols])
@@ -163,9 +156,8 @@ def _clean(batch: pa.RecordBatch) -> pa.RecordBatch:
     for text, boiler in zip(batch.column("text").to_pylist(), batch.column("__boiler").to_pylist(), strict=True):
         if text and boiler:
             drop = set(boiler)
-            lines = text.split("\n")
-            normals = [normal_line(line) for line in lines]
-            text = "\n".join(x for x, n in zip(lines, normals, strict=True) if not n or line_hash(n) not in drop)
+            lines = [(line, _WORDS.findall(line)) for line in text.split("\n")]
+            text = "\n".join(line for line, words in lines if not words or line_hash(words) not in drop)
         out.append(text)
     names = batch.schema.names
     batch = batch.set_column(names.index("text"), "text", pa.array(out, pa.string()))
