@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from rowtide.llm import flatscan, hamming, htmltext, jaccard, mixing, packing, quality, repeats, secrets, tokenfile
 from rowtide.llm.common import table
+from rowtide.llm.sql import ORACLES  # noqa: F401
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn):

@@ -1,0 +1,63 @@
+"""The pipeline, stage by stage, against plain Python."""
+
+from collections import Counter, defaultdict
+
+import public_tokenizers
+from small import documents, rows_of
+from test_jaccard import brute
+from test_mixing import check
+from test_quality import judged
+from test_secrets import base
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from rowtide.llm import mixing
+from rowtide.llm.secrets import candidates
+from rowtide.session import materialise
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages(spark):
+    docs = documents(spark, 200, extra=False)
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, materialise(stage(spark, docs, ""), "test-stage")
+        kept[name] = rows_of(docs)
+        if name != "packing":
+            assert docs.columns == before.columns == COLUMNS
+        if name == "quality_rules":
+            rows = rows_of(before)
+            want = judged([(r["doc_id"], r["source"], r["text"]) for r in rows])
+            assert Counter(r["doc_id"] for r in kept[name]) == Counter(d for d, k, _ in want if k)
+        elif name == "near_duplicates":
+            component, _ = brute([(r["doc_id"], r["text"]) for r in rows_of(before)], 5, 80)
+            assert sorted(r["doc_id"] for r in kept[name]) == sorted({c for c in component.values()})
+            assert len(kept[name]) < before.count()
+        elif name == "secret_scans":
+            texts = {r["doc_id"]: r["text"] for r in rows_of(before)}
+            assert any(base(t) for t in texts.values())
+            for r in kept[name]:
+                assert not base(r["text"]) and r["n_chars"] == len(r["text"])
+                assert candidates(texts[r["doc_id"]]) or r["text"] == texts[r["doc_id"]]
+            assert {r["doc_id"] for r in kept[name]} == set(texts)
+        elif name == "mixing":
+            mixed = rows_of(mixing.mix(before))
+            check(mixed)
+            assert Counter(r["doc_id"] for r in kept[name]) == Counter({r["doc_id"]: r["copies"] for r in mixed if r["copies"]})
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    whole.encode_special_tokens = True
+    tokens = sum(len(whole.encode(r["text"], add_special_tokens=False).ids) + 1 for r in kept["mixing"])
+    assert sum(p["length"] for p in kept["packing"]) == tokens
+    sequences = defaultdict(list)
+    for p in kept["packing"]:
+        sequences[p["sequence_id"]].append((p["offset"], p["length"]))
+    for held in sequences.values():
+        held.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(held, held[1:], strict=False)) and held[0][0] == 0
+        assert sum(n for _, n in held) <= 1024
+
+
+def test_run_gives_the_last_stage(spark):
+    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(got.columns) and got.count() > 0
