@@ -92,16 +92,22 @@ def _erfinv_sql(x: str) -> str:
 
 
 _EVENT_KNOTS = _knots_sql("value", EVENTS_SQL)
-_BETWEEN = (
-    "SELECT q.event_id, q.value AS x, lo.value AS x0, lo.s AS y0, hi.value AS x1, hi.s AS y1 "
-    "FROM events q "
-    f"ASOF LEFT JOIN ({_EVENT_KNOTS}) lo ON q.value >= lo.value "
-    f"ASOF LEFT JOIN ({_EVENT_KNOTS}) hi ON q.value <= hi.value"
-)
-_EVENT_SCALED = (
-    f"SELECT event_id, x, CASE WHEN x0 IS NULL THEN -{BOUND!r} WHEN x1 IS NULL THEN {BOUND!r} "
-    f"WHEN x0 = x1 THEN y0 ELSE y0 + (x - x0) * ((y1 - y0) / (x1 - x0)) END::DOUBLE AS s FROM ({_BETWEEN})"
-)
+
+
+def _scaled_sql(queries: str, knots: str) -> str:
+    """Interpolated rank of each ``value`` of ``queries`` (event_id, value); no value, no rank."""
+    between = (
+        "SELECT q.event_id, q.value AS x, lo.value AS x0, lo.s AS y0, hi.value AS x1, hi.s AS y1 "
+        f"FROM ({queries}) q ASOF LEFT JOIN ({knots}) lo ON q.value >= lo.value "
+        f"ASOF LEFT JOIN ({knots}) hi ON q.value <= hi.value"
+    )
+    return (
+        f"SELECT event_id, x, CASE WHEN x IS NULL THEN NULL WHEN x0 IS NULL THEN -{BOUND!r} WHEN x1 IS NULL THEN {BOUND!r} "
+        f"WHEN x0 = x1 THEN y0 ELSE y0 + (x - x0) * ((y1 - y0) / (x1 - x0)) END::DOUBLE AS s FROM ({between})"
+    )
+
+
+_EVENT_SCALED = _scaled_sql("SELECT event_id, value FROM events", _EVENT_KNOTS)
 
 
 def _fitted(spark, sf_dir):
@@ -115,6 +121,56 @@ def gauss_rank_rows(spark, sf_dir):
     return rounded(gauss_rank(df, _fitted(spark, sf_dir), ["value"], ["event_id"]), 9)
 
 
+# NaN, both infinities, and values beyond the outer knots.
+_EDGES = (
+    "CASE event_id % 13 WHEN 0 THEN {nan} WHEN 1 THEN {inf} WHEN 2 THEN -{inf} WHEN 3 THEN -5.0 - event_id "
+    "WHEN 4 THEN 1e9 + event_id ELSE value END"
+)
+_SPARK_EDGES = _EDGES.format(nan="double('NaN')", inf="double('Infinity')")
+_SQL_EDGES = _EDGES.format(nan="NULL::DOUBLE", inf="NULL::DOUBLE")
+_EDGE_ROWS = f"SELECT event_id, {_SQL_EDGES} AS value FROM events"
+_EDGE_KNOTS = _knots_sql("value", f"SELECT {_SQL_EDGES} AS value FROM events WHERE event_id % 3 != 0")
+
+
+@query(
+    "gauss_rank_edges",
+    f"SELECT event_id, round({_erfinv_sql('s')}, 9) AS value FROM ({_scaled_sql(_EDGE_ROWS, _EDGE_KNOTS)})",
+)
+def gauss_rank_edges(spark, sf_dir):
+    """Missing and infinite values have no score and are no knots."""
+    df = table(spark, sf_dir, "events").selectExpr("event_id", f"{_SPARK_EDGES} AS value")
+    knots = materialise(fit_gauss_rank(df.filter("event_id % 3 != 0"), ["value"]), "knots")
+    return rounded(gauss_rank(df, knots, ["value"], ["event_id"]), 9)
+
+
+_SCALED_MANY = {"value": "value", "half": "value / 2 + event_id % 7", "root": "sqrt(value)"}
+_MANY_SQL = "SELECT event_id, " + ", ".join(f"{e} AS {n}" for n, e in _SCALED_MANY.items()) + " FROM ({})"
+
+
+@query(
+    "gauss_rank_many",
+    "SELECT event_id, "
+    + ", ".join(f"round({_erfinv_sql(f'{n}_s')}, 9) AS {n}" for n in _SCALED_MANY)
+    + " FROM "
+    + " JOIN ".join(
+        "(SELECT event_id, s AS {n}_s FROM ({sql})) t_{n}".format(
+            n=n,
+            sql=_scaled_sql(
+                f"SELECT event_id, {n} AS value FROM ({_MANY_SQL.format('SELECT * FROM events')})",
+                _knots_sql("value", f"SELECT {n} AS value FROM ({_MANY_SQL.format(EVENTS_SQL)})"),
+            ),
+        )
+        + (" USING (event_id)" if i else "")
+        for i, n in enumerate(_SCALED_MANY)
+    ),
+)
+def gauss_rank_many(spark, sf_dir):
+    shown = ["event_id", *[f"{e} AS {n}" for n, e in _SCALED_MANY.items()]]
+    knots = materialise(fit_gauss_rank(events(spark, sf_dir).selectExpr(*shown), list(_SCALED_MANY)), "knots")
+    df = table(spark, sf_dir, "events").selectExpr(*shown)
+    return rounded(gauss_rank(df, knots, list(_SCALED_MANY), ["event_id"]), 9)
+
+
 @query(
     "gauss_rank_inverse",
     f"WITH k AS ({_EVENT_KNOTS}), edge AS (SELECT min(value) AS low, "

@@ -20,7 +20,7 @@ def _weights_sql(source: str, by: str = "") -> str:
         "sum(weight) OVER g AS total_weight, sum(target) OVER g AS n_pos, "
         "sum(1 - target) OVER g AS n_neg FROM "
         f"(SELECT *, CASE target WHEN 0 THEN 20 ELSE 1 END AS weight FROM ({source})) "
-        f"WINDOW o AS ({part} ORDER BY score DESC, event_id ROWS UNBOUNDED PRECEDING), g AS ({part})"
+        f"WINDOW o AS ({part} ORDER BY score DESC NULLS LAST, event_id ROWS UNBOUNDED PRECEDING), g AS ({part})"
     )
 
 
@@ -49,6 +49,23 @@ def metric(spark, sf_dir):
     return _rounded_components(metric_components(scored(spark, sf_dir), "target", "score", "event_id"))
 
 
+_HOLES_SQL = (
+    "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE score END AS score, "
+    f"CASE WHEN event_id % 11 = 0 THEN NULL ELSE target END AS target FROM ({SCORED_SQL})"
+)
+
+
+@query("metric_missing", _components_sql(f"SELECT * FROM ({_HOLES_SQL}) WHERE target IS NOT NULL"))
+def metric_missing(spark, sf_dir):
+    """Rows without a score (NULL or NaN) come last; rows without a label take no part."""
+    df = scored(spark, sf_dir).selectExpr(
+        "event_id",
+        "CASE WHEN event_id % 14 = 0 THEN double('NaN') WHEN event_id % 7 != 0 THEN score END AS score",
+        "CASE WHEN event_id % 11 != 0 THEN target END AS target",
+    )
+    return _rounded_components(metric_components(df, "target", "score", "event_id"))
+
+
 @query("metric_by_fold", _components_sql(_FOLDED, "fold"))
 def metric_by_fold(spark, sf_dir):
     folded = stratified_folds(scored(spark, sf_dir), "event_id", "target")

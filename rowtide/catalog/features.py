@@ -261,7 +261,7 @@ def quantise_rows(spark, sf_dir):
 @query(
     "narrow",
     "SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, CAST(l_partkey AS INT) AS part, "
-    "TRY_CAST(l_orderkey * 1000000 AS INT) AS big, "
+    "l_orderkey * 1000000 AS big, "
     "CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE) AS price FROM lineitem",
 )
 def narrow_rows(spark, sf_dir):
@@ -322,6 +322,17 @@ def feature_row_orders(spark, sf_dir):
     return as_doubles(labelled, "o_custkey")
 
 
+@query(
+    "narrow_feature_row",
+    "SELECT o_custkey, round(CAST(CAST(coalesce(COLUMNS(* EXCLUDE (o_custkey)), -1) AS FLOAT) AS DOUBLE), 4) "
+    f"FROM ({feature_sql(ORDERS, TREES)})",
+)
+def narrow_feature_row(spark, sf_dir):
+    """The default preset: filled first, then narrowed where all values fit."""
+    options = FeatureOptions.for_trees(ORDERS, pct_changes=(1,))
+    return as_doubles(feature_row(orders(spark, sf_dir), ORDERS, options), "o_custkey", 4)
+
+
 @query("feature_row_wide", filled_sql(feature_sql(LINES, WIDE), "l_suppkey"))
 def feature_row_wide(spark, sf_dir):
     return as_doubles(feature_row(lines(spark, sf_dir), LINES, WIDE), "l_suppkey")

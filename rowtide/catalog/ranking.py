@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from rowtide.catalog import query
 from rowtide.catalog.fixtures import EVENTS_SQL, ORDERS, ORDERS_SQL, events, orders, rounded
 from rowtide.operators.columns import drop_matching
@@ -92,34 +94,72 @@ def reverse_position(spark, sf_dir):
     )
 
 
-POSITIONS = 32
 _PIVOTED = ["o_totalprice", "status"]
 
 
+def _pivot_sql(columns, where: str = "TRUE") -> str:
+    """The pivot by row: a name for each position that the data holds."""
+    parts = [
+        f"SELECT o_custkey, '{c}__TE' || CAST(trunc(size - time_rank) AS INT) AS name, "
+        f"CAST(arg_max({c}, cumcount) AS DOUBLE) AS value FROM ({_POSITIONED}) "
+        f"WHERE {where} GROUP BY o_custkey, trunc(size - time_rank)"
+        for c in columns
+    ]
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE value IS NOT NULL"
+
+
+def _by_row(wide):
+    """Columns come from the data, so they are compared by name and row."""
+    columns = wide.columns[1:]
+    doubles = wide.select("o_custkey", *[wide[f"`{c}`"].cast("double").alias(c) for c in columns])
+    return doubles.unpivot("o_custkey", columns, "name", "value").filter("value IS NOT NULL")
+
+
+@query("pivot_positions", _pivot_sql(_PIVOTED))
+def pivot(spark, sf_dir):
+    return _by_row(pivot_positions(orders(spark, sf_dir), ORDERS, _PIVOTED))
+
+
+@query("drop_old_positions", _pivot_sql(["status"], "trunc(size - time_rank) NOT BETWEEN 7 AND 11"))
+def drop_old_positions(spark, sf_dir):
+    wide = pivot_positions(orders(spark, sf_dir), ORDERS, ["status"])
+    return _by_row(drop_matching(wide, [r"_TE7$", r"_TE8$", r"_TE9$", r"_TE10$", r"_TE11$"], skip=["o_custkey"]))
+
+
+_UNNAMED = "SELECT * REPLACE (CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_custkey END AS o_custkey) FROM orders"
+
+
 @query(
-    "pivot_positions",
-    "SELECT o_custkey, "
-    + ", ".join(
-        f"arg_max({c}, cumcount) FILTER (WHERE trunc(size - time_rank) = {j}) AS {c}__TE{j}"
-        for c in _PIVOTED
-        for j in range(POSITIONS)
-    )
-    + f" FROM ({_POSITIONED}) GROUP BY o_custkey",
+    "segments_null_entity",
+    f"SELECT o.o_orderkey, o.o_custkey, s.cid, s.cus_count FROM ({_UNNAMED}) o "
+    f"JOIN ({_SEEN.replace('FROM orders', f'FROM ({_UNNAMED})')}) s ON s.o_custkey IS NOT DISTINCT FROM o.o_custkey",
 )
-def pivot(spark, sf_dir):
-    return pivot_positions(orders(spark, sf_dir), ORDERS, _PIVOTED, POSITIONS)
+def segments_null_entity(spark, sf_dir):
+    """Rows without an entity are one segment, whichever way they are joined."""
+    df = orders(spark, sf_dir).select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_custkey")).alias("o_custkey"), "o_orderdate"
+    )
+    return with_segments(df, "o_custkey", ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+
+
+_SHIFTED = "SELECT event_id, event_type, value, value * 2 - event_id % 50 AS other, CAST(event_id % 4 AS INT) AS part FROM ({})"
+_MANY = [(f, c) for c in ("event_type", "part") for f in ("value", "other")]
 
 
 @query(
-    "drop_old_positions",
-    "SELECT o_custkey, "
+    "rank_by_cat_many",
+    "SELECT event_id, "
     + ", ".join(
-        f"arg_max(status, cumcount) FILTER (WHERE trunc(size - time_rank) = {j}) AS status__TE{j}"
-        for j in range(7)
+        f"CASE WHEN {f} IS NULL THEN NULL ELSE round((rank() OVER (PARTITION BY {c} ORDER BY {f} NULLS LAST) "
+        f"+ (count(*) OVER (PARTITION BY {c}, {f}) - 1) / 2.0) / count({f}) OVER (PARTITION BY {c}), 9) END "
+        f"AS {f}_pct_rank_by_{c}"
+        for f, c in _MANY
     )
-    + f" FROM ({_POSITIONED}) GROUP BY o_custkey",
+    + f" FROM ({_SHIFTED.format(EVENTS_SQL)})",
 )
-def drop_old_positions(spark, sf_dir):
-    wide = pivot_positions(orders(spark, sf_dir), ORDERS, ["status"], 12)
-    return drop_matching(wide, [r"_TE7$", r"_TE8$", r"_TE9$", r"_TE10$", r"_TE11$"], skip=["o_custkey"])
-
+def rank_by_cat_many(spark, sf_dir):
+    df = events(spark, sf_dir).selectExpr(
+        "event_id", "event_type", "value", "value * 2 - event_id % 50 AS other", "CAST(event_id % 4 AS INT) AS part"
+    )
+    ranked = rank_by_category(df, ["value", "other"], ["event_type", "part"], ["event_id"])
+    return rounded(ranked.drop("event_type", "value", "other", "part"), 9)

@@ -55,6 +55,12 @@ def clean(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
+def finite(c: Column) -> Column:
+    """As double; NaN and infinite values become NULL (NaN sorts above infinity)."""
+    value = c.cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def ratio(a: Column, b: Column) -> Column:
     """Division that yields NULL for a zero denominator."""
     return F.try_divide(a.cast("double"), b.cast("double"))

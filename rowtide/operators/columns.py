@@ -21,26 +21,36 @@ def fill_missing(df: DataFrame, fill: float = -1.0, skip: Iterable[str] = ()) ->
             return c
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             return f"CAST({filled(c, fill)} AS {kind}) AS {c}"
-        if isinstance(f.dataType, T.IntegralType):
+        if isinstance(f.dataType, (T.IntegralType, T.DecimalType)):
             return f"coalesce({c}, CAST({int(fill)} AS {kind})) AS {c}"
         return c
 
     return df.selectExpr(*[shown(f) for f in df.schema.fields])
 
 
-def narrow(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
-    """Long to int and double to float; a long that does not fit becomes NULL."""
-    skip = set(skip)
+_INT = 2**31
+_FLOAT = 3.4028234e38  # what a float holds without becoming infinite
 
-    def shown(f: T.StructField) -> str:
-        c = name(f.name)
-        if f.name in skip:
-            return c
-        if isinstance(f.dataType, T.LongType):
-            return f"TRY_CAST({c} AS INT) AS {c}"
-        return f"CAST({c} AS FLOAT) AS {c}" if isinstance(f.dataType, T.DoubleType) else c
 
-    return df.selectExpr(*[shown(f) for f in df.schema.fields])
+def narrow(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
+    """Long to int and double to float, for columns whose values all fit.
+
+    Whether they fit is read off the column's extremes, so no value is lost; a float
+    keeps some seven digits. ``df`` is read twice: pass a stored table.
+    """
+    skip = set(skip)
+    wide = {f.name: f.dataType for f in df.schema.fields if f.name not in skip and isinstance(f.dataType, (T.LongType, T.DoubleType))}
+    if not wide:
+        return df
+    # Infinite values stay infinite in a float; NaN stays NaN.
+    shown = {c: f"CASE WHEN abs({name(c)}) < double('Infinity') THEN {name(c)} END" if isinstance(k, T.DoubleType) else name(c) for c, k in wide.items()}
+    ends = df.selectExpr(*[f"min({e})" for e in shown.values()], *[f"max({e})" for e in shown.values()]).first()
+    fits = {}
+    for (c, kind), low, high in zip(wide.items(), ends[: len(wide)], ends[len(wide) :], strict=True):
+        ok = low is None or (-_INT <= low and high < _INT if isinstance(kind, T.LongType) else max(-low, high) <= _FLOAT)
+        if ok:
+            fits[c] = "INT" if isinstance(kind, T.LongType) else "FLOAT"
+    return df.selectExpr(*[f"CAST({name(c)} AS {fits[c]}) AS {name(c)}" if c in fits else name(c) for c in df.columns])
 
 
 def drop_matching(df: DataFrame, patterns: Iterable[str], skip: Iterable[str] = ()) -> DataFrame:

@@ -49,7 +49,12 @@ def apply_one_hot(df: DataFrame, categories: DataFrame, columns: Sequence[str])
         f"AS {name(r['column'] + '_' + r['value'])}"
         for r in rows
     ]
-    return df.selectExpr(*[name(c) for c in df.columns if c not in order], *flags)
+    kept = [c for c in df.columns if c not in order]
+    names = kept + [f"{r['column']}_{r['value']}" for r in rows]
+    again = sorted({n for n in names if names.count(n) > 1}) if len(set(names)) < len(names) else []
+    if again:
+        raise ValueError(f"duplicate output columns: {again}")
+    return df.selectExpr(*[name(c) for c in kept], *flags)
 
 
 def save_categories(categories: DataFrame, path: str) -> None:

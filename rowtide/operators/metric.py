@@ -1,7 +1,8 @@
 """Weighted ranking metric: normalised gini and capture at the top 4 % of weight.
 
-Negatives weigh 20, positives 1. Rows are ordered by score descending, then by
-key ascending. Running weights are integers, so the cut-off is exact.
+Negatives weigh 20, positives 1. Rows are ordered by score descending (a missing
+score, NULL or NaN, is last), then by key ascending. Rows without a label take no
+part. Running weights are integers, so the cut-off is exact.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.functions.numeric import ratio
+from rowtide.functions.numeric import clean, ratio
 from rowtide.operators.ordered import OrderedGroups
 
 # Fixed values of the metric.
@@ -31,9 +32,12 @@ def running_weights(
     ``derived``: ``df`` is expensive (freshly scored rows, say); see ``OrderedGroups``.
     """
     t = F.col(target).cast("long")
-    rows = df.select(*by, key, score, t.alias(target), class_weight(t).alias("weight"))
+    labelled = df.filter(F.col(target).isNotNull())
+    shown = clean(F.col(score).cast("double")).alias(score)
+    rows = labelled.select(*by, key, shown, t.alias(target), class_weight(t).alias("weight"))
     positives = F.col(target) * F.col("weight")
-    groups = OrderedGroups(rows, by, [-F.col(score), F.col(key)], derived=derived)
+    unscored = F.col(score).isNull().cast("int")
+    groups = OrderedGroups(rows, by, [unscored, -F.col(score), F.col(key)], derived=derived)
     return groups.scan(
         running={"cum_weight": F.col("weight"), "cum_pos": positives},
         sums={

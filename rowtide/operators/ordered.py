@@ -100,11 +100,12 @@ class OrderedGroups:
     def _bounds(self, chunk_rows: int) -> DataFrame:
         """Sorted inner boundaries of every group that needs more than one chunk."""
         keyed = self.df.select(*self.keys, F.struct(*self.order).alias("__key"))
-        picked = F.pmod(F.xxhash64("__key"), F.lit(chunk_rows)) < _OVERSAMPLE
+        over = min(_OVERSAMPLE, chunk_rows)  # chunks of a few rows are cut on all rows
+        picked = F.pmod(F.xxhash64("__key"), F.lit(chunk_rows)) < over
         sampled = keyed.filter(picked).groupBy(*self.keys).agg(
             F.array_sort(F.collect_list("__key")).alias("__sample")
         )
-        chunks = F.ceil(F.size("__sample") / F.lit(_OVERSAMPLE)).cast("int")
+        chunks = F.ceil(F.size("__sample") / F.lit(over)).cast("int")
         cuts = F.transform(
             F.sequence(F.lit(1), chunks - 1),
             lambda i: F.get("__sample", (i * F.size("__sample") / chunks).cast("int")),
@@ -154,7 +155,7 @@ class OrderedGroups:
             else:
                 out = out.withColumns({c: table.select(c).scalar() for c in table.columns})
             out = self._settled(out, totals)
-        return out
+        return tidy(out)
 
     def _with_chunk_sums(
         self,
@@ -231,7 +232,7 @@ class OrderedGroups:
                 previous: F.coalesce(F.col(previous), F.col("__before")),
                 following: F.coalesce(F.col(following), F.col("__after")),
             }
-        ).drop("__before", "__after")
+        ).drop("__before", "__after", CHUNK, SPLIT)
 
 
 def tidy(df: DataFrame) -> DataFrame:

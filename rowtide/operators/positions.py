@@ -40,7 +40,7 @@ def with_time_ranks(df: DataFrame, spec: PanelSpec) -> DataFrame:
             F.min(RN).alias("__tie_start"), F.count(F.lit(1)).alias("__ties")
         )
         ties = ties.filter(F.col(time).isNotNull()).withColumn("__uses", F.col("__ties"))
-        ranked = lookup(ranked, ties, [entity, time], uses="__uses", row_id=spec.order)
+        ranked = lookup(ranked, ties, [entity, time], uses="__uses")
     else:
         tied = Window.partitionBy(entity, time)
         ranked = ranked.withColumns(
@@ -69,11 +69,12 @@ def pivot_positions(
     """One row per entity, one column ``{c}__TE{j}`` per column and reverse position j.
 
     Every position of the longest history gets a column, unless ``positions``
-    fixes their number.
+    fixes their number. Where that is too wide for a table, ``with_time_ranks``
+    has the same values by row: ``statement`` is the position.
     """
     positions = longest_history(df, spec) if positions is None else positions
     if positions * len(columns) > MAX_COLUMNS:
-        raise ValueError(f"the pivot would have more than {MAX_COLUMNS} columns")
+        raise ValueError(f"the pivot would have more than {MAX_COLUMNS} columns; use with_time_ranks, which has them by row")
     ranked = with_time_ranks(df, spec)
     pivoted = position_columns(columns, positions)
     return ranked.groupBy(spec.entity).agg(*[F.expr(f"{e} AS {name(n)}") for n, e in pivoted.items()])

@@ -1,7 +1,10 @@
 """Ranks and standardising over huge groups (categories or the whole table).
 
-Ranks are computed on distinct values with their counts, so ties and hot values
-are combined before the shuffle; the ranked values are then looked up.
+All columns go through together: cells are laid out as (row, column, value), so the
+number of passes does not depend on the number of columns. Ranks are computed on
+distinct values with their counts, so ties and hot values are combined before the
+shuffle; the ranked values are looked up, and one aggregation brings them back to
+rows. ``row_id`` names columns that identify a row.
 """
 
 from __future__ import annotations
@@ -12,67 +15,59 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.numeric import ratio
-from rowtide.operators.lookup import lookup
+from rowtide.operators.lookup import by_row, lookup
 from rowtide.operators.ordered import OrderedGroups
+from rowtide.session import materialise
 
 
-def _value_ranks(df: DataFrame, keys: Sequence[str], value: str, share: str, of: Column) -> DataFrame:
-    """Distinct non-NULL values per group with average rank divided by ``of``."""
-    ties = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__ties"))
-    groups = OrderedGroups(ties, keys, [value], derived=True)
-    counted = F.when(F.col(value).isNotNull(), F.col("__ties")).otherwise(0)
-    ranked = groups.scan(
-        running={"__upto": counted},
-        sums={"__valued": counted, "__rows": F.col("__ties")},
+def _cells(df: DataFrame, row_id: Sequence[str], cells: Sequence[Column]) -> DataFrame:
+    """(row id, at, group, value) of every valued cell; ``cells`` are structs (group, value)."""
+    each = df.select(*row_id, F.posexplode(F.array(*cells)).alias("at", "cell"))
+    flat = each.select(*row_id, "at", "cell.group", "cell.value").filter("value IS NOT NULL")
+    return materialise(flat, "cells")
+
+
+def _cell(group: Column, value: str) -> Column:
+    return F.struct(group.cast("string").alias("group"), F.col(value).cast("double").alias("value"))
+
+
+def _ranks(cells: DataFrame, of: Column) -> DataFrame:
+    """Each cell's average rank in (at, group), divided by ``of``, as ``y``."""
+    ties = cells.groupBy("at", "group", "value").agg(F.count(F.lit(1)).alias("__ties"))
+    ranked = OrderedGroups(ties, ["at", "group"], ["value"], derived=True).scan(
+        running={"__upto": F.col("__ties")}, sums={"__valued": F.col("__ties")}
     )
     rank = F.col("__upto") - (F.col("__ties") - 1) / 2.0
-    return ranked.filter(F.col(value).isNotNull()).select(
-        *keys, value, F.col("__ties").alias("__uses"), ratio(rank, of).alias(share)
-    )
+    table = ranked.select("at", "group", "value", F.col("__ties").alias("__uses"), ratio(rank, of).alias("y"))
+    return lookup(cells, table, ["at", "group", "value"], uses="__uses")
 
 
 def rank_by_category(
     df: DataFrame, values: Sequence[str], categories: Sequence[str], row_id: Sequence[str]
 ) -> DataFrame:
     """``{f}_pct_rank_by_{c}``: average-method rank within the category / non-missing count."""
-    out = df
-    for c in categories:
-        for f in values:
-            name = f"{f}_pct_rank_by_{c}"
-            table = _value_ranks(df, [c], f, name, F.col("__valued"))
-            out = lookup(out, table.filter(F.col(c).isNotNull()), [c, f], uses="__uses", row_id=row_id)
-    return out
+    pairs = [(f, c) for c in categories for f in values]
+    cells = _cells(df, row_id, [_cell(F.col(c), f) for f, c in pairs]).filter(F.col("group").isNotNull())
+    ranked = _ranks(cells, F.col("__valued"))
+    return by_row(df, ranked, row_id, [f"{f}_pct_rank_by_{c}" for f, c in pairs])
 
 
 def global_rank(df: DataFrame, values: Sequence[str], row_id: Sequence[str]) -> DataFrame:
     """``{f}_global_rank``: average-method rank over the table / number of rows."""
-    out = df
-    for f in values:
-        table = _value_ranks(df, [], f, f"{f}_global_rank", F.col("__rows"))
-        out = lookup(out, table, [f], uses="__uses", row_id=row_id)
-    return out
+    cells = _cells(df, row_id, [_cell(F.lit("all"), f) for f in values])
+    ranked = _ranks(cells, F.lit(df.count()))
+    return by_row(df, ranked, row_id, [f"{f}_global_rank" for f in values])
 
 
 def standardise_by_category(
     df: DataFrame, values: Sequence[str], categories: Sequence[str], row_id: Sequence[str]
 ) -> DataFrame:
     """``{f}_standardized_by_{c}``: distance from the category mean in sample standard deviations."""
-    out = df
-    for c in categories:
-        table = (
-            df.filter(F.col(c).isNotNull())
-            .groupBy(c)
-            .agg(
-                F.count(F.lit(1)).alias("__uses"),
-                *[F.avg(f).alias(f"__avg_{f}") for f in values],
-                *[F.stddev_samp(f).alias(f"__std_{f}") for f in values],
-            )
-        )
-        out = lookup(out, table, [c], uses="__uses", row_id=row_id)
-        out = out.withColumns(
-            {
-                f"{f}_standardized_by_{c}": ratio(F.col(f) - F.col(f"__avg_{f}"), F.col(f"__std_{f}"))
-                for f in values
-            }
-        ).drop(*[f"__{s}_{f}" for s in ("avg", "std") for f in values])
-    return out
+    pairs = [(f, c) for c in categories for f in values]
+    cells = _cells(df, row_id, [_cell(F.col(c), f) for f, c in pairs]).filter(F.col("group").isNotNull())
+    table = cells.groupBy("at", "group").agg(
+        F.count(F.lit(1)).alias("__uses"), F.avg("value").alias("__avg"), F.stddev_samp("value").alias("__std")
+    )
+    seen = lookup(cells, table, ["at", "group"], uses="__uses")
+    scored = seen.withColumn("y", ratio(F.col("value") - F.col("__avg"), F.col("__std")))
+    return by_row(df, scored, row_id, [f"{f}_standardized_by_{c}" for f, c in pairs])

@@ -1,13 +1,15 @@
 """Column scalers: rank to Gaussian (with inverse) and standard score.
 
 The rank scaler's fitted state is a table of knots (feature, value, s): the
-distinct values of a column with their scaled rank. Transforming interpolates
-between knots. Two exact ways exist:
+distinct finite values of a column with their scaled rank. Transforming interpolates
+between knots; a value that is missing or not finite has no score. Two exact ways
+exist:
 
 * few knots (checked): sorted arrays are shipped to the tasks and Arrow batches
   are interpolated there, with no shuffle at all;
-* many knots: distinct queries and knots are merged into one ordered scan that
-  finds both neighbours of every query, then results are looked up.
+* many knots: the cells of all columns go through one ordered scan with the knots,
+  which finds both neighbours of every different value, one lookup, and one
+  aggregation back to rows.
 """
 
 from __future__ import annotations
@@ -19,10 +21,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.functions.numeric import clean, erf, erf_array, erfinv, erfinv_array, ratio
-from rowtide.operators.lookup import lookup
+from rowtide.functions.numeric import clean, erf, erf_array, erfinv, erfinv_array, finite, ratio
+from rowtide.operators.lookup import by_row, lookup
 from rowtide.operators.ordered import OrderedGroups
-from rowtide.session import limits, materialise
+from rowtide.session import limits, materialise, ship
 
 # Fixed value: distance of the scaled rank from +-1.
 EPSILON = 1e-4
@@ -30,10 +32,10 @@ BOUND = 1.0 - EPSILON
 KNOT_SCHEMA = "feature string, value double, s double"
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature number, value) for every non-missing cell."""
-    cells = F.array(*[F.col(c).cast("double") for c in columns])
-    return df.select(F.posexplode(cells).alias("at", "value")).filter("value IS NOT NULL")
+def _long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(feature number, value) for every finite cell, after the columns ``keep``."""
+    cells = F.array(*[finite(F.col(c)) for c in columns])
+    return df.select(*keep, F.posexplode(cells).alias("at", "value")).filter("value IS NOT NULL")
 
 
 def _name(columns: Sequence[str]) -> Column:
@@ -56,14 +58,19 @@ def gauss_rank(
     df: DataFrame, knots: DataFrame, columns: Sequence[str], row_id: Sequence[str]
 ) -> DataFrame:
     """Replace ``columns`` by their Gaussian score; ``knots`` should be a stored table."""
-    used = knots.select("feature", F.col("value").alias("x"), F.col("s").alias("y"))
+    used = _finite_knots(knots.select("feature", F.col("value").alias("x"), F.col("s").alias("y")))
     few = _few_knots(used, columns)
     if few is not None:
         return _interpolate_broadcast(df, few, columns, finish=_scored_array)
     return _interpolate_joined(df, used, columns, row_id, _scored)
 
 
+def _finite_knots(knots: DataFrame) -> DataFrame:
+    return knots.withColumns({c: finite(F.col(c)) for c in ("x", "y")}).filter("x IS NOT NULL AND y IS NOT NULL")
+
+
 def _clipped(s: Column) -> Column:
+    s = clean(s)
     return F.when(s.isNotNull(), F.greatest(F.least(s, F.lit(BOUND)), F.lit(-BOUND)))
 
 
@@ -77,7 +84,7 @@ def gauss_rank_inverse(
     """Map Gaussian scores back to the original scale, extrapolating beyond the outer knots."""
     # Clipped knots share a scaled rank; the smallest value stands for them.
     unique = knots.filter("s IS NOT NULL").groupBy("feature", "s").agg(F.min("value").alias("value"))
-    used = unique.select("feature", F.col("s").alias("x"), F.col("value").alias("y"))
+    used = _finite_knots(unique.select("feature", F.col("s").alias("x"), F.col("value").alias("y")))
     few = _few_knots(used, columns)
     if few is not None:
         return _interpolate_broadcast(df, few, columns, prepare=erf_array)
@@ -91,9 +98,9 @@ def _scored_array(s: np.ndarray) -> np.ndarray:
 
 def _few_knots(knots: DataFrame, columns: Sequence[str]) -> pd.DataFrame | None:
     """The knots themselves if there are few enough to ship to every task."""
-    cap = limits(knots.sparkSession).broadcast_rows
-    rows = knots.filter(F.col("feature").isin(list(columns))).limit(cap + 1).toPandas()
-    return rows if len(rows) <= cap else None
+    lim = limits(knots.sparkSession)
+    used = knots.filter(F.col("feature").isin(list(columns)))
+    return used.toPandas() if lim.may_broadcast(used.count(), used.schema) else None
 
 
 def _interpolate_broadcast(
@@ -107,6 +114,7 @@ def _interpolate_broadcast(
         name: (part["x"].to_numpy(), part["y"].to_numpy())
         for name, part in knots.dropna().sort_values("x").groupby("feature")
     }
+    ship(df.sparkSession)
     shipped = df.sparkSession.sparkContext.broadcast(tables)
 
     def one(values: np.ndarray, table) -> np.ndarray:
@@ -126,9 +134,9 @@ def _interpolate_broadcast(
         for frame in frames:
             yield pd.DataFrame({c: one(frame[c].to_numpy(float), shipped.value.get(c)) for c in columns})
 
-    packed = F.struct(*[F.col(c).cast("double").alias(c) for c in columns])
+    packed = F.struct(*[finite(F.col(c)).alias(c) for c in columns])
     out = df.withColumn("__scaled", scaled(packed))
-    return out.withColumns({c: clean(F.col("__scaled").getField(c)) for c in columns}).drop("__scaled")
+    return out.withColumns({c: finite(F.col("__scaled").getField(c)) for c in columns}).drop("__scaled")
 
 
 def _interpolate_joined(
@@ -138,22 +146,23 @@ def _interpolate_joined(
     row_id: Sequence[str],
     finish: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    used_by = _long(df, columns).groupBy("at", "value").agg(F.count(F.lit(1)).alias("__uses"))
-    queries = used_by.select(_name(columns).alias("feature"), "value", "__uses")
+    cells = materialise(_long(df, columns, row_id), "cells")
+    queries = cells.groupBy("at", "value").agg(F.count(F.lit(1)).alias("__uses"))
+    place = F.element_at(F.create_map(*[F.lit(v) for i, c in enumerate(columns) for v in (c, i)]), F.col("feature"))
     knot = F.struct("x", "y")
     points = (
-        knots.filter("y IS NOT NULL AND x IS NOT NULL")
-        .select("feature", F.col("x").alias("value"), knot.alias("knot"), F.lit(None).cast("long").alias("__uses"))
+        knots.filter(F.col("feature").isin(list(columns)))
+        .select(place.alias("at"), F.col("x").alias("value"), knot.alias("knot"), F.lit(None).cast("long").alias("__uses"))
         .unionByName(queries.withColumn("knot", F.lit(None).cast("struct<x:double,y:double>")))
-        .groupBy("feature", "value")
+        .groupBy("at", "value")
         .agg(F.max("knot").alias("knot"), F.max("__uses").alias("__uses"))
     )
     # Beyond the outer knots a query needs the two nearest on one side, so each
     # knot also carries its own neighbours.
-    own = OrderedGroups(points.filter("knot IS NOT NULL"), ["feature"], ["value"], derived=True)
+    own = OrderedGroups(points.filter("knot IS NOT NULL"), ["at"], ["value"], derived=True)
     linked = _link(own)
-    merged = points.drop("knot").join(linked, ["feature", "value"], "left")
-    groups = OrderedGroups(merged, ["feature"], ["value"], derived=True)
+    merged = points.drop("knot").join(linked, ["at", "value"], "left")
+    groups = OrderedGroups(merged, ["at"], ["value"], derived=True)
     near = groups.neighbours(F.col("linked"), "__at", "__up").filter("__uses IS NOT NULL")
 
     low = F.coalesce(
@@ -169,32 +178,27 @@ def _interpolate_joined(
     y = low.getField("y") + (F.col("value") - low.getField("x")) * ratio(
         high.getField("y") - low.getField("y"), high.getField("x") - low.getField("x")
     )
-    answers = materialise(finish(near.select("feature", "value", "__uses", y.alias("y"))), "scaled")
-
-    out = df
-    for c in columns:
-        table = answers.filter(F.col("feature") == c).select(
-            F.col("value").alias(c), F.col("y").alias(f"__y_{c}"), "__uses"
-        )
-        out = lookup(
-            out.withColumn(c, F.col(c).cast("double")), table, [c], uses="__uses", row_id=row_id
-        )
-    return out.withColumns({c: F.col(f"__y_{c}") for c in columns}).drop(*[f"__y_{c}" for c in columns])
+    answers = finish(near.select("at", "value", "__uses", y.alias("y")))
+    answers = answers.withColumn("y", finite(F.col("y")))
+    scored = lookup(cells, answers, ["at", "value"], uses="__uses")
+    names = [f"__y_{c}" for c in columns]
+    out = by_row(df, scored, row_id, names)
+    return out.withColumns({c: F.col(n) for c, n in zip(columns, names, strict=True)}).drop(*names)
 
 
 def _link(knots: OrderedGroups) -> DataFrame:
     """Each knot with the knot before and after it."""
     ranked = materialise(
-        knots.scan(row_number="__r").select("feature", "value", "knot", "__r"), "knots"
+        knots.scan(row_number="__r").select("at", "value", "knot", "__r"), "knots"
     )
 
     def shifted(by: int, name: str) -> DataFrame:
-        return ranked.select("feature", (F.col("__r") + by).alias("__r"), F.col("knot").alias(name))
+        return ranked.select("at", (F.col("__r") + by).alias("__r"), F.col("knot").alias(name))
 
-    both = ranked.join(shifted(1, "before"), ["feature", "__r"], "left").join(
-        shifted(-1, "after"), ["feature", "__r"], "left"
+    both = ranked.join(shifted(1, "before"), ["at", "__r"], "left").join(
+        shifted(-1, "after"), ["at", "__r"], "left"
     )
-    return both.select("feature", "value", F.struct("knot", "before", "after").alias("linked"))
+    return both.select("at", "value", F.struct("knot", "before", "after").alias("linked"))
 
 
 def fit_standard(df: DataFrame, columns: Sequence[str]) -> DataFrame:

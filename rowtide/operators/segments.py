@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.operators.lookup import lookup
-from rowtide.operators.ordered import OrderedGroups, tidy
+from rowtide.operators.ordered import OrderedGroups
 
 
 def factorize(df: DataFrame, entity: str, appearance: Sequence[str], code: str = "cid") -> DataFrame:
@@ -31,7 +31,7 @@ def segment_ends(
     firsts = df.groupBy(entity).agg(seen.alias("__seen"), F.count(F.lit(1)).alias("__rows"))
     groups = OrderedGroups(firsts, [], ["__seen"], derived=True)
     out = groups.scan(running={end: F.col("__rows")}, row_number="__code")
-    return tidy(out).select(entity, (F.col("__code") - 1).alias(code), "__rows", end)
+    return out.select(entity, (F.col("__code") - 1).alias(code), "__rows", end)
 
 
 def with_segments(
@@ -39,4 +39,4 @@ def with_segments(
 ) -> DataFrame:
     """Rows with their entity's code and segment end."""
     ends = segment_ends(df, entity, appearance, code, end)
-    return lookup(df, ends, [entity], uses="__rows", row_id=appearance)
+    return lookup(df, ends, [entity], uses="__rows")

@@ -9,12 +9,15 @@ from rowtide.functions.text import name
 from rowtide.operators import blocks, derive
 from rowtide.operators.columns import fill_missing, narrow
 from rowtide.operators.positions import (
+    longest_history,
     position_columns,
     with_ordinals,
     with_time_ranks,
 )
+from rowtide.session import materialise
 from rowtide.spec import FeatureOptions, PanelSpec
 
+
 def quantised(df: DataFrame, spec: PanelSpec) -> DataFrame:
     num = set(spec.numeric)
     return df.selectExpr(
@@ -56,6 +59,8 @@ def feature_row(df: DataFrame, spec: PanelSpec, options: FeatureOptions) -> Data
     rows = df.select(*spec.columns)
     if options.quantise:
         rows = quantised(rows, spec)
+    if options.positions is None:
+        options = options.with_(positions=longest_history(rows, spec))
     aggregates = aggregate_blocks(rows, spec, options)
     if options.positions:
         rows = with_time_ranks(rows, spec)
@@ -85,9 +90,10 @@ def feature_row(df: DataFrame, spec: PanelSpec, options: FeatureOptions) -> Data
         *[name(c) for c in kept],
         *[f"{e} AS {name(n)}" for n, e in derived.items()],
     )
+    out = fill_missing(out, options.fill, skip=[spec.entity])
     if options.narrow:
-        out = narrow(out, skip=[spec.entity])
-    return fill_missing(out, options.fill, skip=[spec.entity])
+        out = narrow(materialise(out, "feature-row"), skip=[spec.entity])
+    return out
 
 
 def attach(features: DataFrame, side: DataFrame, key: str, drop: tuple[str, ...] = ()) -> DataFrame:

@@ -6,6 +6,7 @@ All sizes are plain session settings, so a job can change them without code:
 ``spark.rowtide.cellsPerChunk``  the same bound as rows x columns, for wide rows
 ``spark.rowtide.maxChunks``      upper bound on the chunks of all split groups together
 ``spark.rowtide.broadcastRows``  largest table (in rows) that is broadcast
+``spark.rowtide.broadcastBytes`` the same bound as bytes, by the width of its columns
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _PRIVATE_DIR = "spark.rowtide.workDir"
 
@@ -27,6 +29,12 @@ class Limits:
     cells_per_chunk: int
     max_chunks: int
     broadcast_rows: int
+    broadcast_bytes: int
+
+    def may_broadcast(self, rows: int, schema: T.StructType) -> bool:
+        """Whether a table of so many rows is within both bounds; text counts as 64 bytes."""
+        width = sum(64 if isinstance(f.dataType, (T.StringType, T.BinaryType)) else 8 for f in schema.fields)
+        return rows <= self.broadcast_rows and rows * width <= self.broadcast_bytes
 
 
 def limits(spark: SparkSession) -> Limits:
@@ -36,6 +44,7 @@ def limits(spark: SparkSession) -> Limits:
         int(get("spark.rowtide.cellsPerChunk", "64000000")),
         int(get("spark.rowtide.maxChunks", "50000")),
         int(get("spark.rowtide.broadcastRows", "200000")),
+        int(get("spark.rowtide.broadcastBytes", "33554432")),
     )
 
 

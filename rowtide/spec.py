@@ -85,7 +85,7 @@ class FeatureOptions:
     category_means: tuple[str, ...] = ()
     mean_abs_dev: tuple[str, ...] = ()
     kurtosis: tuple[str, ...] = ()
-    positions: int = 0
+    positions: int | None = 0  # pivoted reverse positions; None: the longest history
     family_nets: Triples = ()
     after_pay: Pairs = ()
     range_lag_families: tuple[str, ...] = ()

@@ -216,11 +216,24 @@ def test_closed_form_equals_sorted_form(spark):
     assert row["gini_raw"] == pytest.approx(row["gini_perfect"])
 
 
-def test_narrow_then_fill(spark):
-    df = spark.createDataFrame([(2**40, 1e300, "a"), (5, None, None)], "big long, wide double, s string")
-    rows = fill_missing(narrow(df)).collect()
-    assert rows[0]["big"] == -1 and rows[0]["wide"] == -1.0 and rows[1]["big"] == 5
-    assert rows[1]["s"] is None
+def test_narrow_loses_no_value(spark):
+    rows = [(2**40, 3_000_000_000, 1e300, 1.5, "a"), (5, -7, None, NAN, None), (None, 2, float("inf"), float("-inf"), "c")]
+    df = spark.createDataFrame(rows, "big long, over long, wide double, small double, s string")
+    got = narrow(df.withColumn("fits", F.col("over") % 10))
+    assert dict(got.dtypes) == {
+        "big": "bigint", "over": "bigint", "wide": "double", "small": "float", "s": "string", "fits": "int"
+    }
+    assert [tuple(r)[:3] for r in got.collect()] == [r[:3] for r in rows]
+    filled = fill_missing(df.withColumn("d", F.expr("CAST(NULL AS decimal(9,2))"))).collect()
+    assert filled[2]["big"] == -1 and filled[0]["wide"] == 1e300 and filled[2]["wide"] == -1.0 and filled[0]["d"] == -1
+
+
+def test_one_hot_names_may_not_collide(spark):
+    df = spark.createDataFrame([(1, "x", "b_c"), (2, "c", "x")], "id int, a_b string, a string")
+    rows = [("a_b", "c", 1), ("a", "b_c", 1)]
+    categories = spark.createDataFrame(rows, "column string, value string, position int")
+    with pytest.raises(ValueError, match="a_b_c"):
+        apply_one_hot(df, categories, ["a_b", "a"])
 
 
 def test_parity_and_drops(spark):

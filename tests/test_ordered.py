@@ -73,7 +73,38 @@ def test_lookup_with_hot_and_missing_keys(spark, conf, broadcast_rows):
     conf("spark.rowtide.broadcastRows", broadcast_rows)
     df = skewed(spark).withColumn("k", F.when(F.col("id") % 5 != 0, F.col("k")))
     table = df.filter("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("uses"), F.sum("id").alias("total"))
-    got = lookup(df, table, ["k"], uses="uses", row_id=["id"]).select("id", "k", "total")
+    got = lookup(df, table, ["k"], uses="uses").select("id", "k", "total")
     want = df.join(table, "k", "left").select("id", "k", "total")
     assert got.count() == 3000
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("broadcast", [{"Rows": 3}, {"Bytes": 40}, {}])
+def test_lookup_matches_a_missing_key_with_a_missing_key(spark, conf, broadcast):
+    for kind, most in broadcast.items():
+        conf(f"spark.rowtide.broadcast{kind}", most)
+    conf("spark.rowtide.rowsPerChunk", 100)
+    df = skewed(spark).withColumn("k", F.when(F.col("id") % 3 != 0, F.col("k")))
+    table = df.groupBy("k").agg(F.count("*").alias("uses"), F.sum("id").alias("total"))
+    got = lookup(df, table, ["k"], uses="uses").select("id", "k", "total")
+    want = df.alias("d").join(table.alias("t"), F.expr("d.k <=> t.k"), "left").select("id", "d.k", "total")
+    assert got.filter("total IS NULL").isEmpty()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_splitting_adds_no_columns(spark, conf):
+    df = skewed(spark)
+    plain = OrderedGroups(df, ["k"], ["t", "id"]).scan(row_number="r", sums={"n": F.lit(1)})
+    conf("spark.rowtide.rowsPerChunk", 20)
+    groups = OrderedGroups(df, ["k"], ["t", "id"])
+    cut = groups.scan(row_number="r", sums={"n": F.lit(1)})
+    assert groups.is_split and cut.columns == plain.columns
+    assert groups.neighbours(F.col("v"), "p", "f").columns == [*df.columns, "p", "f"]
+    assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()
+
+
+def test_chunks_of_a_few_rows(spark, conf):
+    conf("spark.rowtide.rowsPerChunk", 5)
+    groups = OrderedGroups(skewed(spark), ["k"], ["t", "id"])
+    assert groups.is_split
+    assert groups.df.groupBy("k", CHUNK).count().agg(F.max("count")).first()[0] <= 12
