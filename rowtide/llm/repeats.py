@@ -14,7 +14,7 @@ on the stretches that can hold one:
   the suffixes in a repeated interval all but the first in order of (doc_id, start) begin a repeat.
 * A collection of more than ``BATCH`` bytes is dealt to several batches by text. Each of these
   also reports the first of each of its strings, and equal ones of different batches
-  are matched by a 128-bit hash.
+  are matched by two 64-bit hashes, in buckets.
 
 Order is that of doc_id, a null doc_id being last. Edge cases: a null text is empty and
 nothing is removed; texts of fewer than ``length`` bytes keep all; rows that share
@@ -42,6 +42,7 @@ GRAM = 32
 BATCH = 1 << 20  # bytes of a collection that one merge takes
 FLUSH = 1 << 18  # bytes of small collections that share a merge
 SHARD = 1 << 16
+PER_BUCKET = 1 << 19  # strings of large collections that one task matches
 _LAST = (1 << 63) - 1
 _STEPS = [np.uint64(0x9E3779B97F4A7C15 + 2 * i) for i in range(8)]
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -195,28 +196,63 @@ def later_windows(rows: list[tuple], length: int) -> tuple[list[tuple[int, int]]
     return stretches, out_later, out_first
 
 
-def _found(dealt: DataFrame, length: int) -> DataFrame:
-    """Repeats inside batches as (digest, doc, start, stop, string): ``string`` is null for a repeated
-    span, else the hash of a string that is first in its batch and may be later than one of another."""
-    schema = "digest binary, doc bigint, start bigint, stop bigint, string binary"
+def window_hashes(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each window of ``length`` bytes."""
+    out = []
+    for salt in (0, 1):
+        gram, have = mixed(_BYTE[raw] + np.uint64(salt)), 1
+        whole, done = np.zeros(len(raw) - length + 1, np.uint64), 0
+        for bit in range(length.bit_length()):
+            if length >> bit & 1:  # lengths of the binary expansion, one after the other
+                whole = mixed(whole + np.uint64(done)) + gram[done : done + len(whole)]
+                done += have
+            if length >> (bit + 1):
+                gram, have = mixed(gram[:-have]) + gram[have:], 2 * have
+        out.append(mixed(whole))
+    return out[0], out[1]
 
-    def spans(rows: list[tuple], several: bool) -> Iterator[tuple]:
+
+_FIRST = np.dtype([("hash", "<u8"), ("other", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("d1", "<u8"), ("d2", "<u8")])
+
+
+def _firsts(row: tuple, begin: int, starts: np.ndarray, length: int) -> np.ndarray:
+    """Entries for the strings of a stretch that are first in their batch."""
+    digest, doc, begins, sizes, data = row
+    i = int(np.searchsorted(begins, begin))
+    one, two = window_hashes(np.frombuffer(data, np.uint8, int(sizes[i]), int(sizes[:i].sum())), length)
+    out = np.zeros(len(starts), _FIRST)
+    out["hash"], out["other"], out["doc"], out["start"] = one[starts - begin], two[starts - begin], doc, starts
+    out["d1"], out["d2"] = np.frombuffer(digest, "<u8")
+    return out
+
+
+def _found(dealt: DataFrame, length: int, buckets: int) -> DataFrame:
+    """Repeats inside batches (digest, start, stop), and the first strings of batches of large collections
+    as blobs of entries by bucket (bucket, firsts)."""
+
+    def spans(rows: list[tuple], several: bool) -> Iterator[pa.RecordBatch]:
         stretches, later, first = later_windows([r[1:] for r in rows], length)
+        found, firsts = [], []
         for (r, begin), mine, lead in zip(stretches, later, first, strict=False):
-            digest, doc, begins, _, data = rows[r]
             if len(mine):
-                for a, b in zip(*[x.tolist() for x in _merged(mine, mine + length)], strict=True):
-                    yield digest, doc, a, b, None
+                found += [(rows[r][0], a, b) for a, b in zip(*[x.tolist() for x in _merged(mine, mine + length)], strict=True)]
             if several and len(lead):
-                i = int(np.searchsorted(begins, begin))
-                shift = int(rows[r][3][:i].sum()) - begin
-                for s in lead.tolist():
-                    yield digest, doc, s, s + length, xxhash.xxh3_128_digest(data[s + shift : s + shift + length])
-
-    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+                firsts.append(_firsts(rows[r], begin, lead, length))
+        if found:
+            yield batch_of(found, [None] * len(found), [None] * len(found))
+        if firsts:
+            entries = np.concatenate(firsts)
+            bucket = ((entries["hash"] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            order = np.argsort(bucket, kind="stable")
+            own, cuts = np.unique(bucket[order], return_index=True)
+            blobs = [part.tobytes() for part in np.split(entries[order], cuts[1:])]
+            yield batch_of([(None, None, None)] * len(own), own.tolist(), blobs)
+
+    def batch_of(found: list[tuple], bucket: list, firsts: list) -> pa.RecordBatch:
         kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        arrays = [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names=["digest", "doc", "start", "stop", "string"])
+        columns = [*zip(*found, strict=True), bucket, firsts]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["digest", "start", "stop", "bucket", "firsts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -228,19 +264,51 @@ def _found(dealt: DataFrame, length: int) -> DataFrame:
             ):
                 # Small collections share a merge; a batch of a large one has its own.
                 if group != (leader, part) and rows and (held >= FLUSH or several or parts > 1):
-                    if found := list(spans(rows, several)):
-                        yield batch_of(found)
+                    yield from spans(rows, several)
                     rows, held = [], 0
                 group, several = (leader, part), parts > 1
                 rows.append((digest, doc, np.frombuffer(begins, "<i8"), np.frombuffer(sizes, "<i8"), data))
                 held += len(data)
-        if rows and (found := list(spans(rows, several))):
-            yield batch_of(found)
+        if rows:
+            yield from spans(rows, several)
 
     spread = dealt.repartition("leader", "part").sortWithinPartitions("leader", "part")
+    schema = "digest binary, start bigint, stop bigint, bucket bigint, firsts binary"
     return in_arrow(spread.select("leader", "part", "parts", "digest", "doc", "begins", "sizes", "data"), run, schema)
 
 
+def _across(found: DataFrame, length: int, buckets: int) -> DataFrame:
+    """(digest, start, stop) of strings that are first in their batch, but later than one of another batch.
+
+    A string has at most one entry per batch, so no bucket is hot.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [b for batch in batches for b in batch.column("firsts").to_pylist()]
+        if not blobs:
+            return
+        entries = np.frombuffer(b"".join(blobs), _FIRST)
+        entries = entries[np.lexsort((entries["start"], entries["doc"], entries["other"], entries["hash"]))]
+        same = (entries["hash"][1:] == entries["hash"][:-1]) & (entries["other"][1:] == entries["other"][:-1])
+        head = np.flatnonzero(np.concatenate([[True], ~same]))
+        first = entries[np.repeat(head, np.diff(np.append(head, len(entries))))]
+        later = entries[(entries["doc"] != first["doc"]) | (entries["start"] != first["start"])]
+        later = later[np.lexsort((later["start"], later["d2"], later["d1"]))]
+        new = np.flatnonzero(np.diff(later["d1"], prepend=later["d1"][:1] + 1) | np.diff(later["d2"], prepend=later["d2"][:1]))
+        rows = []
+        for a, b in zip(new.tolist(), [*new[1:].tolist(), len(later)], strict=True):
+            starts = later["start"][a:b]
+            digest = later["d1"][a].tobytes() + later["d2"][a].tobytes()
+            rows += [(digest, x, y) for x, y in zip(*[v.tolist() for v in _merged(starts, starts + length)], strict=True)]
+        if rows:
+            kinds = (pa.binary(), pa.int64(), pa.int64())
+            arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["digest", "start", "stop"])
+
+    blobs = found.filter("bucket IS NOT NULL").select("bucket", "firsts").repartition(buckets, "bucket")
+    return in_arrow(blobs, run, _SPAN)
+
+
 def _removed(spans: DataFrame, held: DataFrame) -> DataFrame:
     """Per class: what is left of its first document."""
 
@@ -288,11 +356,11 @@ def strip_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     sizes = stretches.groupBy("leader").agg(F.ceil(F.sum(F.length("data")) / BATCH).cast("long").alias("parts"))
     part = F.pmod(F.xxhash64("digest"), "parts").alias("part")
     dealt = stretches.join(sizes, "leader").select("*", part)
-    found = materialise(_found(dealt, length), "repeats-found")
-    firsts = found.filter("string IS NOT NULL")
-    least = firsts.groupBy("string").agg(F.min(F.struct("doc", "start")).alias("least"))
-    across = firsts.join(least, "string").filter("struct(doc, start) > least")
-    spans = found.filter("string IS NULL").select("digest", "start", "stop").unionByName(across.select("digest", "start", "stop"))
+    large = sizes.filter("parts > 1").agg(F.sum("parts")).first()[0] or 0
+    buckets = max(16, large * BATCH // PER_BUCKET)
+    found = materialise(_found(dealt, length, buckets), "repeats-found")
+    inside = found.filter("bucket IS NULL").select("digest", "start", "stop")
+    spans = inside.unionByName(_across(found, length, buckets)) if large else inside
     left = materialise(_removed(spans, held), "repeats-left")
     judged = classes.select("digest", "doc").join(left, "digest", "left")
     zero = F.lit(0).cast("long")
