@@ -19,14 +19,13 @@ from rowtide.catalog.fixtures import (
     table,
 )
 from rowtide.catalog.sqlfeatures import MIDDLE, MIDDLE_ANY, at, div, feature_sql, filled_sql, first, last
-from rowtide.functions.numeric import filled, quantise
 from rowtide.operators import blocks, derive
 from rowtide.operators.columns import fill_missing, narrow, require_parity, trim_statistics
 from rowtide.operators.positions import with_ordinals
-from rowtide.plans.feature_row import attach, feature_row
+from rowtide.plans.feature_row import attach, feature_row, quantised
 from rowtide.sources.chunks import backfill
-from rowtide.sources.panel import with_time
-from rowtide.spec import FeatureOptions
+from rowtide.sources.panel import read_panel, with_time
+from rowtide.spec import FeatureOptions, PanelSpec
 
 ALL = FeatureOptions()
 
@@ -253,9 +252,8 @@ def ratio_features(spark, sf_dir):
 def quantise_rows(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    return df.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", quantise(net).alias("net")
-    )
+    rows = df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", net.alias("net"))
+    return quantised(rows, PanelSpec("l_suppkey", LINES.order, ("net",)))
 
 
 @query(
@@ -414,8 +412,18 @@ def impute(spark, sf_dir):
     inverse = F.when(F.col("value") == 1, F.lit(float("inf"))).otherwise(
         F.try_divide(F.lit(1.0), F.log("value"))
     )
-    return df.select(
-        "event_id",
-        filled(F.col("value")).alias("value"),
-        F.round(filled(inverse), 6).alias("inverse"),
-    )
+    filled = fill_missing(df.select("event_id", "value", inverse.alias("inverse")), skip=["event_id"])
+    return filled.withColumn("inverse", F.round("inverse", 6))
+
+
+_SCANNED = ["l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_tax"]
+
+
+@query("panel_scan", f"SELECT {', '.join(_SCANNED)} FROM lineitem")
+def panel_scan(spark, sf_dir):
+    """A drop list, numeric columns by exclusion, and only what the description names; types as stored."""
+    path = f"{sf_dir}/lineitem.parquet"
+    dropped = ["l_discount", "l_linestatus"]
+    columns = [c for c in spark.read.parquet(path).columns if c not in dropped]
+    spec = PanelSpec.from_columns(columns, LINES.entity, LINES.order, categorical=["l_returnflag"])
+    return read_panel(spark, path, spec, drop=dropped).drop("l_returnflag")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.sources.panel import unify_missing
+from rowtide.sources.panel import read_panel
 from rowtide.spec import PanelSpec
 
 EVENTS = PanelSpec("user_id", ("ts", "event_id"), ("value",), ("event_type",))
@@ -58,7 +58,7 @@ PANEL_SQL = {"user_id": EVENTS_SQL, "o_custkey": ORDERS_SQL, "l_suppkey": LINES_
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return unify_missing(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return read_panel(spark, f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,15 +10,3 @@ def parsed_time(c: Column) -> Column:
     """Text dates and timestamps as a zone-free timestamp; unparsable text is NULL."""
     return F.try_to_timestamp(c).cast("timestamp_ntz")
 
-
-def day_of_week(c: Column) -> Column:
-    """Monday = 0 ... Sunday = 6."""
-    return F.weekday(c)
-
-
-def is_sunday(c: Column) -> Column:
-    return F.weekday(c) == 6
-
-
-def iso_week(c: Column) -> Column:
-    return F.weekofyear(c)

@@ -66,18 +66,6 @@ def ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
-def quantise(c: Column, digits: int = 2) -> Column:
-    """Round half to even on the scaled value."""
-    scale = float(10**digits)
-    return F.rint(c * F.lit(scale)) / F.lit(scale)
-
-
-def filled(c: Column, fill: float = -1.0) -> Column:
-    """Missing and infinite values become ``fill`` (floating columns); NaN sorts above infinity."""
-    value = c.cast("double")
-    return F.when(F.abs(value) < F.lit(float("inf")), value).otherwise(F.lit(fill))
-
-
 def _rising(coefficients, x):
     """Polynomial by rising power; ``x`` is a Column or an array."""
     out = coefficients[-1]

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,28 +124,30 @@ Codes = Mapping[str, range | list[str]]
 def category_codes(df: DataFrame, columns: Iterable[str]) -> Codes:
     """Which codes each category column holds: a range for integers, else the listed values.
 
-    Columns with more than ``MAX_CODES`` are absent. Integers only need their
-    extremes; other types are listed, combined in every task before the
-    shuffle, and cut off right above ``MAX_CODES`` per column.
+    Columns with more than ``MAX_CODES`` are absent. One pass takes the extremes of
+    integers and an estimate of the number of codes; columns whose integers are far
+    apart, and others, are listed in a second pass if the estimate is low. Tasks
+    combine the codes they see, so what is gathered stays near ``MAX_CODES`` a column.
     """
+    columns = list(columns)
+    if not columns:
+        return {}
     kinds = {f.name: f.dataType for f in df.schema.fields}
     whole = [c for c in columns if isinstance(kinds[c], T.IntegralType)]
-    listed = [c for c in columns if c not in whole]
+    ends = df.agg(
+        *[F.approx_count_distinct(c) for c in columns],
+        *[F.min(c) for c in whole],
+        *[F.max(c) for c in whole],
+    ).first()
+    about, extremes = dict(zip(columns, ends, strict=False)), ends[len(columns) :]
     out: dict[str, range | list[str]] = {}
-    if whole:
-        ends = df.agg(*[F.min(c) for c in whole], *[F.max(c) for c in whole]).first()
-        for c, low, high in zip(whole, ends[: len(whole)], ends[len(whole) :], strict=True):
-            if low is None or high - low < MAX_CODES:
-                out[c] = range(low or 0, (high or 0) + 1)
+    for c, low, high in zip(whole, extremes[: len(whole)], extremes[len(whole) :], strict=True):
+        if low is None or high - low < MAX_CODES:
+            out[c] = range(low or 0, (high or 0) + 1)
+    listed = [c for c in columns if c not in out and about[c] <= 1.2 * MAX_CODES]
     if listed:
-        values = F.array(*[F.col(c).cast("string") for c in listed])
-        pairs = df.select(F.posexplode(values).alias("at", "code")).filter("code IS NOT NULL")
-        by = Window.partitionBy("at").orderBy("code")
-        some = pairs.distinct().withColumn("nth", F.row_number().over(by)).filter(F.col("nth") <= MAX_CODES + 1)
-        found: dict[str, list[str]] = {c: [] for c in listed}
-        for row in some.collect():
-            found[listed[row["at"]]].append(row["code"])
-        out |= {c: sorted(v) for c, v in found.items() if len(v) <= MAX_CODES}
+        found = df.agg(*[F.collect_set(F.col(c).cast("string")) for c in listed]).first()
+        out |= {c: sorted(v) for c, v in zip(listed, found, strict=True) if len(v) <= MAX_CODES}
     return out
 
 

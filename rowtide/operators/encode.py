@@ -58,7 +58,7 @@ def apply_one_hot(df: DataFrame, categories: DataFrame, columns: Sequence[str])
 
 
 def save_categories(categories: DataFrame, path: str) -> None:
-    categories.coalesce(1).write.mode("overwrite").parquet(path)
+    categories.write.mode("overwrite").parquet(path)
 
 
 def load_categories(spark: SparkSession, path: str) -> DataFrame:

@@ -11,6 +11,7 @@ All sizes are plain session settings, so a job can change them without code:
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -54,13 +55,16 @@ def work_dir(spark: SparkSession) -> str:
     A machine-local folder is only ever used in local mode, where driver and
     executors are one process.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_PRIVATE_DIR, None)
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    # "local[8]" is one process; "local-cluster[...]" is not.
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="rowtide-")
-    spark.conf.set(_PRIVATE_DIR, named)
+    named = spark.conf.get(_PRIVATE_DIR, None)
+    if not named:
+        named = tempfile.mkdtemp(prefix="rowtide-")
+        spark.conf.set(_PRIVATE_DIR, named)
     return named
 
 
@@ -78,8 +82,21 @@ def ship(spark: SparkSession) -> None:
     context._rowtide_shipped = True
 
 
+_made: dict[str, list[str]] = {}
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Remove every table that this session stored; call it once results have been written elsewhere."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        discard(spark, path)
+    return len(paths)
 
 
 def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:

@@ -6,7 +6,9 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rowtide.functions.numeric import erf, erf_array, erfinv, erfinv_array, quantise
+from rowtide.functions.numeric import erf, erf_array, erfinv, erfinv_array
+from rowtide.plans.feature_row import quantised
+from rowtide.spec import PanelSpec
 
 
 @given(st.floats(-8, 8))
@@ -31,4 +33,4 @@ def test_columns_equal_arrays(spark):
 
 def test_quantise_rounds_half_to_even(spark):
     df = spark.createDataFrame([(0.125,), (0.375,), (-0.125,), (None,)], "x double")
-    assert [r[0] for r in df.select(quantise(F.col("x"))).collect()] == [0.12, 0.38, -0.12, None]
+    assert [r[0] for r in quantised(df, PanelSpec("x", ("x",), ("x",))).collect()] == [0.12, 0.38, -0.12, None]

@@ -38,7 +38,7 @@ def test_chunks_keep_entities_whole(spark):
 def test_chunk_reads_are_pruned(spark):
     part = next(iter_chunks(orders(spark, SMALL), "o_custkey", 4))
     text = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(chunk" in text
+    assert "PartitionFilters: [isnotnull(__chunk_id" in text
 
 
 def test_labels_are_cast(spark, tmp_path):
