@@ -11,10 +11,10 @@ between them hold every pair that can be linked:
   content. Common passages make few common routes, as a part of some six shingles
   rarely holds nothing else. Sizes fall into classes whose neighbours a link can span;
   a set is routed in its own and the next one.
-* Trees. The first set seen on a route leads it; a leader and all sets on its routes form one
+* Trees. A set of each route leads it; a leader and all sets on its routes form one
   tree, so all sets of a route meet in a tree. A tree of more than ``block`` sets is dealt
-  to subtrees, each with the leader. What a subtree does not connect to the leader is
-  joined with every subtree in a second step.
+  to subtrees, each with the leader; what they leave apart from the leader meets every
+  subtree in a second step.
 * Dual traversal inside a tree prunes node pairs by size ranges and greatest possible
   overlap; what remains is verified exactly on the sets.
 
@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm import routing, sigtree
@@ -132,7 +132,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         )
         return rows.filter(pa.array(right))
 
-    found = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select("text", "node", "digest", "rep")
+    # Hinted, so that the plan is the same at every size: texts are shuffled, never collected for a broadcast.
+    found = docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["rep"]).select("text", "node", "digest", "rep")
     return by_batch(found, run, "node bigint, digest binary, rep bigint, tokens binary")
 
 
@@ -177,37 +178,43 @@ def _trees(led: DataFrame, block: int) -> DataFrame:
     """(leader, block, blocks, node): the leader is in each block of its tree."""
     sizes = led.groupBy("leader").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
     dealt = led.join(sizes, "leader").select("leader", F.pmod(F.xxhash64("node"), "blocks").alias("block"), "blocks", "node")
-    heads = sizes.select(
-        "leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "blocks", F.col("leader").alias("node")
-    )
+    heads = sizes.select("leader", _every_block(), "blocks", F.col("leader").alias("node"))
     return dealt.unionByName(heads)
 
 
-def _links(spark: SparkSession, docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num: int, den: int, block: int):
-    trees = materialise(_trees(led, block), "jaccard-trees")
-    nodes = trees.select("node").distinct()
+def _every_block() -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+
+
+def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num: int, den: int, block: int) -> DataFrame:
+    """Links enough to connect every component, in two steps.
+
+    First each set meets the tree of its least leader, which connects nearly all near
+    copies. Then only trees whose sets are not all connected are left, and in them only
+    pairs of different components.
+    """
+    nodes = led.select("node").union(led.select("leader")).distinct()
     wanted = classes.filter(F.col("rep").isNotNull()).join(nodes, "node", "left_semi")
     sets = materialise(_sets(docs, wanted, size), "jaccard-sets")
-    members = trees.join(sets, "node")
-    first = materialise(_joined(members.withColumn("label", F.lit(None).cast("long")), num, den), "jaccard-links")
-    split = trees.filter("blocks > 1")
-    if split.isEmpty():
-        return first
-    # Sets that their subtree did not connect to the leader meet every subtree of the tree.
-    known = components(first)
-    labelled = (
-        split.join(sets.select("node", "digest", "rep"), "node")
-        .join(known.select(F.col("v").alias("rep"), F.col("p").alias("label")), "rep", "left")
-        .withColumn("label", F.coalesce("label", "rep"))
-    )
-    labelled = materialise(labelled, "jaccard-labelled")
-    heads = labelled.filter("node = leader").groupBy("leader").agg(F.min("label").alias("head"))
-    left = labelled.filter("node != leader").join(heads, "leader").filter("label != head")
-    apart = left.select(
-        "leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "blocks", "node", "digest", "rep", "label"
+    least = led.groupBy("node").agg(F.min("leader").alias("leader"))
+    members = _trees(least, block).join(sets, "node").withColumn("label", F.lit(None).cast("long"))
+    first = materialise(_joined(members, num, den), "jaccard-links")
+
+    known = components(first).select(F.col("v").alias("rep"), F.col("p").alias("label"))
+    named = sets.select("node", "digest", "rep").join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    trees = _trees(led, block).join(materialise(named, "jaccard-named"), "node")
+    trees = materialise(trees, "jaccard-trees")
+    open_ = trees.groupBy("leader").agg(
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.min(F.when(F.col("node") == F.col("leader"), F.col("label"))).alias("head"),
     )
-    again = labelled.join(left.select("leader").distinct(), "leader", "left_semi").unionByName(apart.select(*labelled.columns))
-    again = again.dropDuplicates(["leader", "block", "digest"]).join(sets.select("digest", "tokens"), "digest")
+    open_ = open_.filter("low < high").select("leader", "head")
+    left = materialise(trees.join(open_, "leader"), "jaccard-open")
+    # What is apart from the leader meets every block of its tree.
+    apart = left.filter("label != head").select("leader", _every_block(), "blocks", "node", "digest", "rep", "label")
+    again = left.select(apart.columns).unionByName(apart).dropDuplicates(["leader", "block", "digest"])
+    again = again.join(sets.select("digest", "tokens"), "digest")
     return first.unionByName(materialise(_joined(again, num, den), "jaccard-links"))
 
 
@@ -225,7 +232,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
     classes = materialise(classes, "jaccard-classes")
     led = materialise(routing.led(scanned, routing.buckets_for(scanned)), "jaccard-led")
     discard(spark, folder)
-    links = _links(spark, read, classes, led, words, num, den, block)
+    links = _links(read, classes, led, words, num, den, block)
     placed = materialise(rows.filter("n > 0").join(classes.select("digest", "rep"), "digest").select("doc_id", "n", "rep"), "jaccard-reps")
     # A doc_id whose rows differ in text joins the classes of all of them.
     several = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("x")).filter("a < x")

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from rowtide.llm.common import in_arrow
 
 KEY_BYTES = 6  # of a key's hash; a false meeting costs a comparison, no more
-PER_BUCKET = 4_000_000
-_BLOB = 1_000_000
+PER_BUCKET = 1_000_000
+_BLOB = 500_000
 
 
 def packed(keys: np.ndarray, owners: np.ndarray, n: int) -> list[bytes]:
@@ -113,7 +113,9 @@ def led(rows: DataFrame, buckets: int, with_keys: bool = False) -> DataFrame:
             new[1:] = key[1:] != key[:-1]
             starts = np.flatnonzero(new)
             heads = key[starts]
-            lead, runs = node[starts].copy(), np.diff(np.append(starts, len(key)))
+            # The least node: texts that share much then share most of their leaders.
+            lead = np.minimum.reduceat(node, starts) if len(starts) else node[:0]
+            runs = np.diff(np.append(starts, len(key)))
             old = np.zeros(len(starts), bool)
             if len(known):
                 at = np.minimum(np.searchsorted(known, heads), len(known) - 1)
