@@ -9,10 +9,19 @@ once per batch. Ids are little-endian unsigned 32-bit.
 from __future__ import annotations
 
 import os
+import re
+import sys
+from array import array
 
 import numpy as np
 
-CACHE = 400_000
+CACHE = 1_200_000
+
+# Letters that normalisation leaves as they are, but for their case; and marks that are pieces of their own after one.
+_LETTERS = "".join(chr(c) for c in range(256) if chr(c).isalpha() and c not in (0xAA, 0xB5, 0xBA))
+_MARKS = ".,;:!?"
+_PLAIN = re.compile(rf"([{_LETTERS}]+)([{_MARKS}]?)\Z")
+assert sys.byteorder == "little" and array("I").itemsize == 4
 
 _loaded: dict[tuple[str, bool], Encoder] = {}
 
@@ -27,17 +36,54 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.lead = " " if spaced else ""
+        model = self.tokenizer.model
+        model._resize_cache(0)  # each word comes once, so the library's own cache only costs time
+        self.tokenizer.model = model
         self.spaced = spaced
         self.known: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
 
-    def _ids(self, parts: list[str]) -> list[bytes]:
-        done = []
-        for at in range(0, len(parts), 4096):
-            coded = self.tokenizer.encode_batch_fast(parts[at : at + 4096], add_special_tokens=False)
-            done += [np.asarray(c.ids, "<u4").tobytes() for c in coded]
-        return done
+        self.model = model
+        # Letters as the vocabulary spells them; a plain word is one piece for the model, its mark another.
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.spelt = {ord(c): split(c)[0][0] for c in _LETTERS}
+        self.mark = {m: self._coded([m])[0] for m in ("", *_MARKS)}
+        self.spelt_lead = split(" a")[0][0][:-1] if spaced else ""
+        self.folds = self._coded(["A"]) == self._coded(["a"])
+
+    def _coded(self, texts: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.asarray(c.ids, "<u4").tobytes() for c in coded]
+
+    def _ids(self, words: list[str], lead: bool) -> list[bytes]:
+        """Ids of each word (or longer text), ``lead``: with a space before it.
+
+        Words of plain letters go straight to the vocabulary's model; anything else
+        takes the library's whole way.
+        """
+        known = self.known if lead or not self.spaced else self.first
+        tokenize, spell, before = self.model.tokenize, self.spelt, self.spelt_lead if lead else ""
+        out: list[bytes | None] = []
+        for word in words:
+            plain = _PLAIN.match(word)
+            if not plain:
+                out.append(None)
+                continue
+            core, mark = plain.groups()
+            ids = known.get(core) if mark else None
+            if ids is None:
+                if self.folds:
+                    core = core.lower()
+                shown = before + (core if core.isascii() else core.translate(spell))
+                ids = array("I", [t.id for t in tokenize(shown)]).tobytes()
+            out.append(ids + self.mark[mark])
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        gap = " " if lead else ""
+        for at in range(0, len(rest), 4096):
+            some = rest[at : at + 4096]
+            for i, ids in zip(some, self._coded([gap + words[i] for i in some]), strict=True):
+                out[i] = ids
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
@@ -45,9 +91,9 @@ class Encoder:
             split = [[t] if "" in parts[1:] else parts for t, parts in zip(texts, split, strict=True)]
         known, first = self.known, self.first if self.spaced else self.known
         new_first = list({parts[0] for parts in split}.difference(first))
-        first.update(zip(new_first, self._ids(new_first), strict=True))
+        first.update(zip(new_first, self._ids(new_first, lead=False), strict=True))
         new = list(set().union(*[parts[1:] for parts in split]).difference(known))
-        known.update(zip(new, self._ids([self.lead + w for w in new]), strict=True))
+        known.update(zip(new, self._ids(new, lead=self.spaced), strict=True))
         look = known.__getitem__
         out = [first[parts[0]] + b"".join(map(look, parts[1:])) for parts in split]
         full = len(known) + len(first) > CACHE
