@@ -44,40 +44,50 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def _symbols(shards: list[np.ndarray], orders: list[np.ndarray]) -> tuple[np.ndarray, int]:
-    """The transforms end to end, as 16-bit symbols that sort like the bytes they hold, and how many bytes that is."""
-    for held, kind in ((4, np.uint32), (2, np.uint16)):
-        parts = []
-        for text, order in zip(shards, orders, strict=True):
-            before = np.zeros(len(text), kind)
-            for i in range(held, 0, -1):
-                before = (before << kind(8)) | np.roll(text, i)
-            parts.append(before[order])
-        joined = np.concatenate(parts)
-        if held == 2:
-            return joined, held
-        seen = np.unique(joined)
-        if len(seen) <= 1 << 16:
-            return np.searchsorted(seen, joined).astype(np.uint16), held
-    raise AssertionError
+_WIDE = {8: np.uint64, 4: np.uint32, 2: np.uint16}
+
+
+def _before(shards: list[np.ndarray], orders: list[np.ndarray], held: int) -> np.ndarray:
+    """The transforms end to end, a symbol being the ``held`` bytes before a suffix."""
+    parts = []
+    for text, order in zip(shards, orders, strict=True):
+        before = np.zeros(len(text), _WIDE[held])
+        for i in range(held, 0, -1):
+            before = (before << _WIDE[held](8)) | np.roll(text, i)
+        parts.append(before[order])
+    return np.concatenate(parts)
+
+
+def _steps(shards: list[np.ndarray], orders: list[np.ndarray], depth: int) -> list[np.ndarray]:
+    """Transforms whose symbols add up to ``depth`` bytes, as few as fit into 16 bits.
+
+    Symbols are numbered in the order of their bytes; up to 2**16 different ones fit.
+    Two bytes fit as they are.
+    """
+    for held in (8, 4):
+        rank = _dense(_before(shards, orders, held))[1]
+        if rank.max(initial=0) < 1 << 16:
+            rest = [_before(shards, orders, 2)] * (depth % held // 2)
+            return [rank.astype(np.uint16)] * (depth // held) + rest
+    return [_before(shards, orders, 2)] * (depth // 2)
 
 
 def merge(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(shard, start, interval) of all suffixes in the merged order.
 
     Suffixes have the same interval if and only if their first ``depth`` bytes are
-    equal. ``depth`` is a multiple of four.
+    equal. ``depth`` is even.
     """
     shards = [s for s in shards if len(s)]
     orders = [suffix_order(s, depth) for s in shards]
-    symbols, held = _symbols(shards, orders)
+    steps = _steps(shards, orders, depth)
     sizes = [len(s) for s in shards]
     base = np.concatenate([[0], np.cumsum(sizes)])
     shard = np.repeat(np.arange(len(shards), dtype=np.uint8 if len(shards) < 256 else np.int32), sizes)
-    place = np.arange(base[-1], dtype=np.int32)  # of the merged order's entries in ``symbols``
+    place = np.arange(base[-1], dtype=np.int32)  # of the merged order's entries in the transforms
     interval = np.zeros(base[-1], np.int32)
     entries = np.arange(base[-1], dtype=np.int32)
-    for _ in range(0, depth, held):
+    for symbols in steps:
         now = symbols[place]
         order = np.argsort(now, kind="stable")
         now, interval, shard = now[order], interval[order], shard[order]

@@ -39,9 +39,9 @@ from rowtide.llm.words import mixed
 from rowtide.session import discard, materialise, stored
 
 GRAM = 32
-BATCH = 1 << 20  # bytes of a collection that one merge takes
-FLUSH = 1 << 18  # bytes of small collections that share a merge
-SHARD = 1 << 16
+BATCH = 1 << 18  # bytes of a collection that one merge takes
+FLUSH = 1 << 16  # bytes of small collections that share a merge
+SHARD = 1 << 14
 PER_BUCKET = 1 << 19  # strings of large collections that one task matches
 _LAST = (1 << 63) - 1
 _STEPS = [np.uint64(0x9E3779B97F4A7C15 + 2 * i) for i in range(8)]
