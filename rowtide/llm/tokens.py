@@ -92,7 +92,7 @@ class Encoder:
         known, first = self.known, self.first if self.spaced else self.known
         new_first = list({parts[0] for parts in split}.difference(first))
         first.update(zip(new_first, self._ids(new_first, lead=False), strict=True))
-        new = list(set().union(*[parts[1:] for parts in split]).difference(known))
+        new = list(set().union(*[parts for parts in split if len(parts) > 1]).difference(known))
         known.update(zip(new, self._ids(new, lead=self.spaced), strict=True))
         look = known.__getitem__
         out = [first[parts[0]] + b"".join(map(look, parts[1:])) for parts in split]
