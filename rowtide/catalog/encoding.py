@@ -81,7 +81,7 @@ def _polynomial(coefficients, x: str) -> str:
     return out
 
 
-def _erfinv_sql(x: str) -> str:
+def erfinv_sql(x: str) -> str:
     """Same rational approximation as the engine, for |x| <= 1 - 1e-4."""
     q = f"({x} / 2)"
     near = f"(0.180625::DOUBLE - {q} * {q})"
@@ -115,7 +115,7 @@ def _fitted(spark, sf_dir):
     return materialise(fit_gauss_rank(events(spark, sf_dir), ["value"]), "knots")
 
 
-@query("gauss_rank", f"SELECT event_id, round({_erfinv_sql('s')}, 9) AS value FROM ({_EVENT_SCALED})")
+@query("gauss_rank", f"SELECT event_id, round({erfinv_sql('s')}, 9) AS value FROM ({_EVENT_SCALED})")
 def gauss_rank_rows(spark, sf_dir):
     df = table(spark, sf_dir, "events").select("event_id", "value")
     return rounded(gauss_rank(df, _fitted(spark, sf_dir), ["value"], ["event_id"]), 9)
@@ -134,7 +134,7 @@ _EDGE_KNOTS = _knots_sql("value", f"SELECT {_SQL_EDGES} AS value FROM events WHE
 
 @query(
     "gauss_rank_edges",
-    f"SELECT event_id, round({_erfinv_sql('s')}, 9) AS value FROM ({_scaled_sql(_EDGE_ROWS, _EDGE_KNOTS)})",
+    f"SELECT event_id, round({erfinv_sql('s')}, 9) AS value FROM ({_scaled_sql(_EDGE_ROWS, _EDGE_KNOTS)})",
 )
 def gauss_rank_edges(spark, sf_dir):
     """Missing and infinite values have no score and are no knots."""
@@ -150,7 +150,7 @@ _MANY_SQL = "SELECT event_id, " + ", ".join(f"{e} AS {n}" for n, e in _SCALED_MA
 @query(
     "gauss_rank_many",
     "SELECT event_id, "
-    + ", ".join(f"round({_erfinv_sql(f'{n}_s')}, 9) AS {n}" for n in _SCALED_MANY)
+    + ", ".join(f"round({erfinv_sql(f'{n}_s')}, 9) AS {n}" for n in _SCALED_MANY)
     + " FROM "
     + " JOIN ".join(
         "(SELECT event_id, s AS {n}_s FROM ({sql})) t_{n}".format(

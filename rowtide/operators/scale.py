@@ -121,11 +121,13 @@ def _interpolate_broadcast(
         if table is None or len(table[0]) < 2:
             return np.full(len(values), np.nan)
         xs, ys = table
+        values = np.where(np.isfinite(values), values, np.nan)  # here and not in the plan, which stays small
         values = prepare(values) if prepare else values
         hi = np.clip(np.searchsorted(xs, values, side="left"), 1, len(xs) - 1)
         slope = (ys[hi] - ys[hi - 1]) / (xs[hi] - xs[hi - 1])
         out = ys[hi - 1] + (values - xs[hi - 1]) * slope
-        return finish(out) if finish else out
+        out = finish(out) if finish else out
+        return np.where(np.isfinite(out), out, np.nan)
 
     kinds = ", ".join(f"`{c}`: double" for c in columns)
 
@@ -134,9 +136,9 @@ def _interpolate_broadcast(
         for frame in frames:
             yield pd.DataFrame({c: one(frame[c].to_numpy(float), shipped.value.get(c)) for c in columns})
 
-    packed = F.struct(*[finite(F.col(c)).alias(c) for c in columns])
+    packed = F.struct(*[F.col(c).cast("double").alias(c) for c in columns])
     out = df.withColumn("__scaled", scaled(packed))
-    return out.withColumns({c: finite(F.col("__scaled").getField(c)) for c in columns}).drop("__scaled")
+    return out.withColumns({c: clean(F.col("__scaled").getField(c)) for c in columns}).drop("__scaled")
 
 
 def _interpolate_joined(

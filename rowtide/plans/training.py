@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -17,10 +18,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.operators.columns import require_parity
 from rowtide.operators.metric import metric_components
 from rowtide.operators.scale import KNOT_SCHEMA, fit_gauss_rank, gauss_rank
 from rowtide.session import ensure_checkpoints
-from rowtide.sources.cache import cached_table, finished
+from rowtide.sources.cache import cached_table, finished, require_same
 
 Fit = Callable[[DataFrame], Model]
 
@@ -44,6 +46,12 @@ class TrainSpec:
     def knots_path(self, fold: int) -> str:
         return f"{self.folder}/scaler_{fold}"
 
+    @property
+    def fingerprint(self) -> str:
+        """What a stored model depends on besides the rows."""
+        parts = (self.key, self.target, self.features, self.model, self.folds, self.seed, self.params)
+        return hashlib.sha256(repr(parts).encode()).hexdigest()
+
 
 def estimator(spec: TrainSpec):
     """Trees stop early on the held-out fold; the network takes Gaussian-ranked inputs."""
@@ -115,6 +123,7 @@ def _probability(column: str = "probability"):
 def fit_fold(train: DataFrame, spec: TrainSpec, fold: int) -> Model:
     """Fit on the other folds, or load the stored model of this fold."""
     spark = train.sparkSession
+    require_same(spark, spec.model_path(fold), spec.fingerprint)
     if finished(spark, f"{spec.model_path(fold)}/metadata"):
         if spec.model == "network":
             _inputs(train, spec, fold, fit_on=train.filter(F.col("fold") != fold))
@@ -155,8 +164,18 @@ def fold_scores(predictions: DataFrame, key: str) -> DataFrame:
     return metric_components(predictions, "target", "prediction", key, by=["fold"], derived=True)
 
 
+def score_panel(train: DataFrame, test: DataFrame, spec: TrainSpec, passthrough: Sequence[str] = ()) -> DataFrame:
+    """Blended scores of rows that no model has seen, after a check that both tables have the same features."""
+    columns = list(spec.features)
+    require_parity(train.select(*[f"`{c}`" for c in columns]), test.select(*[f"`{c}`" for c in columns]))
+    return blend(test, spec, passthrough)
+
+
 def blend(test: DataFrame, spec: TrainSpec, passthrough: Sequence[str] = ()) -> DataFrame:
-    """Mean of all fold models' probabilities; a map-only pass over ``test``."""
+    """Mean of all fold models' probabilities.
+
+    Trees, and networks whose scaler knots are few, need no shuffle; many knots are joined.
+    """
     spark: SparkSession = test.sparkSession
     if spec.model == "trees":
         scored = _assembled(test, spec)

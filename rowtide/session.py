@@ -11,6 +11,7 @@ All sizes are plain session settings, so a job can change them without code:
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -112,6 +113,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return stored(df, label)[0]
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps that are over; it does so when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a stored table that nothing will read again."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
