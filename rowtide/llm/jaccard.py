@@ -41,7 +41,7 @@ from rowtide.llm import routing, sigtree
 from rowtide.llm.common import by_batch, in_arrow, pick, texts
 from rowtide.llm.components import components
 from rowtide.llm.words import mixed, shingle_sets
-from rowtide.session import discard, materialise, stored
+from rowtide.session import discard, materialise, release, stored
 
 BLOCK = 512
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -195,10 +195,11 @@ def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num:
     """
     nodes = led.select("node").union(led.select("leader")).distinct()
     wanted = classes.filter(F.col("rep").isNotNull()).join(nodes, "node", "left_semi")
-    sets = materialise(_sets(docs, wanted, size), "jaccard-sets")
+    sets, folder = stored(_sets(docs, wanted, size), "jaccard-sets")
     least = led.groupBy("node").agg(F.min("leader").alias("leader"))
     members = _trees(least, block).join(sets, "node").withColumn("label", F.lit(None).cast("long"))
     first = materialise(_joined(members, num, den), "jaccard-links")
+    release(docs.sparkSession)
 
     known = components(first).select(F.col("v").alias("rep"), F.col("p").alias("label"))
     named = sets.select("node", "digest", "rep").join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
@@ -215,7 +216,9 @@ def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num:
     apart = left.filter("label != head").select("leader", _every_block(), "blocks", "node", "digest", "rep", "label")
     again = left.select(apart.columns).unionByName(apart).dropDuplicates(["leader", "block", "digest"])
     again = again.join(sets.select("digest", "tokens"), "digest")
-    return first.unionByName(materialise(_joined(again, num, den), "jaccard-links"))
+    last = materialise(_joined(again, num, den), "jaccard-links")
+    discard(docs.sparkSession, folder)
+    return first.unionByName(last)
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
@@ -232,6 +235,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
     classes = materialise(classes, "jaccard-classes")
     led = materialise(routing.led(scanned, routing.buckets_for(scanned)), "jaccard-led")
     discard(spark, folder)
+    release(spark)
     links = _links(read, classes, led, words, num, den, block)
     placed = materialise(rows.filter("n > 0").join(classes.select("digest", "rep"), "digest").select("doc_id", "n", "rep"), "jaccard-reps")
     # A doc_id whose rows differ in text joins the classes of all of them.

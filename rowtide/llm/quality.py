@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import WORD, by_batch, key_of, pick, texts
-from rowtide.session import materialise
+from rowtide.session import discard, materialise, release, stored
 
 _WORDS = re.compile(WORD)
 _SYMBOLS = "#*$%&|<>"
@@ -123,10 +123,11 @@ def boilerplate(lines: DataFrame, line_docs: int = 10) -> DataFrame:
 
 def judge(docs: DataFrame, line_docs: int = 10, depleted: int = 70) -> DataFrame:
     """Per document: doc_id, base measures, base_failed, n_boiler_words, kept, and ``boiler`` (its flagged lines)."""
-    scanned = materialise(scan(docs), "quality-scan")
+    scanned, scan_folder = stored(scan(docs), "quality-scan")
+    rows = materialise(scanned.drop("lines"), "quality-rows")
     per_text = scanned.groupBy("host", "content").agg(F.first("lines").alias("lines"))
     ends = F.array_sort(F.col("lines.line"))
-    lines = materialise(
+    lines, lines_folder = stored(
         per_text.withColumn("ends", ends).select(
             "host",
             "content",
@@ -140,11 +141,14 @@ def judge(docs: DataFrame, line_docs: int = 10, depleted: int = 70) -> DataFrame
     removed = flagged.groupBy("host", "content").agg(
         F.sum("words").alias("n_boiler_words"), F.collect_set("line").alias("boiler")
     )
+    removed = materialise(removed, "quality-removed")
+    for folder in (scan_folder, lines_folder):
+        discard(docs.sparkSession, folder)
+    release(docs.sparkSession)
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     lost = F.coalesce("n_boiler_words", F.lit(0))
     return (
-        scanned.drop("lines")
-        .join(materialise(removed, "quality-removed"), ["host", "content"], "left")
+        rows.join(removed, ["host", "content"], "left")
         .withColumn("n_boiler_words", lost)
         .withColumn("base_failed", base_failed)
         .withColumn("kept", ~F.col("base_failed") & (100 * F.col("n_boiler_words") <= depleted * F.col("n_words")))
