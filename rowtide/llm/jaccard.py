@@ -119,7 +119,7 @@ def _scan(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, digest, rep, tokens) of the classes that are in any tree; ``wanted`` has node, digest, rep."""
+    """(node, digest, rep, n, bits, tokens) of the classes that are in any tree; ``wanted`` has node, digest, rep."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, counts = shingle_sets(texts(batch), size)
@@ -128,13 +128,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         right = [d == _digest(p) for d, p in zip(batch.column("digest").to_pylist(), parts, strict=True)]
         out = [batch.column(c) for c in ("node", "digest", "rep")]
         rows = pa.RecordBatch.from_arrays(
-            [*out, pa.array([p.tobytes() for p in parts], pa.binary())], names=["node", "digest", "rep", "tokens"]
+            [
+                *out,
+                pa.array(counts),
+                pa.array([sigtree.bitmap(p, sigtree.width(len(p))).tobytes() for p in parts], pa.binary()),
+                pa.array([p.tobytes() for p in parts], pa.binary()),
+            ],
+            names=["node", "digest", "rep", "n", "bits", "tokens"],
         )
         return rows.filter(pa.array(right))
 
     # Hinted, so that the plan is the same at every size: texts are shuffled, never collected for a broadcast.
     found = docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["rep"]).select("text", "node", "digest", "rep")
-    return by_batch(found, run, "node bigint, digest binary, rep bigint, tokens binary")
+    return by_batch(found, run, "node bigint, digest binary, rep bigint, n bigint, bits binary, tokens binary")
 
 
 def _joined(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -169,6 +175,41 @@ def _joined(members: DataFrame, num: int, den: int) -> DataFrame:
     return in_arrow(dealt.select("leader", "block", "digest", "rep", "label", "tokens"), run, "a bigint, b bigint")
 
 
+def _undecided(members: DataFrame, num: int, den: int) -> DataFrame:
+    """The sets of each (leader, block) that bitmaps don't tell apart from all other components."""
+    names = ("leader", "block", "digest", "rep", "label")
+
+    def left(rows: list[tuple]) -> list[tuple]:
+        sizes = np.array([r[5] for r in rows], np.int64)
+        maps = [np.frombuffer(r[6], np.uint64) for r in rows]
+        bits = 64 * min(map(len, maps))
+        words = np.stack([sigtree.folded(m, bits) for m in maps])
+        labels = np.unique([r[4] for r in rows], return_inverse=True)[1]
+        return [r[:5] for r, keep in zip(rows, sigtree.undecided(words, sizes, labels, num, den), strict=True) if keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*[batch.column(c).to_pylist() for c in (*names, "n", "bits")], strict=True):
+                if rows and rows[-1][:2] != row[:2]:
+                    out += left(rows)
+                    rows = []
+                rows.append(row)
+            if out:
+                yield batch_of(out)
+        if rows and (out := left(rows)):
+            yield batch_of(out)
+
+    def batch_of(out: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=list(names))
+
+    dealt = members.repartition("leader", "block").sortWithinPartitions("leader", "block")
+    schema = "leader bigint, block bigint, digest binary, rep bigint, label bigint"
+    return in_arrow(dealt.select(*names, "n", "bits"), run, schema)
+
+
 def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
     a, b = zip(*links, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -215,7 +256,9 @@ def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num:
     # What is apart from the leader meets every block of its tree.
     apart = left.filter("label != head").select("leader", _every_block(), "blocks", "node", "digest", "rep", "label")
     again = left.select(apart.columns).unionByName(apart).dropDuplicates(["leader", "block", "digest"])
-    again = again.join(sets.select("digest", "tokens"), "digest")
+    # Bitmaps are a tenth of the sets; they settle most of what near copies of different groups leave open.
+    again = _undecided(again.join(sets.select("digest", "n", "bits"), "digest"), num, den)
+    again = materialise(again, "jaccard-undecided").join(sets.select("digest", "tokens"), "digest")
     last = materialise(_joined(again, num, den), "jaccard-links")
     discard(docs.sparkSession, folder)
     return first.unionByName(last)

@@ -57,15 +57,23 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * common >= num * (len(a) + len(b) - common)
 
 
-def bitmaps(sets: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bitmap words per set, spare tokens per set); ``bits`` is a power of two of 64 or more."""
-    words = np.zeros((len(sets), bits // 64), np.uint64)
-    for i, s in enumerate(sets):
-        has = np.zeros(bits, bool)
-        has[(s & np.uint64(bits - 1)).astype(np.int64)] = True
-        words[i] = np.packbits(has).view(np.uint64)
-    used = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
-    return words, np.array([len(s) for s in sets], np.int64) - used
+def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """Words of a token bitmap; ``bits`` is a power of two of 64 or more."""
+    has = np.zeros(bits, bool)
+    has[(tokens & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(has, bitorder="little").view(np.uint64)
+
+
+def folded(words: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap at a smaller width: bits that fall together are combined."""
+    while len(words) * 64 > bits:
+        half = len(words) // 2
+        words = words[:half] | words[half:]
+    return words
+
+
+def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    return np.stack([bitmap(s, bits) for s in sets])
 
 
 def width(largest: int) -> int:
@@ -76,9 +84,8 @@ def width(largest: int) -> int:
 class Tree:
     """Levels from leaves (0) to the root; node i of a level has children FAN*i .. FAN*i + FAN - 1 below."""
 
-    def __init__(self, sets: list[np.ndarray], bits: int):
-        sizes = np.array([len(s) for s in sets], np.int64)
-        words, spare = bitmaps(sets, bits)
+    def __init__(self, words: np.ndarray, sizes: np.ndarray):
+        spare = sizes - np.bitwise_count(words).sum(axis=1, dtype=np.int64)
         self.levels = [(words, sizes, sizes, spare)]
         while len(self.levels[-1][0]) > 1:
             words, low, high, spare = self.levels[-1]
@@ -139,6 +146,31 @@ def candidate_pairs(tree: Tree, num: int, den: int, groups: np.ndarray | None =
     return a[apart], b[apart]
 
 
+def undecided(words: np.ndarray, sizes: np.ndarray, labels: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which sets may be linked with one of another component, by their bitmaps (of one width) alone.
+
+    Beside the bound of the traversal, a set has at least as many tokens that the other
+    lacks as it has bits that the other lacks.
+    """
+    order = np.lexsort((labels, sizes))
+    w, n = words[order], sizes[order]
+    a, b = candidate_pairs(Tree(w, n), num, den, labels[order])
+    keep = np.zeros(len(n), bool)
+    for at in range(0, len(a), 4096):
+        x, y = a[at : at + 4096], b[at : at + 4096]
+        apart = labels[order[x]] != labels[order[y]]
+        x, y = x[apart], y[apart]
+        most = np.minimum(
+            n[x] - np.bitwise_count(w[x] & ~w[y]).sum(axis=1, dtype=np.int64),
+            n[y] - np.bitwise_count(w[y] & ~w[x]).sum(axis=1, dtype=np.int64),
+        )
+        ok = (num + den) * most >= num * (n[x] + n[y])
+        keep[x[ok]] = keep[y[ok]] = True
+    out = np.zeros(len(n), bool)
+    out[order] = keep
+    return out
+
+
 def join(sets: list[np.ndarray], num: int, den: int, union: Union | None = None) -> list[tuple[int, int]]:
     """Links that connect the components of the sets: every linked pair ends up connected.
 
@@ -165,7 +197,7 @@ def join(sets: list[np.ndarray], num: int, den: int, union: Union | None = None)
     if n == 2 or (groups == groups[0]).all():
         return links
     ordered = [sets[i] for i in order]
-    tree = Tree(ordered, width(max(map(len, sets))))
+    tree = Tree(bitmaps(ordered, width(max(map(len, sets)))), np.array([len(s) for s in ordered], np.int64))
     a, b = candidate_pairs(tree, num, den, groups[order])
     a, b = order[a], order[b]
     while len(a):

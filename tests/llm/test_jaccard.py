@@ -119,7 +119,7 @@ def test_traversal_prunes_no_linked_pair(seed):
     sets += [s[: max(1, len(s) - 2)] for s in sets[:30]]
     for num, den in ((85, 100), (30, 100)):
         for bits in (64, 256, 4096):
-            tree = sigtree.Tree(sets, bits)
+            tree = sigtree.Tree(sigtree.bitmaps(sets, bits), np.array([len(s) for s in sets]))
             kept = set(zip(*[x.tolist() for x in sigtree.candidate_pairs(tree, num, den)], strict=True))
             linked = {(i, j) for j in range(len(sets)) for i in range(j) if sigtree.linked(sets[i], sets[j], num, den)}
             assert linked <= kept
@@ -147,3 +147,21 @@ def test_shingles_depend_on_words_only():
     assert np.array_equal(parts[0], parts[1]) and len(np.intersect1d(parts[0], parts[5])) == 1
     alone = [words.shingle_sets([t], 4)[0].tolist() for t in texts]
     assert alone == [p.tolist() for p in parts]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bitmaps_leave_every_linked_set_undecided(seed):
+    rng = np.random.default_rng(seed)
+    base = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (20, 300, 320, 900)]
+    sets = []
+    for b in base * 12:
+        fresh = rng.integers(0, 2**64, rng.integers(1, len(b) // 4), dtype=np.uint64)
+        sets.append(np.unique(np.concatenate([rng.choice(b, len(b) - len(fresh), replace=False), fresh])))
+    sizes, labels = np.array([len(s) for s in sets]), np.arange(len(sets))
+    bits = min(sigtree.width(n) for n in sizes)
+    words = np.stack([sigtree.folded(sigtree.bitmap(s, sigtree.width(len(s))), bits) for s in sets])
+    assert np.array_equal(words, sigtree.bitmaps(sets, bits))
+    left = sigtree.undecided(words, sizes, labels, 80, 100)
+    linked = {k for i in range(len(sets)) for j in range(i) if sigtree.linked(sets[i], sets[j], 80, 100) for k in (i, j)}
+    assert linked and linked <= set(np.flatnonzero(left).tolist())
+    assert not sigtree.undecided(words, sizes, np.zeros(len(sets), int), 80, 100).any()
