@@ -44,6 +44,7 @@ from rowtide.llm.words import mixed, shingle_sets
 from rowtide.session import discard, materialise, release, stored
 
 BLOCK = 512
+_WIDER = 4  # times the bits of small bitmaps
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -119,7 +120,7 @@ def _scan(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, digest, rep, n, bits, tokens) of the classes that are in any tree; ``wanted`` has node, digest, rep."""
+    """(node, digest, rep, n, bits, wide, tokens) of the classes that are in any tree; ``wanted`` has node, digest, rep."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, counts = shingle_sets(texts(batch), size)
@@ -131,16 +132,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             [
                 *out,
                 pa.array(counts),
-                pa.array([sigtree.bitmap(p, sigtree.width(len(p))).tobytes() for p in parts], pa.binary()),
+                *[
+                    pa.array([sigtree.bitmap(p, k * sigtree.width(len(p))).tobytes() for p in parts], pa.binary())
+                    for k in (1, _WIDER)
+                ],
                 pa.array([p.tobytes() for p in parts], pa.binary()),
             ],
-            names=["node", "digest", "rep", "n", "bits", "tokens"],
+            names=["node", "digest", "rep", "n", "bits", "wide", "tokens"],
         )
         return rows.filter(pa.array(right))
 
     # Hinted, so that the plan is the same at every size: texts are shuffled, never collected for a broadcast.
     found = docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["rep"]).select("text", "node", "digest", "rep")
-    return by_batch(found, run, "node bigint, digest binary, rep bigint, n bigint, bits binary, tokens binary")
+    return by_batch(found, run, "node bigint, digest binary, rep bigint, n bigint, bits binary, wide binary, tokens binary")
 
 
 def _joined(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -256,11 +260,16 @@ def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num:
     # What is apart from the leader meets every block of its tree.
     apart = left.filter("label != head").select("leader", _every_block(), "blocks", "node", "digest", "rep", "label")
     again = left.select(apart.columns).unionByName(apart).dropDuplicates(["leader", "block", "digest"])
-    # Bitmaps are a tenth of the sets; they settle most of what near copies of different groups leave open.
-    again = _undecided(again.join(sets.select("digest", "n", "bits"), "digest"), num, den)
-    again = materialise(again, "jaccard-undecided").join(sets.select("digest", "tokens"), "digest")
+    # Bitmaps are a fraction of the sets; small ones, then wider ones, settle most of what near copies
+    # of different groups leave open.
+    for bits in ("bits", "wide"):
+        mapped = again.join(sets.select("digest", "n", F.col(bits).alias("bits")), "digest")
+        again = materialise(_undecided(mapped, num, den), "jaccard-undecided")
+        release(docs.sparkSession)
+    again = again.join(sets.select("digest", "tokens"), "digest")
     last = materialise(_joined(again, num, den), "jaccard-links")
     discard(docs.sparkSession, folder)
+    release(docs.sparkSession)
     return first.unionByName(last)
 
 
