@@ -236,13 +236,14 @@ def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num:
 
     First each set meets the tree of its least leader, which connects nearly all near
     copies. Then only trees whose sets are not all connected are left, and in them only
-    pairs of different components.
+    pairs of different components. Joins with sets are hinted: at any size they are
+    merge joins, and neither side is broadcast.
     """
     nodes = led.select("node").union(led.select("leader")).distinct()
     wanted = classes.filter(F.col("rep").isNotNull()).join(nodes, "node", "left_semi")
     sets, folder = stored(_sets(docs, wanted, size), "jaccard-sets")
     least = led.groupBy("node").agg(F.min("leader").alias("leader"))
-    members = _trees(least, block).join(sets, "node").withColumn("label", F.lit(None).cast("long"))
+    members = _trees(least, block).join(sets.hint("merge"), "node").withColumn("label", F.lit(None).cast("long"))
     first = materialise(_joined(members, num, den), "jaccard-links")
     release(docs.sparkSession)
 
@@ -263,10 +264,10 @@ def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num:
     # Bitmaps are a fraction of the sets; small ones, then wider ones, settle most of what near copies
     # of different groups leave open.
     for bits in ("bits", "wide"):
-        mapped = again.join(sets.select("digest", "n", F.col(bits).alias("bits")), "digest")
+        mapped = again.join(sets.select("digest", "n", F.col(bits).alias("bits")).hint("merge"), "digest")
         again = materialise(_undecided(mapped, num, den), "jaccard-undecided")
         release(docs.sparkSession)
-    again = again.join(sets.select("digest", "tokens"), "digest")
+    again = again.join(sets.select("digest", "tokens").hint("merge"), "digest")
     last = materialise(_joined(again, num, den), "jaccard-links")
     discard(docs.sparkSession, folder)
     release(docs.sparkSession)
@@ -285,7 +286,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
     rows = materialise(scanned.drop("routes"), "jaccard-rows")
     classes = rows.filter("n > 0").groupBy("digest", "node").agg(F.min("doc_id").alias("rep"))
     classes = materialise(classes, "jaccard-classes")
-    led = materialise(routing.led(scanned, routing.buckets_for(scanned)), "jaccard-led")
+    named = scanned.filter("doc_id IS NOT NULL")  # so every leader has a document
+    led = materialise(routing.led(named, routing.buckets_for(named)), "jaccard-led")
     discard(spark, folder)
     release(spark)
     links = _links(read, classes, led, words, num, den, block)
