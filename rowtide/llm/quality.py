@@ -3,14 +3,21 @@
 One pass over each whole text gives the base measures and the hashes of its
 normalised lines (letters A-Z lowered, digit runs as 0, white space runs as one
 space, trimmed; blank lines don't count). Per host (source), the distinct documents
-with each line are counted. Two limits make a line boilerplate:
-
-* at least ``line_docs`` distinct documents of the host have it, and
-* those documents differ otherwise: at least half of them have different sketches.
-
-A document's sketch is the least and the greatest of its line hashes. Exact copies are
-one document; near copies nearly all share a sketch. So a copied article is not taken
-for boilerplate, while a notice under unrelated articles is.
+with each line are counted; a line is shared if ``line_docs`` of them have it, else it
+is rare. A shared line is boilerplate unless copies make up its count, that is, if of
+the documents that have it
+
+* at least ``line_docs`` are different by their rare lines, and
+* those are at least half of them.
+
+Shared lines never decide what is a copy. Exact copies are one document, and documents
+with the same rare lines count once. A document of shared lines for half of its words or
+more whose every rare line is an edited shared line is a near copy; all of these count
+once. A rare line is an edited shared line if the document lacks that line and both begin
+or end alike for a quarter to half of their words. A document without rare lines counts
+as itself. So a copied article is not taken for boilerplate, while a notice under
+unrelated articles is, however little else they hold. Copies that each add a line of
+their own, unlike any shared one, can't be told from such articles and count singly.
 
 A document is depleted, and rejected, if boilerplate lines hold more than
 ``depleted`` percent of its words. The cleaned text is the text without its
@@ -25,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +48,9 @@ _DIGITS = re.compile(rb"[0-9]+")
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SCAN = (
     "doc_id bigint, host string, content binary, n_words bigint, word_chars bigint, n_symbols bigint, "
-    "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line:string, words:bigint>>"
+    "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line:bigint, words:bigint, head:bigint, tail:bigint>>"
 )
-_LINES = pa.list_(pa.struct([("line", pa.string()), ("words", pa.int64())]))
+_LINES = pa.list_(pa.struct([(name, pa.int64()) for name in ("line", "words", "head", "tail")]))
 
 
 def repeat_words(words: list[str], size: int = 3) -> int:
@@ -75,8 +83,20 @@ def line_hash(words: list[str]) -> str:
     return hashlib.md5(normal_line(words), usedforsecurity=False).hexdigest()[:16]
 
 
-def measures(text: str) -> tuple[tuple[int, int, int, int, int], list[tuple[str, int]]]:
-    """The base measures, and (hash, words) of each line that has a word."""
+def line_key(words: list[str]) -> int:
+    return int.from_bytes(bytes.fromhex(line_hash(words)), "big", signed=True)
+
+
+def line_ends(words: list[str]) -> tuple[int, int] | tuple[None, None]:
+    """Short hashes of how a line begins and ends; one edit leaves one of them as it is."""
+    if len(words) < 4:
+        return None, None
+    size = 1 << (len(words).bit_length() - 2)  # the power of two that is a quarter to half of the words
+    return zlib.crc32(b"%d " % size + normal_line(words[:size])), -1 - zlib.crc32(b"%d " % size + normal_line(words[-size:]))
+
+
+def measures(text: str) -> tuple[tuple[int, int, int, int, int], list[tuple]]:
+    """The base measures, and (key, words, head, tail) of each different line that has a word."""
     lines = [(line, words) for line in text.split("\n") if (words := _WORDS.findall(line))]
     all_words = [w for _, words in lines for w in words]
     base = (
@@ -86,7 +106,12 @@ def measures(text: str) -> tuple[tuple[int, int, int, int, int], list[tuple[str,
         len(lines) - len({line for line, _ in lines}),
         repeat_words(all_words),
     )
-    return base, [(line_hash(words), len(words)) for _, words in lines]
+    found: dict[int, tuple] = {}
+    for _, words in lines:
+        key = line_key(words)
+        have = found.get(key)
+        found[key] = (key, have[1] + len(words), *have[2:]) if have else (key, len(words), *line_ends(words))
+    return base, list(found.values())
 
 
 def _scan(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -96,7 +121,7 @@ def _scan(batch: pa.RecordBatch) -> pa.RecordBatch:
         base, lines = measures(text)
         for name, value in zip(_BASE, base, strict=True):
             cols[name].append(value)
-        cols["lines"].append([{"line": h, "words": w} for h, w in lines])
+        cols["lines"].append([dict(zip(("line", "words", "head", "tail"), found, strict=True)) for found in lines])
     kinds = {"content": pa.binary(), "lines": _LINES}
     data = [pa.array(v, kinds.get(k, pa.int64())) for k, v in cols.items()]
     return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), *data], names=["doc_id", "host", *cols])
@@ -110,15 +135,43 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def boilerplate(lines: DataFrame, line_docs: int = 10) -> DataFrame:
-    """(host, line) of the lines above the limits; ``lines`` has host, content, least, most, line.
+    """The rows of ``lines`` above the limits: (host, content, line, words).
 
-    Counted in steps of (document, sketch, line), each combined before its shuffle, so a
-    line of a third of all documents never meets in one task.
+    ``lines`` has a row per host, content (a distinct document) and line. Counted in steps,
+    each combined before its shuffle, so a line of a third of all documents never meets in
+    one task.
     """
-    per_doc = lines.groupBy("host", "line", "least", "most", "content").agg(F.lit(1).alias("one"))
-    per_sketch = per_doc.groupBy("host", "line", "least", "most").agg(F.count("*").alias("docs"))
-    per_line = per_sketch.groupBy("host", "line").agg(F.sum("docs").alias("docs"), F.count("*").alias("sketches"))
-    return per_line.filter((F.col("sketches") >= line_docs) & (2 * F.col("sketches") >= F.col("docs"))).select("host", "line")
+    ends = [F.min(c).alias(c) for c in ("head", "tail")]
+    shared = lines.groupBy("host", "line").agg(F.count("*").alias("docs"), *ends).filter(F.col("docs") >= line_docs)
+    shared = materialise(shared, "quality-shared")
+    marked = lines.join(shared.select("host", "line", F.lit(True).alias("shared")), ["host", "line"], "left")
+    has = F.col("shared").isNotNull()
+    held = materialise(marked.filter(has).select("host", "content", "line", "words"), "quality-held")
+    own = marked.groupBy("host", "content").agg(
+        F.sum("words").alias("words"),
+        F.sum(F.when(has, F.col("words"))).alias("common"),
+        F.count(F.when(~has, 1)).alias("rare"),
+        F.bit_xor(F.when(~has, F.xxhash64("line"))).alias("own"),
+    )
+    own = materialise(own.filter("common > 0"), "quality-own")
+    # Near copies: what is not shared are edits of shared lines that the document lacks.
+    either = F.explode(F.array("head", "tail")).alias("end")
+    alike = (
+        lines.join(own.filter("rare > 0 AND 2 * common >= words").select("host", "content"), ["host", "content"], "left_semi")
+        .join(shared.select("host", "line"), ["host", "line"], "left_anti")
+        .select("host", "content", F.col("line").alias("edit"), either)
+        .join(shared.select("host", "line", either), ["host", "end"])
+        .join(held.select("host", "content", "line"), ["host", "content", "line"], "left_anti")
+    )
+    edits = alike.select("host", "content", "edit").distinct().groupBy("host", "content").agg(F.count("*").alias("edits"))
+    same = (
+        F.when(F.col("rare") == 0, F.xxhash64("content")).when(F.col("edits") == F.col("rare"), F.lit(0)).otherwise(F.col("own"))
+    )
+    who = own.join(edits, ["host", "content"], "left").select("host", "content", same.alias("same"))
+    per_same = held.join(who, ["host", "content"]).groupBy("host", "line", "same").agg(F.count("*").alias("docs"))
+    per_line = per_same.groupBy("host", "line").agg(F.sum("docs").alias("docs"), F.count("*").alias("different"))
+    over = per_line.filter((F.col("different") >= line_docs) & (2 * F.col("different") >= F.col("docs")))
+    return held.join(over.select("host", "line"), ["host", "line"])
 
 
 def judge(docs: DataFrame, line_docs: int = 10, depleted: int = 70) -> DataFrame:
@@ -126,18 +179,10 @@ def judge(docs: DataFrame, line_docs: int = 10, depleted: int = 70) -> DataFrame
     scanned, scan_folder = stored(scan(docs), "quality-scan")
     rows = materialise(scanned.drop("lines"), "quality-rows")
     per_text = scanned.groupBy("host", "content").agg(F.first("lines").alias("lines"))
-    ends = F.array_sort(F.col("lines.line"))
     lines, lines_folder = stored(
-        per_text.withColumn("ends", ends).select(
-            "host",
-            "content",
-            F.element_at("ends", 1).alias("least"),
-            F.element_at("ends", -1).alias("most"),
-            F.explode("lines").alias("l"),
-        ).select("host", "content", "least", "most", F.col("l.line").alias("line"), F.col("l.words").alias("words")),
-        "quality-lines",
+        per_text.select("host", "content", F.explode("lines").alias("l")).select("host", "content", "l.*"), "quality-lines"
     )
-    flagged = lines.join(boilerplate(lines, line_docs), ["host", "line"])
+    flagged = boilerplate(lines, line_docs)
     removed = flagged.groupBy("host", "content").agg(
         F.sum("words").alias("n_boiler_words"), F.collect_set("line").alias("boiler")
     )
@@ -161,7 +206,7 @@ def _clean(batch: pa.RecordBatch) -> pa.RecordBatch:
         if text and boiler:
             drop = set(boiler)
             lines = [(line, _WORDS.findall(line)) for line in text.split("\n")]
-            text = "\n".join(line for line, words in lines if not words or line_hash(words) not in drop)
+            text = "\n".join(line for line, words in lines if not words or line_key(words) not in drop)
         out.append(text)
     names = batch.schema.names
     batch = batch.set_column(names.index("text"), "text", pa.array(out, pa.string()))

@@ -100,6 +100,35 @@ def test_lines_above_the_limits(spark):
     assert all(cleaned[d] == t for d, s, t in rows if d in kept and s != "b")
 
 
+def test_documents_of_shared_lines_are_depleted(spark):
+    """Shared lines don't decide what is a copy: 90 % shared lines, and a line of its own each."""
+    rng = random.Random(5)
+
+    def line(n=12):
+        return " ".join("".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(n))
+
+    rows, depleted = [], set()
+    for host, (many, own) in enumerate([(9, 1)] * 6 + [(8, 2), (12, 3)]):
+        common = [line() for _ in range(many)]
+        for i in range(40):
+            rows.append((1000 * host + i, f"h{host}", "\n".join(common + [line() for _ in range(own)])))
+            depleted.add(1000 * host + i)
+    common = [line() for _ in range(20)]
+    for i in range(40):  # nothing of their own
+        rows.append((20_000 + i, "none", "\n".join(rng.sample(common, 12))))
+        depleted.add(20_000 + i)
+    article = [line() for _ in range(12)]
+    for i in range(40):  # near copies with an edit each that nothing else has
+        lines = [x.split() for x in article]
+        rng.choice(lines)[rng.randrange(12)] = line(1)
+        rows.append((30_000 + i, "copies", "\n".join(map(" ".join, lines))))
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = rows_of(quality.judge(df))
+    assert not any(r["base_failed"] for r in got)
+    assert {r["doc_id"] for r in got if not r["kept"]} == depleted
+    assert {r["doc_id"] for r in rows_of(quality.keep(df))} == {r[0] for r in rows} - depleted
+
+
 def test_long_texts_repeat_words():
     words = [str(i) for i in range(3000)] * 2
     assert quality.repeat_words(words) == 6000
