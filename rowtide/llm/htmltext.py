@@ -11,8 +11,10 @@ what they leave open are the slots.
 Two things are taken from a host's template: the container, an element that occurs
 once per page and whose slots hold the bulk of the host's running text (an article or
 main element if it holds half, else the deepest with nine tenths); and the constant
-texts, text nodes that are on every page (of ``FEW`` different ones or more) or, outside
-articles, on half of them.
+texts, text nodes that are on every page or, outside articles, with half of the host's
+articles. Articles are counted by the running text in the container, so pages that
+carry copies of one article are one; a host with fewer than ``FEW`` has no constant texts.
+Running text in the container is never dropped for being constant, links there are.
 A page's text is what its container holds, less constant texts and less elements that
 are never article text: menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments, told by tag or by the words of id and class. A
@@ -163,14 +165,14 @@ def plain(text: str) -> str:
 
 
 _TOKENS = pa.list_(
-    pa.struct([("token", pa.int64()), ("kind", pa.string()), ("depth", pa.int32()), ("times", pa.int64()), ("volume", pa.int64())])
+    pa.struct([("token", pa.int64()), ("kind", pa.string()), ("depth", pa.int32()), ("times", pa.int64()), ("volume", pa.int64()), ("digest", pa.int64())])
 )
 
 
 def page_tokens(html: str) -> list[dict]:
     """Tokens of a page; elements (e), article elements (a), texts in articles (t) and elsewhere (o).
 
-    ``volume`` of an element is the running text inside it that no rule drops.
+    ``volume`` of an element is the running text inside it that no rule drops, ``digest`` its hash.
     """
     found: dict[int, list] = {}
     opened: set[int] = set()
@@ -179,20 +181,24 @@ def page_tokens(html: str) -> list[dict]:
         if text is None:
             if id(top) not in opened and top.depth:
                 opened.add(id(top))
-                row = found.setdefault(top.path, ["a" if top.holds else "e", top.depth, 0, 0, []])
+                row = found.setdefault(top.path, ["a" if top.holds else "e", top.depth, 0, 0, 0, []])
                 row[2] += 1
-                row[4].append(top)  # keeps the object, so that its id stays its own
+                row[5].append(top)  # keeps the object, so that its id stays its own
             continue
         content = plain(text)
         if not content or top.dropped:
             continue
-        row = found.setdefault(_hash(f"{top.path}|{content}"), ["t" if top.article else "o", top.depth + 1, 0, 0, []])
+        row = found.setdefault(_hash(f"{top.path}|{content}"), ["t" if top.article else "o", top.depth + 1, 0, 0, 0, []])
         row[2] += 1
         if not top.link:
+            digest = _hash(content)
             for node in stack[1:]:
                 if node.path in found:
-                    found[node.path][3] += len(content)
-    return [{"token": k, "kind": v[0], "depth": v[1], "times": v[2], "volume": v[3]} for k, v in found.items()]
+                    row = found[node.path]
+                    row[3] += len(content)
+                    row[4] = (row[4] * 31 + digest) % (1 << 63)
+    names = ("kind", "depth", "times", "volume", "digest")
+    return [{"token": k, **dict(zip(names, v, strict=False))} for k, v in found.items()]
 
 
 def extract(html: str, container: int | None, constant: frozenset[int] | set[int]) -> str:
@@ -216,13 +222,14 @@ def extract(html: str, container: int | None, constant: frozenset[int] | set[int
         top = stack[-1]
         if top.dropped:
             continue
-        if constant and _hash(f"{top.path}|{plain(text)}") in constant:
+        inside = container is not None and any(node.path == container for node in stack)
+        if constant and (top.link or not inside) and _hash(f"{top.path}|{plain(text)}") in constant:
             continue
         piece = decoded(text)
         block["body"].append(piece)
         if top.article:
             block["article"].append(piece)
-        if container is not None and any(node.path == container for node in stack):
+        if inside:
             block["container"].append(piece)
     close()
     for name in ("container", "article", "body"):
@@ -240,7 +247,7 @@ def _tokens(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def templates(pages: DataFrame) -> DataFrame:
     """Per host: the container's path and the constant texts. ``pages`` has host and html."""
-    kind = "struct<token:bigint, kind:string, depth:int, times:bigint, volume:bigint>"
+    kind = "struct<token:bigint, kind:string, depth:int, times:bigint, volume:bigint, digest:bigint>"
     per_page = by_batch(
         pages.filter(F.col("host").isNotNull() & (F.length("html") > 0)).select("host", "html"),
         _tokens,
@@ -271,12 +278,22 @@ def templates(pages: DataFrame) -> DataFrame:
     deep = F.when(
         (F.col("kind") == "e") & once & (10 * F.col("volume") >= 9 * F.col("most")), F.struct("depth", "token")
     )
-    everywhere = (F.col("support") == F.col("pages")) & (F.col("pages") >= FEW) & (F.col("times") == 1)
-    constant = F.col("kind").isin("t", "o") & (everywhere | ((F.col("kind") == "o") & (F.col("pages") >= FEW)))
-    return ranked.groupBy("host").agg(
-        F.coalesce(F.max(semantic)["token"], F.max(deep)["token"]).alias("container"),
-        F.collect_set(F.when(constant, F.col("token"))).alias("constant"),
-    )
+    containers = ranked.groupBy("host").agg(F.coalesce(F.max(semantic)["token"], F.max(deep)["token"]).alias("container"))
+    containers = materialise(containers, "html-containers")
+    # Constant texts are counted over different articles, told by what the container holds.
+    tokens = different.select("host", "content", F.explode("tokens").alias("t")).select("host", "content", "t.token", "t.digest")
+    held = tokens.join(containers.withColumnRenamed("container", "token"), ["host", "token"])
+    held = materialise(held.select("host", "content", F.col("digest").alias("article")), "html-articles")
+    articles = held.groupBy("host").agg(F.count_distinct("article").alias("articles")).filter(F.col("articles") >= FEW)
+    everywhere = (F.col("support") == F.col("pages")) & (F.col("times") == 1)
+    likely = valid.filter(F.col("kind").isin("t", "o") & (F.col("pages") >= FEW) & (everywhere | (F.col("kind") == "o")))
+    likely = likely.join(articles, "host").select("host", "token", "articles", everywhere.alias("everywhere"))
+    likely = materialise(likely, "html-likely")
+    seen = tokens.join(likely, ["host", "token"]).join(held, ["host", "content"])
+    seen = seen.groupBy("host", "token", "articles", "everywhere").agg(F.count_distinct("article").alias("support"))
+    constant = seen.filter(F.col("everywhere") | (2 * F.col("support") >= F.col("articles")))
+    constant = constant.groupBy("host").agg(F.collect_set("token").alias("constant"))
+    return containers.join(constant, "host", "left")
 
 
 def _extract(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -54,6 +54,28 @@ def test_templates_without_telling_names(spark):
     assert {i: r["text"] for i, r in extract(spark, pages).items()} == want
 
 
+def test_copies_of_one_article_are_no_template(spark):
+    """The same article under different menus, and near copies that make up half of a host without telling names."""
+    rng, pages, want = random.Random(4), [], {}
+    blocks = [words(rng, 6), *[words(rng, 40) for _ in range(4)]]
+    body = f"<h1>{blocks[0]}</h1>" + "".join(f"<p>{b}</p>" for b in blocks[1:])
+    for i in range(12):
+        menu = "".join(f"<a href='/{k}'>{words(rng, 2)}</a> " for k in range(5))
+        html = f"<html><head><script>track({i})</script></head><body><div class=x1>{menu}</div><article>{body}</article></body></html>"
+        pages.append((i, f"http://copies.example.com/{i}", html))
+        want[i] = "\n\n".join(blocks)
+    for i in range(100, 140):
+        own = [words(rng, 30) for _ in range(4)]
+        if i % 2:
+            own = [*blocks[1:], words(rng, 3)]
+        paragraphs = "".join(f"<p>{b}</p>" for b in own)
+        share = "<p><a href='/s'>Read more of this site</a></p>"  # constant links go
+        html = f"<html><body><div class=x1><a href='/{i}'>{words(rng, 2)}</a></div><div class=x3>{paragraphs}{share}</div></body></html>"
+        pages.append((i, f"http://half.example.com/{i}", html))
+        want[i] = "\n\n".join(own)
+    assert {i: r["text"] for i, r in extract(spark, pages).items()} == want
+
+
 def test_markup_references_and_white_space(spark):
     cases = {
         1: ("<p>a &amp;amp; b&nbsp;&lt;c&gt; &#233;&#x1F4A1;\n\t d</p>", "a &amp; b <c> é💡 d"),
