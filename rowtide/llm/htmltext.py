@@ -17,8 +17,10 @@ carry copies of one article are one; a host with fewer than ``FEW`` has no const
 Running text in the container is never dropped for being constant, links there are.
 A page's text is what its container holds, less constant texts and less elements that
 are never article text: menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments, told by tag or by the words of id and class. A
-page that does not fit (or whose host has too few pages) is read by its own elements:
+scripts, styles and reader comments, told by tag, or by a class, id or role that says
+nothing else (a has-sidebar is none). Names don't count on articles and headings, nor if the
+template speaks against them: an element that holds nine tenths of the host's running text is the container,
+whatever it is called. A page that does not fit (or whose host has too few pages) is read by its own elements:
 its article or main elements, or else its body.
 
 Character references are decoded, white space inside a block becomes one space,
@@ -62,8 +64,15 @@ NAMED = frozenset(
     "discussion disqus share sharing social related recommended newsletter subscribe subscription login signup search "
     "pagination pager widget popup modal toolbar skip copyright contentinfo complementary gdpr paywall".split()
 )
+# Words that leave a name's meaning as it is. Any other word changes it.
+_NEUTRAL = frozenset(
+    "area bar block body box btn button buttons column container content div form global google gpt group holder icons inner "
+    "item items left link links list main outer page panel posts primary right secondary section site slot stories text "
+    "top bottom unit wrap wrapper".split()
+)
 _PAGE_HEAD = frozenset(["header", "masthead", "topbar"])  # headers of pages, not of articles
 _WHOLE = frozenset(["html", "body", "main"])
+_NEVER_NAMED = frozenset("article h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -79,30 +88,46 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
 class Node:
-    """An open element: its path hash, depth and what holds for its text."""
+    """An open element: its path hash, depth and what holds for its text.
+
+    ``gone``: dropped by a tag; ``named``: paths of the elements around, itself included, that a name drops.
+    """
 
-    __slots__ = ("tag", "path", "depth", "dropped", "article", "link", "holds")
+    __slots__ = ("tag", "path", "depth", "gone", "named", "article", "link", "holds")
 
-    def __init__(self, tag: str, path: int, depth: int, dropped: bool, article: bool, link: bool, holds: bool):
+    def __init__(self, tag: str, path: int, depth: int, gone: bool, named: tuple[int, ...], article: bool, link: bool, holds: bool):
         self.tag, self.path, self.depth = tag, path, depth
-        self.dropped, self.article, self.link, self.holds = dropped, article, link, holds
+        self.gone, self.named, self.article, self.link, self.holds = gone, named, article, link, holds
+
+    @property
+    def dropped(self) -> bool:
+        return self.gone or bool(self.named)
 
 
 def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _dropped(tag: str, names: set[str], in_article: bool) -> bool:
-    if tag in _WHOLE:
-        return False
-    if tag in DROPPED or names & NAMED:
-        return True
-    return not in_article and (tag == "header" or bool(names & _PAGE_HEAD))
+def _gone(tag: str, in_article: bool) -> bool:
+    return tag not in _WHOLE and (tag in DROPPED or tag == "header" and not in_article)
+
+
+def _named(names: list[list[str]], in_article: bool) -> bool:
+    """Whether one of the names (as words) says what is not article text, and nothing else."""
+    telling = NAMED if in_article else NAMED | _PAGE_HEAD
+    for words in names:
+        said = {w for w in words if not w[0].isdigit()}
+        if said & telling and said <= telling | _NEUTRAL:
+            return True
+    return False
+
 
+def walk(html: str, container: int | None = None) -> Iterator[tuple[list[Node], str | None]]:
+    """(open elements, text) per text node; text None where an element opens or a block ends.
 
-def walk(html: str) -> Iterator[tuple[list[Node], str | None]]:
-    """(open elements, text) per text node; text None where an element opens or a block ends."""
-    stack = [Node("", 0, 0, False, False, False, False)]
+    No name drops the element whose path is ``container``.
+    """
+    stack = [Node("", 0, 0, False, (), False, False, False)]
     at = 0
     for m in _TOKEN.finditer(html):
         if m.start() > at:
@@ -133,21 +158,25 @@ def walk(html: str) -> Iterator[tuple[list[Node], str | None]]:
                 if stack[i].tag not in INLINE:
                     break
         top = stack[-1]
-        attrs, names, label = m["attrs"], set(), tag
+        attrs, names, label = m["attrs"], [], tag
         if attrs and "=" in attrs:
             for name, *values in _ATTR.findall(attrs):
                 words = [w for w in _PARTS.split("".join(values).lower()) if w]
-                names.update(words)
+                names += [own for n in "".join(values).lower().split() if (own := [w for w in _PARTS.split(n) if w])]
                 label += f" {name.lower()}={' '.join(w for w in words if not w.isdigit())}"
-        in_article = top.article or tag in ("article", "main") or "main" in names and "role=main" in label
+        holds = tag in ("article", "main") or "role=main" in label
+        in_article = top.article or holds
+        path = _hash(f"{top.path}>{label}")
+        by_name = not (holds or tag in _WHOLE or tag in _NEVER_NAMED or path == container) and _named(names, in_article)
         node = Node(
             tag,
-            _hash(f"{top.path}>{label}"),
+            path,
             top.depth + 1,
-            top.dropped or _dropped(tag, names, in_article),
+            top.gone or _gone(tag, in_article),
+            (*top.named, path) if by_name else top.named,
             in_article,
             top.link or tag == "a",
-            tag in ("article", "main") or "role=main" in label,
+            holds,
         )
         if tag in VOID or (attrs or "").endswith("/") and tag in ("svg", "path"):
             if block:
@@ -169,10 +198,24 @@ _TOKENS = pa.list_(
 )
 
 
+def _kind(node: Node) -> str:
+    if node.path in node.named[-1:]:
+        return "n"
+    return "a" if node.holds else "e"
+
+
+def _add(found: dict[int, list], path: int, content: str) -> None:
+    if row := found.get(path):
+        row[3] += len(content)
+        row[4] = (row[4] * 31 + _hash(content)) % (1 << 63)
+
+
 def page_tokens(html: str) -> list[dict]:
-    """Tokens of a page; elements (e), article elements (a), texts in articles (t) and elsewhere (o).
+    """Tokens of a page; elements (e), article elements (a), elements that a name drops (n), texts in articles (t)
+    and elsewhere (o).
 
-    ``volume`` of an element is the running text inside it that no rule drops, ``digest`` its hash.
+    ``volume`` of an element is the running text inside it that no rule drops (other than its own name, if one
+    drops it), ``digest`` its hash.
     """
     found: dict[int, list] = {}
     opened: set[int] = set()
@@ -181,22 +224,22 @@ def page_tokens(html: str) -> list[dict]:
         if text is None:
             if id(top) not in opened and top.depth:
                 opened.add(id(top))
-                row = found.setdefault(top.path, ["a" if top.holds else "e", top.depth, 0, 0, 0, []])
+                row = found.setdefault(top.path, [_kind(top), top.depth, 0, 0, 0, []])
                 row[2] += 1
                 row[5].append(top)  # keeps the object, so that its id stays its own
             continue
         content = plain(text)
-        if not content or top.dropped:
+        if not content or top.gone:
+            continue
+        if top.named:
+            if len(top.named) == 1 and not top.link:
+                _add(found, top.named[0], content)
             continue
         row = found.setdefault(_hash(f"{top.path}|{content}"), ["t" if top.article else "o", top.depth + 1, 0, 0, 0, []])
         row[2] += 1
         if not top.link:
-            digest = _hash(content)
             for node in stack[1:]:
-                if node.path in found:
-                    row = found[node.path]
-                    row[3] += len(content)
-                    row[4] = (row[4] * 31 + digest) % (1 << 63)
+                _add(found, node.path, content)
     names = ("kind", "depth", "times", "volume", "digest")
     return [{"token": k, **dict(zip(names, v, strict=False))} for k, v in found.items()]
 
@@ -215,7 +258,7 @@ def extract(html: str, container: int | None, constant: frozenset[int] | set[int
     def decoded(text: str) -> str:  # a reference is decoded once, so what it gives is protected
         return chars.unescape(text).replace("&", "&amp;")
 
-    for stack, text in walk(html):
+    for stack, text in walk(html, container):
         if text is None:
             close()
             continue
@@ -278,7 +321,10 @@ def templates(pages: DataFrame) -> DataFrame:
     deep = F.when(
         (F.col("kind") == "e") & once & (10 * F.col("volume") >= 9 * F.col("most")), F.struct("depth", "token")
     )
-    containers = ranked.groupBy("host").agg(F.coalesce(F.max(semantic)["token"], F.max(deep)["token"]).alias("container"))
+    bulk = 10 * F.col("volume") >= 9 * (F.col("volume") + F.coalesce("most", F.lit(0)))
+    misnamed = F.when((F.col("kind") == "n") & once & bulk & (F.col("volume") > 0), F.struct("volume", "token"))
+    best = F.coalesce(F.max(misnamed)["token"], F.max(semantic)["token"], F.max(deep)["token"])
+    containers = ranked.groupBy("host").agg(best.alias("container"))
     containers = materialise(containers, "html-containers")
     # Constant texts are counted over different articles, told by what the container holds.
     tokens = different.select("host", "content", F.explode("tokens").alias("t")).select("host", "content", "t.token", "t.digest")

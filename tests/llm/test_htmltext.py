@@ -76,6 +76,25 @@ def test_copies_of_one_article_are_no_template(spark):
     assert {i: r["text"] for i, r in extract(spark, pages).items()} == want
 
 
+def test_names_that_only_mention_what_is_dropped(spark):
+    cases = {
+        1: ("<article class='post category-social'><p>a</p></article><p>x</p>", "a"),
+        2: ("<div id='content' class='has-sidebar comments-open'><p>b</p><div class='social-share'>s</div></div>", "b"),
+        3: ("<article><p>c</p><section id='related-work'><h2 id='search-and-login'>Search</h2><p>d</p></section></article>", "c\n\nSearch\n\nd"),
+        4: ("<main class=widget><h2 id=comments class=header>e</h2><p>f</p></main>", "e\n\nf"),
+        5: ("<p>g</p><div class='cookie-notice'>n</div><div id='comment-17'>m</div><div class='site-header wide'>h</div>", "g"),
+        6: ("<article class='social'><p>h</p><div class='related posts-list'>r</div></article>", "h"),
+    }
+    pages = [(i, f"http://h{i}.example.com/", html) for i, (html, _) in cases.items()]
+    rng, want = random.Random(6), {i: text for i, (_, text) in cases.items()}
+    for i in range(100, 120):  # the host's whole text is in an element that is called a sidebar
+        blocks = [words(rng, 30), words(rng, 30)]
+        inner = f"<p>{blocks[0]}</p><p>{blocks[1]}</p><div class=comments>{words(rng, 9)}</div>"
+        pages.append((i, f"http://odd.example.com/{i}", f"<body><div class=top1>Site</div><div id=content class=left-sidebar>{inner}</div></body>"))
+        want[i] = "\n\n".join(blocks)
+    assert {i: r["text"] for i, r in extract(spark, pages).items()} == want
+
+
 def test_markup_references_and_white_space(spark):
     cases = {
         1: ("<p>a &amp;amp; b&nbsp;&lt;c&gt; &#233;&#x1F4A1;\n\t d</p>", "a &amp; b <c> é💡 d"),
