@@ -1,12 +1,15 @@
 """Routes: sets that share a hashed key meet under one leader, whatever the number of sets on a key.
 
 Rows have a ``node`` (a 64-bit name) and ``routes`` (keys, ``KEY_BYTES`` each, end to
-end). The first node that a bucket sees on a key leads it. A bucket's memory grows
-with its different keys, not with the nodes on one key.
+end). The least node on a key leads it, in whatever order nodes arrive, so a task that
+is repeated gives the same pairs. A bucket's memory grows with its different keys, not
+with the nodes on one key: what exceeds a chunk waits in a file of the task until all
+leaders are known.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,6 +100,34 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
         yield np.concatenate(keys), np.concatenate(nodes)
 
 
+def _starts(key: np.ndarray) -> np.ndarray:
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    return np.flatnonzero(new)
+
+
+def _led(
+    key: np.ndarray, node: np.ndarray, known: np.ndarray, leads: np.ndarray, with_keys: bool
+) -> Iterator[pa.RecordBatch]:
+    """The pairs of a chunk that is sorted by key."""
+    starts = _starts(key)
+    lead = leads[np.searchsorted(known, key[starts])]
+    leader = np.repeat(lead, np.diff(np.append(starts, len(key))))
+    met = leader != node
+    columns = [leader[met], node[met]]
+    if with_keys:
+        low = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        # A leader is told once per chunk that has others on its key.
+        led_runs = np.add.reduceat(met.astype(np.int64), starts) > 0
+        own = [lead[led_runs], lead[led_runs], low[starts][led_runs]]
+        columns = [np.concatenate(c) for c in zip([*columns, low[met]], own, strict=True)]
+    pairs = np.unique(np.stack(columns, 1), axis=0)
+    if len(pairs):
+        names = ["leader", "node", "low"][: pairs.shape[1]]
+        arrays = [pa.array(np.ascontiguousarray(pairs[:, i])) for i in range(pairs.shape[1])]
+        yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+
 def led(rows: DataFrame, buckets: int, with_keys: bool = False) -> DataFrame:
     """Distinct (leader, node) for every node that shares a key with its leader.
 
@@ -106,38 +137,31 @@ def led(rows: DataFrame, buckets: int, with_keys: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, leads = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for key, node in _gathered(batches):
-            order = np.argsort(key, kind="stable")
-            key, node = key[order], node[order]
-            new = np.ones(len(key), bool)
-            new[1:] = key[1:] != key[:-1]
-            starts = np.flatnonzero(new)
-            heads = key[starts]
-            # The least node: texts that share much then share most of their leaders.
-            lead = np.minimum.reduceat(node, starts) if len(starts) else node[:0]
-            runs = np.diff(np.append(starts, len(key)))
-            old = np.zeros(len(starts), bool)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, heads), len(known) - 1)
-                old = known[at] == heads
-                lead[old] = leads[at[old]]
-            leader = np.repeat(lead, runs)
-            met = leader != node
-            columns = [leader[met], node[met]]
-            if with_keys:
-                low = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                # A leader is told once per chunk that has others on its key.
-                led_runs = np.add.reduceat(met.astype(np.int64), starts) > 0
-                own = [lead[led_runs], lead[led_runs], low[starts][led_runs]]
-                columns = [np.concatenate(c) for c in zip([*columns, low[met]], own, strict=True)]
-            pairs = np.unique(np.stack(columns, 1), axis=0)
-            if len(pairs):
-                names = ["leader", "node", "low"][: pairs.shape[1]]
-                arrays = [pa.array(np.ascontiguousarray(pairs[:, i])) for i in range(pairs.shape[1])]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
-            merged = np.concatenate([known, heads[~old]])
-            place = np.argsort(merged, kind="stable")
-            known, leads = merged[place], np.concatenate([leads, lead[~old]])[place]
+        last, waiting = None, 0
+        with tempfile.TemporaryFile() as file:
+            for key, node in _gathered(batches):
+                if last is not None:
+                    for part in last:
+                        np.save(file, part)
+                    waiting += 1
+                order = np.argsort(key, kind="stable")
+                last = key[order], node[order]
+                starts = _starts(last[0])
+                # The least node: texts that share much then share most of their leaders.
+                heads, lead = last[0][starts], np.minimum.reduceat(last[1], starts)
+                old = np.zeros(len(heads), bool)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, heads), len(known) - 1)
+                    old = known[at] == heads
+                    leads[at[old]] = np.minimum(leads[at[old]], lead[old])
+                merged = np.concatenate([known, heads[~old]])
+                place = np.argsort(merged, kind="stable")
+                known, leads = merged[place], np.concatenate([leads, lead[~old]])[place]
+            if last is not None:
+                yield from _led(*last, known, leads, with_keys)
+            file.seek(0)
+            for _ in range(waiting):
+                yield from _led(np.load(file), np.load(file), known, leads, with_keys)
 
     schema = "leader bigint, node bigint" + (", low bigint" if with_keys else "")
     return in_arrow(_dealt(rows, buckets).repartition(buckets, "bucket"), run, schema).distinct()
