@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import flatscan, hamming, htmltext, jaccard, mixing, packing, quality, repeats, secrets, tokenfile
+from rowtide.llm import flatscan, hamming, htmltext, jaccard, lmscore, mixing, packing, quality, repeats, secrets, tokenfile
 from rowtide.llm.common import table
 from rowtide.llm.sql import ORACLES  # noqa: F401
 
@@ -89,3 +89,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", secrets.spans().alias("spans"), "n_live", "n_examples"
     )
+
+
+@query
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.lm_scores(table(spark, sf_dir, "documents"))
