@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import flatscan, hamming, htmltext, jaccard, lmscore, mixing, packing, quality, repeats, secrets, tokenfile
+from rowtide.llm import (
+    convrepair,
+    flatscan,
+    hamming,
+    htmltext,
+    jaccard,
+    lmscore,
+    mixing,
+    packing,
+    quality,
+    repeats,
+    secrets,
+    tokenfile,
+)
 from rowtide.llm.common import table
 from rowtide.llm.sql import ORACLES  # noqa: F401
 
@@ -94,3 +107,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return convrepair.judged(conversations, convrepair.damaged(conversations))
