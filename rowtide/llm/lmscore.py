@@ -13,13 +13,13 @@ Least counts above, greatest below: probabilities of all tokens after one histor
 to one at most, whatever the quantisation. What a probe that is wrong adds is as rare as the
 filter's error rate. A token's score uses the longest history that its text has.
 
-Work is packed: a batch of texts becomes its different grams, as sorted numbers in one
-row for each shard, so a shuffle carries about five bytes for each different gram of a batch, and a gram
-in every text of the corpus is one number in each batch. Shards are sized by the input, so
-that a task holds about a million numbers whatever the input.
+Work is packed. Texts are read once and stored as batches of tokens, less than two bytes
+a token. A batch's different grams travel as sorted numbers, one row for each shard, about three bytes
+each; a gram in every text of the corpus is one number in each batch. Shards are sized by
+the input, so that a task holds about a million numbers whatever the input.
 
 The filter grows with the corpus. Up to ``spark.rowtide.broadcastBytes`` it is broadcast to the
-workers with the exact counts, and texts are scored as they are read. Beyond that the same
+workers with the exact counts, and batches are scored as they are read. Beyond that the same
 probes are sent to the shards: batches ask, each shard answers with a byte a gram, and
 answers meet their batch again. Both ways give the same doubles.
 
@@ -52,7 +52,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(0xE4D5C8A96B7F1023)  # stands for the end of a text; words have hashes of their own
 PIECE = 1 << 20  # bytes of text that are hashed at a time
 BATCH = 1 << 21  # tokens of a batch; a longer text is a batch of its own
-PER_SHARD = 4 << 20  # bytes of text for each shard: some million grams
+PER_SHARD = 1 << 19  # tokens for each shard: less than a million grams
 _SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 
 
@@ -143,7 +143,7 @@ class Batch:
             yield n, np.flatnonzero(ok), key[ok]
 
 
-def _made(parts: list, order: int) -> Batch:
+def _made(parts: list) -> Batch:
     ids = pa.concat_arrays([p[0] for p in parts])
     counts = np.concatenate([p[3] for p in parts])
     words = np.concatenate([p[2] for p in parts])
@@ -157,7 +157,7 @@ def _made(parts: list, order: int) -> Batch:
     return Batch(ids, np.concatenate([p[1] for p in parts]), tokens, line)
 
 
-def batches(source: Iterator[pa.RecordBatch], order: int) -> Iterator[Batch]:
+def batches(source: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
     """Texts by the batch, about ``BATCH`` tokens each."""
     kept, size = [], 0
     for rows in (r.slice(i, 512) for r in source for i in range(0, r.num_rows, 512)):
@@ -174,14 +174,88 @@ def batches(source: Iterator[pa.RecordBatch], order: int) -> Iterator[Batch]:
             size += len(words) + end - at
             at = end
             if size >= BATCH:
-                yield _made(kept, order)
+                yield _made(kept)
                 kept, size = [], 0
     if kept:
-        yield _made(kept, order)
+        yield _made(kept)
 
 
-def _rows(docs: DataFrame, settings: Settings) -> DataFrame:
-    return pick(docs, "doc_id", "text").select("doc_id", "text", held_out(settings))
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits as four planes of bytes, compressed; high bytes are mostly zero."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+
+
+def _steps(ascending: np.ndarray) -> bytes:
+    """Sorted numbers of 32 bits, as what each adds to the one before."""
+    return _planes(np.diff(ascending, prepend=np.uint32(0)))
+
+
+def _sums(raw: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(raw), dtype=np.uint32)
+
+
+_LINES = "batch string, size bigint, ids {}, held binary, tokens binary, words binary, line binary"
+
+
+def _packed(batch: Batch) -> pa.RecordBatch:
+    """A batch as one row: its different tokens, most frequent first, and the number of each in the line."""
+    different, at, times = np.unique(batch.line, return_inverse=True, return_counts=True)
+    by_use = np.argsort(-times, kind="stable")
+    place = np.empty(len(by_use), np.uint32)
+    place[by_use] = np.arange(len(by_use), dtype=np.uint32)
+    return pa.RecordBatch.from_pydict(
+        {
+            "batch": [uuid.uuid4().hex],
+            "size": pa.array([int(batch.tokens.sum())], pa.int64()),
+            "ids": pa.ListArray.from_arrays(pa.array([0, len(batch.ids)], pa.int32()), batch.ids),
+            "held": pa.array([np.packbits(batch.held).tobytes()], pa.binary()),
+            "tokens": pa.array([batch.tokens.astype(np.int64).tobytes()], pa.binary()),
+            "words": pa.array([different[by_use].tobytes()], pa.binary()),
+            "line": pa.array([_planes(place[at])], pa.binary()),
+        }
+    )
+
+
+def _unpacked(rows: pa.RecordBatch | pa.Table) -> Iterator[tuple[str, Batch]]:
+    for i in range(rows.num_rows):
+        row = rows.select(["batch", "held", "tokens", "words", "line"]).slice(i, 1).to_pylist()[0]
+        ids = rows["ids"].slice(i, 1)
+        ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
+        tokens = np.frombuffer(row["tokens"], np.int64)
+        held = np.unpackbits(np.frombuffer(row["held"], np.uint8), count=len(tokens)).astype(bool)
+        yield row["batch"], Batch(ids.flatten(), held, tokens, np.frombuffer(row["words"], np.uint64)[_numbers(row["line"])])
+
+
+@dataclass(frozen=True)
+class Lines:
+    """Texts read into a stored table of batches."""
+
+    table: DataFrame
+    settings: Settings
+
+
+def read(docs: DataFrame, settings: Settings = Settings()) -> Lines:
+    """Texts with the share that is held out, as batches of tokens."""
+    rows = pick(docs, "doc_id", "text").select("doc_id", "text", held_out(settings))
+    kind = f"array<{rows.schema['doc_id'].dataType.simpleString()}>"
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(source):
+            yield _packed(batch)
+
+    return Lines(stored(in_arrow(rows, run, _LINES.format(kind)), "lm-lines")[0], settings)
+
+
+def _different(keys: np.ndarray) -> np.ndarray:
+    """Sorted, each once; for numbers this is faster than a table of hashes."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
 
 
 def _sliced(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
@@ -210,9 +284,9 @@ def _counted(batch: Batch, order: int, bits: int) -> pa.RecordBatch:
                 shard,
                 words[w].tobytes(),
                 per_word[w].astype(np.int64).tobytes(),
-                rest[~many].tobytes(),
-                rest[many].tobytes(),
-                n[many].astype(np.uint32).tobytes(),
+                _steps(rest[~many]),
+                _steps(rest[many]),
+                _planes(n[many]),
             )
         )
     columns = list(zip(*out, strict=True)) or [()] * 6
@@ -240,8 +314,10 @@ def _runs(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _shard_row(group: pa.Table, settings: Settings) -> pa.Table:
     """The finished shard: its bits and its exact counts of single tokens."""
     words, counts = _summed(_array(group["words"], np.uint64), _array(group["word_n"], np.int64))
-    ones, many = _array(group["ones"], np.uint32), _array(group["many"], np.uint32)
-    times = np.concatenate([np.ones(len(ones), np.int64), _array(group["many_n"], np.uint32).astype(np.int64)])
+    ones, many, times = (
+        np.concatenate([fn(x) for x in group[c].to_pylist()]) for c, fn in (("ones", _sums), ("many", _sums), ("many_n", _numbers))
+    )
+    times = np.concatenate([np.ones(len(ones), np.uint32), times])
     # Key and count in one number sort faster than keys with their places; a count is below 2**32.
     both = np.sort(np.concatenate([ones, many]).astype(np.uint64) << np.uint64(32) | times.astype(np.uint64))
     rest, n = _runs((both >> np.uint64(32)).astype(np.uint32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64))
@@ -258,20 +334,19 @@ def _shard_row(group: pa.Table, settings: Settings) -> pa.Table:
     )
 
 
-def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
+def train(lines: Lines) -> Model:
     """Learn from the texts that are not held out."""
-    spark = docs.sparkSession
-    rows = _rows(docs, settings)
-    volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(0, (volume // PER_SHARD)).bit_length()
+    spark, settings = lines.table.sparkSession, lines.settings
+    bits = ((lines.table.agg(F.sum("size")).first()[0] or 0) // PER_SHARD).bit_length()
     order = settings.order
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(source, order):
-            yield _counted(batch, order, bits)
+        for rows in source:
+            for _, batch in _unpacked(rows):
+                yield _counted(batch, order, bits)
 
     schema = "shard bigint, words binary, word_n binary, ones binary, many binary, many_n binary"
-    counted = in_arrow(rows, count, schema)
+    counted = in_arrow(lines.table, count, schema)
     made = counted.groupBy("shard").applyInArrow(
         lambda group: _shard_row(group, settings),
         "shard bigint, bits binary, words binary, counts binary, n_tokens bigint, n_words bigint",
@@ -327,8 +402,8 @@ def _result(batch: Batch, found: dict[str, np.ndarray], tokens: int) -> pa.Recor
     )
 
 
-def _schema(docs: DataFrame) -> str:
-    kind = pick(docs, "doc_id").schema["doc_id"].dataType.simpleString()
+def _schema(lines: Lines) -> str:
+    kind = lines.table.schema["ids"].dataType.elementType.simpleString()
     return (
         f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double"
@@ -343,11 +418,10 @@ def _exact(words: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> np.ndarra
     return np.where(words[at] == keys, counts[at], 0)
 
 
-def _by_broadcast(rows: DataFrame, model: Model, schema: str) -> DataFrame:
-    """Texts scored as they are read; every worker holds the whole filter, whose size the caller has checked."""
-    spark = rows.sparkSession
+def _by_broadcast(lines: Lines, model: Model) -> DataFrame:
+    """Every worker holds the whole filter and the exact counts, whose size the caller has checked."""
     shards = [(r.shard, bytes(r.bits), bytes(r.words), bytes(r.counts)) for r in model.table.orderBy("shard").toLocalIterator()]
-    held: Broadcast = spark.sparkContext.broadcast(shards)
+    held: Broadcast = lines.table.sparkSession.sparkContext.broadcast(shards)
     bits, plain = model.shard_bits, replace(model, table=None)
 
     def score(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,99 +429,64 @@ def _by_broadcast(rows: DataFrame, model: Model, schema: str) -> DataFrame:
         table: Filter = joined([(s, b) for s, b, _, _ in shards], bits, plain.settings.hashes)
         words = np.frombuffer(b"".join(w for _, _, w, _ in shards), np.uint64)  # shards are ranges of the key
         counts = np.frombuffer(b"".join(c for _, _, _, c in shards), np.int64)
-        for batch in batches(source, plain.settings.order):
-            found = _probabilities(
-                batch, plain, lambda n, keys: _once(table.levels, keys), lambda keys: _exact(words, counts, keys)
-            )
-            yield _result(batch, found, plain.tokens)
-
-    return in_arrow(rows, score, schema)
-
 
-def _once(fn, keys: np.ndarray) -> np.ndarray:
-    """``fn`` over the different keys only."""
-    different, back = np.unique(keys, return_inverse=True)
-    return fn(different)[back]
+        def level_of(n: int, keys: np.ndarray) -> np.ndarray:
+            different, back = np.unique(keys, return_inverse=True)
+            return table.levels(different)[back]
 
+        for rows in source:
+            for _, batch in _unpacked(rows):
+                found = _probabilities(batch, plain, level_of, lambda keys: _exact(words, counts, keys))
+                yield _result(batch, found, plain.tokens)
 
-def _packed(batch: Batch) -> bytes:
-    """The line as its different tokens and a number for each place, compressed."""
-    different, at = np.unique(batch.line, return_inverse=True)
-    head = np.array([len(different), len(at)], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(head + different.tobytes() + at.astype(np.uint32).tobytes())
-
-
-def _unpacked(row: dict) -> Batch:
-    raw = zstandard.ZstdDecompressor().decompress(row["line"])
-    n, places = np.frombuffer(raw, np.int64, 2)
-    different = np.frombuffer(raw, np.uint64, n, 16)
-    at = np.frombuffer(raw, np.uint32, places, 16 + 8 * int(n))
-    tokens = np.frombuffer(row["tokens"], np.int64)
-    return Batch(row["ids"], np.frombuffer(row["held"], bool), tokens, different[at])
+    return in_arrow(lines.table, score, _schema(lines))
 
 
 def _asked(batch: Batch, order: int) -> tuple[np.ndarray, np.ndarray]:
     """(different words, different grams of all lengths) of a batch, sorted."""
     grams = [k for _, _, k in batch.grams(order)]
-    return np.unique(grams[0]), np.unique(np.concatenate(grams))
+    return _different(grams[0]), _different(np.concatenate(grams))
 
 
-def _by_shuffle(rows: DataFrame, model: Model, schema: str) -> DataFrame:
+def _by_shuffle(lines: Lines, model: Model) -> DataFrame:
     """Batches ask the shards; what they answer meets the batch again."""
-    spark = rows.sparkSession
     s, bits, plain = model.settings, model.shard_bits, replace(model, table=None)
-    id_kind = rows.schema["doc_id"].dataType.simpleString()
 
     def ask(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row with the batch itself (shard -1) and one for each shard that it asks."""
-        for batch in batches(source, s.order):
-            name = uuid.uuid4().hex
-            words, keys = _asked(batch, s.order)
-            of_words = dict(_sliced(words, bits))
-            parts = list(_sliced(keys, bits))
-            none, n = [None], len(parts)
-            ids = pa.ListArray.from_arrays(pa.array([0, len(batch.ids)], pa.int32()), batch.ids)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "batch": pa.array([name] * (n + 1)),
-                    "shard": pa.array([-1, *[p[0] for p in parts]], pa.int64()),
-                    "words": pa.array(none + [words[of_words.get(p[0], slice(0, 0))].tobytes() for p in parts], pa.binary()),
-                    "grams": pa.array(none + [within_shard(keys[p[1]], bits).tobytes() for p in parts], pa.binary()),
-                    "ids": pa.concat_arrays([ids, pa.nulls(n, ids.type)]),
-                    "held": pa.array([batch.held.tobytes(), *none * n], pa.binary()),
-                    "tokens": pa.array([batch.tokens.astype(np.int64).tobytes(), *none * n], pa.binary()),
-                    "line": pa.array([_packed(batch), *none * n], pa.binary()),
-                }
-            )
+        for rows in source:
+            for name, batch in _unpacked(rows):
+                words, keys = _asked(batch, s.order)
+                of_words = dict(_sliced(words, bits))
+                parts = list(_sliced(keys, bits))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "batch": [name] * len(parts),
+                        "shard": pa.array([p[0] for p in parts], pa.int64()),
+                        "words": pa.array([words[of_words.get(p[0], slice(0, 0))].tobytes() for p in parts], pa.binary()),
+                        "grams": pa.array([_steps(within_shard(keys[p[1]], bits)) for p in parts], pa.binary()),
+                    }
+                )
 
     def answer(key: tuple[pa.Scalar, ...], asked: pa.Table, shard: pa.Table) -> pa.Table:
-        out_levels, out_counts = [], []
-        if shard.num_rows:
-            row = shard.to_pylist()[0]
-            table = joined([(0, row["bits"])], 0, s.hashes)
-            known, counts = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["counts"], np.int64)
+        levels, counts = [], []
+        row = shard.to_pylist()[0] if shard.num_rows else {"bits": b"", "words": b"", "counts": b""}
+        table = joined([(0, row["bits"])], 0, s.hashes)
+        known, times = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["counts"], np.int64)
         for words, grams in zip(asked["words"].to_pylist(), asked["grams"].to_pylist(), strict=True):
-            words, grams = np.frombuffer(words, np.uint64), np.frombuffer(grams, np.uint32)
-            if shard.num_rows:
-                levels = table.levels_in(grams, np.zeros(len(grams), np.int64))
-                found = _exact(known, counts, words)
-            else:
-                levels, found = np.zeros(len(grams), np.uint8), np.zeros(len(words), np.int64)
-            out_levels.append(levels.tobytes())
-            out_counts.append(found.astype(np.int64).tobytes())
+            rest = _sums(grams)
+            levels.append(table.levels_in(rest, np.zeros(len(rest), np.int64)).tobytes())
+            counts.append(_exact(known, times, np.frombuffer(words, np.uint64)).astype(np.int64).tobytes())
         return pa.table(
             {
                 "batch": asked["batch"],
                 "shard": asked["shard"],
-                "levels": pa.array(out_levels, pa.binary()),
-                "counts": pa.array(out_counts, pa.binary()),
+                "levels": pa.array(levels, pa.binary()),
+                "counts": pa.array(counts, pa.binary()),
             }
         )
 
     def score(key: tuple[pa.Scalar, ...], line: pa.Table, answers: pa.Table) -> pa.Table:
-        row = line.select(["held", "tokens", "line"]).to_pylist()[0]
-        ids = line["ids"].combine_chunks()
-        batch = _unpacked(row | {"ids": (ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids).flatten()})
+        ((_, batch),) = _unpacked(line)
         words, keys = _asked(batch, s.order)
         answers = answers.sort_by("shard")
         levels, counts = _array(answers["levels"], np.uint8), _array(answers["counts"], np.int64)
@@ -459,34 +498,24 @@ def _by_shuffle(rows: DataFrame, model: Model, schema: str) -> DataFrame:
         )
         return pa.Table.from_batches([_result(batch, found, plain.tokens)])
 
-    asked, _ = stored(
-        in_arrow(
-            rows,
-            ask,
-            f"batch string, shard bigint, words binary, grams binary, ids array<{id_kind}>, held binary, tokens binary, line binary",
-        ),
-        "lm-asked",
-    )
     answers = (
-        asked.filter("shard >= 0")
-        .select("batch", "shard", "words", "grams")
+        in_arrow(lines.table, ask, "batch string, shard bigint, words binary, grams binary")
         .groupBy("shard")
         .cogroup(model.table.select("shard", "bits", "words", "counts").groupBy("shard"))
         .applyInArrow(answer, "batch string, shard bigint, levels binary, counts binary")
     )
-    lines = asked.filter("shard < 0").select("batch", "ids", "held", "tokens", "line")
-    return lines.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(score, schema)
+    return lines.table.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(score, _schema(lines))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(lines: Lines, model: Model) -> DataFrame:
     """One row per text: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    ship(docs.sparkSession)
-    rows, schema = _rows(docs, model.settings), _schema(docs)
-    if model.size <= limits(docs.sparkSession).broadcast_bytes:
-        return _by_broadcast(rows, model, schema)
-    return _by_shuffle(rows, model, schema)
+    ship(lines.table.sparkSession)
+    if model.size <= limits(lines.table.sparkSession).broadcast_bytes:
+        return _by_broadcast(lines, model)
+    return _by_shuffle(lines, model)
 
 
 def lm_scores(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Train on the texts that are not held out and score all of them."""
-    return score(docs, train(docs, settings))
+    lines = read(docs, settings)
+    return score(lines, train(lines))
