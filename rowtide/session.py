@@ -114,9 +114,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps that are over; it does so when the driver collects garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark drop the shuffle files of steps that are over; it does so when the driver collects garbage.
+
+    The first collection ends what still holds the last step's plan, the second one frees its shuffles.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def discard(spark: SparkSession, path: str) -> None:
