@@ -180,6 +180,15 @@ def batches(source: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
         yield _made(kept)
 
 
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """The place of each key among the different ones in order."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]])) if len(keys) else 0
+    return out
+
+
 def _planes(numbers: np.ndarray) -> bytes:
     """Numbers of 32 bits as four planes of bytes, compressed; high bytes are mostly zero."""
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
@@ -474,7 +483,7 @@ def _by_shuffle(lines: Lines, model: Model) -> DataFrame:
         known, times = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["counts"], np.int64)
         for words, grams in zip(asked["words"].to_pylist(), asked["grams"].to_pylist(), strict=True):
             rest = _sums(grams)
-            levels.append(table.levels_in(rest, np.zeros(len(rest), np.int64)).tobytes())
+            levels.append(table.levels_in(rest, 0).tobytes())
             counts.append(_exact(known, times, np.frombuffer(words, np.uint64)).astype(np.int64).tobytes())
         return pa.table(
             {
@@ -487,23 +496,24 @@ def _by_shuffle(lines: Lines, model: Model) -> DataFrame:
 
     def score(key: tuple[pa.Scalar, ...], line: pa.Table, answers: pa.Table) -> pa.Table:
         ((_, batch),) = _unpacked(line)
-        words, keys = _asked(batch, s.order)
         answers = answers.sort_by("shard")
         levels, counts = _array(answers["levels"], np.uint8), _array(answers["counts"], np.int64)
+        grams = [k for _, _, k in batch.grams(s.order)]
+        levels = levels[_ranks(np.concatenate(grams))]
+        ends = np.cumsum([0, *map(len, grams)])
         found = _probabilities(
-            batch,
-            plain,
-            lambda n, k: levels[np.searchsorted(keys, k)],
-            lambda k: counts[np.searchsorted(words, k)],
+            batch, plain, lambda n, k: levels[ends[n - 1] : ends[n]], lambda k: counts[_ranks(k)]
         )
         return pa.Table.from_batches([_result(batch, found, plain.tokens)])
 
-    answers = (
+    answers, _ = stored(
         in_arrow(lines.table, ask, "batch string, shard bigint, words binary, grams binary")
         .groupBy("shard")
         .cogroup(model.table.select("shard", "bits", "words", "counts").groupBy("shard"))
-        .applyInArrow(answer, "batch string, shard bigint, levels binary, counts binary")
+        .applyInArrow(answer, "batch string, shard bigint, levels binary, counts binary"),
+        "lm-answers",
     )
+    release(lines.table.sparkSession)
     return lines.table.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(score, _schema(lines))
 
 

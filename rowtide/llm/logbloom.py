@@ -79,24 +79,34 @@ class Filter:
         shard = shard_of(keys, self.shard_bits)
         return self.levels_in(within_shard(keys, self.shard_bits), shard)
 
-    def levels_in(self, rest: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    def levels_in(self, rest: np.ndarray, shard: np.ndarray | int) -> np.ndarray:
+        """Levels of keys of 32 bits in their shards, or all in one."""
         out = np.zeros(len(rest), np.uint8)
+        alone = not isinstance(shard, np.ndarray)
         for start in range(0, len(rest), _PART):
             part = slice(start, start + _PART)
-            out[part] = self._probed(rest[part], self.begins[shard[part]], self.begins[shard[part] + 1])
+            at = shard if alone else shard[part]
+            out[part] = self._probed(rest[part], self.begins[at], 8 * (self.begins[at + 1] - self.begins[at]))
         return out
 
-    def _probed(self, rest: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def _probed(self, rest: np.ndarray, begin: np.ndarray | int, size: np.ndarray | int) -> np.ndarray:
+        """``begin`` (byte) and ``size`` (bits) of each key's shard, or of the one of all."""
         out = np.zeros(len(rest), np.uint8)
-        alive = np.flatnonzero(end > begin)
+        alive = np.flatnonzero(np.broadcast_to(size > 0, rest.shape))
         for j in range(1, 256):
             if not len(alive):
                 break
-            size = (end[alive] - begin[alive]) * 8
-            hit = np.ones(len(alive), bool)
-            for place in _places(rest[alive], j, size, self.hashes):
-                hit &= (self.bits[begin[alive] + (place >> 3)] >> (place & 7).astype(np.uint8)) & 1 == 1
-            alive = alive[hit]
+            h = mixed(rest[alive].astype(np.uint64) + np.array([j], np.uint64) * _STEP)
+            a, b = h & _LOW, (h >> np.uint64(32)) | np.uint64(1)
+            for i in range(self.hashes):
+                own, at = (size, begin) if np.ndim(size) == 0 else (size[alive], begin[alive])
+                place = (a * np.asarray(own, np.uint64)) >> np.uint64(32)
+                held = (self.bits[at + (place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
+                hit = held.view(bool)
+                alive = alive[hit]  # a key that lacks one bit needs no other
+                if i + 1 < self.hashes:
+                    a, b = a[hit], b[hit]
+                    a = (a + b) & _LOW
             out[alive] = j
         return out
 
