@@ -19,6 +19,7 @@ from rowtide.llm import (
     repeats,
     secrets,
     tokenfile,
+    whiten,
 )
 from rowtide.llm.common import table
 from rowtide.llm.sql import ORACLES  # noqa: F401
@@ -113,3 +114,10 @@ def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return convrepair.judged(conversations, convrepair.damaged(conversations))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight leading components; a deviation beyond a long is null."""
+    found = whiten.whitened(table(spark, sf_dir, "embeddings"), whiten.Settings(components=8))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
