@@ -20,8 +20,9 @@ the input, so that a task holds about a million numbers whatever the input.
 
 The filter grows with the corpus. Up to ``spark.rowtide.broadcastBytes`` it is broadcast to the
 workers with the exact counts, and batches are scored as they are read. Beyond that the same
-probes are sent to the shards: batches ask, each shard answers with a byte a gram, and
-answers meet their batch again. Both ways give the same doubles.
+probes are made where the shards are: batches ask, each shard answers with a byte a gram, and
+answers meet their batch again. A corpus that is scored by its own model asks with the grams that it is
+counted by, so they travel once. All ways give the same doubles.
 
 Edge cases: a null, empty or blank text is one token, its end. A row without a doc_id is
 held out like one whose id has a checksum of 0; rows with equal ids are texts of their own. Letters A-Z count as
@@ -51,7 +52,7 @@ from rowtide.session import limits, release, ship, stored
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(0xE4D5C8A96B7F1023)  # stands for the end of a text; words have hashes of their own
 PIECE = 1 << 20  # bytes of text that are hashed at a time
-BATCH = 1 << 21  # tokens of a batch; a longer text is a batch of its own
+BATCH = 1 << 20  # tokens of a batch; a longer text is a batch of its own
 PER_SHARD = 1 << 19  # tokens for each shard: less than a million grams
 _SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 
@@ -60,7 +61,7 @@ _SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 class Settings:
     order: int = 3
     base: float = 1.25  # of the quantisation
-    bits_per_event: int = 10
+    bits_per_event: int = 12
     hashes: int = 5
     priors: tuple[float, ...] = (40.0, 10.0)  # weight of the shorter history, for two tokens, three, ..
     held_out_of: int = 10
@@ -189,24 +190,26 @@ def _ranks(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """Numbers of 32 bits as four planes of bytes, compressed; high bytes are mostly zero."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+def _planes(numbers: np.ndarray, kind: str = "<u4") -> bytes:
+    """Numbers as planes of bytes, compressed; high bytes are mostly zero."""
+    numbers = numbers.astype(kind)
+    planes = numbers.view(np.uint8).reshape(-1, numbers.itemsize).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
-def _numbers(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+def _numbers(raw: bytes, kind: str = "<u4") -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
 
 
 def _steps(ascending: np.ndarray) -> bytes:
-    """Sorted numbers of 32 bits, as what each adds to the one before."""
-    return _planes(np.diff(ascending, prepend=np.uint32(0)))
+    """Sorted numbers, as what each adds to the one before."""
+    kind = ascending.dtype.type
+    return _planes(np.diff(ascending, prepend=kind(0)), ascending.dtype.newbyteorder("<").str)
 
 
-def _sums(raw: bytes) -> np.ndarray:
-    return np.cumsum(_numbers(raw), dtype=np.uint32)
+def _sums(raw: bytes, kind: str = "<u4") -> np.ndarray:
+    return np.cumsum(_numbers(raw, kind), dtype=kind)
 
 
 _LINES = "batch string, size bigint, ids {}, held binary, tokens binary, words binary, line binary"
@@ -247,6 +250,7 @@ class Lines:
 
     table: DataFrame
     settings: Settings
+    tokens: int
 
 
 def read(docs: DataFrame, settings: Settings = Settings()) -> Lines:
@@ -258,7 +262,8 @@ def read(docs: DataFrame, settings: Settings = Settings()) -> Lines:
         for batch in batches(source):
             yield _packed(batch)
 
-    return Lines(stored(in_arrow(rows, run, _LINES.format(kind)), "lm-lines")[0], settings)
+    table, _ = stored(in_arrow(rows, run, _LINES.format(kind)), "lm-lines")
+    return Lines(table, settings, table.agg(F.sum("size")).first()[0] or 0)
 
 
 def _different(keys: np.ndarray) -> np.ndarray:
@@ -274,39 +279,38 @@ def _sliced(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
         yield int(shard), slice(edges[shard], edges[shard + 1])
 
 
-def _counted(batch: Batch, order: int, bits: int) -> pa.RecordBatch:
-    """The grams of a batch's training texts: a row for each shard, with the words and the grams in it.
+_PACKETS = "batch string, shard bigint, words binary, word_n binary, grams binary, gram_n binary"
+
+
+def _packets(name: str, batch: Batch, order: int, bits: int, learn: bool) -> pa.RecordBatch:
+    """The different words and grams of a batch, a row for each shard, with their number in training texts.
 
-    Grams that occur once come without their count.
+    Without ``learn`` they only ask, and have no numbers.
     """
-    grams = list(batch.grams(order, ~batch.held))
-    words, per_word = np.unique(grams[0][2], return_counts=True)
-    keys, counts = np.unique(np.concatenate([k for _, _, k in grams]), return_counts=True)
+    grams = [k for _, _, k in batch.grams(order)]
+    words, keys = _different(grams[0]), _different(np.concatenate(grams))
+    seen = list(batch.grams(order, ~batch.held)) if learn else []
+    del grams
+    word_n = _times(words, seen[0][2]) if learn else None
+    gram_n = _times(keys, np.concatenate([k for _, _, k in seen])) if learn else None
     of_words = dict(_sliced(words, bits))
     out = []
     for shard, part in _sliced(keys, bits):
-        rest, n = within_shard(keys[part], bits), counts[part]
         w = of_words.get(shard, slice(0, 0))
-        many = n > 1
-        out.append(
-            (
-                shard,
-                words[w].tobytes(),
-                per_word[w].astype(np.int64).tobytes(),
-                _steps(rest[~many]),
-                _steps(rest[many]),
-                _planes(n[many]),
-            )
-        )
+        counts = (_planes(word_n[w]), _planes(gram_n[part])) if learn else (None, None)
+        out.append((name, shard, _steps(words[w]), counts[0], _steps(within_shard(keys[part], bits)), counts[1]))
+    kinds = [pa.string(), pa.int64(), *[pa.binary()] * 4]
     columns = list(zip(*out, strict=True)) or [()] * 6
-    kinds = [pa.int64(), *[pa.binary()] * 5]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["shard", "words", "word_n", "ones", "many", "many_n"]
-    )
+    names = [c.split()[0] for c in _PACKETS.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
-def _array(column: pa.ChunkedArray | pa.Array, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+def _times(different: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """How often each of the sorted ``different`` is among ``keys``, which hold no other."""
+    found, n = np.unique(keys, return_counts=True)
+    out = np.zeros(len(different), np.uint32)
+    out[np.searchsorted(different, found)] = n
+    return out
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -320,51 +324,63 @@ def _runs(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
 
 
-def _shard_row(group: pa.Table, settings: Settings) -> pa.Table:
-    """The finished shard: its bits and its exact counts of single tokens."""
-    words, counts = _summed(_array(group["words"], np.uint64), _array(group["word_n"], np.int64))
-    ones, many, times = (
-        np.concatenate([fn(x) for x in group[c].to_pylist()]) for c, fn in (("ones", _sums), ("many", _sums), ("many_n", _numbers))
-    )
-    times = np.concatenate([np.ones(len(ones), np.uint32), times])
-    # Key and count in one number sort faster than keys with their places; a count is below 2**32.
-    both = np.sort(np.concatenate([ones, many]).astype(np.uint64) << np.uint64(32) | times.astype(np.uint64))
-    rest, n = _runs((both >> np.uint64(32)).astype(np.uint32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64))
-    bits = filled(rest, n, settings.base, settings.bits_per_event, settings.hashes)
-    return pa.table(
-        {
-            "shard": pa.array([group["shard"][0].as_py()], pa.int64()),
-            "bits": pa.array([bits], pa.binary()),
-            "words": pa.array([words.tobytes()], pa.binary()),
-            "counts": pa.array([counts.tobytes()], pa.binary()),
-            "n_tokens": pa.array([int(counts.sum())], pa.int64()),
-            "n_words": pa.array([len(words)], pa.int64()),
-        }
-    )
+_SHARDS = (
+    "batch string, shard bigint, bits binary, words binary, counts binary, n_tokens bigint, n_words bigint, levels binary"
+)
 
 
-def train(lines: Lines) -> Model:
-    """Learn from the texts that are not held out."""
+def _shard_rows(group: pa.Table, settings: Settings, answer: bool) -> pa.Table:
+    """A row with the finished shard, and with ``answer`` one for each packet: levels of its grams, counts of its words."""
+    packets = group.to_pylist()
+    all_words = [_sums(p["words"], "<u8") for p in packets]
+    all_grams = [_sums(p["grams"]) for p in packets]
+    words, counts = _summed(np.concatenate(all_words), np.concatenate([_numbers(p["word_n"]) for p in packets]).astype(np.int64))
+    # Key and count in one number sort faster than keys with their places; a count is below 2**32.
+    both = np.concatenate(all_grams).astype(np.uint64) << np.uint64(32) | np.concatenate([_numbers(p["gram_n"]) for p in packets])
+    both.sort()
+    rest, n = _runs((both >> np.uint64(32)).astype(np.uint32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64))
+    del both
+    bits = filled(rest[n > 0], n[n > 0], settings.base, settings.bits_per_event, settings.hashes)
+    known = counts > 0
+    shard = packets[0]["shard"]
+    rows = [(None, shard, bits, words[known].tobytes(), counts[known].tobytes(), int(counts.sum()), int(known.sum()), None)]
+    if answer:
+        levels = joined([(0, bits)], 0, settings.hashes).levels_in(rest, 0)
+        for p, w, g in zip(packets, all_words, all_grams, strict=True):
+            found = _planes(counts[np.searchsorted(words, w)], "<i8")
+            rows.append((p["batch"], shard, None, None, found, None, None, _planes(levels[np.searchsorted(rest, g)], "u1")))
+    kinds = [pa.string(), pa.int64(), *[pa.binary()] * 3, pa.int64(), pa.int64(), pa.binary()]
+    names = [c.split()[0] for c in _SHARDS.split(", ")]
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+
+def _trained(lines: Lines, answer: bool) -> tuple[Model, DataFrame]:
+    """The model, and the answers to its own texts' packets."""
     spark, settings = lines.table.sparkSession, lines.settings
-    bits = ((lines.table.agg(F.sum("size")).first()[0] or 0) // PER_SHARD).bit_length()
-    order = settings.order
-
-    def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in source:
-            for _, batch in _unpacked(rows):
-                yield _counted(batch, order, bits)
-
-    schema = "shard bigint, words binary, word_n binary, ones binary, many binary, many_n binary"
-    counted = in_arrow(lines.table, count, schema)
-    made = counted.groupBy("shard").applyInArrow(
-        lambda group: _shard_row(group, settings),
-        "shard bigint, bits binary, words binary, counts binary, n_tokens bigint, n_words bigint",
-    )
+    bits = (lines.tokens // PER_SHARD).bit_length()
+    packets = _by_batch(lines, lambda name, batch: _packets(name, batch, settings.order, bits, True), _PACKETS)
+    made = packets.groupBy("shard").applyInArrow(lambda group: _shard_rows(group, settings, answer), _SHARDS)
     table, _ = stored(made, "lm-shards")
     release(spark)
+    shards = table.filter("batch IS NULL").select("shard", "bits", "words", "counts", "n_tokens", "n_words")
     size = F.sum(F.octet_length("bits") + F.octet_length("words") + F.octet_length("counts"))
-    tokens, vocabulary, size = table.agg(F.sum("n_tokens"), F.sum("n_words"), size).first()
-    return Model(table, settings, bits, tokens or 0, vocabulary or 0, size or 0)
+    tokens, vocabulary, size = shards.agg(F.sum("n_tokens"), F.sum("n_words"), size).first()
+    model = Model(shards, settings, bits, tokens or 0, vocabulary or 0, size or 0)
+    return model, table.filter("batch IS NOT NULL").select("batch", "shard", "levels", "counts")
+
+
+def _by_batch(lines: Lines, fn, schema: str) -> DataFrame:
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in source:
+            for name, batch in _unpacked(rows):
+                yield fn(name, batch)
+
+    return in_arrow(lines.table, run, schema)
+
+
+def train(lines: Lines) -> Model:
+    """Learn from the texts that are not held out."""
+    return _trained(lines, answer=False)[0]
 
 
 def _probabilities(batch: Batch, model: Model, level_of, count_of) -> dict[str, np.ndarray]:
@@ -451,40 +467,17 @@ def _by_broadcast(lines: Lines, model: Model) -> DataFrame:
     return in_arrow(lines.table, score, _schema(lines))
 
 
-def _asked(batch: Batch, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(different words, different grams of all lengths) of a batch, sorted."""
-    grams = [k for _, _, k in batch.grams(order)]
-    return _different(grams[0]), _different(np.concatenate(grams))
-
-
-def _by_shuffle(lines: Lines, model: Model) -> DataFrame:
-    """Batches ask the shards; what they answer meets the batch again."""
-    s, bits, plain = model.settings, model.shard_bits, replace(model, table=None)
-
-    def ask(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in source:
-            for name, batch in _unpacked(rows):
-                words, keys = _asked(batch, s.order)
-                of_words = dict(_sliced(words, bits))
-                parts = list(_sliced(keys, bits))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "batch": [name] * len(parts),
-                        "shard": pa.array([p[0] for p in parts], pa.int64()),
-                        "words": pa.array([words[of_words.get(p[0], slice(0, 0))].tobytes() for p in parts], pa.binary()),
-                        "grams": pa.array([_steps(within_shard(keys[p[1]], bits)) for p in parts], pa.binary()),
-                    }
-                )
+def _asked(lines: Lines, model: Model) -> DataFrame:
+    """What the shards of a model say to packets of other texts."""
+    s, bits = model.settings, model.shard_bits
+    packets = _by_batch(lines, lambda name, batch: _packets(name, batch, s.order, bits, False), _PACKETS)
 
     def answer(key: tuple[pa.Scalar, ...], asked: pa.Table, shard: pa.Table) -> pa.Table:
-        levels, counts = [], []
         row = shard.to_pylist()[0] if shard.num_rows else {"bits": b"", "words": b"", "counts": b""}
         table = joined([(0, row["bits"])], 0, s.hashes)
         known, times = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["counts"], np.int64)
-        for words, grams in zip(asked["words"].to_pylist(), asked["grams"].to_pylist(), strict=True):
-            rest = _sums(grams)
-            levels.append(table.levels_in(rest, 0).tobytes())
-            counts.append(_exact(known, times, np.frombuffer(words, np.uint64)).astype(np.int64).tobytes())
+        levels = [_planes(table.levels_in(_sums(g), 0), "u1") for g in asked["grams"].to_pylist()]
+        counts = [_planes(_exact(known, times, _sums(w, "<u8")), "<i8") for w in asked["words"].to_pylist()]
         return pa.table(
             {
                 "batch": asked["batch"],
@@ -494,26 +487,30 @@ def _by_shuffle(lines: Lines, model: Model) -> DataFrame:
             }
         )
 
+    shards = model.table.select("shard", "bits", "words", "counts").groupBy("shard")
+    answers = packets.groupBy("shard").cogroup(shards).applyInArrow(answer, "batch string, shard bigint, levels binary, counts binary")
+    answers, _ = stored(answers, "lm-answers")
+    release(lines.table.sparkSession)
+    return answers
+
+
+def _by_answers(lines: Lines, model: Model, answers: DataFrame) -> DataFrame:
+    """Answers meet the batch that asked."""
+    plain = replace(model, table=None)
+
     def score(key: tuple[pa.Scalar, ...], line: pa.Table, answers: pa.Table) -> pa.Table:
         ((_, batch),) = _unpacked(line)
         answers = answers.sort_by("shard")
-        levels, counts = _array(answers["levels"], np.uint8), _array(answers["counts"], np.int64)
-        grams = [k for _, _, k in batch.grams(s.order)]
-        levels = levels[_ranks(np.concatenate(grams))]
+        levels = np.concatenate([_numbers(x, "u1") for x in answers["levels"].to_pylist()])
+        counts = np.concatenate([_numbers(x, "<i8") for x in answers["counts"].to_pylist()])
+        grams = [k for _, _, k in batch.grams(plain.settings.order)]
         ends = np.cumsum([0, *map(len, grams)])
-        found = _probabilities(
-            batch, plain, lambda n, k: levels[ends[n - 1] : ends[n]], lambda k: counts[_ranks(k)]
-        )
+        grams = np.concatenate(grams)
+        levels = levels[_ranks(grams)]
+        del grams
+        found = _probabilities(batch, plain, lambda n, k: levels[ends[n - 1] : ends[n]], lambda k: counts[_ranks(k)])
         return pa.Table.from_batches([_result(batch, found, plain.tokens)])
 
-    answers, _ = stored(
-        in_arrow(lines.table, ask, "batch string, shard bigint, words binary, grams binary")
-        .groupBy("shard")
-        .cogroup(model.table.select("shard", "bits", "words", "counts").groupBy("shard"))
-        .applyInArrow(answer, "batch string, shard bigint, levels binary, counts binary"),
-        "lm-answers",
-    )
-    release(lines.table.sparkSession)
     return lines.table.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(score, _schema(lines))
 
 
@@ -522,10 +519,15 @@ def score(lines: Lines, model: Model) -> DataFrame:
     ship(lines.table.sparkSession)
     if model.size <= limits(lines.table.sparkSession).broadcast_bytes:
         return _by_broadcast(lines, model)
-    return _by_shuffle(lines, model)
+    return _by_answers(lines, model, _asked(lines, model))
 
 
 def lm_scores(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Train on the texts that are not held out and score all of them."""
     lines = read(docs, settings)
-    return score(lines, train(lines))
+    # A token makes one gram of each length at most; most are there once, and few have more than two events.
+    likely = lines.tokens * settings.order * settings.bits_per_event * 2 // 8
+    if likely <= limits(docs.sparkSession).broadcast_bytes:
+        return score(lines, train(lines))
+    model, answers = _trained(lines, answer=True)
+    return _by_answers(lines, model, answers)

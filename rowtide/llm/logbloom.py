@@ -6,8 +6,9 @@ enters the filter as the q events (key, 1) .. (key, q). A key's level is read by
 probing (key, 1), (key, 2), .. until an event is missing: it is never too low, and too
 high by one step with the filter's error rate, by two with its square, and so on.
 
-The filter comes in shards by the first bits of the key, each with its own array of bits
-that is sized by its events; within a shard, 32 further bits tell keys apart.
+An event sets its bits within one word of 64, so a probe reads one word. The filter comes in shards
+by the first bits of the key, each with its own words, sized by its events; within a shard, 32 further
+bits tell keys apart.
 """
 
 from __future__ import annotations
@@ -40,36 +41,45 @@ def within_shard(keys: np.ndarray, bits: int) -> np.ndarray:
     return ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
 
 
-def _places(rest: np.ndarray, level: int | np.ndarray, size: np.ndarray | int, hashes: int):
-    """The bits of an event, one array for each hash function."""
-    h = mixed(rest.astype(np.uint64) + np.asarray(level, np.uint64) * _STEP)
-    a, b = h & _LOW, (h >> np.uint64(32)) | np.uint64(1)
-    size = np.asarray(size, np.uint64)
-    for _ in range(hashes):
-        yield ((a * size) >> np.uint64(32)).astype(np.int64)
-        a = (a + b) & _LOW
+def _event(rest: np.ndarray, level: int) -> np.ndarray:
+    return mixed(rest.astype(np.uint64) + np.array([level], np.uint64) * _STEP)
+
+
+def _word(h: np.ndarray, words: np.ndarray | int) -> np.ndarray:
+    """The word of each event, out of so many."""
+    return (((h & _LOW) * np.asarray(words, np.uint64)) >> np.uint64(32)).astype(np.int64)
+
+
+def _bits(h: np.ndarray, hashes: int):
+    """The bits of each event in its word, one array for each hash function."""
+    for i in range(hashes):
+        if i and i % 5 == 0:
+            h = mixed(h + _STEP)
+        yield (h >> np.uint64(34 + 6 * (i % 5))) & np.uint64(63)
 
 
 def filled(rest: np.ndarray, counts: np.ndarray, base: float, bits_per_event: int, hashes: int) -> bytes:
-    """The bits of one shard, from its keys (32 bits each) and their counts."""
+    """The words of one shard, from its keys (32 bits each) and their counts."""
     level = np.searchsorted(floors(base), counts, side="right") - 1
-    size = max(64, -(-int(level.sum()) * bits_per_event // 64) * 64)
-    if size >= 1 << 32:
+    words = max(1, -(-int(level.sum()) * bits_per_event // 64))
+    if words >= 1 << 32:
         raise ValueError("a shard holds too many events; use more shards")
-    table = np.zeros(size, bool)
+    table = np.zeros(64 * words, bool)
     for j in range(1, int(level.max(initial=0)) + 1):
         rest, level = rest[level >= j], level[level >= j]
         for start in range(0, len(rest), _PART):
-            for place in _places(rest[start : start + _PART], j, size, hashes):
-                table[place] = True
+            h = _event(rest[start : start + _PART], j)
+            first = _word(h, words) << 6
+            for bit in _bits(h, hashes):
+                table[first + bit.astype(np.int64)] = True
     return np.packbits(table, bitorder="little").tobytes()
 
 
 @dataclass
 class Filter:
-    """Shards side by side: all bits, and where each shard's begin (in bytes, one more than shards)."""
+    """Shards side by side: all words, and where each shard's begin (one more than shards)."""
 
-    bits: np.ndarray
+    words: np.ndarray
     begins: np.ndarray
     shard_bits: int
     hashes: int
@@ -86,35 +96,30 @@ class Filter:
         for start in range(0, len(rest), _PART):
             part = slice(start, start + _PART)
             at = shard if alone else shard[part]
-            out[part] = self._probed(rest[part], self.begins[at], 8 * (self.begins[at + 1] - self.begins[at]))
+            out[part] = self._probed(rest[part], self.begins[at], self.begins[at + 1] - self.begins[at])
         return out
 
     def _probed(self, rest: np.ndarray, begin: np.ndarray | int, size: np.ndarray | int) -> np.ndarray:
-        """``begin`` (byte) and ``size`` (bits) of each key's shard, or of the one of all."""
+        """``begin`` and ``size`` (words) of each key's shard, or of the one of all."""
         out = np.zeros(len(rest), np.uint8)
         alive = np.flatnonzero(np.broadcast_to(size > 0, rest.shape))
         for j in range(1, 256):
             if not len(alive):
                 break
-            h = mixed(rest[alive].astype(np.uint64) + np.array([j], np.uint64) * _STEP)
-            a, b = h & _LOW, (h >> np.uint64(32)) | np.uint64(1)
-            for i in range(self.hashes):
-                own, at = (size, begin) if np.ndim(size) == 0 else (size[alive], begin[alive])
-                place = (a * np.asarray(own, np.uint64)) >> np.uint64(32)
-                held = (self.bits[at + (place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
-                hit = held.view(bool)
-                alive = alive[hit]  # a key that lacks one bit needs no other
-                if i + 1 < self.hashes:
-                    a, b = a[hit], b[hit]
-                    a = (a + b) & _LOW
+            h = _event(rest[alive], j)
+            own, at = (size, begin) if np.ndim(size) == 0 else (size[alive], begin[alive])
+            mask = np.zeros(len(alive), np.uint64)
+            for bit in _bits(h, self.hashes):
+                mask |= np.uint64(1) << bit
+            alive = alive[self.words[at + _word(h, own)] & mask == mask]
             out[alive] = j
         return out
 
 
 def joined(shards: list[tuple[int, bytes]], shard_bits: int, hashes: int) -> Filter:
-    """One filter from (shard, bits); a shard that is missing holds nothing."""
+    """One filter from (shard, words); a shard that is missing holds nothing."""
     sizes = np.zeros((1 << shard_bits) + 1, np.int64)
-    for shard, bits in shards:
-        sizes[shard + 1] = len(bits)
-    bits = b"".join(bits for _, bits in sorted(shards))
-    return Filter(np.frombuffer(bits, np.uint8), np.cumsum(sizes), shard_bits, hashes)
+    for shard, words in shards:
+        sizes[shard + 1] = len(words) // 8
+    words = b"".join(words for _, words in sorted(shards))
+    return Filter(np.frombuffer(words, "<u8"), np.cumsum(sizes), shard_bits, hashes)

@@ -17,7 +17,7 @@ from rowtide.llm.common import pick
 from rowtide.llm.logbloom import filled, floors, joined, shard_of, within_shard
 
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
-SHARP = lmscore.Settings(bits_per_event=64, hashes=12)  # a filter that errs about once in 10**9 probes
+SHARP = lmscore.Settings(bits_per_event=512, hashes=12)  # a filter that errs about once in 10**9 probes
 
 
 def tokens_of(text):
@@ -103,6 +103,8 @@ def test_probes_by_shuffle_give_the_same_doubles(spark, conf, monkeypatch):
     near = sorted(rows_of(lmscore.score(lines, model)), key=key)
     conf("spark.rowtide.broadcastBytes", 1)
     assert sorted(rows_of(lmscore.score(lines, model)), key=key) == near
+    again, answers = lmscore._trained(lines, answer=True)
+    assert sorted(rows_of(lmscore._by_answers(lines, again, answers)), key=key) == near
     assert "CoGroup" in lmscore.score(lines, model)._jdf.queryExecution().toString()
 
 
@@ -113,6 +115,18 @@ def test_awkward_rows_by_shuffle(spark, conf):
     same(rows_of(lmscore.lm_scores(docs, SHARP)), rows, brute(rows, SHARP))
 
 
+def test_texts_that_the_model_has_not_read(spark, conf):
+    """Scores of a text hang on the model only, not on the texts beside it, in both ways."""
+    docs = documents(spark, 60, awkward=False, extra=False)
+    model = lmscore.train(lmscore.read(docs))
+    whole = {r["doc_id"]: r for r in rows_of(lmscore.score(lmscore.read(docs), model))}
+    few = lmscore.read(docs.filter("doc_id % 7 = 0"))
+    for size in (10**9, 1):
+        conf("spark.rowtide.broadcastBytes", size)
+        for r in rows_of(lmscore.score(few, model)):
+            assert r == whole[r["doc_id"]]
+
+
 def test_empty_and_only_held_out(spark):
     assert rows_of(lmscore.lm_scores(empty(spark))) == []
     alone = spark.createDataFrame([(None, "some words here")], "doc_id bigint, text string")
@@ -146,7 +160,7 @@ def test_filter_is_never_too_low_and_seldom_too_high():
     bits = 3
     shards = shard_of(keys, bits)
     parts = [
-        (s, filled(within_shard(keys[shards == s], bits), counts[shards == s], 1.25, 10, 5)) for s in range(7)
+        (s, filled(within_shard(keys[shards == s], bits), counts[shards == s], 1.25, 12, 5)) for s in range(7)
     ]  # the last shard is missing
     table = joined(parts, bits, 5)
     wanted = np.searchsorted(floors(1.25), counts, side="right") - 1
