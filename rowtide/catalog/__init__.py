@@ -29,6 +29,7 @@ def load() -> None:
         encoding,
         evaluation,
         features,
+        models,
         ranking,
         storage,
         training,

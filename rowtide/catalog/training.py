@@ -29,21 +29,21 @@ from rowtide.spec import FeatureOptions
 _SMALL_TREES = (("maxIter", 4), ("maxDepth", 3), ("stepSize", 0.2))
 _SMALL_NETWORK = (("maxIter", 15), ("hidden", (6,)))
 NETWORK = FeatureOptions.for_networks(ORDERS, narrow=False)
-_TEST = "o_custkey % 5 = 0"  # customers that are scored and never trained on
+TEST = "o_custkey % 5 = 0"  # customers that are scored and never trained on
 
-_FOLDED = (
+FOLDED = (
     "SELECT o_custkey, target, CAST((row_number() OVER (PARTITION BY target ORDER BY md5('42:' || o_custkey), "
     "o_custkey) - 1) % 5 AS INT) AS fold FROM (SELECT DISTINCT o_custkey, CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END "
-    f"AS target FROM orders JOIN customer ON c_custkey = o_custkey WHERE NOT ({_TEST}))"
+    f"AS target FROM orders JOIN customer ON c_custkey = o_custkey WHERE NOT ({TEST}))"
 )
-_SCORED = f"SELECT DISTINCT o_custkey, TRUE AS in_range FROM orders WHERE {_TEST}"
+_SCORED = f"SELECT DISTINCT o_custkey, TRUE AS in_range FROM orders WHERE {TEST}"
 _IN_RANGE = "prediction BETWEEN 0 AND 1 AS in_range"
 
 
 def panels(spark, sf_dir, model: str):
     """(folded training table, test table, TrainSpec) on all feature columns."""
     rows = orders(spark, sf_dir)
-    seen, unseen = rows.filter(f"NOT ({_TEST})"), rows.filter(_TEST)
+    seen, unseen = rows.filter(f"NOT ({TEST})"), rows.filter(TEST)
     if model == "trees":
         train, test = (feature_row(part, ORDERS, TREES) for part in (seen, unseen))
     else:
@@ -62,12 +62,12 @@ def _out_of_fold(spark, sf_dir, model):
     return out_of_fold(train, spec).selectExpr("o_custkey", "target", "fold", _IN_RANGE)
 
 
-@query("oof_train", f"SELECT o_custkey, target, fold, TRUE AS in_range FROM ({_FOLDED})")
+@query("oof_train", f"SELECT o_custkey, target, fold, TRUE AS in_range FROM ({FOLDED})")
 def oof_train(spark, sf_dir):
     return _out_of_fold(spark, sf_dir, "trees")
 
 
-@query("oof_train_network", f"SELECT o_custkey, target, fold, TRUE AS in_range FROM ({_FOLDED})")
+@query("oof_train_network", f"SELECT o_custkey, target, fold, TRUE AS in_range FROM ({FOLDED})")
 def oof_train_network(spark, sf_dir):
     return _out_of_fold(spark, sf_dir, "network")
 
@@ -76,7 +76,7 @@ def oof_train_network(spark, sf_dir):
     "oof_scores",
     "SELECT fold, CAST(p AS BIGINT) AS n_pos, CAST(n AS BIGINT) AS n_neg, "
     "round(10 * n::DOUBLE * (p + 20 * n - 19)::DOUBLE / (p + 20 * n)::DOUBLE, 4) AS gini_perfect, TRUE AS judged "
-    f"FROM (SELECT fold, sum(target) AS p, sum(1 - target) AS n FROM ({_FOLDED}) GROUP BY fold)",
+    f"FROM (SELECT fold, sum(target) AS p, sum(1 - target) AS n FROM ({FOLDED}) GROUP BY fold)",
 )
 def oof_scores(spark, sf_dir):
     train, _, spec = panels(spark, sf_dir, "trees")
@@ -108,7 +108,7 @@ _GRID = {"maxDepth": [2, 3], "stepSize": [0.1, 0.3]}
     "param_search",
     " UNION ALL ".join(
         f"SELECT {i} AS candidate, '{', '.join(f'{k}={v}' for k, v in c.items())}' AS params, count(*) > 0 AS judged "
-        f"FROM ({_FOLDED}) WHERE fold = 0"
+        f"FROM ({FOLDED}) WHERE fold = 0"
         for i, c in enumerate(grid(_GRID))
     ),
 )

@@ -25,6 +25,7 @@ from rowtide.session import ensure_checkpoints
 from rowtide.sources.cache import cached_table, finished, require_same
 
 Fit = Callable[[DataFrame], Model]
+HIDDEN = (64, 32)  # units of the network's inner layers
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,12 @@ class TrainSpec:
     folds: int = 5
     seed: int = 42
     params: tuple[tuple[str, object], ...] = ()
+    stop: str = "loss"  # trees: "loss" stops on the trainer's own loss, "metric" leaves that to ``staged``
+
+    @property
+    def layers(self) -> list[int]:
+        """Units of a network, layer by layer."""
+        return [len(self.features), *dict(self.params).get("hidden", HIDDEN), 2]
 
     def model_path(self, fold: int) -> str:
         return f"{self.folder}/{self.model}_{fold}"
@@ -50,6 +57,7 @@ class TrainSpec:
     def fingerprint(self) -> str:
         """What a stored model depends on besides the rows."""
         parts = (self.key, self.target, self.features, self.model, self.folds, self.seed, self.params)
+        parts += (self.stop,) if self.stop != "loss" else ()
         return hashlib.sha256(repr(parts).encode()).hexdigest()
 
 
@@ -66,22 +74,13 @@ def estimator(spec: TrainSpec):
             "minInstancesPerNode": 8,
             "maxIter": 4000,
         }
-        made = GBTClassifier(
-            featuresCol="inputs",
-            labelCol="label",
-            validationIndicatorCol="held_out",
-            seed=spec.seed,
-            checkpointInterval=10,
-        )
+        made = GBTClassifier(featuresCol="inputs", labelCol="label", seed=spec.seed, checkpointInterval=10)
+        if spec.stop == "loss":
+            made.setValidationIndicatorCol("held_out")
         return made.setParams(**{**defaults, **params})
     if spec.model == "network":
-        hidden = params.pop("hidden", (64, 32))
-        made = MultilayerPerceptronClassifier(
-            featuresCol="inputs",
-            labelCol="label",
-            layers=[len(spec.features), *hidden, 2],
-            seed=spec.seed,
-        )
+        params.pop("hidden", None)
+        made = MultilayerPerceptronClassifier(featuresCol="inputs", labelCol="label", layers=spec.layers, seed=spec.seed)
         return made.setParams(**{"maxIter": 400, **params})
     raise ValueError(f"model must be 'trees' or 'network', not {spec.model!r}")
 
@@ -102,18 +101,20 @@ def _assembled(df: DataFrame, spec: TrainSpec) -> DataFrame:
     return packer.transform(df)
 
 
+def scaled(df: DataFrame, spec: TrainSpec, fold: int, fit_on: DataFrame | None = None) -> DataFrame:
+    """Features of the network for one fold; its scaler is fitted on ``fit_on`` and stored, or read."""
+    path = spec.knots_path(fold)
+    if fit_on is not None:
+        knots = cached_table(df.sparkSession, path, lambda: fit_gauss_rank(fit_on, spec.features))
+    else:
+        knots = df.sparkSession.read.schema(KNOT_SCHEMA).parquet(path)
+    # A constant column has no rank; it enters as 0, the centre of the scale.
+    return gauss_rank(df, knots, spec.features, [spec.key]).fillna(0.0, subset=list(spec.features))
+
+
 def _inputs(df: DataFrame, spec: TrainSpec, fold: int, fit_on: DataFrame | None = None) -> DataFrame:
     """Model inputs for one fold; the network's scaler is fitted on training rows and stored."""
-    if spec.model == "network":
-        path = spec.knots_path(fold)
-        if fit_on is not None:
-            knots = cached_table(df.sparkSession, path, lambda: fit_gauss_rank(fit_on, spec.features))
-        else:
-            knots = df.sparkSession.read.schema(KNOT_SCHEMA).parquet(path)
-        df = gauss_rank(df, knots, spec.features, [spec.key])
-        # A constant column has no rank; it enters as 0, the centre of the scale.
-        df = df.fillna(0.0, subset=list(spec.features))
-    return _assembled(df, spec)
+    return _assembled(scaled(df, spec, fold, fit_on) if spec.model == "network" else df, spec)
 
 
 def _probability(column: str = "probability"):
@@ -132,7 +133,8 @@ def fit_fold(train: DataFrame, spec: TrainSpec, fold: int) -> Model:
         {"held_out": F.col("fold") == fold, "label": F.col(spec.target).cast("double")}
     )
     seen = rows.filter(~F.col("held_out"))
-    inputs = _inputs(rows if spec.model == "trees" else seen, spec, fold, fit_on=seen)
+    watched = spec.model == "trees" and spec.stop == "loss"
+    inputs = _inputs(rows if watched else seen, spec, fold, fit_on=seen)
     ensure_checkpoints(spark)
     model = estimator(spec).fit(inputs.select("inputs", "label", "held_out"))
     model.write().overwrite().save(spec.model_path(fold))
