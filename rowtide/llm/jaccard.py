@@ -242,6 +242,7 @@ def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num:
     nodes = led.select("node").union(led.select("leader")).distinct()
     wanted = classes.filter(F.col("rep").isNotNull()).join(nodes, "node", "left_semi")
     sets, folder = stored(_sets(docs, wanted, size), "jaccard-sets")
+    release(docs.sparkSession)  # the texts' way to their sets is over
     least = led.groupBy("node").agg(F.min("leader").alias("leader"))
     members = _trees(least, block).join(sets.hint("merge"), "node").withColumn("label", F.lit(None).cast("long"))
     first = materialise(_joined(members, num, den), "jaccard-links")
