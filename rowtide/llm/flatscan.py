@@ -46,7 +46,7 @@ def write_flat(docs: DataFrame, path: str, spaced: bool, separator: int, width:
                     address = new_file(folder, "ids")
                     where, name = opened(address)
                     out = where.open_output_stream(name)
-                for ids in encoder(path, spaced).encode(texts(part)):
+                for ids in encoder(path, spaced, ordinary=True).encode(texts(part)):
                     out.write(np.frombuffer(ids, "<u4").astype(kind).tobytes() + np.array([separator], kind).tobytes())
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(

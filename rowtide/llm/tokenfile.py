@@ -17,9 +17,11 @@ Layout, all numbers little-endian:
 
 A reader takes footer and index with two reads and then any chunk on its own.
 
-Documents are written in ascending doc_id order: Spark partitions by range of doc_id
-and sorts, each task streams its documents to one file and reports its name and
-counts. Files of failed attempts are never reported and so never read.
+Documents are written in ascending doc_id order: texts are encoded where they are read, their ids
+(two bytes each if the vocabulary allows) go to the file of their range of doc_id and are sorted
+there. The ranges come from a pass over the doc_ids alone; a file gets about ``PER_FILE`` documents. Each
+task streams its documents to one file and reports its name and counts. Files of failed
+attempts are never reported and so never read.
 
 Edge cases: a null text has the end id only; a null doc_id sorts first and is read
 back as null; rows that share a doc_id stay apart, ordered by their text; ids need at
@@ -37,13 +39,14 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import in_arrow, pick, texts
+from rowtide.llm.common import by_batch, in_arrow, pick, texts
 from rowtide.llm.files import new_file, opened, shared_folder
 from rowtide.llm.tokens import encoder
 from rowtide.session import materialise
 
 MAGIC = b"RTPLANE1"
 BLOCK = 65_536
+PER_FILE = 100_000  # documents
 BYTE, BIT = 8, 1
 _NULL = -(1 << 63)
 _FOOTER = 7
@@ -171,32 +174,61 @@ class Reader:
         self.file.close()
 
 
+def _cuts(rows: DataFrame) -> np.ndarray:
+    """Least doc_id of each file but the first; they only place the cuts."""
+    n = rows.count()
+    files = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PER_FILE))
+    shares = [i / files for i in range(1, files)]
+    if not n or not shares:
+        return np.zeros(0, np.int64)
+    found = rows.agg(F.percentile_approx("doc_id", shares, F.lit(max(10_000, 10 * files)))).first()[0]
+    return np.unique(np.array(found or [], np.int64))
+
+
 def write(docs: DataFrame, path: str, spaced: bool, end_id: int, width: int = BYTE, block: int = BLOCK) -> DataFrame:
     """Write the files; returns the manifest (path, first_doc, n_docs, n_ids), one row per file."""
     folder = shared_folder(docs.sparkSession, "token-planes")
     rows = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    cuts = _cuts(rows.select("doc_id"))
+
+    def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
+        code = encoder(path, spaced)
+        short = max(code.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
+        coded = code.encode(texts(batch))
+        ids = batch.column("doc_id").fill_null(_NULL).to_numpy()
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.searchsorted(cuts, ids, side="right").astype(np.int32)),
+                batch.column("doc_id"),
+                batch.column("tie"),
+                pa.array([short] * len(coded)),
+                pa.array([np.frombuffer(c, "<u4").astype("<u2").tobytes() for c in coded] if short else coded, pa.binary()),
+            ],
+            names=["part", "doc_id", "tie", "short", "ids"],
+        )
+
+    coded = by_batch(rows.withColumn("tie", F.xxhash64("text")), encode, "part int, doc_id bigint, tie bigint, short boolean, ids binary")
+    ordered = coded.repartitionById(len(cuts) + 1, "part").sortWithinPartitions("part", "doc_id", "tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.uint32(end_id).astype("<u4").tobytes()
         writer, address, n_ids, first = None, "", 0, None
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                coded = encoder(path, spaced).encode(texts(part))
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), coded, strict=True):
-                    if writer is None:
-                        address, first = new_file(folder, "planes"), doc_id
-                        writer = Writer(address, width, block)
-                    writer.add(doc_id, ids + end)
-                    n_ids += len(ids) // 4 + 1
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "short", "ids")]
+            for doc_id, short, ids in zip(*columns, strict=True):
+                if writer is None:
+                    address, first = new_file(folder, "planes"), doc_id
+                    writer = Writer(address, width, block)
+                ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes() if short else ids
+                writer.add(doc_id, ids + end)
+                n_ids += len(ids) // 4 + 1
         if writer:
             writer.close()
             row = {"path": [address], "first_doc": [first], "n_docs": [len(writer.lengths)], "n_ids": [n_ids]}
             kinds = [("path", pa.string()), *[(c, pa.int64()) for c in ("first_doc", "n_docs", "n_ids")]]
             yield pa.RecordBatch.from_pydict(row, pa.schema(kinds))
 
-    return materialise(in_arrow(ordered, run, _MANIFEST), "token-manifest")
+    return materialise(in_arrow(ordered.select("doc_id", "short", "ids"), run, _MANIFEST), "token-manifest")
 
 
 def read(manifest: DataFrame) -> DataFrame:

@@ -23,19 +23,22 @@ _MARKS = ".,;:!?"
 _PLAIN = re.compile(rf"([{_LETTERS}]+)([{_MARKS}]?)\Z")
 assert sys.byteorder == "little" and array("I").itemsize == 4
 
-_loaded: dict[tuple[str, bool], Encoder] = {}
+_loaded: dict[tuple[str, bool, bool], Encoder] = {}
 
 
 class Encoder:
-    """``bytes`` of ids for texts. ``spaced``: parts after the first are encoded with their space."""
+    """``bytes`` of ids for texts. ``spaced``: parts after the first are encoded with their space.
 
-    def __init__(self, path: str, spaced: bool):
+    ``ordinary``: strings of special tokens in a text are encoded as any other text, so their ids do not occur.
+    """
+
+    def __init__(self, path: str, spaced: bool, ordinary: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = ordinary
         model = self.tokenizer.model
         model._resize_cache(0)  # each word comes once, so the library's own cache only costs time
         self.tokenizer.model = model
@@ -104,8 +107,8 @@ class Encoder:
         return out
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
-    key = (path, spaced)
+def encoder(path: str, spaced: bool, ordinary: bool = False) -> Encoder:
+    key = (path, spaced, ordinary)
     if key not in _loaded:
-        _loaded[key] = Encoder(path, spaced)
+        _loaded[key] = Encoder(*key)
     return _loaded[key]

@@ -14,25 +14,26 @@ from rowtide.llm import flatscan, packing, tokenfile, tokens
 from rowtide.llm.common import pick
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
-ODD = ["a  b", " lead", "trail ", "\n x\n\n y", "don't  stop", "é ́x", "<|endoftext|> a", "İ ß", "1 2 3  ", "tab\t \tz", "  "]
+ODD = ["a  b", " lead", "trail ", "\n x\n\n y", "don't  stop", "é ́x", "<|endoftext|> a", "x <|endoftext|>", "x  <|endoftext|>y", "<|startoftext|>b", "A<|ENDOFTEXT|> \n <|endoftext|><|endoftext|>", "İ ß", "1 2 3  ", "tab\t \tz", "  "]
 
 
+@pytest.mark.parametrize("ordinary", [False, True])
 @pytest.mark.parametrize(("path", "spaced"), [(BYTE, True), (WORD, False)])
-def test_ids_are_those_of_the_whole_text(path, spaced, monkeypatch):
+def test_ids_are_those_of_the_whole_text(path, spaced, ordinary, monkeypatch):
     texts = [r[1] or "" for r in AWKWARD] + ODD + frame(60).text.tolist()
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
+    whole.encode_special_tokens = ordinary
     want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
     for cache in (tokens.CACHE, 50):
         monkeypatch.setattr(tokens, "CACHE", cache)
-        encoder = tokens.Encoder(path, spaced)
+        encoder = tokens.Encoder(path, spaced, ordinary)
         for _ in range(2):
             assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == want
 
 
-def ids_of(path, end):
+def ids_of(path, end, ordinary=False):
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
+    whole.encode_special_tokens = ordinary
     return lambda text: [*whole.encode(text or "", add_special_tokens=False).ids, end]
 
 
@@ -115,7 +116,7 @@ def test_planes_of_any_ids(width):
 @pytest.mark.parametrize("block", [7, 1000, flatscan.BLOCK_IDS])
 def test_flat_scan_finds_every_document(spark, block):
     df = pick(documents(spark), "doc_id", "text").filter("length(text) < 2000 OR text IS NULL")
-    encode = ids_of(BYTE, 50256)
+    encode = ids_of(BYTE, 50256, ordinary=True)
     folder, order = flatscan.write_flat(df, BYTE, True, 50256)
     got = rows_of(flatscan.count_tokens(flatscan.listed(spark, folder), 50256, block_ids=block))
     by_file = {(r["file"].rsplit("/")[-1], r["ordinal"]): r for r in got}
