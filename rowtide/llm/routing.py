@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from rowtide.llm.common import in_arrow
 
 KEY_BYTES = 6  # of a key's hash; a false meeting costs a comparison, no more
-PER_BUCKET = 1_000_000
-_BLOB = 500_000
+PER_BUCKET = 500_000
+_BLOB = 250_000
 
 
 def packed(keys: np.ndarray, owners: np.ndarray, n: int) -> list[bytes]:
@@ -121,11 +121,14 @@ def _led(
         led_runs = np.add.reduceat(met.astype(np.int64), starts) > 0
         own = [lead[led_runs], lead[led_runs], low[starts][led_runs]]
         columns = [np.concatenate(c) for c in zip([*columns, low[met]], own, strict=True)]
-    pairs = np.unique(np.stack(columns, 1), axis=0)
-    if len(pairs):
-        names = ["leader", "node", "low"][: pairs.shape[1]]
-        arrays = [pa.array(np.ascontiguousarray(pairs[:, i])) for i in range(pairs.shape[1])]
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    if len(order):
+        yield pa.RecordBatch.from_arrays([pa.array(c[new]) for c in columns], names=["leader", "node", "low"][: len(columns)])
 
 
 def led(rows: DataFrame, buckets: int, with_keys: bool = False) -> DataFrame:
