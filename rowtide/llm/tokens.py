@@ -95,15 +95,29 @@ class Encoder:
         known, first = self.known, self.first if self.spaced else self.known
         new_first = list({parts[0] for parts in split}.difference(first))
         first.update(zip(new_first, self._ids(new_first, lead=False), strict=True))
-        new = list(set().union(*[parts for parts in split if len(parts) > 1]).difference(known))
-        known.update(zip(new, self._ids(new, lead=self.spaced), strict=True))
-        look = known.__getitem__
-        out = [first[parts[0]] + b"".join(map(look, parts[1:])) for parts in split]
-        full = len(known) + len(first) > CACHE
-        for kept, added in ((first, new_first), (known, new)):
-            for word in added:
-                if full or len(word) > 64:
-                    kept.pop(word, None)
+        # Each part is looked up once; only those that are not known yet are looked at again.
+        coded, new, look = [], set(), known.get
+        for parts in split:
+            found = list(map(look, parts))
+            found[0] = first[parts[0]]
+            if None in found:
+                new.update([part for part, ids in zip(parts, found, strict=True) if ids is None])
+            coded.append(found)
+        added = dict(zip(new, self._ids(list(new), lead=self.spaced), strict=True))
+        out = []
+        for parts, found in zip(split, coded, strict=True):
+            if None in found:
+                found = [added[part] if ids is None else ids for part, ids in zip(parts, found, strict=True)]
+            out.append(b"".join(found))
+        full = len(known) + len(first) + len(added) > CACHE
+        if full:
+            for word in new_first:
+                first.pop(word, None)
+        else:
+            known.update((word, ids) for word, ids in added.items() if len(word) <= 64)
+            for word in new_first:
+                if len(word) > 64:
+                    first.pop(word, None)
         return out
 
 
