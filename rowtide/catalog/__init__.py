@@ -33,4 +33,5 @@ def load() -> None:
         ranking,
         storage,
         training,
+        transformers,
     )

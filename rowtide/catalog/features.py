@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from rowtide.catalog import query
 from rowtide.catalog.fixtures import (
     EVENTS,
+    FULL,
     LINES,
     ORDERS,
     as_doubles,
     events,
+    full_panel,
     labels,
     lines,
     orders,
@@ -427,3 +429,12 @@ def panel_scan(spark, sf_dir):
     columns = [c for c in spark.read.parquet(path).columns if c not in dropped]
     spec = PanelSpec.from_columns(columns, LINES.entity, LINES.order, categorical=["l_returnflag"])
     return read_panel(spark, path, spec, drop=dropped).drop("l_returnflag")
+
+
+FULL_TREES = FeatureOptions.for_trees(FULL, narrow=False, quantise=False, diff1=FULL.numeric[:20], middle=FULL.numeric[:20])
+
+
+@query("feature_row_full", filled_sql(feature_sql(FULL, FULL_TREES), "supplier"))
+def feature_row_full(spark, sf_dir):
+    """The feature row at full width: 190 numeric columns, some 2,200 outputs."""
+    return as_doubles(feature_row(full_panel(spark, sf_dir), FULL, FULL_TREES), "supplier")

@@ -32,6 +32,16 @@ LINES = PanelSpec(
     },
 )
 
+# A panel as wide as the real one: columns of exact numbers with gaps, made from the lines' keys.
+FULL_WIDTH = 190
+FULL = PanelSpec(
+    "supplier",
+    ("shipped", "l_orderkey", "l_linenumber", "l_partkey"),
+    tuple(f"n{i:03}" for i in range(FULL_WIDTH)),
+    ("flag", "state"),
+    {"spend": tuple(f"n{i:03}" for i in range(0, FULL_WIDTH, 10))},
+)
+
 # Category codes, the same in both engines.
 STATUS = "CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END"
 PRIORITY = "CAST(substr(o_orderpriority, 1, 1) AS INT)"
@@ -54,7 +64,21 @@ SCORED_SQL = (
     f"{LOGIT} AS probability FROM events"
 )
 
-PANEL_SQL = {"user_id": EVENTS_SQL, "o_custkey": ORDERS_SQL, "l_suppkey": LINES_SQL}
+def full_columns() -> dict[str, str]:
+    """Expression of each column of the full-width panel, the same in both engines."""
+    out = {}
+    for i, c in enumerate(FULL.numeric):
+        mixed = f"(l_orderkey * {37 * i + 11} + l_partkey * {i + 5} + l_linenumber)"
+        out[c] = f"CASE WHEN {mixed} % {7 + i % 5} <> 0 THEN CAST({mixed} % {1009 + 2 * i} AS DOUBLE) / 8 END"
+    return out
+
+
+FULL_SQL = (
+    "SELECT l_suppkey AS supplier, l_shipdate AS shipped, l_orderkey, l_linenumber, l_partkey, "
+    + ", ".join(f"{e} AS {c}" for c, e in full_columns().items())
+    + f", {FLAG} AS flag, {STATE} AS state FROM lineitem"
+)
+PANEL_SQL = {"user_id": EVENTS_SQL, "o_custkey": ORDERS_SQL, "l_suppkey": LINES_SQL, "supplier": FULL_SQL}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +110,20 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def full_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem")
+    return rows.selectExpr(
+        "l_suppkey AS supplier",
+        "l_shipdate AS shipped",
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        *[f"{e} AS {c}" for c, e in full_columns().items()],
+        f"{FLAG} AS flag",
+        f"{STATE} AS state",
+    )
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id",

@@ -10,6 +10,7 @@ entities need nothing special.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
@@ -41,6 +42,99 @@ def aggregate(df: DataFrame, key: str, *blocks: Block) -> DataFrame:
     return df.groupBy(key).agg(*[F.expr(f"{e} AS {name(n)}") for n, e in merge(*blocks).items()])
 
 
+# Fields that a generated-code aggregate may carry (spark.sql.codegen.maxFields is 100), and what an aggregate
+# of each kind holds until it is finished.
+_FIELDS = 90
+_HELD = {"avg": 2, "stddev_samp": 3, "kurtosis": 5, "min_by": 2, "max_by": 2}
+_CALL = re.compile(r"\b(\w+)\(")
+_AGGREGATES = {"avg", "min", "max", "sum", "stddev_samp", "kurtosis", "min_by", "max_by", "count", "count_if", "bit_or"}
+_NAMED = re.compile(r"`((?:[^`]|``)+)`")
+_SLOT = "`@`"
+
+
+def _fields(expressions: Iterable[str]) -> int:
+    """Fields that aggregates of these expressions hold, at most."""
+    calls = [fn for e in expressions for fn in _CALL.findall(e) if fn in _AGGREGATES]
+    return sum(_HELD.get(fn, 1) for fn in calls)
+
+
+_COMMON = 8  # an aggregate that fewer than one in so many columns gets is left to the common pass
+
+
+def _alike(block: Block, kinds: Mapping[str, str]) -> list[tuple[list[str], dict[str, dict[str, str]]]]:
+    """Columns of one type and the aggregates they get: (expressions with a slot for the column, {column: {expression: output}}).
+
+    A column takes part with all expressions that enough columns of its type have; what is not
+    asked of a column is not shown. Expressions over several columns are in none.
+    """
+    by_kind: dict[str, dict[str, dict[str, str]]] = {}
+    for out, e in block.items():
+        used = {c.replace("``", "`") for c in _NAMED.findall(e)}
+        if len(used) == 1:
+            (c,) = used
+            by_kind.setdefault(kinds[c], {}).setdefault(c, {})[e.replace(name(c), _SLOT)] = out
+    groups = []
+    for columns in by_kind.values():
+        times: dict[str, int] = {}
+        for found in columns.values():
+            for e in found:
+                times[e] = times.get(e, 0) + 1
+        shapes = [e for e, n in times.items() if n * _COMMON >= len(columns)]
+        shown = {c: {e: o for e, o in found.items() if e in shapes} for c, found in columns.items()}
+        groups.append((shapes, {c: found for c, found in shown.items() if found}))
+    return groups
+
+
+def aggregate_wide(df: DataFrame, key: str, *blocks: Block, least: int = 200) -> DataFrame:
+    """``aggregate`` for rows of many columns: the same result, in generated code.
+
+    An aggregate of hundreds of columns leaves generated code. Columns that get the same aggregates
+    are therefore laid out as several short rows (key, part, a few columns), which are aggregated by
+    (key, part); what comes out is a few rows per key, put side by side again as one list. Rows that are
+    partitioned by ``key`` stay where they are throughout. Everything else is aggregated as before, and
+    joined once. Fewer than ``least`` expressions are not worth it.
+    """
+    block = merge(*blocks)
+    kinds = dict(df.dtypes)
+    wide = [g for g in _alike(block, kinds) if len(g[0]) * len(g[1]) >= least]
+    if not wide:
+        return aggregate(df, key, block)
+    rest = dict(block)
+    out = None
+    for i, (shapes, outputs) in enumerate(wide):
+        columns = list(outputs)
+        per_part = max(1, _FIELDS // max(1, _fields(shapes)))
+        parts = [columns[j : j + per_part] for j in range(0, len(columns), per_part)]
+        rows = []
+        for at, part in enumerate(parts):
+            cells = [f"{name(c)} AS v{j}" for j, c in enumerate(part)]
+            cells += [f"CAST(NULL AS {kinds[columns[0]]}) AS v{j}" for j in range(len(part), per_part)]
+            rows.append(f"struct({at} AS __part, {', '.join(cells)})")
+        laid = df.selectExpr(name(key), RN, N, f"inline(array({', '.join(rows)}))")
+        made = [f"{e.replace(_SLOT, f'v{j}')} AS o{j}_{k}" for j in range(per_part) for k, e in enumerate(shapes)]
+        short = laid.groupBy(key, "__part").agg(*[F.expr(e) for e in made])
+        names = ", ".join(f"o{j}_{k}" for j in range(per_part) for k in range(len(shapes)))
+        again = short.groupBy(key).agg(F.expr(f"array_sort(collect_list(struct(__part, {names}))) AS __parts{i}"))
+        picked = []
+        for n, c in enumerate(columns):
+            at, j = divmod(n, per_part)
+            for k, e in enumerate(shapes):
+                if e in outputs[c]:
+                    picked.append(f"__parts{i}[{at}].o{j}_{k} AS {name(outputs[c][e])}")
+                    del rest[outputs[c][e]]
+        side = again.selectExpr(name(key), *picked)
+        out = side if out is None else _beside(out, side, key)
+    if rest:
+        out = _beside(out, aggregate(df, key, rest), key)
+    return out.selectExpr(name(key), *[name(o) for o in block])
+
+
+def _beside(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Both have one row for each key, a missing key included."""
+    renamed = right.withColumnRenamed(key, "__key")
+    return left.join(renamed, F.col(f"`{key}`").eqNullSafe(F.col("__key"))).drop("__key")
+
+
 def _at(c: str, place: str) -> str:
     return f"max(CASE WHEN {place} THEN {name(c)} END)"
 

@@ -70,8 +70,12 @@ def feature_row(df: DataFrame, spec: PanelSpec, options: FeatureOptions) -> Data
             spec,
             **{n: F.expr(e) for n, e in blocks.entity_means(options.mean_abs_dev).items()},
         )
-    wide = blocks.aggregate(rows, spec.entity, aggregates)
+    wide = blocks.aggregate_wide(rows, spec.entity, aggregates)
+    return finished_row(wide, list(aggregates), spec, options)
 
+
+def finished_row(wide: DataFrame, aggregates: list[str], spec: PanelSpec, options: FeatureOptions) -> DataFrame:
+    """Ratios and differences of aggregates, missing values filled; ``wide`` has one row per entity."""
     derived = blocks.merge(
         derive.family_nets(spec, options),
         derive.after_pay(options),
@@ -80,7 +84,7 @@ def feature_row(df: DataFrame, spec: PanelSpec, options: FeatureOptions) -> Data
         derive.versus_mean(spec, options),
         derive.pay_ratios(options),
     )
-    clash = derived.keys() & aggregates.keys()
+    clash = derived.keys() & set(aggregates)
     if clash:
         raise ValueError(f"duplicate output columns: {sorted(clash)}")
     sums = {f"{c}_sum" for c in spec.family_columns}
