@@ -28,13 +28,15 @@ blocks are trimmed and joined by an empty line.
 
 Edge cases: a null or empty html gives an empty text; a null url has no host and is
 read on its own; pages that repeat count once for the template and are each returned;
-text after an unfinished tag at the end is kept, the unfinished tag is not.
+a tag that never ends is left out; a quote that is never closed is a letter of its value. Time is
+linear in the page, whatever its tags, quotes, comments and depth.
 """
 
 from __future__ import annotations
 
 import html as chars
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -66,23 +68,115 @@ NAMED = frozenset(
 )
 # Words that leave a name's meaning as it is. Any other word changes it.
 _NEUTRAL = frozenset(
-    "area bar block body box btn button buttons column container content div form global google gpt group holder icons inner "
-    "item items left link links list main outer page panel posts primary right secondary section site slot stories text "
-    "top bottom unit wrap wrapper".split()
+    "area article articles bar block body box btn button buttons column container content div entry form global google gpt group "
+    "holder icons inner item items left link links list main media mobile outer page panel post posts primary privacy reader "
+    "readers right secondary section site slot stories text thread top bottom unit user users wrap wrapper".split()
 )
 _PAGE_HEAD = frozenset(["header", "masthead", "topbar"])  # headers of pages, not of articles
 _WHOLE = frozenset(["html", "body", "main"])
 _NEVER_NAMED = frozenset("article h1 h2 h3 h4 h5 h6".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>"
-    r"|<[a-zA-Z/!?][^<>]*\Z",
-    re.S | re.I,
-)
-_ATTR = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_RAW = frozenset("script style textarea title noscript template iframe".split())
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in _RAW}
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_GAP = re.compile(r"[\s/]*")
+_ATTRIBUTE = re.compile(r"[^\s/>][^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_BARE = re.compile(r"[^\s>]*")
+_TELLING = frozenset(["class", "id", "role"])
+
+
+class _Scanner:
+    """Reads tags from left to right; every search goes on from the last one, and one that failed is not made again."""
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self.missing: set[str] = set()
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.missing:
+            return -1
+        found = self.html.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def after(self, what: str, at: int) -> int:
+        found = self.find(what, at)
+        return len(self.html) if found < 0 else found + len(what)
+
+    def comment(self, at: int) -> int:
+        """The end of a comment that begins at ``at`` with <!--; <!--> and <!---> are whole ones."""
+        for short in ("<!-->", "<!--->"):
+            if self.html.startswith(short, at):
+                return at + len(short)
+        ends = [found for mark in ("-->", "--!>") if (found := self.find(mark, at + 4)) >= 0]
+        return self.html.index(">", min(ends)) + 1 if ends else len(self.html)
+
+    def attributes(self, at: int) -> tuple[int, list[tuple[str, str]], bool]:
+        """(end of the tag or -1 if it has none, class, id and role, whether it closes itself)."""
+        html, found = self.html, []
+        while True:
+            at = _GAP.match(html, at).end()
+            if at >= len(html):
+                return -1, found, False
+            if html[at] == ">":
+                return at + 1, found, html[at - 1] == "/"
+            name = _ATTRIBUTE.match(html, at)
+            at = name.end()
+            equals = _EQUALS.match(html, at)
+            if not equals:
+                continue
+            at, value = equals.end(), ""
+            quote = html[at : at + 1]
+            if quote in ("'", '"') and (end := self.find(quote, at + 1)) >= 0:
+                value, at = html[at + 1 : end], end + 1
+            else:  # a quote that is never closed is a letter like others
+                bare = _BARE.match(html, at)
+                value, at = bare[0], bare.end()
+            if (lower := name[0].lower()) in _TELLING:
+                found.append((lower, value))
+
+
+def tags(html: str) -> Iterator[tuple[str, str, list[tuple[str, str]], bool]]:
+    """(kind, what, attributes, closes itself): ``text`` and its text, ``open`` and ``end`` and their tag.
+
+    Elements whose content is no text for readers (scripts, styles, ..) are left out with all they hold. A tag that
+    never ends is left out, as is a comment's rest; a < that begins no tag is text.
+    """
+    scan, at, n = _Scanner(html), 0, len(html)
+    while at < n:
+        begin = scan.find("<", at)
+        if begin < 0:
+            yield "text", html[at:], [], False
+            return
+        kind = html[begin + 1 : begin + 2]
+        is_end = kind == "/"
+        name = _NAME.match(html, begin + 1 + is_end)
+        if not name and kind not in ("!", "?", "/"):
+            yield "text", html[at : begin + 1], [], False
+            at = begin + 1
+            continue
+        if begin > at:
+            yield "text", html[at:begin], [], False
+        if not name:
+            at = scan.comment(begin) if html.startswith("<!--", begin) else scan.after(">", begin)
+            continue
+        tag = name[0].lower()
+        at, attributes, closed = scan.attributes(name.end())
+        if at < 0:
+            return
+        if is_end:
+            yield "end", tag, [], False
+        elif tag in _RAW:
+            end = _RAW_END[tag].search(html, at)
+            if not end:
+                return
+            at = scan.after(">", end.end())
+        else:
+            yield "open", tag, attributes, closed
+
+
 _PARTS = re.compile(r"[^a-z0-9]+")
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
@@ -90,18 +184,23 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 class Node:
     """An open element: its path hash, depth and what holds for its text.
 
-    ``gone``: dropped by a tag; ``named``: paths of the elements around, itself included, that a name drops.
+    ``gone``: dropped by a tag; ``by_name``: a name drops it; ``first_named`` and ``n_named``: the outermost element around, itself
+    included, that a name drops, and how many do; ``inside``: it is the container or in it.
     """
 
-    __slots__ = ("tag", "path", "depth", "gone", "named", "article", "link", "holds")
+    __slots__ = ("tag", "path", "depth", "gone", "by_name", "first_named", "n_named", "article", "link", "holds", "inside")
 
-    def __init__(self, tag: str, path: int, depth: int, gone: bool, named: tuple[int, ...], article: bool, link: bool, holds: bool):
-        self.tag, self.path, self.depth = tag, path, depth
-        self.gone, self.named, self.article, self.link, self.holds = gone, named, article, link, holds
+    def __init__(self, tag: str, path: int, top: Node | None, gone: bool, by_name: bool, article: bool, holds: bool, inside: bool):
+        self.tag, self.path, self.gone, self.by_name = tag, path, gone, by_name
+        self.article, self.holds, self.inside = article, holds, inside
+        self.depth = top.depth + 1 if top else 0
+        self.n_named = (top.n_named if top else 0) + by_name
+        self.first_named = top.first_named if top and top.n_named else path
+        self.link = bool(top and top.link) or tag == "a"
 
     @property
     def dropped(self) -> bool:
-        return self.gone or bool(self.named)
+        return self.gone or self.n_named > 0
 
 
 def _hash(text: str) -> int:
@@ -127,21 +226,21 @@ def walk(html: str, container: int | None = None) -> Iterator[tuple[list[Node],
 
     No name drops the element whose path is ``container``.
     """
-    stack = [Node("", 0, 0, False, (), False, False, False)]
-    at = 0
-    for m in _TOKEN.finditer(html):
-        if m.start() > at:
-            yield stack, html[at : m.start()]
-        at = m.end()
-        tag = m["tag"]
-        if tag is None:
+    stack = [Node("", 0, None, False, False, False, False, False)]
+    opened: Counter[str] = Counter()
+
+    def cut(i: int) -> None:
+        for node in stack[i:]:
+            opened[node.tag] -= 1
+        del stack[i:]
+
+    for kind, tag, attributes, closed in tags(html):
+        if kind == "text":
+            yield stack, tag
             continue
-        tag = tag.lower()
-        if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+        if kind == "end":
+            if opened[tag]:
+                cut(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             if tag not in INLINE:
                 yield stack, None
             continue
@@ -149,44 +248,34 @@ def walk(html: str, container: int | None = None) -> Iterator[tuple[list[Node],
             yield stack, " "
             continue
         block = tag not in INLINE
-        if block:  # a paragraph or list item ends where the next block begins, with what it left open
-            closes = {"p"} if tag != "li" else {"p", "li"}
+        closes = ("p",) if tag != "li" else ("p", "li")
+        if block and any(opened[c] for c in closes):  # a paragraph or list item ends where the next block begins, with what it left open
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in closes:
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i].tag not in INLINE:
                     break
         top = stack[-1]
-        attrs, names, label = m["attrs"], [], tag
-        if attrs and "=" in attrs:
-            for name, *values in _ATTR.findall(attrs):
-                words = [w for w in _PARTS.split("".join(values).lower()) if w]
-                names += [own for n in "".join(values).lower().split() if (own := [w for w in _PARTS.split(n) if w])]
-                label += f" {name.lower()}={' '.join(w for w in words if not w.isdigit())}"
+        names, label = [], tag
+        for name, value in attributes:
+            words = [w for w in _PARTS.split(value.lower()) if w]
+            names += [own for n in value.lower().split() if (own := [w for w in _PARTS.split(n) if w])]
+            label += f" {name}={' '.join(w for w in words if not w.isdigit())}"
         holds = tag in ("article", "main") or "role=main" in label
         in_article = top.article or holds
         path = _hash(f"{top.path}>{label}")
         by_name = not (holds or tag in _WHOLE or tag in _NEVER_NAMED or path == container) and _named(names, in_article)
-        node = Node(
-            tag,
-            path,
-            top.depth + 1,
-            top.gone or _gone(tag, in_article),
-            (*top.named, path) if by_name else top.named,
-            in_article,
-            top.link or tag == "a",
-            holds,
-        )
-        if tag in VOID or (attrs or "").endswith("/") and tag in ("svg", "path"):
+        inside = top.inside or path == container
+        node = Node(tag, path, top, top.gone or _gone(tag, in_article), by_name, in_article, holds, inside)
+        if tag in VOID or closed and tag in ("svg", "path"):
             if block:
                 yield stack, None
             continue
         stack.append(node)
+        opened[tag] += 1
         if block:
             yield stack, None
-    if at < len(html):
-        yield stack, html[at:]
 
 
 def plain(text: str) -> str:
@@ -199,27 +288,36 @@ _TOKENS = pa.list_(
 
 
 def _kind(node: Node) -> str:
-    if node.path in node.named[-1:]:
+    if node.by_name:
         return "n"
     return "a" if node.holds else "e"
 
 
-def _add(found: dict[int, list], path: int, content: str) -> None:
-    if row := found.get(path):
-        row[3] += len(content)
-        row[4] = (row[4] * 31 + _hash(content)) % (1 << 63)
-
-
 def page_tokens(html: str) -> list[dict]:
     """Tokens of a page; elements (e), article elements (a), elements that a name drops (n), texts in articles (t)
     and elsewhere (o).
 
     ``volume`` of an element is the running text inside it that no rule drops (other than its own name, if one
-    drops it), ``digest`` its hash.
+    drops it), ``digest`` the sum of that text's hashes. Both are what the page has gathered between
+    the element's begin and its end, so depth costs nothing.
     """
     found: dict[int, list] = {}
     opened: set[int] = set()
+    around: list[tuple[Node, int, int]] = []  # open elements, with what was gathered before them
+    volume = digest = 0
+
+    def settle(stack: list[Node]) -> None:
+        """Close what is no longer open, and note what is."""
+        while around and (len(around) > len(stack) or stack[len(around) - 1] is not around[-1][0]):
+            node, volume_before, digest_before = around.pop()
+            if not node.n_named and (row := found.get(node.path)):
+                row[3] += volume - volume_before
+                row[4] = (row[4] + digest - digest_before) % (1 << 63)
+        for node in stack[len(around) :]:
+            around.append((node, volume, digest))
+
     for stack, text in walk(html):
+        settle(stack)
         top = stack[-1]
         if text is None:
             if id(top) not in opened and top.depth:
@@ -231,15 +329,17 @@ def page_tokens(html: str) -> list[dict]:
         content = plain(text)
         if not content or top.gone:
             continue
-        if top.named:
-            if len(top.named) == 1 and not top.link:
-                _add(found, top.named[0], content)
+        if top.n_named:
+            if top.n_named == 1 and not top.link and (row := found.get(top.first_named)):
+                row[3] += len(content)
+                row[4] = (row[4] + _hash(content)) % (1 << 63)
             continue
         row = found.setdefault(_hash(f"{top.path}|{content}"), ["t" if top.article else "o", top.depth + 1, 0, 0, 0, []])
         row[2] += 1
         if not top.link:
-            for node in stack[1:]:
-                _add(found, node.path, content)
+            volume += len(content)
+            digest += _hash(content)
+    settle([])
     names = ("kind", "depth", "times", "volume", "digest")
     return [{"token": k, **dict(zip(names, v, strict=False))} for k, v in found.items()]
 
@@ -265,7 +365,7 @@ def extract(html: str, container: int | None, constant: frozenset[int] | set[int
         top = stack[-1]
         if top.dropped:
             continue
-        inside = container is not None and any(node.path == container for node in stack)
+        inside = container is not None and top.inside
         if constant and (top.link or not inside) and _hash(f"{top.path}|{plain(text)}") in constant:
             continue
         piece = decoded(text)

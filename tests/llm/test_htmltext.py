@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from small import rows_of
 
 from rowtide.llm import htmltext
@@ -123,3 +124,53 @@ def test_markup_references_and_white_space(spark):
 
 def test_empty(spark):
     assert extract(spark, []) == {}
+
+
+def text_alone(html):
+    return htmltext.extract(html, None, frozenset())
+
+
+def test_quotes_comments_and_unfinished_tags():
+    assert text_alone('<p title="5" tall">Hello text one</p>') == "Hello text one"
+    assert text_alone("<p data-x=it's>Hello text</p><p>Don't stop</p><p>It's third</p>") == "Hello text\n\nDon't stop\n\nIt's third"
+    assert text_alone("<!--><p>one</p><!---><p>two</p><!-- x > --><p>three</p><!-- a --!><p>four</p>") == "one\n\ntwo\n\nthree\n\nfour"
+    assert text_alone("<p title='a>b' class=\"x y\">kept</p><p>a < b and 3<4</p>") == "kept\n\na < b and 3<4"
+    assert text_alone('<p title="never closed>first</p><p>second</p>') == "first\n\nsecond"
+    assert text_alone("<p>before</p><p class=x") == "before"
+    assert text_alone("<p>a</p><script>if (a < b) x('</p>')</script ><style>p{}</STYLE><p>b</p>") == "a\n\nb"
+    assert text_alone("<p>a</p><? php > <!doctype html> </> </ x><p>b</p>") == "a\n\nb"
+    assert text_alone("<P CLASS='AD'>gone</P><p>stays</p>") == "stays"
+    assert text_alone("<p>one<p>two<li>three<li>four") == "one\n\ntwo\n\nthree\n\nfour"
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["reader-comments", "user-comments", "post-comments", "article-comments", "comment-thread", "related-articles", "social-media", "entry-footer",
+     "privacy-notice", "mobile-menu"],
+)
+def test_what_readers_and_others_add_inside_an_article_goes(name):
+    html = f"<article><p>The article itself.</p><div class='{name}'><p>Nobody wrote this.</p></div><p>Its end.</p></article>"
+    assert text_alone(html) == "The article itself.\n\nIts end."
+
+
+def test_time_is_linear():
+    import time
+
+    start = time.perf_counter()
+    text_alone("<div " * 200_000)
+    text_alone("<p a='" * 150_000 + "x")
+    text_alone("<!--" * 200_000)
+    text_alone("<script>" * 100_000 + "<b" * 100_000)
+    deep = "<div><p>x</p>" * 50_000
+    assert text_alone(deep).count("x") == 50_000
+    tokens = htmltext.page_tokens(deep + "</div></span>" * 50_000)
+    assert max(t["volume"] for t in tokens) == 50_000
+    assert time.perf_counter() - start < 30
+
+
+def test_volumes_are_what_elements_hold():
+    html = "<div id=a><p>one</p><div id=b><p>two three</p><a>link</a></div></div><div class=ad><p>buy</p></div>"
+    volumes = sorted(t["volume"] for t in htmltext.page_tokens(html) if t["kind"] == "e")
+    assert volumes == [0, len("one"), len("two three"), len("two three"), len("one") + len("two three")]
+    named = [t for t in htmltext.page_tokens(html) if t["kind"] == "n"]
+    assert [t["volume"] for t in named] == [len("buy")]
