@@ -34,6 +34,44 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*[F.col(f"_{place[n]}").alias(n) for n in names])
 
 
+def whole_rows(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and ``row``: all columns as one struct by position, whatever their names are."""
+    place = {}
+    for i, name in enumerate(df.columns):
+        place.setdefault(name, i)
+    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return plain.select(*[F.col(f"_{place[n]}").alias(n) for n in names], F.struct(*plain.columns).alias("row"))
+
+
+def rows_back(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` out of ``row``."""
+    return df.select("row.*").toDF(*like.columns)
+
+
+def with_texts(df: DataFrame, like: DataFrame, carried: str, fn: Callable[[str | None, object], str | None]) -> DataFrame:
+    """The rows of ``df`` (``row`` and ``carried``) as columns of ``like``, their text being fn(text, carried).
+
+    ``n_chars`` follows the text, if there is such a column.
+    """
+    names = list(like.columns)
+    text, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+    kind = like.schema.fields[chars].dataType if chars is not None else None
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        shown = batch.column(f"_{text}").to_pylist()
+        out = [fn(t, c) for t, c in zip(shown, batch.column("__carried").to_pylist(), strict=True)]
+        batch = batch.set_column(text, f"_{text}", pa.array(out, pa.string()))
+        if chars is not None:
+            sizes = pa.array([None if t is None else len(t) for t in out], pa.int64())
+            batch = batch.set_column(chars, f"_{chars}", sizes.cast(batch.schema.field(f"_{chars}").type))
+        return batch.drop_columns(["__carried"])
+
+    if kind is not None and kind.typeName() not in ("byte", "short", "integer", "long"):
+        chars = None
+    schema = ", ".join(f"_{i} {f.dataType.simpleString()}" for i, f in enumerate(like.schema.fields))
+    return by_batch(df.select("row.*", F.col(carried).alias("__carried")), run, schema).toDF(*names)
+
+
 def key_of(column: str) -> Column:
     """A string key that also tells null from every value, so that equi-joins keep null groups."""
     return F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit("null"))

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm import routing, sigtree
-from rowtide.llm.common import by_batch, in_arrow, pick, texts
+from rowtide.llm.common import by_batch, in_arrow, pick, rows_back, texts, whole_rows
 from rowtide.llm.components import components
 from rowtide.llm.words import mixed, shingle_sets
 from rowtide.session import discard, materialise, release, stored
@@ -119,15 +119,35 @@ def _scan(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     return by_batch(docs, run, "doc_id bigint, n bigint, digest binary, node bigint, routes binary")
 
 
+_KEPT = 6  # bytes of a shingle's hash that are stored: the high ones, so their order stays
+
+
+def _short(part: np.ndarray) -> bytes:
+    return np.ascontiguousarray(part.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - _KEPT :]).tobytes()
+
+
+def _tokens(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // _KEPT, 8), np.uint8)
+    wide[:, 8 - _KEPT :] = np.frombuffer(raw, np.uint8).reshape(-1, _KEPT)
+    return wide.reshape(-1).view("<u8")
+
+
+_PLACED = "array<struct<leader:bigint,block:bigint>>"
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, digest, rep, n, bits, wide, tokens) of the classes that are in any tree; ``wanted`` has node, digest, rep."""
+    """(node, digest, rep, placed, n, bits, wide, tokens) of the classes that are in any tree.
+
+    ``wanted`` has node, digest, rep and ``placed``: the blocks of trees that the set meets first, which it
+    carries along, so that it needs no join to get there.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, counts = shingle_sets(texts(batch), size)
         ends = np.cumsum(counts).tolist()
         parts = [hashes[e - c : e] for e, c in zip(ends, counts.tolist(), strict=True)]
         right = [d == _digest(p) for d, p in zip(batch.column("digest").to_pylist(), parts, strict=True)]
-        out = [batch.column(c) for c in ("node", "digest", "rep")]
+        out = [batch.column(c) for c in ("node", "digest", "rep", "placed")]
         rows = pa.RecordBatch.from_arrays(
             [
                 *out,
@@ -136,15 +156,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                     pa.array([sigtree.bitmap(p, k * sigtree.width(len(p))).tobytes() for p in parts], pa.binary())
                     for k in (1, _WIDER)
                 ],
-                pa.array([p.tobytes() for p in parts], pa.binary()),
+                pa.array([_short(p) for p in parts], pa.binary()),
             ],
-            names=["node", "digest", "rep", "n", "bits", "wide", "tokens"],
+            names=["node", "digest", "rep", "placed", "n", "bits", "wide", "tokens"],
         )
         return rows.filter(pa.array(right))
 
     # Hinted, so that the plan is the same at every size: texts are shuffled, never collected for a broadcast.
-    found = docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["rep"]).select("text", "node", "digest", "rep")
-    return by_batch(found, run, "node bigint, digest binary, rep bigint, n bigint, bits binary, wide binary, tokens binary")
+    found = docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["rep"]).select("text", "node", "digest", "rep", "placed")
+    schema = f"node bigint, digest binary, rep bigint, placed {_PLACED}, n bigint, bits binary, wide binary, tokens binary"
+    return by_batch(found, run, schema)
 
 
 def _joined(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -169,7 +190,7 @@ def _joined(members: DataFrame, num: int, den: int) -> DataFrame:
                     if len(rows) > 1:
                         out += links(rows)
                     group, rows = (leader, block), {}
-                rows[digest] = (rep, label, np.frombuffer(tokens, np.uint64))
+                rows[digest] = (rep, label, _tokens(tokens))
             if out:
                 yield _pairs(out)
         if len(rows) > 1 and (out := list(links(rows))):
@@ -241,11 +262,15 @@ def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num:
     """
     nodes = led.select("node").union(led.select("leader")).distinct()
     wanted = classes.filter(F.col("rep").isNotNull()).join(nodes, "node", "left_semi")
+    least = led.groupBy("node").agg(F.min("leader").alias("leader"))
+    placed = _trees(least, block).groupBy("node").agg(F.collect_list(F.struct("leader", "block")).alias("placed"))
+    wanted = wanted.join(placed.hint("merge"), "node", "left").withColumn("placed", F.col("placed").cast(_PLACED))
     sets, folder = stored(_sets(docs, wanted, size), "jaccard-sets")
+    del wanted, placed, nodes
     release(docs.sparkSession)  # the texts' way to their sets is over
-    least = led.groupBy("node").agg(F.min("leader").alias("leader"))
-    members = _trees(least, block).join(sets.hint("merge"), "node").withColumn("label", F.lit(None).cast("long"))
+    members = sets.select(F.inline("placed"), "digest", "rep", F.lit(None).cast("long").alias("label"), "tokens")
     first = materialise(_joined(members, num, den), "jaccard-links")
+    del members
     release(docs.sparkSession)
 
     known = components(first).select(F.col("v").alias("rep"), F.col("p").alias("label"))
@@ -304,8 +329,17 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group of near duplicates (the one with the least doc_id), all columns."""
-    found = jaccard_components(docs, words, percent)
-    stay = found.filter("doc_id = component_id").select("doc_id").distinct()
-    some = docs.filter(F.col("doc_id").isNotNull()).join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return some.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """One document of each group of near duplicates (the one with the least doc_id, null last), all columns.
+
+    Rows are told apart by doc_id and text: equal ones are one document, also without a doc_id, and rows that share
+    a doc_id but not their text are documents of their own. Further columns may have any name.
+    """
+    rows = whole_rows(docs, "doc_id", "text")
+    name = F.xxhash64("doc_id", "text")
+    found = jaccard_components(rows.select(name.alias("doc_id"), "text"), words, percent)
+    groups = found.select(F.col("doc_id").alias("name"), F.col("component_id").alias("group")).distinct()
+    ids = rows.select(name.alias("name"), F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "name")
+    stay = ids.join(groups.hint("merge"), "name").groupBy("group").agg(F.min(order)["name"].alias("name")).select("name")
+    some = rows.select(name.alias("name"), "row").join(stay, "name", "left_semi").dropDuplicates(["name"])
+    return rows_back(some, docs)
