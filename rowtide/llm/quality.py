@@ -2,22 +2,20 @@
 
 One pass over each whole text gives the base measures and the hashes of its
 normalised lines (letters A-Z lowered, digit runs as 0, white space runs as one
-space, trimmed; blank lines don't count). Per host (source), the distinct documents
-with each line are counted; a line is shared if ``line_docs`` of them have it, else it
-is rare. A shared line is boilerplate unless copies make up its count, that is, if of
-the documents that have it
-
-* at least ``line_docs`` are different by their rare lines, and
-* those are at least half of them.
-
-Shared lines never decide what is a copy. Exact copies are one document, and documents
-with the same rare lines count once. A document of shared lines for half of its words or
-more whose every rare line is an edited shared line is a near copy; all of these count
-once. A rare line is an edited shared line if the document lacks that line and both begin
-or end alike for a quarter to half of their words. A document without rare lines counts
-as itself. So a copied article is not taken for boilerplate, while a notice under
-unrelated articles is, however little else they hold. Copies that each add a line of
-their own, unlike any shared one, can't be told from such articles and count singly.
+space, trimmed; blank lines don't count). Documents of a host (source) with the same set of
+normalised lines are one document. Per host, the distinct documents with each line are counted; a
+line that ``line_docs`` of them have is common, any other is rare.
+
+A common line is boilerplate unless only copies of one article make it common. Documents with
+the same rare lines count once, and so do all near copies together. A near copy is a document
+
+* whose common lines hold half of its words or more, and
+* whose rare lines are edits of common lines that it lacks, for half of their words or more. A line is an
+  edit of another one if what both begin and end with is 70 percent of the longer one's words at least.
+
+So a notice under unrelated articles is boilerplate, however little else they hold and however many
+copies of some article are beside them; a copied article is not. A document without rare lines counts as itself. Copies that each add
+a line of their own, unlike any common one, can't be told from articles under a notice and count singly.
 
 A document is depleted, and rejected, if boilerplate lines hold more than
 ``depleted`` percent of its words. The cleaned text is the text without its
@@ -36,10 +34,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import WORD, by_batch, key_of, pick, texts
+from rowtide.llm.common import WORD, by_batch, key_of, pick, texts, whole_rows, with_texts
 from rowtide.session import discard, materialise, release, stored
 
 _WORDS = re.compile(WORD)
@@ -47,10 +45,10 @@ _SYMBOLS = "#*$%&|<>"
 _DIGITS = re.compile(rb"[0-9]+")
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SCAN = (
-    "doc_id bigint, host string, content binary, n_words bigint, word_chars bigint, n_symbols bigint, "
-    "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line:bigint, words:bigint, head:bigint, tail:bigint>>"
+    "doc_id bigint, host string, content binary, page bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
+    "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line:bigint, words:bigint, seq:array<int>>>"
 )
-_LINES = pa.list_(pa.struct([(name, pa.int64()) for name in ("line", "words", "head", "tail")]))
+_LINES = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64()), ("seq", pa.list_(pa.int32()))]))
 
 
 def repeat_words(words: list[str], size: int = 3) -> int:
@@ -87,16 +85,13 @@ def line_key(words: list[str]) -> int:
     return int.from_bytes(bytes.fromhex(line_hash(words)), "big", signed=True)
 
 
-def line_ends(words: list[str]) -> tuple[int, int] | tuple[None, None]:
-    """Short hashes of how a line begins and ends; one edit leaves one of them as it is."""
-    if len(words) < 4:
-        return None, None
-    size = 1 << (len(words).bit_length() - 2)  # the power of two that is a quarter to half of the words
-    return zlib.crc32(b"%d " % size + normal_line(words[:size])), -1 - zlib.crc32(b"%d " % size + normal_line(words[-size:]))
+def sequence(words: list[str]) -> list[int]:
+    """The words of a normalised line as numbers of 32 bits."""
+    return [zlib.crc32(w) - (1 << 31) for w in normal_line(words).split(b" ")]
 
 
 def measures(text: str) -> tuple[tuple[int, int, int, int, int], list[tuple]]:
-    """The base measures, and (key, words, head, tail) of each different line that has a word."""
+    """The base measures, and (key, words, sequence) of each different line that has a word."""
     lines = [(line, words) for line in text.split("\n") if (words := _WORDS.findall(line))]
     all_words = [w for _, words in lines for w in words]
     base = (
@@ -110,18 +105,25 @@ def measures(text: str) -> tuple[tuple[int, int, int, int, int], list[tuple]]:
     for _, words in lines:
         key = line_key(words)
         have = found.get(key)
-        found[key] = (key, have[1] + len(words), *have[2:]) if have else (key, len(words), *line_ends(words))
+        found[key] = (key, have[1] + len(words), have[2]) if have else (key, len(words), sequence(words))
     return base, list(found.values())
 
 
+def _page(lines: list[tuple]) -> int:
+    """A name for the set of a document's lines."""
+    keys = b"".join(k.to_bytes(8, "little", signed=True) for k in sorted(line[0] for line in lines))
+    return int.from_bytes(hashlib.md5(keys, usedforsecurity=False).digest()[:8], "little", signed=True)
+
+
 def _scan(batch: pa.RecordBatch) -> pa.RecordBatch:
-    cols = {name: [] for name in ("content", *_BASE, "lines")}
+    cols = {name: [] for name in ("content", "page", *_BASE, "lines")}
     for text in texts(batch):
         cols["content"].append(hashlib.md5(text.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest())
         base, lines = measures(text)
         for name, value in zip(_BASE, base, strict=True):
             cols[name].append(value)
-        cols["lines"].append([dict(zip(("line", "words", "head", "tail"), found, strict=True)) for found in lines])
+        cols["page"].append(_page(lines))
+        cols["lines"].append([dict(zip(("line", "words", "seq"), found, strict=True)) for found in lines])
     kinds = {"content": pa.binary(), "lines": _LINES}
     data = [pa.array(v, kinds.get(k, pa.int64())) for k, v in cols.items()]
     return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), *data], names=["doc_id", "host", *cols])
@@ -134,60 +136,80 @@ def scan(docs: DataFrame) -> DataFrame:
     return by_batch(hosted, _scan, _SCAN)
 
 
+_ALIKE = 0.7  # of the longer line's words
+
+
+def _ends(seq: str) -> Column:
+    """Hashes of how a line begins and ends, at the lengths of which two lines that are alike share one.
+
+    Of two such lines, one end that they share is 35 percent of the longer one or more, and the longer one is at most
+    1 / 0.7 of the other; so the power of two below 35 percent of the longer one is among those here for both.
+    """
+    size = f"size({seq})"
+    lengths = [f"CAST(pow(2, floor(log2(greatest({share} * {size}, 1)))) AS INT)" for share in (_ALIKE / 2, 0.5)]
+    keys = [f"xxhash64('{k}', {n}, {e})" for n in lengths for k, e in (("head", f"slice({seq}, 1, {n})"), ("tail", f"slice({seq}, -{n}, {n})"))]
+    return F.explode(F.array_distinct(F.array(*[F.expr(k) for k in keys])))
+
+
+def _is_edit(a: str, b: str) -> str:
+    """Whether two different lines begin and end alike for most of their words."""
+    same = "array_position(zip_with({0}, {1}, (x, y) -> x <=> y), false) - 1"
+    head, tail = same.format(a, b), same.format(f"reverse({a})", f"reverse({b})")
+    return f"least({head} + {tail}, size({a}), size({b})) >= {_ALIKE} * greatest(size({a}), size({b}))"
+
+
 def boilerplate(lines: DataFrame, line_docs: int = 10) -> DataFrame:
-    """The rows of ``lines`` above the limits: (host, content, line, words).
+    """(host, line) of boilerplate.
 
-    ``lines`` has a row per host, content (a distinct document) and line. Counted in steps,
-    each combined before its shuffle, so a line of a third of all documents never meets in
-    one task.
+    ``lines`` has a row per host, page (a distinct document) and line, with its ``seq``. Counted in steps,
+    each combined before its shuffle.
     """
-    ends = [F.min(c).alias(c) for c in ("head", "tail")]
-    shared = lines.groupBy("host", "line").agg(F.count("*").alias("docs"), *ends).filter(F.col("docs") >= line_docs)
-    shared = materialise(shared, "quality-shared")
+    shared = lines.groupBy("host", "line").agg(F.count("*").alias("docs"), F.any_value("seq").alias("seq"))
+    shared = materialise(shared.filter(F.col("docs") >= line_docs), "quality-shared")
     marked = lines.join(shared.select("host", "line", F.lit(True).alias("shared")), ["host", "line"], "left")
     has = F.col("shared").isNotNull()
-    held = materialise(marked.filter(has).select("host", "content", "line", "words"), "quality-held")
-    own = marked.groupBy("host", "content").agg(
-        F.sum("words").alias("words"),
-        F.sum(F.when(has, F.col("words"))).alias("common"),
-        F.count(F.when(~has, 1)).alias("rare"),
+    held = materialise(marked.filter(has).select("host", "page", "line"), "quality-held")
+    words = F.size("seq").cast("long")
+    own = marked.groupBy("host", "page").agg(
+        F.sum(F.when(has, words)).alias("common"),
+        F.coalesce(F.sum(F.when(~has, words)), F.lit(0)).alias("rare"),
         F.bit_xor(F.when(~has, F.xxhash64("line"))).alias("own"),
     )
     own = materialise(own.filter("common > 0"), "quality-own")
-    # Near copies: what is not shared are edits of shared lines that the document lacks.
-    either = F.explode(F.array("head", "tail")).alias("end")
-    alike = (
-        lines.join(own.filter("rare > 0 AND 2 * common >= words").select("host", "content"), ["host", "content"], "left_semi")
+    # Near copies: most of what is not common are edits of common lines that the document lacks.
+    rare = (
+        lines.join(own.filter("rare > 0 AND common >= rare").select("host", "page"), ["host", "page"], "left_semi")
         .join(shared.select("host", "line"), ["host", "line"], "left_anti")
-        .select("host", "content", F.col("line").alias("edit"), either)
-        .join(shared.select("host", "line", either), ["host", "end"])
-        .join(held.select("host", "content", "line"), ["host", "content", "line"], "left_anti")
+        .select("host", "page", F.col("line").alias("edit"), F.col("seq").alias("mine"), _ends("seq").alias("end"))
     )
-    edits = alike.select("host", "content", "edit").distinct().groupBy("host", "content").agg(F.count("*").alias("edits"))
-    same = (
-        F.when(F.col("rare") == 0, F.xxhash64("content")).when(F.col("edits") == F.col("rare"), F.lit(0)).otherwise(F.col("own"))
-    )
-    who = own.join(edits, ["host", "content"], "left").select("host", "content", same.alias("same"))
-    per_same = held.join(who, ["host", "content"]).groupBy("host", "line", "same").agg(F.count("*").alias("docs"))
-    per_line = per_same.groupBy("host", "line").agg(F.sum("docs").alias("docs"), F.count("*").alias("different"))
-    over = per_line.filter((F.col("different") >= line_docs) & (2 * F.col("different") >= F.col("docs")))
-    return held.join(over.select("host", "line"), ["host", "line"])
+    alike = rare.join(shared.select("host", "line", "seq", _ends("seq").alias("end")), ["host", "end"]).filter(_is_edit("mine", "seq"))
+    alike = alike.select("host", "page", "line", "edit", F.size("mine").cast("long").alias("n")).distinct()
+    alike = alike.join(held, ["host", "page", "line"], "left_anti")
+    edits = alike.select("host", "page", "edit", "n").distinct().groupBy("host", "page").agg(F.sum("n").alias("edited"))
+    same = F.when(F.col("rare") == 0, F.col("page")).when(2 * F.col("edited") >= F.col("rare"), F.lit(0)).otherwise(F.col("own"))
+    kind = F.when(F.col("rare") == 0, 0).when(2 * F.col("edited") >= F.col("rare"), 1).otherwise(2)
+    who = own.join(edits, ["host", "page"], "left").select("host", "page", kind.alias("kind"), same.alias("same"))
+    per_same = held.join(who, ["host", "page"]).groupBy("host", "line", "kind", "same").agg(F.lit(1).alias("one"))
+    per_line = per_same.groupBy("host", "line").agg(F.count("*").alias("different"))
+    return per_line.filter(F.col("different") >= line_docs).select("host", "line")
 
 
 def judge(docs: DataFrame, line_docs: int = 10, depleted: int = 70) -> DataFrame:
     """Per document: doc_id, base measures, base_failed, n_boiler_words, kept, and ``boiler`` (its flagged lines)."""
     scanned, scan_folder = stored(scan(docs), "quality-scan")
-    rows = materialise(scanned.drop("lines"), "quality-rows")
-    per_text = scanned.groupBy("host", "content").agg(F.first("lines").alias("lines"))
-    lines, lines_folder = stored(
-        per_text.select("host", "content", F.explode("lines").alias("l")).select("host", "content", "l.*"), "quality-lines"
-    )
-    flagged = boilerplate(lines, line_docs)
-    removed = flagged.groupBy("host", "content").agg(
+    rows = materialise(scanned.drop("lines", "page"), "quality-rows")
+    per_text = scanned.groupBy("host", "content").agg(F.any_value("page").alias("page"), F.any_value("lines").alias("lines"))
+    texts_, texts_folder = stored(per_text, "quality-texts")
+    discard(docs.sparkSession, scan_folder)
+    per_page = texts_.groupBy("host", "page").agg(F.any_value("lines").alias("lines"))
+    lines, lines_folder = stored(per_page.select("host", "page", F.explode("lines").alias("l")).select("host", "page", "l.line", "l.seq"), "quality-lines")
+    flagged = materialise(boilerplate(lines, line_docs), "quality-flagged")
+    words_of = texts_.select("host", "content", F.explode(F.transform("lines", lambda x: F.struct(x["line"], x["words"]))).alias("l"))
+    removed = words_of.select("host", "content", "l.*").join(flagged, ["host", "line"]).groupBy("host", "content").agg(
         F.sum("words").alias("n_boiler_words"), F.collect_set("line").alias("boiler")
     )
     removed = materialise(removed, "quality-removed")
-    for folder in (scan_folder, lines_folder):
+    for folder in (texts_folder, lines_folder):
         discard(docs.sparkSession, folder)
     release(docs.sparkSession)
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -200,31 +222,21 @@ def judge(docs: DataFrame, line_docs: int = 10, depleted: int = 70) -> DataFrame
     )
 
 
-def _clean(batch: pa.RecordBatch) -> pa.RecordBatch:
-    out = []
-    for text, boiler in zip(batch.column("text").to_pylist(), batch.column("__boiler").to_pylist(), strict=True):
-        if text and boiler:
-            drop = set(boiler)
-            lines = [(line, _WORDS.findall(line)) for line in text.split("\n")]
-            text = "\n".join(line for line, words in lines if not words or line_key(words) not in drop)
-        out.append(text)
-    names = batch.schema.names
-    batch = batch.set_column(names.index("text"), "text", pa.array(out, pa.string()))
-    if "n_chars" in names:
-        sizes = pa.array([None if t is None else len(t) for t in out], pa.int64())
-        batch = batch.set_column(names.index("n_chars"), "n_chars", sizes)
-    return batch.drop_columns(["__boiler"])
+def _cleaned(text: str | None, boiler: list[int] | None) -> str | None:
+    if not text or not boiler:
+        return text
+    drop = set(boiler)
+    lines = [(line, _WORDS.findall(line)) for line in text.split("\n")]
+    return "\n".join(line for line, words in lines if not words or line_key(words) not in drop)
 
 
 def keep(docs: DataFrame, line_docs: int = 10, depleted: int = 70) -> DataFrame:
-    """The documents that pass, all columns, with boilerplate lines removed from the text."""
+    """The documents that pass, all columns, with boilerplate lines removed from the text.
+
+    Further columns may have any name.
+    """
     verdict = judge(docs, line_docs, depleted).filter("kept")
-    texts_kept = verdict.groupBy(F.col("host").alias("__host"), F.col("content").alias("__content")).agg(
-        F.first("boiler").alias("__boiler")
-    )
-    keyed = docs.withColumn("__host", key_of("source")).withColumn(
-        "__content", F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    )
-    joined = keyed.join(texts_kept, ["__host", "__content"]).drop("__host", "__content")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return by_batch(joined.select(*docs.columns, "__boiler"), _clean, schema)
+    kept = verdict.groupBy("host", "content").agg(F.first("boiler").alias("boiler"))
+    content = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))).alias("content")
+    keyed = whole_rows(docs, "source", "text").select(key_of("source").alias("host"), content, "row")
+    return with_texts(keyed.join(kept, ["host", "content"]).select("row", "boiler"), docs, "boiler", _cleaned)

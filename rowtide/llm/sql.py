@@ -38,15 +38,33 @@ WITH d AS (
   SELECT doc_id, host, t, line, regexp_extract_all(line, '{_WORD}') AS lw
   FROM (SELECT doc_id, host, t, unnest(string_split(t, chr(10))) AS line FROM d)
 ), l AS (
-  SELECT doc_id, host, t, line, len(lw) AS words, substr(md5(
-    regexp_replace(translate(array_to_string(lw, ' '), {_LOWER}), '[0-9]+', '0', 'g')), 1, 16) AS h
-  FROM x WHERE len(lw) > 0
+  SELECT doc_id, host, line, len(lw) AS words, string_split(nl, ' ') AS seq, substr(md5(nl), 1, 16) AS h FROM (
+    SELECT *, regexp_replace(translate(array_to_string(lw, ' '), {_LOWER}), '[0-9]+', '0', 'g') AS nl FROM x WHERE len(lw) > 0)
 ), sk AS (
-  SELECT doc_id, min(h) AS lo, max(h) AS hi, count(*) - count(DISTINCT line) AS dup FROM l GROUP BY doc_id
+  SELECT doc_id, md5(string_agg(DISTINCT h, ',' ORDER BY h)) AS page, count(*) - count(DISTINCT line) AS dup FROM l GROUP BY doc_id
+), pl AS (
+  SELECT DISTINCT host, page, h, seq FROM l JOIN sk USING (doc_id)
+), c AS (
+  SELECT host, h, any_value(seq) AS seq FROM pl GROUP BY host, h HAVING count(*) >= 10
+), o AS (
+  SELECT host, page, sum(len(pl.seq)) FILTER (WHERE c.h IS NOT NULL) AS common, coalesce(sum(len(pl.seq)) FILTER (WHERE c.h IS NULL), 0) AS rare,
+    coalesce(string_agg(h, ',' ORDER BY h) FILTER (WHERE c.h IS NULL), '') AS own
+  FROM pl LEFT JOIN c USING (host, h) GROUP BY host, page HAVING common > 0
+), r AS (
+  SELECT host, page, pl.h, pl.seq FROM pl JOIN o USING (host, page) ANTI JOIN c USING (host, h) WHERE o.rare > 0 AND o.common >= o.rare
+), e AS (
+  SELECT host, page, sum(len(seq)) AS edited FROM (
+    SELECT DISTINCT r.host, r.page, r.h, r.seq FROM r JOIN c ON c.host = r.host
+    WHERE least(coalesce(list_position(list_transform(list_zip(r.seq, c.seq), lambda z: z[1] IS NOT DISTINCT FROM z[2]), false), 1) - 1
+        + coalesce(list_position(list_transform(list_zip(list_reverse(r.seq), list_reverse(c.seq)), lambda z: z[1] IS NOT DISTINCT FROM z[2]), false), 1) - 1,
+        len(r.seq), len(c.seq)) >= 0.7::DOUBLE * greatest(len(r.seq), len(c.seq))
+      AND NOT EXISTS (SELECT 1 FROM pl q WHERE q.host = r.host AND q.page = r.page AND q.h = c.h)
+  ) GROUP BY host, page
+), w AS (
+  SELECT host, page, CASE WHEN rare = 0 THEN 'all ' || page WHEN 2 * coalesce(edited, 0) >= rare THEN 'near' ELSE 'own ' || own END AS same
+  FROM o LEFT JOIN e USING (host, page)
 ), f AS (
-  SELECT host, h FROM (
-    SELECT l.host, l.h, sk.lo, sk.hi, count(DISTINCT l.t) AS docs FROM l JOIN sk ON sk.doc_id = l.doc_id GROUP BY 1, 2, 3, 4
-  ) GROUP BY host, h HAVING count(*) >= 10 AND 2 * count(*) >= sum(docs)
+  SELECT host, h FROM pl JOIN c USING (host, h) JOIN w USING (host, page) GROUP BY host, h HAVING count(DISTINCT same) >= 10
 ), b AS (
   SELECT l.doc_id, sum(l.words) AS lost FROM l JOIN f ON f.host = l.host AND f.h = l.h GROUP BY l.doc_id
 ), v AS (

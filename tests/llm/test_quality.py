@@ -2,11 +2,13 @@
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import duckdb
+from compare import difference
 from small import documents, empty, rows_of
 
-from rowtide.llm import quality
+from rowtide.llm import quality, sql
 from rowtide.llm.common import pick
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -33,22 +35,39 @@ def normal(line):
     return re.sub("[0-9]+", "0", " ".join(WORD.findall(line)).translate(LOWER))
 
 
+def is_edit(a, b):
+    """Whether two different lines begin and end alike for 70 % of the longer one."""
+    a, b = a.split(" "), b.split(" ")
+
+    def alike(x, y):
+        return next((i for i, (u, v) in enumerate(zip(x, y, strict=False)) if u != v), min(len(x), len(y)))
+
+    same = min(alike(a, b) + alike(a[::-1], b[::-1]), len(a), len(b))
+    return 10 * same >= 7 * max(len(a), len(b))
+
+
 def judged(rows, line_docs=10, depleted=70):
     """[(doc_id, kept, words in boilerplate lines)] of (doc_id, source, text)."""
-    seen = defaultdict(set)
+    hosts = defaultdict(set)
     for _, source, text in rows:
-        lines = sorted(quality.line_hash(WORD.findall(x)) for x in (text or "").split("\n") if normal(x))
-        for x in (text or "").split("\n"):
-            if normal(x):
-                seen[source, normal(x)].add((text, lines[0], lines[-1]))
+        page = frozenset(n for x in (text or "").split("\n") if (n := normal(x)))
+        hosts[source].add(page)
+    boiler = set()
+    for source, pages in hosts.items():
+        count = Counter(line for page in pages for line in page)
+        common = {line for line, n in count.items() if n >= line_docs}
+        who = defaultdict(set)
+        for page in pages:
+            rare = page - common
+            size = lambda lines: sum(len(x.split(" ")) for x in lines)
+            edits = [r for r in rare if any(is_edit(r, c) for c in common - page)] if size(page & common) >= size(rare) else []
+            same = ("all", page) if not rare else "near" if edits and 2 * size(edits) >= size(rare) else ("own", frozenset(rare))
+            for line in page & common:
+                who[line].add(same)
+        boiler |= {(source, line) for line, same in who.items() if len(same) >= line_docs}
     out = []
     for doc_id, source, text in rows:
-        lost = 0
-        for x in (text or "").split("\n"):
-            docs = seen[source, normal(x)]
-            sketches = {d[1:] for d in docs}
-            if normal(x) and len(sketches) >= line_docs and 2 * len(sketches) >= len(docs):
-                lost += len(WORD.findall(x))
+        lost = sum(len(WORD.findall(x)) for x in (text or "").split("\n") if (source, normal(x)) in boiler)
         n, _, _, _, repeated = base(text)
         failed = n < 50 or 100 * repeated > 50 * n
         out.append((doc_id, not failed and 100 * lost <= depleted * n, lost))
@@ -129,6 +148,73 @@ def test_documents_of_shared_lines_are_depleted(spark):
     assert {r["doc_id"] for r in rows_of(quality.keep(df))} == {r[0] for r in rows} - depleted
 
 
+def plain_line(rng, n=12):
+    return " ".join("".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(n))
+
+
+def verdicts(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    found = sorted(((r["doc_id"], r["kept"], r["n_boiler_words"]) for r in rows_of(quality.judge(df))), key=str)
+    assert found == judged(rows)
+    return {d: (k, n) for d, k, n in found}
+
+
+def test_copies_of_an_article_do_not_save_others_under_the_same_notice(spark):
+    rng = random.Random(11)
+    notice = [plain_line(rng) for _ in range(9)]
+    rows = [(i, "h", "\n".join([*notice, plain_line(rng)])) for i in range(20)]
+    article = [plain_line(rng) for _ in range(12)]
+    for i in range(40):
+        lines = [x.split() for x in article]
+        rng.choice(lines)[rng.randrange(12)] = plain_line(rng, 1)
+        rows.append((100 + i, "h", "\n".join([*notice, *map(" ".join, lines)])))
+    found = verdicts(spark, rows)
+    assert not any(found[i][0] for i in range(20)) and all(found[i][1] == 9 * 12 for i in range(20))
+    assert all(found[100 + i][0] for i in range(40))
+
+
+def test_a_common_opening_makes_no_edit(spark):
+    rng = random.Random(12)
+    shared = [plain_line(rng) for _ in range(8)]
+    opening = "opening hours of our shop in"
+    rows = [(i, "h", "\n".join([*shared, f"{opening} {plain_line(rng, 8)}"])) for i in range(40)]
+    rows += [(100 + i, "h", f"{opening} the middle of town\n" + "\n".join(plain_line(rng) for _ in range(9))) for i in range(12)]
+    found = verdicts(spark, rows)
+    assert not any(found[i][0] for i in range(40))
+    assert all(found[100 + i][0] for i in range(12))
+
+
+def test_copies_that_differ_in_blanks_or_digits_are_one_document(spark):
+    rng = random.Random(13)
+    article = [plain_line(rng) for _ in range(9)]
+    rows = [(i, "blanks", "\n".join([*article[:-1], article[-1] + " " * i])) for i in range(12)]
+    rows += [(100 + i, "digits", "\n".join([*article, f"{plain_line(random.Random(1), 5)} page {i}"])) for i in range(12)]
+    found = verdicts(spark, rows)
+    assert all(kept and not lost for kept, lost in found.values())
+
+
+def test_sql_says_the_same_of_shared_lines(spark, tmp_path):
+    """The query's SQL on rows where copies, edits, notices and common openings meet."""
+    rng = random.Random(14)
+    rows = []
+    for host in range(6):
+        notice = [plain_line(rng, rng.choice([3, 12, 20])) for _ in range(rng.randrange(2, 10))]
+        article = [plain_line(rng, rng.choice([4, 12, 30])) for _ in range(rng.randrange(4, 14))]
+        for i in range(45):
+            lines = [x.split() for x in article] if i % 2 else [plain_line(rng).split() for _ in range(rng.randrange(1, 12))]
+            for _ in range(rng.randrange(0, 3)):
+                line = rng.choice(lines)
+                line[rng.randrange(len(line))] = rng.choice(["7", "88", plain_line(rng, 1)])
+            rows.append((1000 * host + i, f"h{host}", "\n".join([*rng.sample(notice, rng.randrange(len(notice) + 1)), *map(" ".join, lines)])))
+    verdicts(spark, rows)
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(1)
+    df.write.parquet(str(tmp_path / "documents"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_boiler_words"]
+    assert difference(quality.judge(df).select(*names), db, sql.OP6) is None
+
+
 def test_long_texts_repeat_words():
     words = [str(i) for i in range(3000)] * 2
     assert quality.repeat_words(words) == 6000
