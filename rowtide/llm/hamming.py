@@ -32,6 +32,7 @@ from rowtide.llm.common import pick
 from rowtide.session import materialise
 
 
+_LONGEST = 30  # bits of a segment
 _FULL = 2  # an index entry list holds some 2**_FULL codes: fewer lookups for a few more verified distances
 
 
@@ -59,7 +60,8 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_column: str = "vec_id")
     rows = pick(vectors, id_column, "embedding").toDF("id", "embedding").filter(F.col("embedding").isNotNull())
     shape = rows.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dims")).first()
     n, dims = shape["n"], max(1, shape["dims"] or 1)
-    m = max(1, round(dims / max(2.0, math.log2(max(n, 2)) - _FULL)))
+    # A segment's value is an int.
+    m = max(1, -(-dims // _LONGEST), round(dims / max(2.0, math.log2(max(n, 2)) - _FULL)))
     code, bits = _code(dims, m)
     m = -(-dims // bits)
     code, bits = _code(dims, m)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import by_batch, key_of, pick, texts
+from rowtide.llm.common import by_batch, key_of, pick, texts, whole_rows, with_texts
 from rowtide.session import materialise
 
 # The base kinds with their patterns and least lengths.
@@ -41,7 +41,7 @@ BASE = ("assign", "access", "hex")
 # Further kinds; the last group is the secret itself.
 FURTHER = {
     "pem": ("-----BEGIN", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----([^-]{16,})(?:-----END [A-Z ]*PRIVATE KEY-----)?")),
-    "jwt": ("eyJ", re.compile(r"(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})")),
+    "jwt": ("eyJ", re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})")),
     "vendor": (
         "_",
         re.compile(r"\b((?:gh[pousr]|github_pat|glpat|npm|sk_live|rk_live)[_-][A-Za-z0-9_-]{16,})"),
@@ -170,23 +170,14 @@ def spans(found: str = "found"):
     )
 
 
-def _redact(batch: pa.RecordBatch) -> pa.RecordBatch:
-    out = []
-    live = batch.column("__live").to_pylist()
-    for text, values in zip(batch.column("text").to_pylist(), live, strict=True):
-        end, parts = 0, []
-        for start, place, stop, value in candidates(text or ""):
-            if place < len(BASE) or _signed(value) in (values or ()):
-                if start >= end:
-                    parts += [text[end:start], f"[{KINDS[place]}]"]
-                end = max(end, stop)
-        out.append("".join(parts) + text[end:] if parts else text)
-    names = batch.schema.names
-    batch = batch.set_column(names.index("text"), "text", pa.array(out, pa.string()))
-    if "n_chars" in names:
-        sizes = pa.array([None if t is None else len(t) for t in out], pa.int64())
-        batch = batch.set_column(names.index("n_chars"), "n_chars", sizes)
-    return batch.drop_columns(["__live"])
+def _redacted(text: str | None, live: list[int] | None) -> str | None:
+    end, parts = 0, []
+    for start, place, stop, value in candidates(text or ""):
+        if place < len(BASE) or _signed(value) in (live or ()):
+            if start >= end:
+                parts += [text[end:start], f"[{KINDS[place]}]"]
+            end = max(end, stop)
+    return "".join(parts) + text[end:] if parts else text
 
 
 def redact(docs: DataFrame, max_owners: int = 3) -> DataFrame:
@@ -194,6 +185,7 @@ def redact(docs: DataFrame, max_owners: int = 3) -> DataFrame:
 
     The base kinds follow from a text alone. Of the further kinds a text needs the
     values that look live; they are joined to it by doc_id. n_chars follows the text.
+    Further columns may have any name.
     """
     found = scan(docs).select("doc_id", "owner", "row_key", "found").filter(F.size("found") > 0)
     found = materialise(found, "secrets-scan")
@@ -202,9 +194,9 @@ def redact(docs: DataFrame, max_owners: int = 3) -> DataFrame:
     per_doc = (
         further.select("doc_id", F.col("c.value").alias("value"))
         .join(live, "value")
-        .groupBy(F.col("doc_id").alias("__doc"))
-        .agg(F.collect_set("value").alias("__live"))
+        .groupBy(F.col("doc_id").alias("doc"))
+        .agg(F.collect_set("value").alias("live"))
     )
-    joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["__doc"]), "left").drop("__doc")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return by_batch(joined, _redact, schema)
+    rows = whole_rows(docs, "doc_id")
+    joined = rows.join(per_doc, F.col("doc_id").cast("long").eqNullSafe(F.col("doc")), "left").select("row", "live")
+    return with_texts(joined, docs, "live", _redacted)

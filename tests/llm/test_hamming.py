@@ -45,3 +45,11 @@ def test_awkward_vectors(spark):
 
 def test_empty(spark):
     assert search(spark, [], 3, 1) == [] and search(spark, [(1, None)], 3, 1) == []
+
+
+def test_segments_of_a_large_table_stay_within_an_int(spark):
+    """Two segments of 64 bits would be 32 bits each."""
+    ones = spark.createDataFrame([(0, [1.0] * 64)], "id int, embedding array<float>")
+    m = -(-64 // hamming._LONGEST)
+    code, bits = hamming._code(64, m)
+    assert bits <= 30 and ones.select(code.alias("c")).first()["c"] == [2**22 - 1, 2**22 - 1, 2**20 - 1]

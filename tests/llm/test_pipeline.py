@@ -49,7 +49,6 @@ def test_stages(spark):
             check(mixed)
             assert Counter(r["doc_id"] for r in kept[name]) == Counter({r["doc_id"]: r["copies"] for r in mixed if r["copies"]})
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
     tokens = sum(len(whole.encode(r["text"], add_special_tokens=False).ids) + 1 for r in kept["mixing"])
     assert sum(p["length"] for p in kept["packing"]) == tokens
     sequences = defaultdict(list)
@@ -61,6 +60,52 @@ def test_stages(spark):
         assert sum(n for _, n in held) <= 1024
 
 
+def odd_rows(spark):
+    """Null and repeated ids, repeated rows, and names that clash with each other and with what the stages use."""
+    long = " ".join(f"w{i}" for i in range(70))
+    rows = [
+        (1, long, "en", "a", 5),
+        (1, long, "en", "a", 5),
+        (1, " ".join(f"v{i}" for i in range(70)), "en", "a", 5),
+        (None, " ".join(f"u{i}" for i in range(70)), "en", None, None),
+        (None, " ".join(f"u{i}" for i in range(70)), "en", None, None),
+        (None, long, "en", "a", None),
+        (2, long + " more", None, "b", 1),
+        (3, None, "en", "a", None),
+        (4, "", "en", "a", 0),
+        (5, " ".join(f"t{i}" for i in range(70)) + " password=hunter22x", "en", "", 9),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars int")
+    for name in ["SOURCE", "Text", "DOC_ID", "__boiler", "row", "live", "name", "host", "content", "copies", "__carried"]:
+        df = df.selectExpr("*", f"'x' AS `{name}`")
+    return df
+
+
+def test_stages_take_awkward_rows_and_any_names(spark):
+    docs = odd_rows(spark)
+    names, kinds = docs.columns, [f.dataType for f in docs.schema.fields]
+    left = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == names and [f.dataType for f in docs.schema.fields] == kinds, name
+        found = [tuple(r) for r in docs.collect()]
+        assert all(r[5:] == ("x",) * 11 for r in found)
+        left[name] = sorted(((r[0], r[1][:3], r[3]) for r in found), key=str)
+        docs = spark.createDataFrame(found, docs.toDF(*[f"_{i}" for i in range(len(names))]).schema).toDF(*names)
+    one, two, three, five = (1, "w0 ", "a"), (1, "v0 ", "a"), (None, "u0 ", None), (5, "t0 ", "")
+    assert left["quality_rules"] == sorted([one, one, two, three, three, (None, "w0 ", "a"), (2, "w0 ", "b"), five], key=str)
+    assert left["near_duplicates"] == left["secret_scans"] == sorted([one, two, three, five], key=str)
+    pieces = corpus_pipeline.pack(spark, docs, "").collect()
+    assert sum(p["doc_id"] is None for p in pieces) >= 1
+
+
+def test_stages_take_empty_tables(spark):
+    none = documents(spark, 1, extra=False).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        none_out = stage(spark, none, "")
+        assert none_out.collect() == []
+
+
 def test_run_gives_the_last_stage(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(got.columns) and got.count() > 0

@@ -75,3 +75,13 @@ def test_redaction_keeps_all_columns_and_the_rest_of_the_text(spark):
 def test_empty(spark):
     assert secrets.find(empty(spark)).count() == 0
     assert secrets.redact(empty(spark)).count() == 0
+
+
+def test_repeated_openings_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert not [c for c in secrets.candidates("eyJ" * 300_000) if c[1] > 2]
+    assert time.perf_counter() - start < 5
+    token = "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.SflKxwRJSMeKKF2QT4"
+    assert [c[3] for c in secrets.candidates(f"a {token}, b") if secrets.KINDS[c[1]] == "jwt"] == [token]
