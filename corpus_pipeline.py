@@ -1,4 +1,15 @@
-"""The corpus pipeline: each stage applies one operator to all that the stage before it kept."""
+"""The corpus pipeline: each stage applies one operator to all that the stage before it kept.
+
+All stages take null texts, sources and doc_ids, repeated rows, empty tables, and further columns of any
+name (names that differ in case only can't be written as Parquet by Spark's default, so they end with ``run``).
+
+* quality_rules: a null, empty or short text fails the base rules and goes; rows that repeat are judged alike.
+* near_duplicates: equal rows are one document, also without a doc_id; rows that share a doc_id but not their
+  text are documents of their own; of a group the least doc_id stays, null last; texts without words stay.
+* secret_scans: a null text stays null.
+* mixing: a null source is a source of its own; a text of size 0 is taken no times, or as its class is rounded.
+* packing: a null text is its end id.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.llm import jaccard, mixing, packing, quality, secrets
+from rowtide.llm.common import rows_back, whole_rows
 from rowtide.session import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -31,9 +43,9 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document is there as often as the mix takes it."""
-    mixed = mixing.mix(docs, *docs.columns)
-    copies = mixed.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return copies.select("row.*")
+    mixed = mixing.mix(whole_rows(docs, "doc_id", "source", "text"), "row").filter("copies > 0")
+    copies = mixed.select(F.col("row.row").alias("row"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return rows_back(copies, docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
