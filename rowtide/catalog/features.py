@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rowtide.catalog import query
 from rowtide.catalog.fixtures import (
     EVENTS,
+    EVENTS_SQL,
     FULL,
     LINES,
     ORDERS,
@@ -27,6 +28,7 @@ from rowtide.operators.positions import with_ordinals
 from rowtide.plans.feature_row import attach, feature_row, quantised
 from rowtide.sources.chunks import backfill
 from rowtide.sources.panel import read_panel, with_time
+from rowtide.session import new_path
 from rowtide.spec import FeatureOptions, PanelSpec
 
 ALL = FeatureOptions()
@@ -438,3 +440,32 @@ FULL_TREES = FeatureOptions.for_trees(FULL, narrow=False, quantise=False, diff1=
 def feature_row_full(spark, sf_dir):
     """The feature row at full width: 190 numeric columns, some 2,200 outputs."""
     return as_doubles(feature_row(full_panel(spark, sf_dir), FULL, FULL_TREES), "supplier")
+
+
+@query(
+    "panel_head",
+    f"SELECT user_id, ts, event_id, value FROM ({EVENTS_SQL}) ORDER BY user_id, ts, event_id LIMIT 200",
+)
+def panel_head(spark, sf_dir):
+    """The first rows of the panel in its order."""
+    head = PanelSpec("user_id", ("ts", "event_id"), ("value",))
+    rows = read_panel(spark, f"{sf_dir}/events.parquet", head, rows=200)
+    return rows.withColumn("value", F.expr("CASE WHEN event_id % 7 <> 0 THEN value END")).select("user_id", "ts", "event_id", "value")
+
+
+_HALF = "o_custkey % 2 = {}"
+
+
+@query(
+    "narrow_stored",
+    "SELECT o_custkey, round(CAST(CAST(coalesce(COLUMNS(* EXCLUDE (o_custkey)), -1) AS FLOAT) AS DOUBLE), 4) "
+    f"FROM ({feature_sql(ORDERS, TREES)}) WHERE {_HALF.format(1)}",
+)
+def narrow_stored(spark, sf_dir):
+    """Rows of unseen customers, with the types that the other half has decided."""
+    options = FeatureOptions.for_trees(ORDERS, pct_changes=(1,))
+    rows, path = orders(spark, sf_dir), new_path(spark, "types")
+    first = feature_row(rows.filter(_HALF.format(0)), ORDERS, options, path)
+    second = feature_row(rows.filter(_HALF.format(1)), ORDERS, options, path)
+    require_parity(first, second)
+    return as_doubles(second, "o_custkey", 4)

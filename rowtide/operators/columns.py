@@ -8,7 +8,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from rowtide.functions.text import filled, name
+from rowtide.functions.text import filled, name, quoted
+from rowtide.sources.cache import cached_table
 
 
 def fill_missing(df: DataFrame, fill: float = -1.0, skip: Iterable[str] = ()) -> DataFrame:
@@ -32,16 +33,15 @@ _INT = 2**31
 _FLOAT = 3.4028234e38  # what a float holds without becoming infinite
 
 
-def narrow(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
-    """Long to int and double to float, for columns whose values all fit.
+def narrow_types(df: DataFrame, skip: Iterable[str] = ()) -> dict[str, str]:
+    """Of long and double columns whose values all fit: the narrower type, ``int`` or ``float``.
 
-    Whether they fit is read off the column's extremes, so no value is lost; a float
-    keeps some seven digits. ``df`` is read twice: pass a stored table.
+    Read off the columns' extremes, so ``df`` is read: pass a stored table.
     """
     skip = set(skip)
     wide = {f.name: f.dataType for f in df.schema.fields if f.name not in skip and isinstance(f.dataType, (T.LongType, T.DoubleType))}
     if not wide:
-        return df
+        return {}
     # Infinite values stay infinite in a float; NaN stays NaN.
     shown = {c: f"CASE WHEN abs({name(c)}) < double('Infinity') THEN {name(c)} END" if isinstance(k, T.DoubleType) else name(c) for c, k in wide.items()}
     ends = df.selectExpr(*[f"min({e})" for e in shown.values()], *[f"max({e})" for e in shown.values()]).first()
@@ -49,8 +49,45 @@ def narrow(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
     for (c, kind), low, high in zip(wide.items(), ends[: len(wide)], ends[len(wide) :], strict=True):
         ok = low is None or (-_INT <= low and high < _INT if isinstance(kind, T.LongType) else max(-low, high) <= _FLOAT)
         if ok:
-            fits[c] = "INT" if isinstance(kind, T.LongType) else "FLOAT"
-    return df.selectExpr(*[f"CAST({name(c)} AS {fits[c]}) AS {name(c)}" if c in fits else name(c) for c in df.columns])
+            fits[c] = "int" if isinstance(kind, T.LongType) else "float"
+    return fits
+
+
+def cast_to(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Columns as the types say; a value that does not fit is an error, never another value."""
+    wide = {f.name: f.dataType for f in df.schema.fields}
+    missing = sorted(set(types) - set(wide))
+    if missing:
+        raise ValueError(f"columns {missing} of the stored types are missing")
+
+    def shown(c: str) -> str:
+        if types[c] == "float" and isinstance(wide[c], T.DoubleType):
+            beyond = f"abs({name(c)}) > {_FLOAT!r}D AND abs({name(c)}) < double('Infinity')"
+            return f"CASE WHEN {beyond} THEN CAST(raise_error({quoted(f'a value of {c} does not fit a float')}) AS FLOAT) ELSE CAST({name(c)} AS FLOAT) END"
+        if types[c] == "int" and isinstance(wide[c], T.LongType):
+            beyond = f"{name(c)} NOT BETWEEN {-_INT} AND {_INT - 1}"
+            return f"CASE WHEN {beyond} THEN CAST(raise_error({quoted(f'a value of {c} does not fit an int')}) AS INT) ELSE CAST({name(c)} AS INT) END"
+        return f"CAST({name(c)} AS {types[c]})"
+
+    return df.selectExpr(*[f"{shown(c)} AS {name(c)}" if c in types else name(c) for c in df.columns])
+
+
+def narrow(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
+    """Long to int and double to float, for columns whose values all fit.
+
+    No value is lost; a float keeps some seven digits. The types depend on the values: tables that must
+    agree (training and test, chunks) take them from one of them, with ``stored_types``.
+    """
+    return cast_to(df, narrow_types(df, skip))
+
+
+def stored_types(df: DataFrame, path: str, skip: Iterable[str] = ()) -> dict[str, str]:
+    """The narrower types at ``path``; the first table that comes decides them."""
+    spark = df.sparkSession
+    rows = cached_table(
+        spark, path, lambda: spark.createDataFrame(sorted(narrow_types(df, skip).items()), "feature string, type string").coalesce(1)
+    )
+    return {r["feature"]: r["type"] for r in rows.collect()}
 
 
 def drop_matching(df: DataFrame, patterns: Iterable[str], skip: Iterable[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.text import name
 from rowtide.operators import blocks, derive
-from rowtide.operators.columns import fill_missing, narrow
+from rowtide.operators.columns import cast_to, fill_missing, narrow, stored_types
 from rowtide.operators.positions import (
     longest_history,
     position_columns,
@@ -54,8 +54,12 @@ def aggregate_blocks(df: DataFrame, spec: PanelSpec, options: FeatureOptions) ->
     return blocks.merge(*parts)
 
 
-def feature_row(df: DataFrame, spec: PanelSpec, options: FeatureOptions) -> DataFrame:
-    """One row per entity: last values, aggregates, ratios; missing values filled."""
+def feature_row(df: DataFrame, spec: PanelSpec, options: FeatureOptions, types: str | None = None) -> DataFrame:
+    """One row per entity: last values, aggregates, ratios; missing values filled.
+
+    ``types``: where the types of a narrowed row are stored. The first table decides them, later ones (a test
+    panel, a chunk) take them, so that all have the same.
+    """
     rows = df.select(*spec.columns)
     if options.quantise:
         rows = quantised(rows, spec)
@@ -71,10 +75,10 @@ def feature_row(df: DataFrame, spec: PanelSpec, options: FeatureOptions) -> Data
             **{n: F.expr(e) for n, e in blocks.entity_means(options.mean_abs_dev).items()},
         )
     wide = blocks.aggregate_wide(rows, spec.entity, aggregates)
-    return finished_row(wide, list(aggregates), spec, options)
+    return finished_row(wide, list(aggregates), spec, options, types)
 
 
-def finished_row(wide: DataFrame, aggregates: list[str], spec: PanelSpec, options: FeatureOptions) -> DataFrame:
+def finished_row(wide: DataFrame, aggregates: list[str], spec: PanelSpec, options: FeatureOptions, types: str | None = None) -> DataFrame:
     """Ratios and differences of aggregates, missing values filled; ``wide`` has one row per entity."""
     derived = blocks.merge(
         derive.family_nets(spec, options),
@@ -96,7 +100,8 @@ def finished_row(wide: DataFrame, aggregates: list[str], spec: PanelSpec, option
     )
     out = fill_missing(out, options.fill, skip=[spec.entity])
     if options.narrow:
-        out = narrow(materialise(out, "feature-row"), skip=[spec.entity])
+        out = materialise(out, "feature-row")
+        out = cast_to(out, stored_types(out, types, [spec.entity])) if types else narrow(out, skip=[spec.entity])
     return out
 
 

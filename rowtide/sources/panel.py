@@ -38,11 +38,17 @@ def read_panel(
     drop: Sequence[str] = (),
     rows: int | None = None,
 ) -> DataFrame:
-    """Parquet panel; only the columns of ``spec`` (or ``columns``) reach the scan."""
+    """Parquet panel; only the columns of ``spec`` (or ``columns``) reach the scan.
+
+    ``rows`` takes the first rows in the panel's order (entity, then its order; without a ``spec``, the columns in
+    turn), so it gives the same rows every time; each task keeps that many at most.
+    """
     df = spark.read.parquet(path).drop(*drop)
     wanted = list(columns) if columns is not None else (spec.columns if spec else df.columns)
-    df = df.select(*wanted)
-    if rows is not None:
-        df = df.limit(rows)
+    order = [spec.entity, *spec.order] if spec else wanted
+    df = df.select(*dict.fromkeys([*wanted, *(order if rows is not None else [])]))
     df = unify_missing(df)
-    return with_time(df, spec.time) if spec and spec.time in df.columns else df
+    df = with_time(df, spec.time) if spec and spec.time in df.columns else df
+    if rows is not None:
+        df = df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order]).limit(rows)
+    return df.select(*wanted)
