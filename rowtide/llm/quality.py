@@ -29,8 +29,10 @@ documents has no boilerplate; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
-import zlib
+from array import array
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +48,9 @@ _DIGITS = re.compile(rb"[0-9]+")
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SCAN = (
     "doc_id bigint, host string, content binary, page bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
-    "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line:bigint, words:bigint, seq:array<int>>>"
+    "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line:bigint, words:bigint, seq:binary>>"
 )
-_LINES = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64()), ("seq", pa.list_(pa.int32()))]))
+_LINES = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64()), ("seq", pa.binary())]))
 
 
 def repeat_words(words: list[str], size: int = 3) -> int:
@@ -85,9 +87,11 @@ def line_key(words: list[str]) -> int:
     return int.from_bytes(bytes.fromhex(line_hash(words)), "big", signed=True)
 
 
-def sequence(words: list[str]) -> list[int]:
-    """The words of a normalised line as numbers of 32 bits."""
-    return [zlib.crc32(w) - (1 << 31) for w in normal_line(words).split(b" ")]
+def key_and_sequence(words: list[str]) -> tuple[int, bytes]:
+    """The key of a line, and its normalised words as two bytes each."""
+    normal = normal_line(words)
+    key = int.from_bytes(hashlib.md5(normal, usedforsecurity=False).digest()[:8], "big", signed=True)
+    return key, array("H", [crc32(w) & 0xFFFF for w in normal.split(b" ")]).tobytes()
 
 
 def measures(text: str) -> tuple[tuple[int, int, int, int, int], list[tuple]]:
@@ -103,9 +107,9 @@ def measures(text: str) -> tuple[tuple[int, int, int, int, int], list[tuple]]:
     )
     found: dict[int, tuple] = {}
     for _, words in lines:
-        key = line_key(words)
+        key, seq = key_and_sequence(words)
         have = found.get(key)
-        found[key] = (key, have[1] + len(words), have[2]) if have else (key, len(words), sequence(words))
+        found[key] = (key, (have[1] if have else 0) + len(words), seq)
     return base, list(found.values())
 
 
@@ -145,17 +149,24 @@ def _ends(seq: str) -> Column:
     Of two such lines, one end that they share is 35 percent of the longer one or more, and the longer one is at most
     1 / 0.7 of the other; so the power of two below 35 percent of the longer one is among those here for both.
     """
-    size = f"size({seq})"
-    lengths = [f"CAST(pow(2, floor(log2(greatest({share} * {size}, 1)))) AS INT)" for share in (_ALIKE / 2, 0.5)]
-    keys = [f"xxhash64('{k}', {n}, {e})" for n in lengths for k, e in (("head", f"slice({seq}, 1, {n})"), ("tail", f"slice({seq}, -{n}, {n})"))]
+    size = f"length({seq}) / 2"
+    lengths = [f"CAST(pow(2, 1 + floor(log2(greatest({share} * {size}, 1)))) AS INT)" for share in (_ALIKE / 2, 0.5)]
+    keys = [f"xxhash64('{k}', {n}, {e})" for n in lengths for k, e in (("head", f"substring({seq}, 1, {n})"), ("tail", f"substring({seq}, -{n}, {n})"))]
     return F.explode(F.array_distinct(F.array(*[F.expr(k) for k in keys])))
 
 
-def _is_edit(a: str, b: str) -> str:
+def is_edit(a: bytes, b: bytes) -> bool:
     """Whether two different lines begin and end alike for most of their words."""
-    same = "array_position(zip_with({0}, {1}, (x, y) -> x <=> y), false) - 1"
-    head, tail = same.format(a, b), same.format(f"reverse({a})", f"reverse({b})")
-    return f"least({head} + {tail}, size({a}), size({b})) >= {_ALIKE} * greatest(size({a}), size({b}))"
+    head, tail = (len(os.path.commonprefix(pair)) // 2 for pair in ([a, b], [a[::-1], b[::-1]]))
+    short, long = sorted((len(a) // 2, len(b) // 2))
+    return min(head + tail, short) >= _ALIKE * long
+
+
+def _edits(batch: pa.RecordBatch) -> pa.RecordBatch:
+    pairs = zip(batch.column("mine").to_pylist(), batch.column("seq").to_pylist(), strict=True)
+    kept = batch.filter(pa.array([is_edit(a, b) for a, b in pairs], pa.bool_()))
+    sizes = pa.array([len(m) // 2 for m in kept.column("mine").to_pylist()], pa.int64())
+    return kept.select(["host", "page", "line", "edit"]).append_column("n", sizes)
 
 
 def boilerplate(lines: DataFrame, line_docs: int = 10) -> DataFrame:
@@ -169,7 +180,7 @@ def boilerplate(lines: DataFrame, line_docs: int = 10) -> DataFrame:
     marked = lines.join(shared.select("host", "line", F.lit(True).alias("shared")), ["host", "line"], "left")
     has = F.col("shared").isNotNull()
     held = materialise(marked.filter(has).select("host", "page", "line"), "quality-held")
-    words = F.size("seq").cast("long")
+    words = F.expr("length(seq) div 2")
     own = marked.groupBy("host", "page").agg(
         F.sum(F.when(has, words)).alias("common"),
         F.coalesce(F.sum(F.when(~has, words)), F.lit(0)).alias("rare"),
@@ -182,8 +193,9 @@ def boilerplate(lines: DataFrame, line_docs: int = 10) -> DataFrame:
         .join(shared.select("host", "line"), ["host", "line"], "left_anti")
         .select("host", "page", F.col("line").alias("edit"), F.col("seq").alias("mine"), _ends("seq").alias("end"))
     )
-    alike = rare.join(shared.select("host", "line", "seq", _ends("seq").alias("end")), ["host", "end"]).filter(_is_edit("mine", "seq"))
-    alike = alike.select("host", "page", "line", "edit", F.size("mine").cast("long").alias("n")).distinct()
+    pairs = rare.join(shared.select("host", "line", "seq", _ends("seq").alias("end")), ["host", "end"])
+    pairs = pairs.select("host", "page", "line", "edit", "mine", "seq")
+    alike = by_batch(pairs, _edits, "host string, page bigint, line bigint, edit bigint, n bigint").distinct()
     alike = alike.join(held, ["host", "page", "line"], "left_anti")
     edits = alike.select("host", "page", "edit", "n").distinct().groupBy("host", "page").agg(F.sum("n").alias("edited"))
     same = F.when(F.col("rare") == 0, F.col("page")).when(2 * F.col("edited") >= F.col("rare"), F.lit(0)).otherwise(F.col("own"))
