@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import WORD, by_batch, key_of, pick, texts, whole_rows, with_texts
-from rowtide.session import discard, materialise, release, stored
+from rowtide.session import discard, limits, materialise, release, stored
 
 _WORDS = re.compile(WORD)
 _SYMBOLS = "#*$%&|<>"
@@ -169,18 +169,28 @@ def _edits(batch: pa.RecordBatch) -> pa.RecordBatch:
     return kept.select(["host", "page", "line", "edit"]).append_column("n", sizes)
 
 
+def _sent(df: DataFrame) -> DataFrame:
+    """A stored table to join with: broadcast if it is within the session's bounds, else left to a shuffle."""
+    small = limits(df.sparkSession).may_broadcast(df.count(), df.schema)
+    return F.broadcast(df) if small else df.hint("merge")
+
+
 def boilerplate(lines: DataFrame, line_docs: int = 10) -> DataFrame:
     """(host, line) of boilerplate.
 
     ``lines`` has a row per host, page (a distinct document) and line, with its ``seq``. Counted in steps,
     each combined before its shuffle.
     """
-    shared = lines.groupBy("host", "line").agg(F.count("*").alias("docs"), F.any_value("seq").alias("seq"))
-    shared = materialise(shared.filter(F.col("docs") >= line_docs), "quality-shared")
-    marked = lines.join(shared.select("host", "line", F.lit(True).alias("shared")), ["host", "line"], "left")
+    slim = lines.select("host", "page", "line", F.expr("length(seq) div 2").alias("n"))
+    common = slim.groupBy("host", "line").agg(F.count("*").alias("docs")).filter(F.col("docs") >= line_docs)
+    common = materialise(common.select("host", "line"), "quality-common")
+    # Words of common lines; a table of them that is small goes to the lines, not the other way round.
+    shared = lines.join(_sent(common), ["host", "line"], "left_semi").groupBy("host", "line").agg(F.any_value("seq").alias("seq"))
+    shared = materialise(shared, "quality-shared")
+    marked = slim.join(_sent(common.withColumn("shared", F.lit(True))), ["host", "line"], "left")
     has = F.col("shared").isNotNull()
     held = materialise(marked.filter(has).select("host", "page", "line"), "quality-held")
-    words = F.expr("length(seq) div 2")
+    words = F.col("n")
     own = marked.groupBy("host", "page").agg(
         F.sum(F.when(has, words)).alias("common"),
         F.coalesce(F.sum(F.when(~has, words)), F.lit(0)).alias("rare"),
@@ -189,8 +199,8 @@ def boilerplate(lines: DataFrame, line_docs: int = 10) -> DataFrame:
     own = materialise(own.filter("common > 0"), "quality-own")
     # Near copies: most of what is not common are edits of common lines that the document lacks.
     rare = (
-        lines.join(own.filter("rare > 0 AND common >= rare").select("host", "page"), ["host", "page"], "left_semi")
-        .join(shared.select("host", "line"), ["host", "line"], "left_anti")
+        lines.join(_sent(own.filter("rare > 0 AND common >= rare").select("host", "page")), ["host", "page"], "left_semi")
+        .join(_sent(common), ["host", "line"], "left_anti")
         .select("host", "page", F.col("line").alias("edit"), F.col("seq").alias("mine"), _ends("seq").alias("end"))
     )
     pairs = rare.join(shared.select("host", "line", "seq", _ends("seq").alias("end")), ["host", "end"])
@@ -213,8 +223,10 @@ def judge(docs: DataFrame, line_docs: int = 10, depleted: int = 70) -> DataFrame
     per_text = scanned.groupBy("host", "content").agg(F.any_value("page").alias("page"), F.any_value("lines").alias("lines"))
     texts_, texts_folder = stored(per_text, "quality-texts")
     discard(docs.sparkSession, scan_folder)
+    release(docs.sparkSession)
     per_page = texts_.groupBy("host", "page").agg(F.any_value("lines").alias("lines"))
     lines, lines_folder = stored(per_page.select("host", "page", F.explode("lines").alias("l")).select("host", "page", "l.line", "l.seq"), "quality-lines")
+    release(docs.sparkSession)
     flagged = materialise(boilerplate(lines, line_docs), "quality-flagged")
     words_of = texts_.select("host", "content", F.explode(F.transform("lines", lambda x: F.struct(x["line"], x["words"]))).alias("l"))
     removed = words_of.select("host", "content", "l.*").join(flagged, ["host", "line"]).groupBy("host", "content").agg(
