@@ -100,11 +100,11 @@ def clean_up(spark: SparkSession) -> int:
     return len(paths)
 
 
-def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> tuple[DataFrame, str]:
     """Write once to the shared folder; the table as read back, and its folder for ``discard``."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
