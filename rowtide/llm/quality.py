@@ -218,22 +218,21 @@ def boilerplate(lines: DataFrame, line_docs: int = 10) -> DataFrame:
 
 def judge(docs: DataFrame, line_docs: int = 10, depleted: int = 70) -> DataFrame:
     """Per document: doc_id, base measures, base_failed, n_boiler_words, kept, and ``boiler`` (its flagged lines)."""
-    scanned, scan_folder = stored(scan(docs), "quality-scan")
+    scanned, scan_folder = stored(scan(docs), "quality-scan", "zstd")
     rows = materialise(scanned.drop("lines", "page"), "quality-rows")
-    per_text = scanned.groupBy("host", "content").agg(F.any_value("page").alias("page"), F.any_value("lines").alias("lines"))
-    texts_, texts_folder = stored(per_text, "quality-texts")
-    discard(docs.sparkSession, scan_folder)
-    release(docs.sparkSession)
-    per_page = texts_.groupBy("host", "page").agg(F.any_value("lines").alias("lines"))
-    lines, lines_folder = stored(per_page.select("host", "page", F.explode("lines").alias("l")).select("host", "page", "l.line", "l.seq"), "quality-lines")
+    per_page = scanned.groupBy("host", "page").agg(F.any_value("lines").alias("lines"))
+    lines = per_page.select("host", "page", F.explode("lines").alias("l")).select("host", "page", "l.line", "l.seq")
+    lines, lines_folder = stored(lines, "quality-lines", "zstd")
     release(docs.sparkSession)
     flagged = materialise(boilerplate(lines, line_docs), "quality-flagged")
-    words_of = texts_.select("host", "content", F.explode(F.transform("lines", lambda x: F.struct(x["line"], x["words"]))).alias("l"))
-    removed = words_of.select("host", "content", "l.*").join(flagged, ["host", "line"]).groupBy("host", "content").agg(
+    each = F.explode(F.transform("lines", lambda x: F.struct(x["line"], x["words"]))).alias("l")
+    held = scanned.select("host", "content", each).select("host", "content", "l.*").join(_sent(flagged), ["host", "line"])
+    # Equal texts are told once.
+    removed = held.groupBy("host", "content", "line").agg(F.max("words").alias("words")).groupBy("host", "content").agg(
         F.sum("words").alias("n_boiler_words"), F.collect_set("line").alias("boiler")
     )
     removed = materialise(removed, "quality-removed")
-    for folder in (texts_folder, lines_folder):
+    for folder in (scan_folder, lines_folder):
         discard(docs.sparkSession, folder)
     release(docs.sparkSession)
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
