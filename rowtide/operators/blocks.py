@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from rowtide.functions.text import name, quoted, ratio
 from rowtide.operators.positions import N, RN
+from rowtide.session import materialise, release
 from rowtide.spec import FeatureOptions
 
 Block = dict[str, str]
@@ -85,7 +86,7 @@ def _alike(block: Block, kinds: Mapping[str, str]) -> list[tuple[list[str], dict
     return groups
 
 
-def aggregate_wide(df: DataFrame, key: str, *blocks: Block, least: int = 200) -> DataFrame:
+def aggregate_wide(df: DataFrame, key: str, *blocks: Block, least: int = 200, at_once: int | None = None) -> DataFrame:
     """``aggregate`` for rows of many columns: the same result, in generated code.
 
     An aggregate of hundreds of columns leaves generated code. Columns that get the same aggregates
@@ -93,6 +94,9 @@ def aggregate_wide(df: DataFrame, key: str, *blocks: Block, least: int = 200) ->
     (key, part); what comes out is a few rows per key, put side by side again as one list. Rows that are
     partitioned by ``key`` stay where they are throughout. Everything else is aggregated as before, and
     joined once. Fewer than ``least`` expressions are not worth it.
+
+    ``at_once``: more columns than that are shuffled in turns of about so many. What a turn gives is stored, and its shuffle
+    files go before the next one, so the disk that is needed follows the columns of a turn, not all of them.
     """
     block = merge(*blocks)
     kinds = dict(df.dtypes)
@@ -101,34 +105,47 @@ def aggregate_wide(df: DataFrame, key: str, *blocks: Block, least: int = 200) ->
         return aggregate(df, key, block)
     rest = dict(block)
     out = None
-    for i, (shapes, outputs) in enumerate(wide):
+    for shapes, outputs in wide:
         columns = list(outputs)
         per_part = max(1, _FIELDS // max(1, _fields(shapes)))
-        parts = [columns[j : j + per_part] for j in range(0, len(columns), per_part)]
-        rows = []
-        for at, part in enumerate(parts):
-            cells = [f"{name(c)} AS v{j}" for j, c in enumerate(part)]
-            cells += [f"CAST(NULL AS {kinds[columns[0]]}) AS v{j}" for j in range(len(part), per_part)]
-            rows.append(f"struct({at} AS __part, {', '.join(cells)})")
-        laid = df.selectExpr(name(key), RN, N, f"inline(array({', '.join(rows)}))")
-        made = [f"{e.replace(_SLOT, f'v{j}')} AS o{j}_{k}" for j in range(per_part) for k, e in enumerate(shapes)]
-        short = laid.groupBy(key, "__part").agg(*[F.expr(e) for e in made])
-        names = ", ".join(f"o{j}_{k}" for j in range(per_part) for k in range(len(shapes)))
-        again = short.groupBy(key).agg(F.expr(f"array_sort(collect_list(struct(__part, {names}))) AS __parts{i}"))
-        picked = []
-        for n, c in enumerate(columns):
-            at, j = divmod(n, per_part)
-            for k, e in enumerate(shapes):
-                if e in outputs[c]:
-                    picked.append(f"__parts{i}[{at}].o{j}_{k} AS {name(outputs[c][e])}")
-                    del rest[outputs[c][e]]
-        side = again.selectExpr(name(key), *picked)
-        out = side if out is None else _beside(out, side, key)
+        per_turn = len(columns) if at_once is None else max(1, at_once // per_part) * per_part
+        for begin in range(0, len(columns), per_turn):
+            side = _in_parts(df, key, shapes, {c: outputs[c] for c in columns[begin : begin + per_turn]}, per_part, kinds[columns[0]])
+            if per_turn < len(columns):
+                side = materialise(side, "wide-turn")
+                release(df.sparkSession)
+            out = side if out is None else _beside(out, side, key)
+        for found in outputs.values():
+            for o in found.values():
+                del rest[o]
     if rest:
         out = _beside(out, aggregate(df, key, rest), key)
     return out.selectExpr(name(key), *[name(o) for o in block])
 
 
+def _in_parts(
+    df: DataFrame, key: str, shapes: list[str], outputs: Mapping[str, Mapping[str, str]], per_part: int, kind: str
+) -> DataFrame:
+    """Key and the outputs of the columns of ``outputs``, aggregated as short rows of ``per_part`` columns each."""
+    columns = list(outputs)
+    parts = [columns[j : j + per_part] for j in range(0, len(columns), per_part)]
+    rows = []
+    for at, part in enumerate(parts):
+        cells = [f"{name(c)} AS v{j}" for j, c in enumerate(part)]
+        cells += [f"CAST(NULL AS {kind}) AS v{j}" for j in range(len(part), per_part)]
+        rows.append(f"struct({at} AS __part, {', '.join(cells)})")
+    laid = df.selectExpr(name(key), RN, N, f"inline(array({', '.join(rows)}))")
+    made = [f"{e.replace(_SLOT, f'v{j}')} AS o{j}_{k}" for j in range(per_part) for k, e in enumerate(shapes)]
+    short = laid.groupBy(key, "__part").agg(*[F.expr(e) for e in made])
+    names = ", ".join(f"o{j}_{k}" for j in range(per_part) for k in range(len(shapes)))
+    again = short.groupBy(key).agg(F.expr(f"array_sort(collect_list(struct(__part, {names}))) AS __parts"))
+    picked = []
+    for n, c in enumerate(columns):
+        at, j = divmod(n, per_part)
+        picked += [f"__parts[{at}].o{j}_{k} AS {name(outputs[c][e])}" for k, e in enumerate(shapes) if e in outputs[c]]
+    return again.selectExpr(name(key), *picked)
+
+
 def _beside(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Both have one row for each key, a missing key included."""
     renamed = right.withColumnRenamed(key, "__key")

@@ -17,6 +17,8 @@ from rowtide.operators.positions import (
 from rowtide.session import materialise
 from rowtide.spec import FeatureOptions, PanelSpec
 
+_AT_ONCE = 50  # columns of a wide panel that one shuffle carries
+
 
 def quantised(df: DataFrame, spec: PanelSpec) -> DataFrame:
     num = set(spec.numeric)
@@ -74,7 +76,7 @@ def feature_row(df: DataFrame, spec: PanelSpec, options: FeatureOptions, types:
             spec,
             **{n: F.expr(e) for n, e in blocks.entity_means(options.mean_abs_dev).items()},
         )
-    wide = blocks.aggregate_wide(rows, spec.entity, aggregates)
+    wide = blocks.aggregate_wide(rows, spec.entity, aggregates, at_once=_AT_ONCE)
     return finished_row(wide, list(aggregates), spec, options, types)
 
 

@@ -256,6 +256,20 @@ def test_wide_aggregates_are_the_same(spark):
     assert blocks.aggregate_wide(rows, "supplier", block, least=10_000).columns == plain.columns
 
 
+def test_wide_aggregates_are_shuffled_in_turns(spark, monkeypatch):
+    rows = full_panel(spark, SMALL).selectExpr("nullif(supplier, 3) AS supplier", *FULL.numeric[:40], "flag", "1 AS __rn", "1 AS __n")
+    block = {f"{c}_{fn}": f"{fn}(`{c}`)" for c in FULL.numeric[:40] for fn in ("min", "max", "avg", "stddev_samp", "sum", "count")}
+    block |= {"flags": "max(`flag`)"}
+    stored, real = [], blocks.materialise
+    monkeypatch.setattr(blocks, "materialise", lambda df, label: stored.append(len(df.columns)) or real(df, label))
+    turns = blocks.aggregate_wide(rows, "supplier", block, least=50, at_once=20)
+    assert len(stored) > 1 and max(stored) <= 1 + 20 * 6  # a turn carries 20 columns at most
+    plain = blocks.aggregate(rows, "supplier", block)
+    shown = [f"round(`{c}`, 6)" for c in plain.columns]
+    assert turns.columns == plain.columns and turns.count() == plain.count()
+    assert turns.selectExpr(*shown).exceptAll(plain.selectExpr(*shown)).isEmpty()
+
+
 def test_wide_aggregates_stay_in_generated_code(spark):
     rows = full_panel(spark, SMALL).selectExpr("*", "1 AS __rn", "1 AS __n")
     block = {f"{c}_{fn}": f"{fn}(`{c}`)" for c in FULL.numeric for fn in ("min", "max", "avg", "stddev_samp", "sum")}
