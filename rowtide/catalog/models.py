@@ -23,7 +23,7 @@ from rowtide.plans.models import node_table, score_blend, score_out_of_fold, wei
 from rowtide.plans.staged import fit_stopped, staged_margins
 from rowtide.plans.stopping import Segments, fit_networks, learning_curve
 from rowtide.plans.study import Between, Halving, OneOf, sample, study
-from rowtide.plans.training import TrainSpec, fit_fold, scaled, store_folds
+from rowtide.plans.training import TrainSpec, fit_fold, scaled_by_all, scaled_by_own, store_folds
 from rowtide.session import materialise, new_path, work_dir
 
 _LOCAL = f"{tempfile.gettempdir()}/rowtide-export"
@@ -201,14 +201,14 @@ def network_run(spark, sf_dir) -> tuple[DataFrame, DataFrame, TrainSpec, DataFra
 
 def _export_inputs(df: DataFrame, spec: TrainSpec, name: str, folds: int | None = None) -> None:
     """Scaled inputs, long: o_custkey, target (if any), fold, place, x; each row by its own fold's scaler, or by all."""
-    out = None
-    for fold in range(spec.folds):
-        rows = df.filter(F.col("fold") == fold) if folds is None else df.withColumn("fold", F.lit(fold))
-        keep = [c for c in ("o_custkey", "target", "fold") if c in rows.columns]
-        x = F.array(*[F.col(f"`{f}`").cast("double") for f in spec.features])
-        part = scaled(rows, spec, fold).select(*keep, F.posexplode(x).alias("place", "x"))
-        out = part if out is None else out.unionByName(part)
-    export(out, name)
+    keep = [c for c in ("target", "fold") if c in df.columns]
+    if folds is None:
+        rows = scaled_by_own(df, spec, keep)
+    else:
+        each = F.explode(F.array(*[F.struct(F.lit(f).alias("fold"), F.col(f"x{f}").alias("x")) for f in range(folds)]))
+        rows = scaled_by_all(df, spec, keep).select("o_custkey", *keep, each.alias("each")).select("o_custkey", *keep, "each.*")
+        keep = [*keep, "fold"]
+    export(rows.select("o_custkey", *keep, F.posexplode("x").alias("place", "x")), name)
 
 
 def forward_sql(inputs: str, weights: str, keys: str, by: str) -> str:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.functions.text import name
-from rowtide.plans.training import TrainSpec, scaled
+from rowtide.plans.training import TrainSpec, scaled_by_all, scaled_by_own
 from rowtide.session import limits, materialise
 from rowtide.sources.cache import cached_table
 
@@ -185,12 +185,12 @@ def _scored(rows: DataFrame, spec: TrainSpec, keep: Sequence[str], nodes: DataFr
     if spec.model == "trees":
         parts = tree_parts(rows, nodes or node_table(spark, spec), spec, keep)
         return parts.selectExpr(*[name(c) for c in keep], f"{_margin_to_probability('parts')} AS prediction")
-    out = None
-    for fold in range(spec.folds):  # each fold has a scaler of its own
-        part = scaled(rows.filter(F.col("fold") == fold), spec, fold)
-        part = part.selectExpr(*[name(c) for c in keep], f"{_features(spec)} AS x")
-        out = part if out is None else out.unionByName(part)
-    return network_scores(out, weight_table(spark, spec), len(spec.layers) - 1, keep)
+    # Each fold has a scaler of its own.
+    return _network_scores(scaled_by_own(rows, spec, keep), spec, keep)
+
+
+def _network_scores(inputs: DataFrame, spec: TrainSpec, keep: Sequence[str]) -> DataFrame:
+    return network_scores(inputs, weight_table(inputs.sparkSession, spec), len(spec.layers) - 1, keep)
 
 
 def score_out_of_fold(train: DataFrame, spec: TrainSpec, nodes: DataFrame | None = None) -> DataFrame:
@@ -204,5 +204,11 @@ def score_out_of_fold(train: DataFrame, spec: TrainSpec, nodes: DataFrame | None
 
 def score_blend(test: DataFrame, spec: TrainSpec, nodes: DataFrame | None = None) -> DataFrame:
     """key and the mean prediction of all fold models; keys are unique."""
+    keep = [spec.key, "fold"]
+    if spec.model == "network":
+        each = F.explode(F.array(*[F.struct(F.lit(f).alias("fold"), F.col(f"x{f}").alias("x")) for f in range(spec.folds)]))
+        inputs = scaled_by_all(test, spec).select(spec.key, each.alias("each")).select(spec.key, "each.*")
+        scored = _network_scores(inputs, spec, keep)
+        return scored.groupBy(spec.key).agg(F.avg("prediction").alias("prediction"))
     rows = test.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(spec.folds - 1))))
-    return _scored(rows, spec, [spec.key, "fold"], nodes).groupBy(spec.key).agg(F.avg("prediction").alias("prediction"))
+    return _scored(rows, spec, keep, nodes).groupBy(spec.key).agg(F.avg("prediction").alias("prediction"))

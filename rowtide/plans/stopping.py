@@ -10,9 +10,10 @@ is loaded, exported and scored like any other.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +21,7 @@ from pyspark.sql import functions as F
 from rowtide.operators.metric import losses
 from rowtide.plans.models import network_scores, weights_of
 from rowtide.plans.staged import DIGITS, stopping
-from rowtide.plans.training import TrainSpec, _inputs, estimator, scaled
-from rowtide.session import materialise
+from rowtide.plans.training import TrainSpec, estimator, network_rows, scaled_train
 from rowtide.sources.cache import finished, require_same
 
 
@@ -50,17 +50,17 @@ def _loss(held_out: DataFrame, spec: TrainSpec, weights: list[float]) -> float:
     return round(losses(scored, "target", "prediction").first()["bce"], DIGITS)
 
 
-def fit_network(train: DataFrame, spec: TrainSpec, fold: int, segments: Segments = Segments()) -> DataFrame:
+def fit_network(
+    train: DataFrame, spec: TrainSpec, fold: int, segments: Segments = Segments(), scaled_rows: Callable[[], DataFrame] | None = None
+) -> DataFrame:
     """Train one fold; the state table (segment, loss, weights) of all its segments.
 
-    ``train`` is a stored table with ``fold``.
+    ``train`` is a stored table with ``fold``. ``scaled_rows``: what gives its ``scaled_train``, if it serves several folds.
     """
     if spec.model != "network":
         raise ValueError("only networks are trained in segments; see staged.fit_stopped for trees")
     spark = train.sparkSession
     require_same(spark, f"{spec.folder}/segments_{fold}", f"{spec.fingerprint}:{segments}")
-    seen = train.filter(F.col("fold") != fold)
-    features = F.array(*[F.col(f"`{f}`").cast("double") for f in spec.features])
     done: list[tuple[float, list[float]]] = []
     inputs = held_out = None
     for i in range(segments.most):
@@ -69,13 +69,10 @@ def fit_network(train: DataFrame, spec: TrainSpec, fold: int, segments: Segments
         path = _path(spec, fold, i)
         if not finished(spark, path):
             if inputs is None:
-                inputs = _network_inputs(seen, spec, fold, seen)
-                held_out = materialise(
-                    scaled(train.filter(F.col("fold") == fold), spec, fold).select(
-                        F.col(spec.target).alias("target"), features.alias("x")
-                    ),
-                    "held-out",
-                )
+                rows = scaled_rows() if scaled_rows else scaled_train(train, spec)
+                label = F.col(spec.target).cast("double").alias("label")
+                inputs = network_rows(rows.filter(F.col("fold") != fold), spec, fold).select(label, "inputs")
+                held_out = rows.filter(F.col("fold") == fold).select(F.col(spec.target).alias("target"), F.col(f"x{fold}").alias("x"))
             trainer = estimator(spec).setMaxIter(segments.steps).setSeed(spec.seed)
             if done:
                 trainer.setInitialWeights(Vectors.dense(done[-1][1]))
@@ -90,13 +87,6 @@ def fit_network(train: DataFrame, spec: TrainSpec, fold: int, segments: Segments
     return _states(train, spec, fold, len(done))
 
 
-def _network_inputs(rows: DataFrame, spec: TrainSpec, fold: int, fit_on: DataFrame) -> DataFrame:
-    """Label and inputs, stored: the trainer reads them at every step."""
-    labelled = rows.withColumn("label", F.col(spec.target).cast("double"))
-    stored = materialise(_inputs(labelled, spec, fold, fit_on=fit_on).select("label", vector_to_array("inputs").alias("x")), "inputs")
-    return stored.select("label", array_to_vector("x").alias("inputs"))
-
-
 def _waited(losses_: list[float]) -> int:
     """Segments since the lowest loss."""
     return len(losses_) - 1 - losses_.index(min(losses_)) if losses_ else 0
@@ -110,8 +100,9 @@ def _states(train: DataFrame, spec: TrainSpec, fold: int, n: int) -> DataFrame:
 def fit_networks(train: DataFrame, spec: TrainSpec, segments: Segments = Segments()) -> DataFrame:
     """All folds: fold, segment, loss, weights of every segment."""
     out = None
+    scaled_rows = cache(lambda: scaled_train(train, spec))
     for fold in range(spec.folds):
-        part = fit_network(train, spec, fold, segments).select(F.lit(fold).alias("fold"), "*")
+        part = fit_network(train, spec, fold, segments, scaled_rows).select(F.lit(fold).alias("fold"), "*")
         out = part if out is None else out.unionByName(part)
     return out
 

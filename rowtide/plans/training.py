@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.ml import Model
 from pyspark.ml.classification import (
@@ -14,14 +15,15 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.operators.columns import require_parity
+from rowtide.operators.foldscale import fit_gauss_rank_folds, gauss_rank_folds
 from rowtide.operators.metric import metric_components
 from rowtide.operators.scale import KNOT_SCHEMA, fit_gauss_rank, gauss_rank
-from rowtide.session import ensure_checkpoints
+from rowtide.session import ensure_checkpoints, materialise
 from rowtide.sources.cache import cached_table, finished, require_same
 
 Fit = Callable[[DataFrame], Model]
@@ -53,6 +55,11 @@ class TrainSpec:
     def knots_path(self, fold: int) -> str:
         return f"{self.folder}/scaler_{fold}"
 
+    @property
+    def scaler_path(self) -> str:
+        """The scalers of all folds, as one table."""
+        return f"{self.folder}/scalers"
+
     @property
     def fingerprint(self) -> str:
         """What a stored model depends on besides the rows."""
@@ -101,17 +108,53 @@ def _assembled(df: DataFrame, spec: TrainSpec) -> DataFrame:
     return packer.transform(df)
 
 
+def fold_scalers(train: DataFrame, spec: TrainSpec) -> DataFrame:
+    """The scalers of all folds, each fitted on the rows of the others; stored once."""
+    return cached_table(train.sparkSession, spec.scaler_path, lambda: fit_gauss_rank_folds(train, spec.features))
+
+
+def scaled_train(train: DataFrame, spec: TrainSpec) -> DataFrame:
+    """Stored: key, target, fold and the network's features by every fold's scaler, as arrays ``x0``, ``x1``, .."""
+    fresh = not finished(train.sparkSession, spec.scaler_path)
+    scalers = fold_scalers(train, spec)
+    keep = [spec.target, "fold"]
+    rows = gauss_rank_folds(train, scalers, spec.features, [spec.key], range(spec.folds), keep, fitted_on_these=fresh)
+    return materialise(rows, "scaled")
+
+
+def scaled_by_all(df: DataFrame, spec: TrainSpec, keep: Sequence[str] = ()) -> DataFrame:
+    """Key, ``keep`` and the features by every stored scaler, as arrays ``x0``, ``x1``, ..; keys are unique."""
+    scalers = df.sparkSession.read.parquet(spec.scaler_path)
+    return materialise(gauss_rank_folds(df, scalers, spec.features, [spec.key], range(spec.folds), keep), "scaled")
+
+
+def scaled_by_own(df: DataFrame, spec: TrainSpec, keep: Sequence[str] = ()) -> DataFrame:
+    """Key, ``keep`` and the features by the stored scaler of the row's ``fold``, as array ``x``; keys are unique."""
+    scalers = df.sparkSession.read.parquet(spec.scaler_path)
+    return materialise(gauss_rank_folds(df, scalers, spec.features, [spec.key], range(spec.folds), keep, own="fold"), "scaled")
+
+
 def scaled(df: DataFrame, spec: TrainSpec, fold: int, fit_on: DataFrame | None = None) -> DataFrame:
     """Features of the network for one fold; its scaler is fitted on ``fit_on`` and stored, or read."""
-    path = spec.knots_path(fold)
+    spark, path = df.sparkSession, spec.knots_path(fold)
+    if fit_on is None and finished(spark, spec.scaler_path):
+        others = [c for c in df.columns if c not in spec.features and c != spec.key]
+        rows = gauss_rank_folds(df, spark.read.parquet(spec.scaler_path), spec.features, [spec.key], [fold], others)
+        places = {c: i for i, c in enumerate(spec.features)}
+        return rows.select(*[F.get(f"x{fold}", F.lit(places[c])).alias(c) if c in places else F.col(f"`{c}`") for c in df.columns])
     if fit_on is not None:
-        knots = cached_table(df.sparkSession, path, lambda: fit_gauss_rank(fit_on, spec.features))
+        knots = cached_table(spark, path, lambda: fit_gauss_rank(fit_on, spec.features))
     else:
-        knots = df.sparkSession.read.schema(KNOT_SCHEMA).parquet(path)
+        knots = spark.read.schema(KNOT_SCHEMA).parquet(path)
     # A constant column has no rank; it enters as 0, the centre of the scale.
     return gauss_rank(df, knots, spec.features, [spec.key]).fillna(0.0, subset=list(spec.features))
 
 
+def network_rows(rows: DataFrame, spec: TrainSpec, fold: int) -> DataFrame:
+    """Rows of ``scaled_train`` or ``scaled_by_all`` as the trainer takes them: ``inputs`` by one fold's scaler."""
+    return rows.withColumn("inputs", array_to_vector(f"x{fold}")).drop(*[f"x{f}" for f in range(spec.folds)])
+
+
 def _inputs(df: DataFrame, spec: TrainSpec, fold: int, fit_on: DataFrame | None = None) -> DataFrame:
     """Model inputs for one fold; the network's scaler is fitted on training rows and stored."""
     return _assembled(scaled(df, spec, fold, fit_on) if spec.model == "network" else df, spec)
@@ -121,22 +164,27 @@ def _probability(column: str = "probability"):
     return vector_to_array(F.col(column))[1]
 
 
-def fit_fold(train: DataFrame, spec: TrainSpec, fold: int) -> Model:
-    """Fit on the other folds, or load the stored model of this fold."""
+def fit_fold(train: DataFrame, spec: TrainSpec, fold: int, scaled_rows: Callable[[], DataFrame] | None = None) -> Model:
+    """Fit on the other folds, or load the stored model of this fold.
+
+    ``scaled_rows``: what gives ``scaled_train`` of a network's rows, if it serves several folds.
+    """
     spark = train.sparkSession
     require_same(spark, spec.model_path(fold), spec.fingerprint)
     if finished(spark, f"{spec.model_path(fold)}/metadata"):
         if spec.model == "network":
-            _inputs(train, spec, fold, fit_on=train.filter(F.col("fold") != fold))
+            fold_scalers(train, spec)
         return load_model(spec, fold)
-    rows = train.withColumns(
-        {"held_out": F.col("fold") == fold, "label": F.col(spec.target).cast("double")}
-    )
-    seen = rows.filter(~F.col("held_out"))
-    watched = spec.model == "trees" and spec.stop == "loss"
-    inputs = _inputs(rows if watched else seen, spec, fold, fit_on=seen)
+    label = F.col(spec.target).cast("double")
+    if spec.model == "network":
+        rows = scaled_rows() if scaled_rows else scaled_train(train, spec)
+        inputs = network_rows(rows.filter(F.col("fold") != fold), spec, fold).select("inputs", label.alias("label"))
+    else:
+        rows = train.withColumns({"held_out": F.col("fold") == fold, "label": label})
+        seen = rows.filter(~F.col("held_out"))
+        inputs = _inputs(rows if spec.stop == "loss" else seen, spec, fold).select("inputs", "label", "held_out")
     ensure_checkpoints(spark)
-    model = estimator(spec).fit(inputs.select("inputs", "label", "held_out"))
+    model = estimator(spec).fit(inputs)
     model.write().overwrite().save(spec.model_path(fold))
     return model
 
@@ -148,9 +196,13 @@ def out_of_fold(train: DataFrame, spec: TrainSpec) -> DataFrame:
     pass a stored table.
     """
     scored = None
+    scaled_rows = cache(lambda: scaled_train(train, spec))
     for fold in range(spec.folds):
-        model = fit_fold(train, spec, fold)
-        unseen = _inputs(train.filter(F.col("fold") == fold), spec, fold)
+        model = fit_fold(train, spec, fold, scaled_rows)
+        if spec.model == "network":
+            unseen = network_rows(scaled_rows().filter(F.col("fold") == fold), spec, fold)
+        else:
+            unseen = _inputs(train.filter(F.col("fold") == fold), spec, fold)
         part = model.transform(unseen).select(
             spec.key,
             F.col(spec.target).alias("target"),
@@ -176,26 +228,15 @@ def score_panel(train: DataFrame, test: DataFrame, spec: TrainSpec, passthrough:
 def blend(test: DataFrame, spec: TrainSpec, passthrough: Sequence[str] = ()) -> DataFrame:
     """Mean of all fold models' probabilities.
 
-    Trees, and networks whose scaler knots are few, need no shuffle; many knots are joined.
+    Trees need no shuffle; a network's rows are scaled for all folds in one pass.
     """
-    spark: SparkSession = test.sparkSession
-    if spec.model == "trees":
-        scored = _assembled(test, spec)
-        for fold in range(spec.folds):
-            model = load_model(spec, fold)
-            model.setPredictionCol("").setRawPredictionCol("").setProbabilityCol("__prob")
-            scored = model.transform(scored).withColumn(f"__p{fold}", _probability("__prob")).drop("__prob")
-    else:
-        scored = test.withColumn("__raw", F.struct(*spec.features))
-        for fold in range(spec.folds):
-            model = load_model(spec, fold)
-            model.setPredictionCol("").setRawPredictionCol("").setProbabilityCol("__prob")
-            raw = scored.withColumns({c: F.col("__raw").getField(c) for c in spec.features})
-            scored = (
-                model.transform(_inputs(raw, spec, fold))
-                .withColumn(f"__p{fold}", _probability("__prob"))
-                .drop("__prob", "inputs")
-            )
+    trees = spec.model == "trees"
+    rows = _assembled(test, spec) if trees else scaled_by_all(test, spec, passthrough)
+    for fold in range(spec.folds):
+        model = load_model(spec, fold)
+        model.setPredictionCol("").setRawPredictionCol("").setProbabilityCol("__prob")
+        fed = rows if trees else rows.withColumn("inputs", array_to_vector(f"x{fold}"))
+        rows = model.transform(fed).withColumn(f"__p{fold}", _probability("__prob")).drop("__prob")
+        rows = rows if trees else rows.drop("inputs")
     total = sum((F.col(f"__p{f}") for f in range(spec.folds)), F.lit(0.0))
-    return scored.select(spec.key, *passthrough, (total / spec.folds).alias("prediction"))
-
+    return rows.select(spec.key, *passthrough, (total / spec.folds).alias("prediction"))
