@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import isfinite
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.functions.text import name
@@ -26,24 +26,34 @@ STEPS = 80
 _NEAR = 1e-2  # of |power x log|, below which the closed forms lose digits
 
 
+_SERIES = (
+    "(1 + {z} / 2 * (1 + {z} / 3 * (1 + {z} / 4 * (1 + {z} / 5))))",
+    "(1D / 2 + {z} * (1D / 3 + {z} * (1D / 8 + {z} * (1D / 30 + {z} / 144))))",
+    "(1D / 3 + {z} * (1D / 4 + {z} * (1D / 10 + {z} * (1D / 36 + {z} / 168))))",
+)
+
+
 def _raised(p: str, g: str) -> tuple[str, str, str]:
     """((1 + x)^p - 1) / p with g = log(1 + x), and its first and second derivative by p.
 
     With z = p g these are g e1(z), g² e2(z), g³ e3(z); near 0 the functions are their series.
     """
     z = f"({p} * {g})"
-    series = (
-        f"(1 + {z} / 2 * (1 + {z} / 3 * (1 + {z} / 4 * (1 + {z} / 5))))",
-        f"(1D / 2 + {z} * (1D / 3 + {z} * (1D / 8 + {z} * (1D / 30 + {z} / 144))))",
-        f"(1D / 3 + {z} * (1D / 4 + {z} * (1D / 10 + {z} * (1D / 36 + {z} / 168))))",
-    )
     whole = (
         f"expm1({z}) / {z}",
         f"({z} * exp({z}) - expm1({z})) / ({z} * {z})",
         f"(({z} * {z} - 2 * {z}) * exp({z}) + 2 * expm1({z})) / ({z} * {z} * {z})",
     )
     powers = (g, f"{g} * {g}", f"{g} * {g} * {g}")
-    return tuple(f"({k} * CASE WHEN abs({z}) < {_NEAR} THEN {s} ELSE {w} END)" for k, s, w in zip(powers, series, whole, strict=True))
+    return tuple(f"({k} * CASE WHEN abs({z}) < {_NEAR} THEN {s.format(z=z)} ELSE {w} END)" for k, s, w in zip(powers, _SERIES, whole, strict=True))
+
+
+def _from_logs() -> tuple[str, str, str]:
+    """The same of rows that hold t, z and e = expm1(z); the sign of t is that of the value."""
+    # Below zero the power counts down from 2: the value and its second derivative change their sign.
+    powers = ("t", "t * t", "t * t * t")
+    whole = ("e / z", "(z * (e + 1) - e) / (z * z)", "((z * z - 2 * z) * (e + 1) + 2 * e) / (z * z * z)")
+    return tuple(f"({k} * CASE WHEN abs(z) < {_NEAR} THEN {s.format(z='z')} ELSE {w} END)" for k, s, w in zip(powers, _SERIES, whole, strict=True))
 
 
 def yeo_johnson(x: str, power: str) -> tuple[str, str, str]:
@@ -58,13 +68,32 @@ def fit_power(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     spark = df.sparkSession
     cells = F.array(*[F.col(name(c)).cast("double") for c in columns])
     rows = df.select(F.posexplode(cells).alias("at", "x")).filter("abs(x) < double('Infinity')")
-    rows = materialise(rows, "power-cells")
-    log_sum = "sum(CASE WHEN x >= 0 THEN log1p(x) ELSE -log1p(-x) END)"
-    fixed = {
-        r["at"]: r
-        for r in rows.groupBy("at").agg(F.count("*").alias("n"), F.expr(log_sum).alias("logs"), F.min("x").alias("low"), F.max("x").alias("high")).collect()
-    }
-    state = {i: [*BRACKET, 1.0] for i, r in fixed.items() if r["low"] < r["high"]}
+    # All that the transform asks of a value: its logarithm, below zero with a minus.
+    rows = materialise(rows.selectExpr("at", "CASE WHEN x >= 0 THEN log1p(x) ELSE -log1p(-x) END AS t"), "power-cells")
+    fixed = _fixed(rows)
+    total = sum(r["n"] for r in fixed.values())
+    starts: dict[int, float] = {}
+    if total > _AHEAD * len(columns):
+        # Where to begin, from some of the rows: the steps over all rows are few then, and end as close as from anywhere else.
+        some = materialise(rows.sample(_AHEAD * len(columns) / total, seed=7), "power-ahead")
+        starts = _solved(some, _fixed(some), {}, _ABOUT)
+    powers = {i: 1.0 for i in range(len(columns))} | _solved(rows, fixed, starts, CLOSE)
+    return _standardised(spark, rows, list(columns), powers)
+
+
+_AHEAD = 200_000  # cells a column from which the first guess is taken
+_ABOUT = 1e-5  # how close that guess is to the power of its cells
+
+
+def _fixed(rows: DataFrame) -> dict[int, Row]:
+    """Of each column the number of its values, the sum of their logarithms, and the extremes."""
+    sums = rows.groupBy("at").agg(F.count("*").alias("n"), F.sum("t").alias("logs"), F.min("t").alias("low"), F.max("t").alias("high"))
+    return {r["at"]: r for r in sums.collect()}
+
+
+def _solved(rows: DataFrame, fixed: dict[int, Row], starts: dict[int, float], close: float) -> dict[int, float]:
+    """The powers of the columns that have spread."""
+    state = {i: [*BRACKET, starts.get(i, 1.0)] for i, r in fixed.items() if r["low"] < r["high"]}
     done: dict[int, float] = {}
     for _ in range(STEPS):
         open_ = {i: s for i, s in state.items() if i not in done}
@@ -82,28 +111,28 @@ def fit_power(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             step = at - first / second if second < 0 and isfinite(first / second) else None
             new = step if step is not None and low < step < high else (low + high) / 2
             state[i] = [low, high, new]
-            if abs(new - at) <= CLOSE * max(1.0, abs(at)):
+            if abs(new - at) <= close * max(1.0, abs(at)):
                 done[i] = new
-    powers = {i: done.get(i, state[i][2]) if i in state else 1.0 for i in range(len(columns))}
-    return _standardised(spark, rows, list(columns), powers)
+    return {i: done.get(i, s[2]) for i, s in state.items()}
 
 
 def _with_power(rows: DataFrame, powers: dict[int, float]) -> DataFrame:
+    """``rows`` with z, the power times the logarithm, and e = expm1(z), each made once."""
     listed = ", ".join(f"{powers[i]!r}D" if i in powers else "CAST(NULL AS DOUBLE)" for i in range(max(powers) + 1))
-    return rows.withColumn("p", F.expr(f"get(array({listed}), at)")).filter("p IS NOT NULL")
+    known = rows.selectExpr("*", f"get(array({listed}), at) AS p").filter("p IS NOT NULL")
+    return known.selectExpr("at", "t", "(CASE WHEN t >= 0 THEN p ELSE 2D - p END) * abs(t) AS z").selectExpr("*", "expm1(z) AS e")
 
 
 def _moments(rows: DataFrame, powers: dict[int, float]) -> dict[int, tuple[float, ...]]:
     """n, variance of y, covariance (y, y'), variance of y', covariance (y, y'') of each open column."""
-    y, y1, y2 = yeo_johnson("x", "p")
+    y, y1, y2 = _from_logs()
     shown = _with_power(rows, powers).selectExpr("at", f"{y} AS y", f"{y1} AS y1", f"{y2} AS y2")
     sums = ("count(*) AS n", "var_pop(y) AS v", "covar_pop(y, y1) AS d1", "var_pop(y1) AS d2", "covar_pop(y, y2) AS c2")
     return {r["at"]: (r["n"], r["v"], r["d1"], r["d2"], r["c2"]) for r in shown.groupBy("at").agg(*[F.expr(s) for s in sums]).collect()}
 
 
 def _standardised(spark: SparkSession, rows: DataFrame, columns: list[str], powers: dict[int, float]) -> DataFrame:
-    y = yeo_johnson("x", "p")[0]
-    shown = _with_power(rows, powers).selectExpr("at", f"{y} AS y")
+    shown = _with_power(rows, powers).selectExpr("at", f"{_from_logs()[0]} AS y")
     stats = {r["at"]: r for r in shown.groupBy("at").agg(F.avg("y").alias("m"), F.stddev_pop("y").alias("s")).collect()}
     out = []
     for i, c in enumerate(columns):

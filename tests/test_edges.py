@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,10 +11,12 @@ from rowtide import FeatureOptions, PanelSpec, families_by_prefix
 from rowtide.operators import blocks
 from rowtide.operators.columns import drop_matching, fill_missing, narrow, require_parity
 from rowtide.operators.encode import apply_one_hot, fit_one_hot
+from rowtide.operators.foldscale import fit_gauss_rank_folds, gauss_rank_folds
 from rowtide.operators.metric import metric_components
 from rowtide.operators.positions import pivot_positions, with_ordinals, with_time_ranks
 from rowtide.operators.scale import fit_gauss_rank, fit_standard, gauss_rank, gauss_rank_inverse, standard_scale
 from rowtide.plans.feature_row import attach, feature_row
+from rowtide.session import materialise
 from rowtide.sources.panel import read_panel, unify_missing, with_time
 
 SPEC = PanelSpec(
@@ -267,3 +270,28 @@ def test_families_by_prefix():
         "spend": ("S_1",),
         "balance": ("B_1", "B_9"),
     }
+
+
+def test_scalers_of_all_folds_are_those_of_each(spark, conf):
+    rng = random.Random(5)
+    odd = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0]
+    made = [(i, i % 3, rng.choice([*odd, *[rng.gauss(0, 9) for _ in range(20)]]), rng.choice([1.0, 2.0, 5.0]), 4.0) for i in range(300)]
+    kind = "id int, fold int, a double, `b c` double, flat double"
+    df = spark.createDataFrame(made, kind)
+    new = spark.createDataFrame([(i, i % 3, x, x, x) for i, x in enumerate([*odd, -1e300, -99.0, 99.0, 1e300, 1.5, 2.0, -3.25])], kind)
+    columns, renamed = ["a", "bc", "flat"], {"b c": "bc"}
+    df, new = df.withColumnsRenamed(renamed), new.withColumnsRenamed(renamed)
+    for rows in (1_000_000, 40):
+        conf("spark.rowtide.rowsPerChunk", rows)
+        fitted = materialise(fit_gauss_rank_folds(df, columns), "fitted")
+        for asked, same in ((df, True), (df, False), (new, False)):
+            all_ = {r["id"]: r for r in gauss_rank_folds(asked, fitted, columns, ["id"], range(3), ["fold"], fitted_on_these=same).collect()}
+            own = {r["id"]: r for r in gauss_rank_folds(asked, fitted, columns, ["id"], range(3), ["fold"], own="fold").collect()}
+            assert all_.keys() == own.keys() and len(own) == asked.count()
+            for f in range(3):
+                knots = materialise(fit_gauss_rank(df.filter(F.col("fold") != f), columns), "knots")
+                for r in gauss_rank(asked, knots, columns, ["id"]).fillna(0.0, subset=columns).collect():
+                    want = [r[c] for c in columns]
+                    assert all_[r["id"]][f"x{f}"] == pytest.approx(want, abs=1e-9)
+                    if r["fold"] == f:
+                        assert own[r["id"]]["x"] == pytest.approx(want, abs=1e-9)

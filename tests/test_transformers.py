@@ -15,6 +15,7 @@ from rowtide.catalog.models import tree_run
 from rowtide.catalog.transformers import GROWING
 from rowtide.operators import blocks, quantile
 from rowtide.operators.polynomial import exponent_table, feature_name, polynomial, sparse_pairs
+from rowtide.operators import power
 from rowtide.operators.power import fit_power, power_transform, yeo_johnson
 from rowtide.operators.quantile import fit_quantiles, quantile_transform
 from rowtide.operators.target_encode import encode_target, fit_target_encoding
@@ -148,6 +149,19 @@ def test_powers_are_the_most_likely_ones(spark):
     assert raw[7] == pytest.approx(transformed(data["lognormal"][7], powers["lognormal"]), rel=1e-9)
 
 
+def test_few_steps_go_over_all_rows(spark, monkeypatch):
+    rng = random.Random(8)
+    data = {"lognormal": [math.exp(rng.gauss(1, 0.8)) for _ in range(20_000)], "left": [-math.exp(rng.gauss(0, 0.5)) for _ in range(20_000)]}
+    df = numbers(spark, data)
+    want = {r.feature: r.power for r in fit_power(df, list(data)).collect()}
+    steps, plain = [], power._moments
+    monkeypatch.setattr(power, "_AHEAD", 2000)
+    monkeypatch.setattr(power, "_moments", lambda rows, powers: steps.append(rows.count()) or plain(rows, powers))
+    got = {r.feature: r.power for r in fit_power(df, list(data)).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+    assert max(steps) == 40_000 and 1 <= steps.count(40_000) <= 4
+
+
 def test_names_and_order_of_products():
     names = [feature_name(t) for t in exponent_table(["a", "b", "c"], 2, bias=True)]
     assert names == ["1", "a", "b", "c", "a^2", "a b", "a c", "b^2", "b c", "c^2"]
