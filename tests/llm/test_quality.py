@@ -3,10 +3,11 @@
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 from compare import difference
-from small import documents, empty, rows_of
+from small import SCHEMA, documents, empty, rows_of
 
 from rowtide.llm import quality, sql
 from rowtide.llm.common import pick
@@ -224,3 +225,20 @@ def test_long_texts_repeat_words():
 
 def test_empty(spark):
     assert quality.judge(empty(spark)).count() == 0 and quality.keep(empty(spark)).count() == 0
+
+
+def test_words_of_lines_are_stored_once(spark, monkeypatch):
+    """What is stored by document and line has no words: they stay in the scan, and few documents need them again."""
+    sizes, plain = {}, quality.stored
+
+    def spied(df, label, *rest):
+        table, folder = plain(df, label, *rest)
+        sizes[label] = sum(f.stat().st_size for f in Path(folder).rglob("*.parquet"))
+        return table, folder
+
+    monkeypatch.setattr(quality, "stored", spied)
+    words = [f"w{i * 7919 % 10007}" for i in range(4000)]
+    texts = ["\n".join(" ".join(words[(37 * d + 200 * k + j) % 4000] for j in range(200)) for k in range(10)) for d in range(60)]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in enumerate(texts)], SCHEMA).coalesce(1)
+    assert quality.judge(df).count() == 60
+    assert sizes["quality-lines"] * 4 < sizes["quality-scan"]
