@@ -41,10 +41,10 @@ from rowtide.llm import routing, sigtree
 from rowtide.llm.common import by_batch, in_arrow, pick, rows_back, texts, whole_rows
 from rowtide.llm.components import components
 from rowtide.llm.words import mixed, shingle_sets
-from rowtide.session import discard, materialise, release, stored
+from rowtide.session import discard, limits, materialise, release, stored
 
 BLOCK = 512
-_WIDER = 4  # times the bits of small bitmaps
+_BITMAPS = {"thin": 0.25, "bits": 1, "wide": 4}  # times sigtree.width: thin ones tell unlike sets apart, wide ones similar ones
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -136,7 +136,7 @@ _PLACED = "array<struct<leader:bigint,block:bigint>>"
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, digest, rep, placed, n, bits, wide, tokens) of the classes that are in any tree.
+    """(node, digest, rep, placed, n, thin, bits, wide, tokens) of the classes that are in any tree.
 
     ``wanted`` has node, digest, rep and ``placed``: the blocks of trees that the set meets first, which it
     carries along, so that it needs no join to get there.
@@ -153,18 +153,18 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 *out,
                 pa.array(counts),
                 *[
-                    pa.array([sigtree.bitmap(p, k * sigtree.width(len(p))).tobytes() for p in parts], pa.binary())
-                    for k in (1, _WIDER)
+                    pa.array([sigtree.bitmap(p, max(64, int(k * sigtree.width(len(p))))).tobytes() for p in parts], pa.binary())
+                    for k in _BITMAPS.values()
                 ],
                 pa.array([_short(p) for p in parts], pa.binary()),
             ],
-            names=["node", "digest", "rep", "placed", "n", "bits", "wide", "tokens"],
+            names=["node", "digest", "rep", "placed", "n", *_BITMAPS, "tokens"],
         )
         return rows.filter(pa.array(right))
 
     # Hinted, so that the plan is the same at every size: texts are shuffled, never collected for a broadcast.
     found = docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["rep"]).select("text", "node", "digest", "rep", "placed")
-    schema = f"node bigint, digest binary, rep bigint, placed {_PLACED}, n bigint, bits binary, wide binary, tokens binary"
+    schema = f"node bigint, digest binary, rep bigint, placed {_PLACED}, n bigint, {', '.join(f'{b} binary' for b in _BITMAPS)}, tokens binary"
     return by_batch(found, run, schema)
 
 
@@ -202,15 +202,15 @@ def _joined(members: DataFrame, num: int, den: int) -> DataFrame:
 
 def _undecided(members: DataFrame, num: int, den: int) -> DataFrame:
     """The sets of each (leader, block) that bitmaps don't tell apart from all other components."""
-    names = ("leader", "block", "digest", "rep", "label")
+    names = ("leader", "block", "digest", "label")
 
     def left(rows: list[tuple]) -> list[tuple]:
-        sizes = np.array([r[5] for r in rows], np.int64)
-        maps = [np.frombuffer(r[6], np.uint64) for r in rows]
+        sizes = np.array([r[4] for r in rows], np.int64)
+        maps = [np.frombuffer(r[5], np.uint64) for r in rows]
         bits = 64 * min(map(len, maps))
         words = np.stack([sigtree.folded(m, bits) for m in maps])
-        labels = np.unique([r[4] for r in rows], return_inverse=True)[1]
-        return [r[:5] for r, keep in zip(rows, sigtree.undecided(words, sizes, labels, num, den), strict=True) if keep]
+        labels = np.unique([r[3] for r in rows], return_inverse=True)[1]
+        return [r[:4] for r, keep in zip(rows, sigtree.undecided(words, sizes, labels, num, den), strict=True) if keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -227,12 +227,11 @@ def _undecided(members: DataFrame, num: int, den: int) -> DataFrame:
             yield batch_of(out)
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=list(names))
 
     dealt = members.repartition("leader", "block").sortWithinPartitions("leader", "block")
-    schema = "leader bigint, block bigint, digest binary, rep bigint, label bigint"
-    return in_arrow(dealt.select(*names, "n", "bits"), run, schema)
+    return in_arrow(dealt.select(*names, "n", "bits"), run, "leader bigint, block bigint, digest binary, label bigint")
 
 
 def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -252,13 +251,36 @@ def _every_block() -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
 
 
+def _open(trees: DataFrame) -> DataFrame:
+    """(leader, block, blocks, digest, label, apart) of the trees whose sets are not all connected.
+
+    ``apart``: not connected with the leader.
+    """
+    open_ = trees.groupBy("leader").agg(
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.min(F.when(F.col("node") == F.col("leader"), F.col("label"))).alias("head"),
+    )
+    left = trees.join(open_.filter("low < high").select("leader", "head"), "leader")
+    apart = F.coalesce(F.col("label") != F.col("head"), F.lit(False))
+    return left.select("leader", "block", "blocks", "digest", "label", apart.alias("apart"))
+
+
+def _needed(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """The sets of ``members`` (a stored table); as far as their digests may be broadcast, the others are not shuffled."""
+    digests = materialise(members.select("digest").distinct(), "jaccard-needed")
+    if limits(sets.sparkSession).may_broadcast(digests.count(), digests.schema):
+        sets = sets.join(F.broadcast(digests), "digest", "left_semi")
+    return sets
+
+
 def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num: int, den: int, block: int) -> DataFrame:
     """Links enough to connect every component, in two steps.
 
     First each set meets the tree of its least leader, which connects nearly all near
     copies. Then only trees whose sets are not all connected are left, and in them only
     pairs of different components. Joins with sets are hinted: at any size they are
-    merge joins, and neither side is broadcast.
+    merge joins, and no set is broadcast.
     """
     nodes = led.select("node").union(led.select("leader")).distinct()
     wanted = classes.filter(F.col("rep").isNotNull()).join(nodes, "node", "left_semi")
@@ -276,24 +298,24 @@ def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num:
     known = components(first).select(F.col("v").alias("rep"), F.col("p").alias("label"))
     named = sets.select("node", "digest", "rep").join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     trees = _trees(led, block).join(materialise(named, "jaccard-named"), "node")
-    trees = materialise(trees, "jaccard-trees")
-    open_ = trees.groupBy("leader").agg(
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
-        F.min(F.when(F.col("node") == F.col("leader"), F.col("label"))).alias("head"),
-    )
-    open_ = open_.filter("low < high").select("leader", "head")
-    left = materialise(trees.join(open_, "leader"), "jaccard-open")
-    # What is apart from the leader meets every block of its tree.
-    apart = left.filter("label != head").select("leader", _every_block(), "blocks", "node", "digest", "rep", "label")
-    again = left.select(apart.columns).unionByName(apart).dropDuplicates(["leader", "block", "digest"])
-    # Bitmaps are a fraction of the sets; small ones, then wider ones, settle most of what near copies
+    trees = materialise(trees.drop("rep"), "jaccard-trees")
+    left = materialise(_open(trees), "jaccard-open")
+    release(docs.sparkSession)
+    # Bitmaps are a fraction of the sets; thin ones, then wider ones, settle most of what near copies
     # of different groups leave open.
-    for bits in ("bits", "wide"):
-        mapped = again.join(sets.select("digest", "n", F.col(bits).alias("bits")).hint("merge"), "digest")
+    again = None
+    for bits in _BITMAPS:
+        maps = (sets if again is None else _needed(sets, again)).select("digest", "n", F.col(bits).alias("bits")).hint("merge")
+        if again is None:
+            # What is apart from the leader meets every block of its tree; it gets there after the join.
+            meets = F.when(F.col("apart"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
+            mapped = left.join(maps, "digest").select("leader", F.explode(meets).alias("block"), "digest", "label", "n", "bits")
+        else:
+            mapped = again.join(maps, "digest")
         again = materialise(_undecided(mapped, num, den), "jaccard-undecided")
+        del mapped, maps
         release(docs.sparkSession)
-    again = again.join(sets.select("digest", "tokens").hint("merge"), "digest")
+    again = again.join(_needed(sets, again).select("digest", "rep", "tokens").hint("merge"), "digest")
     last = materialise(_joined(again, num, den), "jaccard-links")
     discard(docs.sparkSession, folder)
     release(docs.sparkSession)

@@ -13,9 +13,18 @@ over, so a group of near copies costs about one verified pair per set.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 FAN = 8
+_TURN = 8192  # node pairs that are taken down a level at once
+_WORDS = 1 << 20  # of bitmaps that are compared at once
+
+
+def _at_once(words: np.ndarray) -> int:
+    """How many pairs of such bitmaps to compare at once."""
+    return max(1, min(4096, _WORDS // words.shape[1]))
 
 
 class Union:
@@ -105,18 +114,21 @@ def _possible(one, two, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.
     keep = (den * one[2][a] >= num * two[1][b]) & (den * two[2][b] >= num * one[1][a])
     a, b = a[keep], b[keep]
     ok = np.zeros(len(a), bool)
-    for at in range(0, len(a), 4096):
-        x, y = a[at : at + 4096], b[at : at + 4096]
+    step = _at_once(one[0])
+    for at in range(0, len(a), step):
+        x, y = a[at : at + step], b[at : at + step]
         most = np.bitwise_count(one[0][x] & two[0][y]).sum(axis=1, dtype=np.int64) + np.minimum(one[3][x], two[3][y])
         # common >= num / (num + den) * (sum of sizes)
-        ok[at : at + 4096] = (num + den) * most >= num * (one[1][x] + two[1][y])
+        ok[at : at + step] = (num + den) * most >= num * (one[1][x] + two[1][y])
     out = np.zeros(len(keep), bool)
     out[np.flatnonzero(keep)[ok]] = True
     return out
 
 
-def candidate_pairs(tree: Tree, num: int, den: int, groups: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Leaf pairs (a < b) that the dual traversal of a tree with itself does not prune.
+def pairs_in_turns(
+    tree: Tree, num: int, den: int, groups: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Leaf pairs (a < b) that the dual traversal of a tree with itself does not prune, a bounded number at a time.
 
     ``groups``: leaves of one group are known to be connected; node pairs that lie in
     one group are pruned too.
@@ -126,24 +138,34 @@ def candidate_pairs(tree: Tree, num: int, den: int, groups: np.ndarray | None =
         low, high = tops[-1]
         cuts = np.arange(0, len(low), FAN)
         tops.append((np.minimum.reduceat(low, cuts), np.maximum.reduceat(high, cuts)))
-    a = b = np.zeros(1, np.int64)
-    for level in range(len(tree.levels) - 1, -1, -1):
+    kids = np.arange(FAN)
+    waiting = [(len(tree.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    while waiting:  # depth first, so that few pairs wait whatever the number of leaves
+        level, a, b = waiting.pop()
         nodes = tree.levels[level]
         keep = _possible(nodes, nodes, a, b, num, den)
         if tops:
             low, high = tops[level]
-            keep &= (np.minimum(low[a], low[b]) != np.maximum(high[a], high[b]))
+            keep &= np.minimum(low[a], low[b]) != np.maximum(high[a], high[b])
         a, b = a[keep], b[keep]
         if level == 0:
-            break
+            apart = a < b
+            yield a[apart], b[apart]
+            continue
         below = len(tree.levels[level - 1][0])
-        kids = np.arange(FAN)
         a2 = np.repeat((a[:, None] * FAN + kids).reshape(-1), FAN)
         b2 = np.tile((b[:, None] * FAN + kids), (1, FAN)).reshape(-1)
         inside = (a2 < below) & (b2 < below) & (a2 <= b2)
-        a, b = a2[inside], b2[inside]
-    apart = a < b
-    return a[apart], b[apart]
+        a2, b2 = a2[inside], b2[inside]
+        waiting += [(level - 1, a2[at : at + _TURN], b2[at : at + _TURN]) for at in range(0, len(a2), _TURN)]
+
+
+def candidate_pairs(tree: Tree, num: int, den: int, groups: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of ``pairs_in_turns``."""
+    none = np.zeros(0, np.int64)
+    a, b = (np.concatenate(x) for x in zip((none, none), *pairs_in_turns(tree, num, den, groups), strict=True))
+    order = np.lexsort((b, a))
+    return a[order], b[order]
 
 
 def undecided(words: np.ndarray, sizes: np.ndarray, labels: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -154,18 +176,21 @@ def undecided(words: np.ndarray, sizes: np.ndarray, labels: np.ndarray, num: int
     """
     order = np.lexsort((labels, sizes))
     w, n = words[order], sizes[order]
-    a, b = candidate_pairs(Tree(w, n), num, den, labels[order])
     keep = np.zeros(len(n), bool)
-    for at in range(0, len(a), 4096):
-        x, y = a[at : at + 4096], b[at : at + 4096]
-        apart = labels[order[x]] != labels[order[y]]
-        x, y = x[apart], y[apart]
-        most = np.minimum(
-            n[x] - np.bitwise_count(w[x] & ~w[y]).sum(axis=1, dtype=np.int64),
-            n[y] - np.bitwise_count(w[y] & ~w[x]).sum(axis=1, dtype=np.int64),
-        )
-        ok = (num + den) * most >= num * (n[x] + n[y])
-        keep[x[ok]] = keep[y[ok]] = True
+    step = _at_once(w)
+    for a, b in pairs_in_turns(Tree(w, n), num, den, labels[order]):
+        open_ = ~(keep[a] & keep[b])  # the others have nothing to tell
+        a, b = a[open_], b[open_]
+        for at in range(0, len(a), step):
+            x, y = a[at : at + step], b[at : at + step]
+            apart = labels[order[x]] != labels[order[y]]
+            x, y = x[apart], y[apart]
+            most = np.minimum(
+                n[x] - np.bitwise_count(w[x] & ~w[y]).sum(axis=1, dtype=np.int64),
+                n[y] - np.bitwise_count(w[y] & ~w[x]).sum(axis=1, dtype=np.int64),
+            )
+            ok = (num + den) * most >= num * (n[x] + n[y])
+            keep[x[ok]] = keep[y[ok]] = True
     out = np.zeros(len(n), bool)
     out[order] = keep
     return out

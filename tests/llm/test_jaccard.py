@@ -165,3 +165,23 @@ def test_bitmaps_leave_every_linked_set_undecided(seed):
     linked = {k for i in range(len(sets)) for j in range(i) if sigtree.linked(sets[i], sets[j], 80, 100) for k in (i, j)}
     assert linked and linked <= set(np.flatnonzero(left).tolist())
     assert not sigtree.undecided(words, sizes, np.zeros(len(sets), int), 80, 100).any()
+
+
+@pytest.mark.parametrize("few", [1000, 0])
+def test_open_trees_are_met_with_thin_bitmaps(spark, conf, monkeypatch, few):
+    """Trees that are not all connected take little of each set at first, and only the sets that are left then."""
+    conf("spark.rowtide.broadcastRows", few)  # 0: sets that are left are found without a broadcast
+    met, plain = [], jaccard._undecided
+
+    def spied(members, *rest):
+        met.append(members.selectExpr("count(*)", "sum(8 * length(bits)) / sum(n)").first())
+        return plain(members, *rest)
+
+    monkeypatch.setattr(jaccard, "_undecided", spied)
+    shared = [f"s{i}" for i in range(100)]
+    rows = [(d, " ".join([*shared, *[f"o{d // 2}x{i}" for i in range(60 + d // 2)], f"end{d}"])) for d in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in rows_of(jaccard.jaccard_components(df, 3, 85, 4))}
+    assert got == brute(rows, 3, 85)[0]
+    assert met[0][0] > 0 and met[0][1] <= 2.2
+    assert met[-1][0] < met[0][0]
