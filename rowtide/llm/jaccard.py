@@ -4,17 +4,17 @@ Documents with equal shingle sets form a class, found by a 128-bit digest. Links
 different classes are searched in a forest of signature trees (``sigtree``), which
 between them hold every pair that can be linked:
 
-* Routes. The space of shingle hashes is cut into k parts, k being more than the greatest
-  difference of two linked sets of that size. So at least one part of linked sets is
-  the same, and as k leaves a margin, one that is not empty (a set with more empty
-  parts than the margin is routed by these too). A route is the hash of a part's
-  content. Common passages make few common routes, as a part of some six shingles
-  rarely holds nothing else. Sizes fall into classes whose neighbours a link can span;
-  a set is routed in its own and the next one.
+* Routes. All shingles have one order, rare ones first. A link needs a share of a set's own
+  shingles in common, so of two linked sets each has a shared one among its first few (all
+  but that share, and one more). These are its routes, so common passages are
+  routes only of texts that hold little else. How rare a shingle is follows from counts of all sets by
+  the shingle's bucket, of which there is a fixed number. Shingles that fall together look
+  more frequent than they are; that costs meetings, but any order holds every linked
+  pair. Tables of a few documents take the order of the hashes.
 * Trees. A set of each route leads it; a leader and all sets on its routes form one
   tree, so all sets of a route meet in a tree. A tree of more than ``block`` sets is dealt
   to subtrees, each with the leader; what they leave apart from the leader meets every
-  subtree in a second step.
+  subtree in a second step, in parts of ``block`` sets, so that a task's memory is bounded.
 * Dual traversal inside a tree prunes node pairs by size ranges and greatest possible
   overlap; what remains is verified exactly on the sets.
 
@@ -29,11 +29,12 @@ comes to reaching others; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,63 +46,83 @@ from rowtide.session import discard, limits, materialise, release, stored
 
 BLOCK = 512
 _BITMAPS = {"thin": 0.25, "bits": 1, "wide": 4}  # times sigtree.width: thin ones tell unlike sets apart, wide ones similar ones
-_C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-
-
-def size_classes(num: int, den: int, largest: int) -> np.ndarray:
-    """Least sizes of the classes: two sets with a link are in the same or in neighbouring classes."""
-    lows = [1]
-    while lows[-1] <= largest:
-        lows.append(max(lows[-1] + 1, -(-lows[-1] * den // num)))
-    return np.array([*lows, max(lows[-1] + 1, -(-lows[-1] * den // num))], np.int64)
-
-
-def routes(hashes: np.ndarray, counts: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(route keys, index of the set) for sorted sets laid end to end."""
-    lows = size_classes(num, den, int(counts.max(initial=1)))
-    own = np.searchsorted(lows, counts, "right") - 1
-    keys, owners = [], []
-    begins = np.concatenate([[0], np.cumsum(counts)])
-    for up in (0, 1):
-        level = own + up
-        high = lows[np.minimum(level + 1, len(lows) - 1)] - 1
-        differ = 2 * high * (den - num) // (den + num)
-        margin = 4 + differ // 40
-        parts = np.where((counts > 0) & (differ > 0), differ + margin, 0)
-        which = np.repeat(np.arange(len(counts)), counts)
-        routed = parts[which] > 0
-        at, who = hashes[routed], which[routed]
-        if not len(at):
-            continue
-        part = ((at >> np.uint64(32)) * parts[who].astype(np.uint64)) >> np.uint64(32)
-        new = np.ones(len(at), bool)
-        new[1:] = (who[1:] != who[:-1]) | (part[1:] != part[:-1])
-        starts = np.flatnonzero(new)
-        content = np.add.reduceat(mixed(at ^ _C2), starts)
-        owner = who[starts]
-        base = mixed(level.astype(np.uint64) * _C2 + _C1)
-        keys.append(mixed(content + mixed(part[starts] + base[owner])))
-        owners.append(owner)
-        full = np.bincount(owner, minlength=len(counts))
-        for i in np.flatnonzero(parts - full >= np.where(parts > 0, margin, 1)):
-            own_hashes = hashes[begins[i] : begins[i + 1]]
-            held = ((own_hashes >> np.uint64(32)) * np.uint64(parts[i])) >> np.uint64(32)
-            empty = np.setdiff1d(np.arange(parts[i], dtype=np.uint64), held)
-            keys.append(mixed(mixed(empty + base[i])))
-            owners.append(np.full(len(empty), i))
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+_C2 = np.uint64(0xC2B2AE3D27D4EB4F)
+_BUCKETS, _PIECE = 1 << 22, 1 << 16  # of the counts that order shingles, and those that travel together
+_FEW = 4 * BLOCK  # documents that are not worth counting first
+
+
+def routes(
+    hashes: np.ndarray, counts: np.ndarray, num: int, den: int, often: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(route keys, index of the set) for sorted sets laid end to end.
+
+    ``often``: how many sets have a shingle of each bucket; without it shingles are ordered by hash.
+    """
+    owner = np.repeat(np.arange(len(counts)), counts)
+    if often is not None:  # stable, so shingles of one count stay in the order of their hashes
+        hashes = hashes[np.argsort((owner << 16) | often[_bucket(hashes)], kind="stable")]
+    # Of a set that can be linked with a different one: all but what a link needs, and one more.
+    first = np.where(counts * den >= num * (counts + 1), counts - -(-counts * num // den) + 1, 0)
+    place = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
+    kept = place < np.repeat(first, counts)
+    return mixed(hashes[kept] ^ _C2), owner[kept]
 
 
 def _digest(part: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(part.tobytes())
 
 
-def _scan(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - _BUCKETS.bit_length() + 1)).astype(np.int64)
+
+
+def _often(docs: DataFrame, size: int) -> np.ndarray:
+    """How many sets have a shingle of each bucket, up to 65535; a set that repeats in a task counts once there.
+
+    As many numbers as buckets, whatever the rows; few enough for the driver, which broadcasts them.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, seen = np.zeros(_BUCKETS, np.uint32), set()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                hashes, counts = shingle_sets(texts(batch.slice(start, 512)), size)
+                fresh = np.zeros(len(counts), bool)
+                for i, (e, c) in enumerate(zip(np.cumsum(counts).tolist(), counts.tolist(), strict=True)):
+                    if c and (digest := _digest(hashes[e - c : e])) not in seen:
+                        seen.add(digest)
+                        fresh[i] = True
+                np.add.at(held, _bucket(hashes[np.repeat(fresh, counts)]), np.uint32(1))
+        yield from pieces(enumerate(held.reshape(-1, _PIECE)))
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, at, n in zip(*[batch.column(c).to_pylist() for c in ("piece", "at", "n")], strict=True):
+                own = held.setdefault(piece, np.zeros(_PIECE, np.int64))
+                own[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<u2")
+        yield from pieces(held.items())
+
+    def pieces(found: Iterable[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for piece, counts in found:
+            at = np.flatnonzero(counts)
+            if len(at):
+                n = np.minimum(counts[at], 65535).astype("<u2").tobytes()
+                columns = [pa.array([piece], pa.int64()), *[pa.array([x], pa.binary()) for x in (at.astype("<u2").tobytes(), n)]]
+                yield pa.RecordBatch.from_arrays(columns, names=["piece", "at", "n"])
+
+    schema = "piece bigint, at binary, n binary"
+    dealt = in_arrow(docs.select("text"), counted, schema).repartition(_BUCKETS // _PIECE, "piece")
+    out = np.zeros((_BUCKETS // _PIECE, _PIECE), np.uint16)
+    for row in in_arrow(dealt, added, schema).toLocalIterator():
+        out[row.piece][np.frombuffer(row.at, "<u2")] = np.frombuffer(row.n, "<u2")
+    return out.reshape(-1)
+
+
+def _scan(docs: DataFrame, size: int, num: int, den: int, often: Broadcast | None) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, counts = shingle_sets(texts(batch), size)
-        keys, owners = routes(hashes, counts, num, den)
+        keys, owners = routes(hashes, counts, num, den, often.value if often else None)
         ends = np.cumsum(counts)
         digests = [_digest(hashes[e - c : e]) for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
         nodes = [int.from_bytes(d[:8], "little", signed=True) for d in digests]
@@ -251,10 +272,11 @@ def _every_block() -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
 
 
-def _open(trees: DataFrame) -> DataFrame:
-    """(leader, block, blocks, digest, label, apart) of the trees whose sets are not all connected.
+def _open(trees: DataFrame, block: int) -> DataFrame:
+    """(leader, block, digest, label) of the trees whose sets are not all connected, as they meet.
 
-    ``apart``: not connected with the leader.
+    What is apart from the leader meets every block of its tree: it is dealt to parts of some ``block`` sets, and
+    each part meets each block, so that no meeting grows with the tree. Blocks are numbered by block and part.
     """
     open_ = trees.groupBy("leader").agg(
         F.min("label").alias("low"),
@@ -263,7 +285,14 @@ def _open(trees: DataFrame) -> DataFrame:
     )
     left = trees.join(open_.filter("low < high").select("leader", "head"), "leader")
     apart = F.coalesce(F.col("label") != F.col("head"), F.lit(False))
-    return left.select("leader", "block", "blocks", "digest", "label", apart.alias("apart"))
+    left = materialise(left.select("leader", "block", "blocks", "digest", "label", apart.alias("apart")), "jaccard-open")
+    parts = left.filter("apart").groupBy("leader").agg(F.ceil(F.count("*") / block).cast("long").alias("parts"))
+    dealt = left.join(parts, "leader")
+    here = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda p: F.col("block") * F.col("parts") + p)
+    part = F.pmod(F.xxhash64("digest", "leader"), "parts")
+    there = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda b: b * F.col("parts") + part)
+    meets = F.when(F.col("apart"), F.array_union(here, there)).otherwise(here)
+    return dealt.select("leader", F.explode(meets).alias("block"), "digest", "label")
 
 
 def _needed(sets: DataFrame, members: DataFrame) -> DataFrame:
@@ -299,19 +328,14 @@ def _links(docs: DataFrame, classes: DataFrame, led: DataFrame, size: int, num:
     named = sets.select("node", "digest", "rep").join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     trees = _trees(led, block).join(materialise(named, "jaccard-named"), "node")
     trees = materialise(trees.drop("rep"), "jaccard-trees")
-    left = materialise(_open(trees), "jaccard-open")
+    left = materialise(_open(trees, block), "jaccard-meetings")
     release(docs.sparkSession)
     # Bitmaps are a fraction of the sets; thin ones, then wider ones, settle most of what near copies
     # of different groups leave open.
     again = None
     for bits in _BITMAPS:
         maps = (sets if again is None else _needed(sets, again)).select("digest", "n", F.col(bits).alias("bits")).hint("merge")
-        if again is None:
-            # What is apart from the leader meets every block of its tree; it gets there after the join.
-            meets = F.when(F.col("apart"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
-            mapped = left.join(maps, "digest").select("leader", F.explode(meets).alias("block"), "digest", "label", "n", "bits")
-        else:
-            mapped = again.join(maps, "digest")
+        mapped = (left if again is None else again).join(maps, "digest")
         again = materialise(_undecided(mapped, num, den), "jaccard-undecided")
         del mapped, maps
         release(docs.sparkSession)
@@ -330,7 +354,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
     spark = docs.sparkSession
     num, den = percent, 100
     read = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    scanned, folder = stored(_scan(read, words, num, den), "jaccard-scan")
+    often = None
+    if read.count() > _FEW:
+        often = spark.sparkContext.broadcast(_often(read, words))
+        release(spark)
+    scanned, folder = stored(_scan(read, words, num, den, often), "jaccard-scan")
+    if often:
+        often.unpersist()
     rows = materialise(scanned.drop("routes"), "jaccard-rows")
     classes = rows.filter("n > 0").groupBy("digest", "node").agg(F.min("doc_id").alias("rep"))
     classes = materialise(classes, "jaccard-classes")

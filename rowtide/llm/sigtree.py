@@ -18,8 +18,8 @@ from collections.abc import Iterator
 import numpy as np
 
 FAN = 8
-_TURN = 8192  # node pairs that are taken down a level at once
-_WORDS = 1 << 20  # of bitmaps that are compared at once
+_TURN = 2048  # node pairs that are taken down a level at once
+_WORDS = 1 << 18  # of bitmaps that are compared at once
 
 
 def _at_once(words: np.ndarray) -> int:

@@ -185,3 +185,63 @@ def test_open_trees_are_met_with_thin_bitmaps(spark, conf, monkeypatch, few):
     assert got == brute(rows, 3, 85)[0]
     assert met[0][0] > 0 and met[0][1] <= 2.2
     assert met[-1][0] < met[0][0]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_linked_sets_share_a_route_in_any_order_of_shingles(seed):
+    rng = np.random.default_rng(seed)
+    often = rng.integers(0, 65536, jaccard._BUCKETS, dtype=np.uint16)
+    met = 0
+    for n in (1, 2, 4, 5, 30, 700):
+        for _ in range(40):
+            a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+            cut, fresh = rng.integers(0, n // 6 + 2, 2)
+            b = np.unique(np.concatenate([rng.choice(a, max(1, len(a) - cut), replace=False), rng.integers(0, 2**64, fresh, dtype=np.uint64)]))
+            if not np.array_equal(a, b) and sigtree.linked(a, b, 80, 100):
+                keys, owner = jaccard.routes(np.concatenate([a, b]), np.array([len(a), len(b)]), 80, 100, often)
+                assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+                met += 1
+    assert met > 20
+
+
+def test_a_common_passage_is_no_route(spark, monkeypatch):
+    """Texts that share a passage, but are not linked by it, meet in no tree; near copies of them do."""
+    rng, passage = random.Random(5), [f"p{i}" for i in range(60)]
+    own = [[f"u{d}x{i}" for i in range(80)] for d in range(150)]
+    rows = [(d, " ".join(w[:40] + passage + w[40:])) for d, w in enumerate(own)]
+    rows += [(d + 200, " ".join(w[:40] + passage + w[40:79] + ["other"])) for d, w in enumerate(own[:20])]
+    rng.shuffle(rows)
+    met, plain = [], jaccard.routing.led
+
+    def spied(*args):
+        found = plain(*args)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard.routing, "led", spied)
+    monkeypatch.setattr(jaccard, "_FEW", 0, raising=False)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    counted = jaccard._often(df, 5)
+    assert counted.sum() == sum(len(shingles(t, 5)) for _, t in rows) and counted.max() >= len(rows)
+    got = {r["doc_id"]: r["component_id"] for r in rows_of(jaccard.jaccard_components(df, 5, 80))}
+    assert got == brute(rows, 5, 80)[0]
+    assert got[200] == 0 and len(set(got.values())) == 150
+    assert len(met) == 1 and 20 <= met[0] <= 40
+
+
+def test_meetings_in_an_open_tree_are_bounded(spark, monkeypatch):
+    """Sets that are apart from a tree's leader meet its blocks in parts, however many they are."""
+    met, plain = [], jaccard._undecided
+
+    def spied(members, *rest):
+        sizes = members.groupBy("leader", "block").count()
+        met.append((members.select("digest").distinct().count(), sizes.agg({"count": "max"}).first()[0]))
+        return plain(members, *rest)
+
+    monkeypatch.setattr(jaccard, "_undecided", spied)
+    shared = [f"s{i}" for i in range(100)]
+    rows = [(d, " ".join([*shared, *[f"o{d // 2}x{i}" for i in range(60)], f"end{d}"])) for d in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in rows_of(jaccard.jaccard_components(df, 3, 85, 8))}
+    assert got == brute(rows, 3, 85)[0]
+    assert met[0][0] > 100 and met[0][1] <= 48
