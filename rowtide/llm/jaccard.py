@@ -15,6 +15,9 @@ between them hold every pair that can be linked:
   tree, so all sets of a route meet in a tree. A tree of more than ``block`` sets is dealt
   to subtrees, each with the leader; what they leave apart from the leader meets every
   subtree in a second step, in parts of ``block`` sets, so that a task's memory is bounded.
+* Pruning. Chance meetings grow faster than the documents. So before any text moves, bitmaps of all
+  sets (thin ones, then wider ones of those left) tell sets apart in the same trees, and only sets that may be
+  linked go on.
 * Dual traversal inside a tree prunes node pairs by size ranges and greatest possible
   overlap; what remains is verified exactly on the sets.
 
@@ -46,6 +49,7 @@ from rowtide.session import discard, limits, materialise, release, stored
 
 BLOCK = 512
 _BITMAPS = {"thin": 0.25, "bits": 1, "wide": 4}  # times sigtree.width: thin ones tell unlike sets apart, wide ones similar ones
+_SKETCHES = ("thin", "bits")  # of all sets
 _C2 = np.uint64(0xC2B2AE3D27D4EB4F)
 _BUCKETS, _PIECE = 1 << 22, 1 << 16  # of the counts that order shingles, and those that travel together
 _FEW = 4 * BLOCK  # documents that are not worth counting first
@@ -133,11 +137,22 @@ def _scan(docs: DataFrame, size: int, num: int, den: int, often: Broadcast | Non
                 pa.array(digests, pa.binary()),
                 pa.array(nodes, pa.int64()),
                 pa.array(routing.packed(keys, owners, len(counts)), pa.binary()),
+                *_maps([hashes[e - c : e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)], _SKETCHES),
             ],
-            names=["doc_id", "n", "digest", "node", "routes"],
+            names=["doc_id", "n", "digest", "node", "routes", *_SKETCHES],
         )
 
-    return by_batch(docs, run, "doc_id bigint, n bigint, digest binary, node bigint, routes binary")
+    schema = f"doc_id bigint, n bigint, digest binary, node bigint, routes binary, {', '.join(f'{b} binary' for b in _SKETCHES)}"
+    return by_batch(docs, run, schema)
+
+
+def _maps(parts: list[np.ndarray], kinds: Iterable[str]) -> list[pa.Array]:
+    """Bitmaps of sets, a column for each kind."""
+    widths = [sigtree.width(len(p)) for p in parts]
+    return [
+        pa.array([sigtree.bitmap(p, max(64, int(_BITMAPS[k] * w))).tobytes() for p, w in zip(parts, widths, strict=True)], pa.binary())
+        for k in kinds
+    ]
 
 
 _KEPT = 6  # bytes of a shingle's hash that are stored: the high ones, so their order stays
@@ -173,10 +188,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             [
                 *out,
                 pa.array(counts),
-                *[
-                    pa.array([sigtree.bitmap(p, max(64, int(k * sigtree.width(len(p))))).tobytes() for p in parts], pa.binary())
-                    for k in _BITMAPS.values()
-                ],
+                *_maps(parts, _BITMAPS),
                 pa.array([_short(p) for p in parts], pa.binary()),
             ],
             names=["node", "digest", "rep", "placed", "n", *_BITMAPS, "tokens"],
@@ -221,8 +233,8 @@ def _joined(members: DataFrame, num: int, den: int) -> DataFrame:
     return in_arrow(dealt.select("leader", "block", "digest", "rep", "label", "tokens"), run, "a bigint, b bigint")
 
 
-def _undecided(members: DataFrame, num: int, den: int) -> DataFrame:
-    """The sets of each (leader, block) that bitmaps don't tell apart from all other components."""
+def _by_bitmaps(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(leader, block, digest, label) of the sets of each (leader, block) that may be linked with one of another label."""
     names = ("leader", "block", "digest", "label")
 
     def left(rows: list[tuple]) -> list[tuple]:
@@ -255,6 +267,16 @@ def _undecided(members: DataFrame, num: int, den: int) -> DataFrame:
     return in_arrow(dealt.select(*names, "n", "bits"), run, "leader bigint, block bigint, digest binary, label bigint")
 
 
+def _undecided(members: DataFrame, num: int, den: int) -> DataFrame:
+    """The sets of each (leader, block) that bitmaps don't tell apart from all other components."""
+    return _by_bitmaps(members, num, den)
+
+
+def _near(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(leader, digest) of the sets that bitmaps don't tell apart from all others of some block."""
+    return materialise(_by_bitmaps(members, num, den).select("leader", "digest").distinct(), "jaccard-near")
+
+
 def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
     a, b = zip(*links, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -295,6 +317,34 @@ def _open(trees: DataFrame, block: int) -> DataFrame:
     return dealt.select("leader", F.explode(meets).alias("block"), "digest", "label")
 
 
+def _pruned(led: DataFrame, sketches: DataFrame, bits: str, num: int, den: int, block: int) -> DataFrame:
+    """``led`` with the sets that may be linked with another one of their tree, as far as bitmaps tell.
+
+    A set meets its block first. What is apart from all of it meets the tree's other blocks as in ``_open``. The
+    least of the sets that are left leads them, so every pair that may be linked still shares a leader.
+    """
+    spark = led.sparkSession
+    maps = sketches.select("node", "digest", "n", F.col(bits).alias("bits"))
+    trees = materialise(_trees(led, block), "jaccard-trees")
+    met = trees.join(maps.hint("merge"), "node").withColumn("label", F.xxhash64("digest"))
+    near = _near(met, num, den)
+    large = trees.filter("blocks > 1")
+    if not large.isEmpty():
+        held = large.join(sketches.select("node", "digest").hint("merge"), "node")
+        held = held.join(near.withColumn("near", F.lit(True)), ["leader", "digest"], "left")
+        # Sets that go on anyway need not meet each other; their leader has met the whole tree.
+        known = F.col("near").isNotNull() | (F.col("node") == F.col("leader"))
+        held = held.withColumn("label", F.when(known, F.col("leader")).otherwise(F.xxhash64("digest")))
+        left = materialise(_open(held, block), "jaccard-meetings")
+        near = near.unionByName(_near(left.join(maps.drop("node").hint("merge"), "digest"), num, den))
+    left = near.distinct().join(sketches.select("digest", "node").hint("merge"), "digest").select("leader", "node")
+    heads = left.groupBy("leader").agg(F.min("node").alias("head"))
+    out = left.join(heads, "leader").filter("node != head").select(F.col("head").alias("leader"), "node").distinct()
+    out = materialise(out, "jaccard-led")
+    release(spark)
+    return out
+
+
 def _needed(sets: DataFrame, members: DataFrame) -> DataFrame:
     """The sets of ``members`` (a stored table); as far as their digests may be broadcast, the others are not shuffled."""
     digests = materialise(members.select("digest").distinct(), "jaccard-needed")
@@ -361,13 +411,18 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
     scanned, folder = stored(_scan(read, words, num, den, often), "jaccard-scan")
     if often:
         often.unpersist()
-    rows = materialise(scanned.drop("routes"), "jaccard-rows")
-    classes = rows.filter("n > 0").groupBy("digest", "node").agg(F.min("doc_id").alias("rep"))
-    classes = materialise(classes, "jaccard-classes")
+    rows = materialise(scanned.drop("routes", *_SKETCHES), "jaccard-rows")
+    same = [F.first(c).alias(c) for c in ("n", *_SKETCHES)]
+    sketches = scanned.filter("n > 0").groupBy("digest", "node").agg(F.min("doc_id").alias("rep"), *same)
+    sketches, sketched = stored(sketches, "jaccard-sketches")
+    classes = materialise(sketches.select("digest", "node", "rep"), "jaccard-classes")
     named = scanned.filter("doc_id IS NOT NULL")  # so every leader has a document
     led = materialise(routing.led(named, routing.buckets_for(named)), "jaccard-led")
     discard(spark, folder)
     release(spark)
+    for bits in _SKETCHES:
+        led = _pruned(led, sketches, bits, num, den, block)
+    discard(spark, sketched)
     links = _links(read, classes, led, words, num, den, block)
     placed = materialise(rows.filter("n > 0").join(classes.select("digest", "rep"), "digest").select("doc_id", "n", "rep"), "jaccard-reps")
     # A doc_id whose rows differ in text joins the classes of all of them.

@@ -245,3 +245,31 @@ def test_meetings_in_an_open_tree_are_bounded(spark, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in rows_of(jaccard.jaccard_components(df, 3, 85, 8))}
     assert got == brute(rows, 3, 85)[0]
     assert met[0][0] > 100 and met[0][1] <= 48
+
+
+@pytest.mark.parametrize("block", [512, 16])
+def test_only_sets_that_may_be_linked_fetch_their_texts(spark, monkeypatch, block):
+    """Texts that meet by a shared passage are told apart by bitmaps first, also those of different blocks."""
+    rng, passage = random.Random(6), [f"p{i}" for i in range(60)]
+    own = [[f"u{d}x{i}" for i in range(80)] for d in range(150)]
+    rows = [(d, " ".join(w[:40] + passage + w[40:])) for d, w in enumerate(own)]
+    rows += [(d + 200, " ".join(w[:40] + passage + w[40:79] + ["other"])) for d, w in enumerate(own[:20])]
+    rng.shuffle(rows)
+    met, fetched, plain, sets = [], [], jaccard.routing.led, jaccard._sets
+
+    def spied(*args):
+        found = plain(*args)
+        met.append(found.select("node").distinct().count())
+        return found
+
+    def counted(docs, wanted, size):
+        fetched.append(wanted.select("digest").distinct().count())
+        return sets(docs, wanted, size)
+
+    monkeypatch.setattr(jaccard.routing, "led", spied)
+    monkeypatch.setattr(jaccard, "_sets", counted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in rows_of(jaccard.jaccard_components(df, 5, 80, block))}
+    assert got == brute(rows, 5, 80)[0]
+    assert got[200] == 0 and len(set(got.values())) == 150
+    assert met[0] > 140 and 40 <= fetched[0] <= 60
