@@ -35,15 +35,36 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     keys = np.zeros(n, np.uint64)
     for i in range(8):
         keys = (keys << np.uint64(8)) | np.roll(text, -i)
-    order, rank = _dense(keys)
+    order = np.argsort(keys)
+    rank, parted = _heads(order, keys[order], n)
     have = 8
-    while have < depth and rank[order[-1]] < n - 1:
+    while have < depth:
+        places = np.flatnonzero(~parted)  # of suffixes that still share a rank; the others stay where they are
+        if not len(places):
+            break
         step = min(have, depth - have)
-        order, rank = _dense(rank * n + np.roll(rank, -(step % n)))
+        own = order[places]
+        keys = rank[own] * n + rank[(own + step) % n]
+        by = np.argsort(keys)
+        own, keys = own[by], keys[by]
+        order[places] = own
+        new = np.ones(len(own), bool)
+        np.not_equal(keys[1:], keys[:-1], out=new[1:])
+        rank[own] = np.maximum.accumulate(np.where(new, places, 0))
+        parted[places] = new & np.append(new[1:], True)
         have += step
     return order
 
 
+def _heads(order: np.ndarray, keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the rank of each suffix, which is the first place of its key; places whose key has no other); ``keys`` are sorted."""
+    new = np.ones(n, bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    return rank, new & np.append(new[1:], True)
+
+
 _WIDE = {8: np.uint64, 4: np.uint32, 2: np.uint16}
 
 

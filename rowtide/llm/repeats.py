@@ -30,13 +30,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.llm import bwt, routing
 from rowtide.llm.common import by_batch, in_arrow, pick, texts
 from rowtide.llm.words import mixed
-from rowtide.session import discard, materialise, stored
+from rowtide.session import discard, limits, materialise, release, stored
 
 GRAM = 32
 BATCH = 1 << 18  # bytes of a collection that one merge takes
@@ -309,7 +309,7 @@ def _across(found: DataFrame, length: int, buckets: int) -> DataFrame:
     return in_arrow(blobs, run, _SPAN)
 
 
-def _removed(spans: DataFrame, held: DataFrame) -> DataFrame:
+def _removed(spans: DataFrame, classes: DataFrame, text: DataFrame) -> DataFrame:
     """Per class: what is left of its first document."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -331,10 +331,28 @@ def _removed(spans: DataFrame, held: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(arrays, names=["digest", "removed", "spans", "kept"])
 
     cuts = spans.groupBy("digest").agg(F.collect_set(F.struct("start", "stop")).alias("cuts"))
-    joined = held.select("digest", "text").join(cuts, "digest")
+    joined = text.join(classes.select("digest", "doc").join(cuts, "digest"), "doc").select("digest", "cuts", "text")
     return by_batch(joined, run, "digest binary, removed bigint, spans bigint, kept binary").dropDuplicates(["digest"])
 
 
+def _dealt(stretches: DataFrame) -> tuple[DataFrame, int]:
+    """Stretches with ``parts`` (batches of their collection) and ``part``; batches of large collections."""
+    spark = stretches.sparkSession
+    sizes = stretches.groupBy("leader").agg(F.ceil(F.sum(F.length("data")) / BATCH).cast("long").alias("parts"))
+    # Only collections of more than a batch have a row, so there are few.
+    sizes = materialise(sizes.filter("parts > 1"), "repeats-sizes")
+    n, large = sizes.agg(F.count("*"), F.sum("parts")).first()
+    sizes = F.broadcast(sizes) if limits(spark).may_broadcast(n, sizes.schema) else sizes
+    dealt = stretches.join(sizes, "leader", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    return dealt.withColumn("part", F.pmod(F.xxhash64("digest"), "parts")), large or 0
+
+
+def _over(spark: SparkSession, folder: str) -> None:
+    """A step is over: what was stored for it goes, and so do its shuffle files."""
+    discard(spark, folder)
+    release(spark)
+
+
 def strip_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept (null: the whole text), sha256 of what is kept."""
     if length % 4 or length < 2 * GRAM:
@@ -346,22 +364,22 @@ def strip_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     order = F.coalesce("doc_id", F.lit(_LAST))
     classes = rows.groupBy("digest", "node", "inner").agg(F.min(order).alias("doc"))
     classes = materialise(classes, "repeats-classes")
-    met = materialise(routing.led(scanned, routing.buckets_for(scanned), with_keys=True), "repeats-met")
-    discard(spark, folder)
+    met, met_folder = stored(routing.led(scanned, routing.buckets_for(scanned), with_keys=True), "repeats-met")
+    _over(spark, folder)
     lists = met.groupBy("node").agg(F.collect_list(F.struct("leader", "low")).alias("met"))
     wanted = classes.join(lists, "node", "left").filter("inner OR met IS NOT NULL")
     text = read.select(order.alias("doc"), "text")
-    held = materialise(text.join(wanted, "doc").select("digest", "node", "doc", "inner", "met", "text"), "repeats-held")
-    stretches = materialise(_stretches(held, length), "repeats-stretches")
-    sizes = stretches.groupBy("leader").agg(F.ceil(F.sum(F.length("data")) / BATCH).cast("long").alias("parts"))
-    part = F.pmod(F.xxhash64("digest"), "parts").alias("part")
-    dealt = stretches.join(sizes, "leader").select("*", part)
-    large = sizes.filter("parts > 1").agg(F.sum("parts")).first()[0] or 0
+    stretches, folder = stored(_stretches(text.join(wanted, "doc"), length), "repeats-stretches")
+    _over(spark, met_folder)
+    dealt, large = _dealt(stretches)
     buckets = max(16, large * BATCH // PER_BUCKET)
-    found = materialise(_found(dealt, length, buckets), "repeats-found")
-    inside = found.filter("bucket IS NULL").select("digest", "start", "stop")
-    spans = inside.unionByName(_across(found, length, buckets)) if large else inside
-    left = materialise(_removed(spans, held), "repeats-left")
+    found, found_folder = stored(_found(dealt, length, buckets), "repeats-found")
+    _over(spark, folder)
+    spans = found.filter("bucket IS NULL").select("digest", "start", "stop")
+    spans, folder = stored(spans.unionByName(_across(found, length, buckets)) if large else spans, "repeats-spans")
+    _over(spark, found_folder)
+    left = materialise(_removed(spans, classes, text), "repeats-left")
+    _over(spark, folder)
     judged = classes.select("digest", "doc").join(left, "digest", "left")
     zero = F.lit(0).cast("long")
     copy = (order != F.col("doc")) & (F.col("n_bytes") >= length)

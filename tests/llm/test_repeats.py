@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from small import documents, empty, rows_of
 
+from rowtide import session
 from rowtide.llm import bwt, repeats
 from rowtide.llm.common import pick
 
@@ -89,6 +91,33 @@ def test_real_and_awkward_rows(spark):
     assert long[907][2] == 200_000 - 1 and long[906][2] == 150_000 - 5
 
 
+def test_what_a_step_stored_goes_with_it(spark, monkeypatch):
+    """Texts are stored nowhere, and only what the result reads is left."""
+    made = []
+
+    def stored(df, label, **options):
+        out = session.stored(df, label, **options)
+        made.append((label, df.columns, Path(out[1])))
+        return out
+
+    monkeypatch.setattr(repeats, "stored", stored)
+    monkeypatch.setattr(repeats, "materialise", lambda df, label: stored(df, label)[0])
+    monkeypatch.setattr(repeats, "BATCH", 700)
+    rows = corpus(6)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(df) == brute(rows)
+    assert {label for label, _, path in made if path.exists()} <= {"repeats-rows", "repeats-classes", "repeats-sizes", "repeats-left"}
+    assert not any("text" in columns for _, columns, _ in made)
+
+
+@pytest.mark.parametrize("text", [b"x" * 300, b"ab" * 70, b"abcdefgh" * 40 + b"q", bytes(range(200)), b"z"])
+def test_suffixes_are_in_order(text):
+    ring = text * (100 // len(text) + 2)
+    order = bwt.suffix_order(np.frombuffer(text, np.uint8), 100).tolist()
+    shown = [ring[i : i + 100] for i in order]
+    assert shown == sorted(shown) and sorted(order) == list(range(len(text)))
+
+
 def test_other_lengths(spark):
     rows = corpus(5)
     df = spark.createDataFrame(rows, "doc_id long, text string")
