@@ -11,6 +11,7 @@ entities need nothing special.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from rowtide.functions.text import name, quoted, ratio
 from rowtide.operators.positions import N, RN
-from rowtide.session import materialise, release
+from rowtide.session import compiled, materialise, release
 from rowtide.spec import FeatureOptions
 
 Block = dict[str, str]
@@ -62,7 +63,7 @@ def _fields(expressions: Iterable[str]) -> int:
 _COMMON = 8  # an aggregate that fewer than one in so many columns gets is left to the common pass
 
 
-def _alike(block: Block, kinds: Mapping[str, str]) -> list[tuple[list[str], dict[str, dict[str, str]]]]:
+def _alike(block: Block, kinds: Mapping[str, str], least: int) -> list[tuple[list[str], dict[str, dict[str, str]]]]:
     """Columns of one type and the aggregates they get: (expressions with a slot for the column, {column: {expression: output}}).
 
     A column takes part with all expressions that enough columns of its type have; what is not
@@ -76,14 +77,19 @@ def _alike(block: Block, kinds: Mapping[str, str]) -> list[tuple[list[str], dict
             by_kind.setdefault(kinds[c], {}).setdefault(c, {})[e.replace(name(c), _SLOT)] = out
     groups = []
     for columns in by_kind.values():
-        times: dict[str, int] = {}
-        for found in columns.values():
-            for e in found:
-                times[e] = times.get(e, 0) + 1
-        shapes = [e for e, n in times.items() if n * _COMMON >= len(columns)]
-        shown = {c: {e: o for e, o in found.items() if e in shapes} for c, found in columns.items()}
-        groups.append((shapes, {c: found for c, found in shown.items() if found}))
-    return groups
+        common = _common(columns)
+        # Columns that get more than the common ones are a group of their own, if there are enough of them.
+        more = {c: found for c, found in columns.items() if found.keys() - set(common)}
+        plain = {c: found for c, found in columns.items() if c not in more}
+        apart = all(len(_common(part)) * len(part) >= least for part in (plain, more))
+        groups += [(_common(part), part) for part in ((plain, more) if apart else (columns,))]
+    return [(s, {c: own for c, found in part.items() if (own := {e: o for e, o in found.items() if e in s})}) for s, part in groups]
+
+
+def _common(columns: Mapping[str, Mapping[str, str]]) -> list[str]:
+    """Expressions that enough of the columns have."""
+    times = Counter(e for found in columns.values() for e in found)
+    return [e for e, n in times.items() if n * _COMMON >= len(columns)]
 
 
 def aggregate_wide(df: DataFrame, key: str, *blocks: Block, least: int = 200, at_once: int | None = None) -> DataFrame:
@@ -96,33 +102,44 @@ def aggregate_wide(df: DataFrame, key: str, *blocks: Block, least: int = 200, at
     joined once. Fewer than ``least`` expressions are not worth it.
 
     ``at_once``: more columns than that are shuffled in turns of about so many. What a turn gives is stored, and its shuffle
-    files go before the next one, so the disk that is needed follows the columns of a turn, not all of them.
+    files go before the next one, so the disk that is needed follows the columns of a turn, not all of them. So is what
+    is aggregated as before: wide rows are laid out in code that the JVM compiles (``session.compiled``).
     """
     block = merge(*blocks)
     kinds = dict(df.dtypes)
-    wide = [g for g in _alike(block, kinds) if len(g[0]) * len(g[1]) >= least]
+    wide = [g for g in _alike(block, kinds, least) if len(g[0]) * len(g[1]) >= least]
     if not wide:
         return aggregate(df, key, block)
     rest = dict(block)
+    in_turns = at_once is not None and sum(len(outputs) for _, outputs in wide) > at_once
     out = None
     for shapes, outputs in wide:
         columns = list(outputs)
         per_part = max(1, _FIELDS // max(1, _fields(shapes)))
-        per_turn = len(columns) if at_once is None else max(1, at_once // per_part) * per_part
+        turns = -(-len(columns) // max(1, at_once + at_once // 10)) if in_turns else 1
+        per_turn = -(-len(columns) // turns // per_part) * per_part
         for begin in range(0, len(columns), per_turn):
             side = _in_parts(df, key, shapes, {c: outputs[c] for c in columns[begin : begin + per_turn]}, per_part, kinds[columns[0]])
-            if per_turn < len(columns):
-                side = materialise(side, "wide-turn")
-                release(df.sparkSession)
+            side = _turn(side) if in_turns else side
             out = side if out is None else _beside(out, side, key)
         for found in outputs.values():
             for o in found.values():
                 del rest[o]
     if rest:
-        out = _beside(out, aggregate(df, key, rest), key)
+        side = aggregate(df, key, rest)
+        out = _beside(out, _turn(side) if in_turns else side, key)
     return out.selectExpr(name(key), *[name(o) for o in block])
 
 
+def _turn(df: DataFrame) -> DataFrame:
+    """What a turn gives, stored; its shuffle files go."""
+    spark = df.sparkSession
+    with compiled(spark):
+        df = materialise(df, "wide-turn")
+    release(spark)
+    return df
+
+
 def _in_parts(
     df: DataFrame, key: str, shapes: list[str], outputs: Mapping[str, Mapping[str, str]], per_part: int, kind: str
 ) -> DataFrame:

@@ -284,6 +284,25 @@ def test_wide_aggregates_are_shuffled_in_turns(spark, monkeypatch):
     assert turns.selectExpr(*shown).exceptAll(plain.selectExpr(*shown)).isEmpty()
 
 
+def test_turns_run_in_code_that_is_compiled(spark, monkeypatch):
+    """A few columns get more aggregates: they have turns of their own, and nothing is left to a pass over wide rows."""
+    rows = full_panel(spark, SMALL).selectExpr("nullif(supplier, 3) AS supplier", *FULL.numeric[:60], "flag", "1 AS __rn", "1 AS __n")
+    block = {f"{c}_{fn}": f"{fn}(`{c}`)" for c in FULL.numeric[:60] for fn in ("min", "max", "avg", "stddev_samp", "count")}
+    block |= {f"{c}_{fn}": f"{fn}(`{c}`)" for c in FULL.numeric[:6] for fn in ("sum", "kurtosis")} | {"flags": "max(`flag`)"}
+    limits, passes, real, plain = [], [], blocks.materialise, blocks.aggregate
+    key = "spark.sql.codegen.hugeMethodLimit"
+    monkeypatch.setattr(blocks, "materialise", lambda df, label: limits.append(int(spark.conf.get(key))) or real(df, label))
+    monkeypatch.setattr(blocks, "aggregate", lambda df, k, b: passes.append(sorted(b)) or plain(df, k, b))
+    before = spark.conf.get(key)
+    turns = blocks.aggregate_wide(rows, "supplier", block, least=30, at_once=20)
+    assert passes == [["flags"]] and len(limits) == 5 and max(limits) <= 8000
+    assert spark.conf.get(key) == before
+    want = plain(rows, "supplier", block)
+    shown = [f"round(`{c}`, 6)" if c != "flags" else c for c in want.columns]
+    assert turns.columns == want.columns and turns.count() == want.count()
+    assert turns.selectExpr(*shown).exceptAll(want.selectExpr(*shown)).isEmpty()
+
+
 def test_wide_aggregates_stay_in_generated_code(spark):
     rows = full_panel(spark, SMALL).selectExpr("*", "1 AS __rn", "1 AS __n")
     block = {f"{c}_{fn}": f"{fn}(`{c}`)" for c in FULL.numeric for fn in ("min", "max", "avg", "stddev_samp", "sum")}
