@@ -123,7 +123,8 @@ def _stretches(held: DataFrame, length: int) -> DataFrame:
             leaders: dict[int, list] = {}
             for m in met or ():
                 leaders.setdefault(m["leader"], []).append(m["low"])
-            spans = {leader: np.isin(low, lows) for leader, lows in leaders.items()}
+            known, of = np.unique(low, return_inverse=True) if leaders else (low, low)
+            spans = {leader: np.isin(known, lows)[of] for leader, lows in leaders.items()}
             if inner:
                 _, back, times = np.unique(keys, return_inverse=True, return_counts=True)
                 own = times[back] > 1
@@ -215,14 +216,23 @@ def window_hashes(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]
 _FIRST = np.dtype([("hash", "<u8"), ("other", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("d1", "<u8"), ("d2", "<u8")])
 
 
-def _firsts(row: tuple, begin: int, starts: np.ndarray, length: int) -> np.ndarray:
-    """Entries for the strings of a stretch that are first in their batch."""
-    digest, doc, begins, sizes, data = row
-    i = int(np.searchsorted(begins, begin))
-    one, two = window_hashes(np.frombuffer(data, np.uint8, int(sizes[i]), int(sizes[:i].sum())), length)
-    out = np.zeros(len(starts), _FIRST)
-    out["hash"], out["other"], out["doc"], out["start"] = one[starts - begin], two[starts - begin], doc, starts
-    out["d1"], out["d2"] = np.frombuffer(digest, "<u8")
+def _firsts(rows: list[tuple], stretches: list[tuple[int, int]], first: list[np.ndarray], length: int) -> np.ndarray:
+    """Entries for the strings that are first in their batch; the whole batch is hashed at once."""
+    counts = [len(starts) for starts in first]
+    which = np.repeat(np.arange(len(first)), counts)
+    out = np.zeros(len(which), _FIRST)
+    if not len(which):
+        return out
+    one, two = window_hashes(np.frombuffer(b"".join(row[4] for row in rows), np.uint8), length)
+    sizes = np.concatenate([row[3] for row in rows])
+    starts = np.concatenate(first)
+    owner, begins = np.array(stretches, np.int64).T
+    place = (np.cumsum(sizes) - sizes - begins)[which] + starts
+    digests = np.frombuffer(b"".join(row[0] for row in rows), "<u8").reshape(-1, 2)
+    of = owner[which]
+    out["hash"], out["other"], out["start"] = one[place], two[place], starts
+    out["doc"] = np.array([row[1] for row in rows], np.int64)[of]
+    out["d1"], out["d2"] = digests[of, 0], digests[of, 1]
     return out
 
 
@@ -232,16 +242,14 @@ def _found(dealt: DataFrame, length: int, buckets: int) -> DataFrame:
 
     def spans(rows: list[tuple], several: bool) -> Iterator[pa.RecordBatch]:
         stretches, later, first = later_windows([r[1:] for r in rows], length)
-        found, firsts = [], []
-        for (r, begin), mine, lead in zip(stretches, later, first, strict=False):
+        found = []
+        for (r, _), mine in zip(stretches, later, strict=False):
             if len(mine):
                 found += [(rows[r][0], a, b) for a, b in zip(*[x.tolist() for x in _merged(mine, mine + length)], strict=True)]
-            if several and len(lead):
-                firsts.append(_firsts(rows[r], begin, lead, length))
         if found:
             yield batch_of(found, [None] * len(found), [None] * len(found))
-        if firsts:
-            entries = np.concatenate(firsts)
+        entries = _firsts(rows, stretches, first, length) if several else ()
+        if len(entries):
             bucket = ((entries["hash"] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             order = np.argsort(bucket, kind="stable")
             own, cuts = np.unique(bucket[order], return_index=True)
